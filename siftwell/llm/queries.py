@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from siftwell.llm import token_counts
+from siftwell.llm import pieces, token_counts
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,7 +19,14 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    both = pieces.decode(pieces.encode(_documents(spark, sf_dir), model), model)
+    return both.select("doc_id", F.size("piece_ids").alias("n_pieces"), "piece_ids", (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_sentencepiece": op5_sentencepiece,
     "op9_token_counts": op9_token_counts,
 }
 
