@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftwell.llm import pieces, token_counts
+from siftwell.llm import pieces, quality, token_counts
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +19,13 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _documents(spark, sf_dir)
+    model = quality.train(documents, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = quality.score(documents.select("doc_id", "text"), model)
+    return scored.select("doc_id", quality.held_out().alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     both = pieces.decode(pieces.encode(_documents(spark, sf_dir), model), model)
@@ -26,6 +33,7 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_quality": op3_quality,
     "op5_sentencepiece": op5_sentencepiece,
     "op9_token_counts": op9_token_counts,
 }
