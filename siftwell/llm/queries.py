@@ -8,13 +8,68 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftwell.llm import pieces, quality, token_counts
+from siftwell.llm import fingerprints, pieces, quality, token_counts
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprints.edited_pairs(_documents(spark, sf_dir))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        fingerprints.as_text(F.col("fp")).alias("fingerprint"),
+        fingerprints.as_text(F.col("edited_fp")).alias("edited_fingerprint"),
+        fingerprints.likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"),
+        fingerprints.likeness(F.col("fp"), F.col("next_fp")).alias("near_next"),
+    )
+
+
+OP8_SQL = """
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS text FROM documents
+), pairs AS (
+  SELECT doc_id, text, coalesce(lead(text) OVER w, first_value(text) OVER w) AS next_text
+  FROM docs WINDOW w AS (ORDER BY doc_id DESC NULLS LAST, text DESC ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
+), versions AS (
+  SELECT doc_id, 'own' AS kind, text FROM pairs
+  UNION ALL SELECT doc_id, 'next', next_text FROM pairs
+  UNION ALL SELECT doc_id, 'edited', substr(text, 1, length(text) - length(text) // 3) || substr(next_text, 1, length(text) // 3) FROM pairs
+), hashed AS (
+  SELECT *, list_transform(string_split(text, chr(10)), lambda p: md5(p) || md5('+' || p)) AS digests,
+    list_transform(list_filter(string_split_regex(text, '[.!?,;|' || chr(10) || ']+'), lambda s: s <> ''), lambda s: CAST('0x' || substr(md5(s), 1, 15) AS BIGINT)) AS hashes
+  FROM versions
+), lanes AS (
+  SELECT doc_id, kind, text, CAST(len(hashes) AS BIGINT) AS n,
+    list_transform(range(6), lambda k: list_sum(list_transform(digests, lambda d: CAST('0x' || substr(d, CAST(k * 10 + 1 AS INT), 10) AS BIGINT))) % 1099511627776) AS wide,
+    list_transform(range(60), lambda k: coalesce(list_sum(list_transform(hashes, lambda h: (h >> k) & 1)), 0) % 65536) AS sketch
+  FROM hashed
+), texts AS (
+  SELECT *, array_to_string(list_transform(wide, lambda x: printf('%010X', CAST(x AS BIGINT))), '') || printf('%08X', n)
+    || array_to_string(list_transform(sketch, lambda x: printf('%04X', CAST(x AS BIGINT))), '') AS fp
+  FROM lanes
+), signs AS (
+  SELECT *, list_transform(sketch, lambda x: 2 * x - n) AS signed FROM texts
+), squared AS (
+  SELECT *, list_sum(list_transform(signed, lambda x: x * x)) AS own_squares FROM signs
+), likes AS (
+  SELECT a.doc_id, a.text, a.fp, b.kind, b.text AS other_text, b.fp AS other_fp,
+    CASE WHEN a.n + b.n = 0 THEN 1.0::DOUBLE
+      WHEN a.own_squares + b.own_squares = 0 THEN 0.0::DOUBLE
+      ELSE greatest(0.0::DOUBLE, CAST(2 * list_sum(list_transform(range(60), lambda k: a.signed[k + 1] * b.signed[k + 1])) AS DOUBLE) / CAST(a.own_squares + b.own_squares AS DOUBLE)) END AS likeness
+  FROM squared a JOIN squared b ON a.doc_id = b.doc_id AND a.kind = 'own' AND b.kind <> 'own'
+)
+SELECT doc_id, CAST(length(any_value(text)) AS BIGINT) AS n_chars,
+  sha256(max(other_text) FILTER (kind = 'edited')) AS edited_sha256, any_value(fp) AS fingerprint,
+  max(other_fp) FILTER (kind = 'edited') AS edited_fingerprint,
+  max(likeness) FILTER (kind = 'edited') AS near_edited, max(likeness) FILTER (kind = 'next') AS near_next
+FROM likes GROUP BY doc_id
+"""
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -35,7 +90,10 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": op3_quality,
     "op5_sentencepiece": op5_sentencepiece,
+    "op8_fingerprints": op8_fingerprints,
     "op9_token_counts": op9_token_counts,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op8_fingerprints": OP8_SQL,
+}
