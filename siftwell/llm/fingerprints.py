@@ -22,12 +22,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siftwell.llm.ranges import borders, range_of
+
 PARAGRAPH_LANES, PARAGRAPH_BITS = 6, 40
 SKETCH_LANES, SKETCH_BITS = 60, 16
 COUNT_BITS = 32
 _SENTENCE_END = "[.!?,;|\n]+"
-#: Rows of a range of ids that are sorted together to find each row's successor, and the most ranges.
-RANGE_ROWS, MOST_RANGES = 512, 1 << 16
+#: Rows of a range of ids that are sorted together to find each row's successor.
+RANGE_ROWS = 512
 
 
 def _number(digits: Column, begin, length: int) -> Column:
@@ -109,20 +111,6 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(n + m == 0, F.lit(1.0)).when(squares == 0, F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), share))
 
 
-def _range_of(value: Column, splits: list) -> Column:
-    """How many of the sorted splits are at most value, by binary search; -1 for null."""
-    if not splits:
-        return F.when(value.isNull(), -1).otherwise(0)
-    table, n = F.array(*map(F.lit, splits)), len(splits)
-    steps = [1 << k for k in reversed(range(n.bit_length()))]
-
-    def step(found: Column, jump: Column) -> Column:
-        fits = found + jump <= n
-        return found + F.when(fits & (F.get(table, found + jump - 1) <= value), jump).otherwise(0)
-
-    return F.when(value.isNull(), -1).otherwise(F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), step))
-
-
 def with_next(df: DataFrame, id_col: str, payload: list[str], order_text: str) -> DataFrame:
     """df with a struct column next: the payload of the row that follows in descending id; the first one follows the last.
 
@@ -131,17 +119,15 @@ def with_next(df: DataFrame, id_col: str, payload: list[str], order_text: str) -
     """
     spark = df.sparkSession
     ids = df.select(F.col(id_col).alias("id"))
-    ranges = min(MOST_RANGES, df.count() // RANGE_ROWS + 1)
-    cuts = ids.select(F.percentile_approx("id", [k / ranges for k in range(1, ranges)], max(10_000, 20 * ranges)).alias("q")).first()["q"] if ranges > 1 else []
-    splits = sorted(set(cuts or []))
+    splits = borders(df, id_col, df.count() // RANGE_ROWS + 1)
     # at most MOST_RANGES + 1 rows: the largest id of each range
-    tops = ids.groupBy(_range_of(F.col("id"), splits).alias("range")).agg(F.max("id").alias("id")).collect()
+    tops = ids.groupBy(range_of(F.col("id"), splits).alias("range")).agg(F.max("id").alias("id")).collect()
     present = sorted((r["range"] for r in tops), reverse=True)
     if not present:
         return df.withColumn("next", F.struct(*payload))
     follower = spark.createDataFrame(list(zip(present, [*present[1:], present[0]], strict=True)), "range int, head int")
     top_ids = spark.createDataFrame([(r["range"], r["id"]) for r in tops], f"head int, id {df.schema[id_col].dataType.simpleString()}")
-    rows = df.withColumn("range", _range_of(F.col(id_col), splits))
+    rows = df.withColumn("range", range_of(F.col(id_col), splits))
     top_rows = df.join(F.broadcast(top_ids), df[id_col].eqNullSafe(top_ids["id"])).groupBy("head").agg(F.max_by(F.struct(*payload), F.struct(order_text)).alias("top"))
     heads = top_rows.join(F.broadcast(follower), "head").select("range", "top")
     within = F.expr(f"lead(struct({', '.join(payload)})) OVER (PARTITION BY range ORDER BY {id_col} DESC NULLS LAST, {order_text} DESC)")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftwell.llm import fingerprints, pieces, quality, token_counts
+from siftwell.llm import fingerprints, pieces, quality, substrings, token_counts
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,6 +74,28 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = substrings.remove_repeats(_documents(spark, sf_dir))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+OP2_SQL = """
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(coalesce(text, ''), '[ ' || chr(9) || '-' || chr(13) || ']+'), lambda w: w <> '') AS words
+  FROM documents
+), windows AS (
+  SELECT r, doc_id, p, array_to_string(words[p:p + 12], ' ') AS body FROM (SELECT r, doc_id, words, unnest(range(1, len(words) - 11)) AS p FROM docs WHERE doc_id IS NOT NULL)
+), covered AS (
+  SELECT DISTINCT r, p + k AS place FROM (SELECT r, doc_id, p, min(doc_id) OVER (PARTITION BY body) AS least FROM windows), range(0, 13) AS t(k) WHERE least < doc_id
+), gone AS (
+  SELECT r, list(place) AS places FROM covered GROUP BY r
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(len(places), 0) AS BIGINT) AS n_removed,
+  sha256(array_to_string(list_filter(words, lambda w, k: NOT list_contains(coalesce(places, []), k)), ' ')) AS kept_sha256
+FROM docs LEFT JOIN gone USING (r)
+"""
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _documents(spark, sf_dir)
     model = quality.train(documents, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -88,6 +110,7 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_substrings": op2_substrings,
     "op3_quality": op3_quality,
     "op5_sentencepiece": op5_sentencepiece,
     "op8_fingerprints": op8_fingerprints,
@@ -95,5 +118,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_substrings": OP2_SQL,
     "op8_fingerprints": OP8_SQL,
 }
