@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftwell.llm import fingerprints, pieces, quality, substrings, token_counts
+from siftwell.llm import fingerprints, jaccard, pieces, quality, substrings, token_counts
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,6 +103,33 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", quality.held_out().alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
 
 
+def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.linked_components(_documents(spark, sf_dir))
+
+
+OP4_SQL = """
+WITH RECURSIVE docs AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ ' || chr(9) || '-' || chr(13) || ']+'), lambda w: w <> '') AS words
+  FROM documents
+), sets AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(words) < 5 THEN array_to_string(words, ' ') ELSE array_to_string(words[p:p + 4], ' ') END AS shingle
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(2, len(words) - 3))) AS p FROM docs WHERE len(words) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM sets a JOIN sets b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))
+), reach AS (
+  SELECT doc_id AS id, doc_id AS other FROM docs
+  UNION SELECT reach.id, links.b FROM reach JOIN links ON reach.other = links.a
+)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, lowest AS component_id
+FROM docs LEFT JOIN sizes USING (doc_id) LEFT JOIN (SELECT id AS doc_id, min(other) AS lowest FROM reach GROUP BY id) USING (doc_id)
+"""
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     both = pieces.decode(pieces.encode(_documents(spark, sf_dir), model), model)
@@ -112,6 +139,7 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substrings": op2_substrings,
     "op3_quality": op3_quality,
+    "op4_jaccard": op4_jaccard,
     "op5_sentencepiece": op5_sentencepiece,
     "op8_fingerprints": op8_fingerprints,
     "op9_token_counts": op9_token_counts,
@@ -119,5 +147,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op2_substrings": OP2_SQL,
+    "op4_jaccard": OP4_SQL,
     "op8_fingerprints": OP8_SQL,
 }
