@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftwell.llm import fingerprints, jaccard, pieces, quality, substrings, token_counts
+from siftwell.llm import fingerprints, jaccard, personal, pieces, quality, secrets, substrings, token_counts
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,6 +74,23 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def _joined(spans: Column) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def _digests(found: DataFrame, base: Column, kinds: list[str]) -> DataFrame:
+    """The count of each kind of base spans, the hash of all base spans, and all spans."""
+    rows = found.select("doc_id", base.alias("base"), "spans")
+    named = F.transform("base", lambda s: s["kind"])
+    counts = [F.size(F.filter(named, lambda k: k == kind)).cast("bigint").alias(f"n_{kind}") for kind in kinds]  # noqa: B023
+    return rows.select("doc_id", *counts, F.sha2(_joined(F.col("base")).cast("binary"), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"))
+
+
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(_documents(spark, sf_dir))
+    return _digests(found, F.filter("spans", lambda s: s["kind"].isin(secrets.BASE_KINDS)), secrets.BASE_KINDS)
+
+
 def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = substrings.remove_repeats(_documents(spark, sf_dir))
     return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
@@ -136,13 +153,19 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("doc_id", F.size("piece_ids").alias("n_pieces"), "piece_ids", (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"))
 
 
+def op10_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _digests(personal.find(_documents(spark, sf_dir)), F.col("base"), personal.BASE_KINDS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secrets": op1_secrets,
     "op2_substrings": op2_substrings,
     "op3_quality": op3_quality,
     "op4_jaccard": op4_jaccard,
     "op5_sentencepiece": op5_sentencepiece,
     "op8_fingerprints": op8_fingerprints,
     "op9_token_counts": op9_token_counts,
+    "op10_personal": op10_personal,
 }
 
 ORACLE_SQL: dict[str, str] = {
