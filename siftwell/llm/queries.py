@@ -8,13 +8,17 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftwell.llm import fingerprints, jaccard, personal, pieces, quality, secrets, substrings, token_counts
+from siftwell.llm import decontamination, fingerprints, jaccard, personal, pieces, quality, secrets, substrings, token_counts
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fingerprints.edited_pairs(_documents(spark, sf_dir))
     return found.select(
@@ -163,6 +167,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": op3_quality,
     "op4_jaccard": op4_jaccard,
     "op5_sentencepiece": op5_sentencepiece,
+    "op7_decontamination": op7_decontamination,
     "op8_fingerprints": op8_fingerprints,
     "op9_token_counts": op9_token_counts,
     "op10_personal": op10_personal,

@@ -64,6 +64,18 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = C
             begin = end
 
 
+def hash_ranges(data: np.ndarray, start: np.ndarray, end: np.ndarray, which: int = 0) -> np.ndarray:
+    """64 bits for the bytes of each range, none of which is empty."""
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    letters, powers = _HASHES[which]
+    lengths = end - start
+    at = np.cumsum(lengths) - lengths
+    within = np.arange(at[-1] + lengths[-1]) - np.repeat(at, lengths)
+    values = letters[data[within + np.repeat(start, lengths)]] * powers[within & (_POWERS - 1)]
+    return mix(np.add.reduceat(values, at) + lengths.astype(np.uint64))
+
+
 class Words:
     """start and end of each word in data; words of row i are first[i] to first[i + 1]."""
 
@@ -100,15 +112,7 @@ class Words:
 
     def hashes(self, which: int = 0) -> np.ndarray:
         """64 bits for each word; which names one of two independent functions."""
-        if not len(self):
-            return np.zeros(0, np.uint64)
-        letters, powers = _HASHES[which]
-        lengths = self.end - self.start
-        at = np.zeros(len(self) + 1, np.int64)
-        np.cumsum(lengths, out=at[1:])
-        within = np.arange(at[-1]) - np.repeat(at[:-1], lengths)
-        values = letters[self.data[self.inside]] * powers[within & (_POWERS - 1)]
-        return mix(np.add.reduceat(values, at[:-1]) + lengths.astype(np.uint64))
+        return hash_ranges(self.data, self.start, self.end, which)
 
     def text(self, k: int) -> bytes:
         return self.data[self.start[k] : self.end[k]].tobytes()
