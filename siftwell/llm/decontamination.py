@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftwell.llm.words import Words, hash_ranges, mix, rolling, slices
+from siftwell.llm.words import Words, bodies, hash_ranges, mix, rolling, slices
 
 WINDOW, LITERALS, SHARE = 10, 5, 0.5
 #: Eight bytes each.
@@ -54,19 +54,10 @@ def _hash_words(words: list[str]) -> np.ndarray:
 
 
 _UNIT_HASHES, _NAME_HASHES = _hash_words(UNITS), _hash_words(NAMES)
-_DIGIT, _UPPER, _LETTER, _STOP, _MARK = (np.zeros(256, bool) for _ in range(5))
+_DIGIT, _UPPER, _LETTER, _STOP = (np.zeros(256, bool) for _ in range(4))
 _DIGIT[48:58] = _UPPER[65:91] = _LETTER[97:123] = True
 _LETTER[128:] = True
 _STOP[[ord(c) for c in ".!?:;"]] = True
-_MARK[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
-
-
-def _bodies(words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """Each word without the marks around it; one of marks alone starts where it would end, or later."""
-    body = np.flatnonzero(~_MARK[words.data])
-    if not len(body):
-        return words.end, words.end
-    return np.append(body, len(words.data))[np.searchsorted(body, words.start)], body[np.maximum(np.searchsorted(body, words.end) - 1, 0)] + 1
 
 
 class Template:
@@ -75,7 +66,7 @@ class Template:
     def __init__(self, column: pa.Array):
         words = Words(column)
         data = words.data
-        start, end = _bodies(words)
+        start, end = bodies(words)
         kept = start < words.end
         lower = Words(pc.utf8_lower(column))  # the same words
         opening = np.ones(len(words), bool)
@@ -85,7 +76,7 @@ class Template:
         opening[later] = _STOP[data[words.end[later - 1] - 1]] | (breaks[words.start[later]] > breaks[words.end[later - 1]])
         start, end, opening = start[kept], end[kept], opening[kept]
         self.lower = lower.data
-        self.lower_start, self.lower_end = (x[kept] for x in _bodies(lower))
+        self.lower_start, self.lower_end = (x[kept] for x in bodies(lower))
         total = np.concatenate([[0], np.cumsum(kept)])
         self.first = total[words.first]
         self.hashes = hash_ranges(self.lower, self.lower_start, self.lower_end)

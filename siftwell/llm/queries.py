@@ -8,13 +8,20 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftwell.llm import decontamination, fingerprints, jaccard, personal, pieces, quality, secrets, substrings, token_counts
+from siftwell.llm import decontamination, fingerprints, jaccard, licenses, personal, pieces, quality, secrets, substrings, token_counts
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(_documents(spark, sf_dir))
+    spans = F.transform("licences", lambda s: F.concat_ws(":", s["family"], s["start"].cast("string"), s["end"].cast("string")))
+    families = F.array_sort(F.array_distinct(F.transform("licences", lambda s: s["family"])))
+    return found.select("doc_id", F.size("licences").cast("bigint").alias("n_licences"), F.array_join(families, ",").alias("families"), F.array_join(spans, ",").alias("spans"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -167,6 +174,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": op3_quality,
     "op4_jaccard": op4_jaccard,
     "op5_sentencepiece": op5_sentencepiece,
+    "op6_licenses": op6_licenses,
     "op7_decontamination": op7_decontamination,
     "op8_fingerprints": op8_fingerprints,
     "op9_token_counts": op9_token_counts,

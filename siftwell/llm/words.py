@@ -18,6 +18,8 @@ _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+_MARK = np.zeros(256, bool)
+_MARK[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
 
 _POWERS = 4096
 
@@ -136,3 +138,11 @@ def whole_windows(first: np.ndarray, width: int, n: int) -> np.ndarray:
     for k in first[1:-1]:
         good[max(0, k - width + 1) : k] = False
     return good
+
+
+def bodies(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Each word without the marks around it; one of marks alone starts where it would end, or later."""
+    body = np.flatnonzero(~_MARK[words.data])
+    if not len(body):
+        return words.end, words.end
+    return np.append(body, len(words.data))[np.searchsorted(body, words.start)], body[np.maximum(np.searchsorted(body, words.end) - 1, 0)] + 1
