@@ -254,31 +254,32 @@ def _to_bytes(codes: np.ndarray, length: np.ndarray, byte_ids: np.ndarray) -> tu
 
 
 def encode(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", alpha: float = 1.0, seed: int = 0) -> DataFrame:
-    """(id, text, piece_ids): one sampled segmentation per row, seeded by the row's id and seed.
+    """df with a column piece_ids: one sampled segmentation per row, seeded by the row's id and seed.
 
-    Rows with equal ids and texts get equal pieces; a null id is a key like any other.
+    Rows with equal ids and texts get equal pieces; a null id is a key like any other.  A column piece_ids of df is
+    replaced.
     """
+    rows = df.drop("piece_ids").withColumn("piece_ids", F.xxhash64(df[id_col]))  # the key, until the pieces are there
+    names = rows.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = PieceModel(model_path, alpha)
         lattices = Lattices(model)
-        for part in slices(batches, "text", 4 << 20):
-            data, start, first = _pretokens(part.column("text"), model.alone)
+        for part in slices(batches, text_col, 4 << 20):
+            data, start, first = _pretokens(part.column(text_col), model.alone)
             keys, seen_at, which = np.unique(_hashes(data, start), return_index=True, return_inverse=True)
             ends = np.append(start[1:], len(data))
             final = lattices.find(keys, data, start[seen_at], ends[seen_at])
             counts = np.diff(first)
-            row_key = np.repeat(part.column("key").to_numpy(zero_copy_only=False).view(np.uint64), counts)
+            row_key = np.repeat(part.column("piece_ids").to_numpy(zero_copy_only=False).view(np.uint64), counts)
             place = np.arange(len(start)) - np.repeat(first[:-1], counts)
             codes, length = _sample(final[which], mix(row_key ^ mix(place.astype(np.uint64) + np.uint64(seed + 1))), lattices.arrays)
             ids, length = _to_bytes(codes, length, model.byte_ids)
             total = np.concatenate([[0], np.cumsum(length)])
             lists = pa.ListArray.from_arrays(pa.array(total[first].astype(np.int32)), pa.array(ids))
-            yield pa.RecordBatch.from_arrays([part.column("id"), part.column("text"), lists], names=[id_col, "text", "piece_ids"])
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], lists], names=names)
 
-    kind = df.schema[id_col].dataType.simpleString()
-    rows = df.select(df[id_col].alias("id"), df[text_col].alias("text"), F.xxhash64(df[id_col]).alias("key"))
-    return rows.mapInArrow(run, f"{id_col} {kind}, text string, piece_ids array<int>")
+    return rows.mapInArrow(run, df.drop("piece_ids").withColumn("piece_ids", F.array(F.lit(0))).schema)
 
 
 def decode(df: DataFrame, model_path: str, pieces_col: str = "piece_ids") -> DataFrame:
