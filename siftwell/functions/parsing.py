@@ -22,7 +22,7 @@ def cell_float(value: Column, default: float | None = None) -> Column:
 
 
 def _parts(value: Column, sep: str) -> Column:
-    return F.filter(F.transform(F.split(F.coalesce(value, F.lit("")), sep), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(F.coalesce(value, F.lit("")), sep), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def _listed(value: Column, fallback: Column) -> Column:

@@ -16,20 +16,22 @@ def assign_clusters(items: DataFrame, tolerance: int) -> DataFrame:
 
     Within a file, lines that begin at most tolerance after the largest end so far join the cluster; missing or
     non-positive lines make up the cluster file:unknown.  The sweep runs over the distinct lines of a file, so a
-    file with very many findings makes no large window.
+    file with very many findings makes no large window; only findings that end more than tolerance before they
+    start stay apart there, as later ones of the same line may open another cluster.
     """
+    tolerance = max(0, tolerance)
     line = F.when(F.col("line_number") > 0, F.col("line_number"))
-    placed = items.withColumn("_line", line)
-    lines = placed.where("_line IS NOT NULL").groupBy(*FILE, "_line").agg(F.max(F.coalesce("end_line_number", "_line")).alias("_end"))
-    sweep = Window.partitionBy(*FILE).orderBy("_line")
+    end = F.coalesce("end_line_number", line)
+    placed = items.withColumns({"_line": line, "_apart": F.when(end < line - tolerance, F.col("item_seq")).otherwise(-1)})
+    lines = placed.where("_line IS NOT NULL").groupBy(*FILE, "_line", "_apart").agg(F.max(F.coalesce("end_line_number", "_line")).alias("_end"), F.min("item_seq").alias("_seq"))
+    sweep = Window.partitionBy(*FILE).orderBy("_line", "_seq", "_apart").rowsBetween(Window.unboundedPreceding, 0)
     reach = F.max("_end").over(sweep.rowsBetween(Window.unboundedPreceding, -1))
-    opens = F.when(reach.isNull() | (F.col("_line") > reach + max(0, tolerance)), 1).otherwise(0)
+    opens = F.when(reach.isNull() | (F.col("_line") > reach + tolerance), 1).otherwise(0)
     islands = lines.withColumn("_opens", opens).withColumn("_island", F.sum("_opens").over(sweep))
     whole = Window.partitionBy(*FILE, "_island")
-    # the end never falls behind the first line's own end, as the sweep starts with it
-    ranges = islands.select(*FILE, "_line", F.min("_line").over(whole).alias("start_line"), F.max("_end").over(whole).alias("end_line"))
+    ranges = islands.select(*FILE, "_line", "_apart", F.min("_line").over(whole).alias("start_line"), F.max("_end").over(whole).alias("end_line"))
     spot = F.concat(F.col("start_line").cast("string"), F.lit("-"), F.col("end_line").cast("string"))
-    return placed.join(ranges, [*FILE, "_line"], "left").withColumn("cluster_id", F.concat("file_path", F.lit(":"), F.coalesce(spot, F.lit("unknown")))).drop("_line")
+    return placed.join(ranges, [*FILE, "_line", "_apart"], "left").withColumn("cluster_id", F.concat("file_path", F.lit(":"), F.coalesce(spot, F.lit("unknown")))).drop("_line", "_apart")
 
 
 def first_filled(name: str, order: Column) -> Column:

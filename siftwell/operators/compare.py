@@ -20,9 +20,10 @@ def unpivoted(df: DataFrame, section: str, metrics: list[str], tool: str | None
 
 def compared(a: DataFrame, b: DataFrame) -> DataFrame:
     """Full outer join of two runs' long tables; the delta is b - a, null if either is missing."""
-    key = [a[c].eqNullSafe(b[c]) for c in KEYS]
-    both = a.join(b, reduce(lambda x, y: x & y, key), "full_outer")
-    return both.select(*[F.coalesce(a[c], b[c]).alias(c) for c in KEYS], a["value"].alias("a"), b["value"].alias("b"), (b["value"] - a["value"]).alias("delta"))
+    one, two = (df.select(*[F.col(c).alias(f"{c}_{x}") for c in KEYS], F.col("value").alias(x)) for x, df in (("a", a), ("b", b)))
+    key = [F.col(f"{c}_a").eqNullSafe(F.col(f"{c}_b")) for c in KEYS]
+    both = one.join(two, reduce(lambda x, y: x & y, key), "full_outer")
+    return both.select(*[F.coalesce(f"{c}_a", f"{c}_b").alias(c) for c in KEYS], "a", "b", (F.col("b") - F.col("a")).alias("delta"))
 
 
 def long_table(counts: DataFrame, macro: DataFrame, micro: DataFrame, weights: DataFrame, by_owasp: DataFrame, utility: DataFrame, marginal: DataFrame | None = None) -> DataFrame:

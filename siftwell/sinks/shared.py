@@ -4,17 +4,19 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@lru_cache(1)
+def _own_folder() -> str:
+    return "file://" + tempfile.mkdtemp(prefix="siftwell-")
+
+
 def folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; where it is unset, as in tests, a temporary folder that is then set."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="siftwell-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
+    """spark.checkpoint.dir; where it is unset, as in tests, a temporary folder of this process."""
+    return spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
 
 
 def stored(df: DataFrame) -> DataFrame:
