@@ -35,7 +35,7 @@ SPACE = "\u2581"
 #: Codes from here on are characters that fall back to bytes: their UTF-8 bytes, the first one lowest.
 _FALLBACK = 1 << 40
 #: Lattice slots that a task remembers between batches.
-LATTICE_SLOTS = 1 << 22
+LATTICE_SLOTS = 1 << 20
 _DRAW_BITS = 30
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -265,7 +265,7 @@ def encode(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = PieceModel(model_path, alpha)
         lattices = Lattices(model)
-        for part in slices(batches, text_col, 4 << 20):
+        for part in slices(batches, text_col):
             data, start, first = _pretokens(part.column(text_col), model.alone)
             keys, seen_at, which = np.unique(_hashes(data, start), return_index=True, return_inverse=True)
             ends = np.append(start[1:], len(data))
