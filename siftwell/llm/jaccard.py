@@ -2,20 +2,31 @@
 
 Sets are sorted arrays of 64-bit hashes of lower-cased 5-word shingles.
 
-1. Tiles.  Sets that link share one of the first n - ceil(t n) + 1 shingles in any
+1. Equal sets.  Rows are grouped by a 128-bit hash of their set; the smallest id
+   of each group stands for it from here on, so a group of k copies makes k - 1
+   links and no pairs.
+2. Tiles.  Sets that link share one of the first n - ceil(t n) + 1 shingles in any
    common order.  The order puts shingles of crowded hash bins last (counted over
    all documents in BINS bins), so a passage that many documents share is no key
    for them.  A tile is what shares a key; tiles of one document vanish.
-2. Pivots.  Every document of a tile is paired with the tile's smallest id, so a
-   group of k copies makes k - 1 pairs.  Equal sets link at once.  The others must
-   pass the size bound and the bitmap bound, and are then intersected exactly.
-3. Rest.  Tiles whose documents are not in one component yet are joined within
-   size bands (neighbouring powers of 1 / t), but only pairs of different
-   components come out; these pass the same bounds and the exact intersection.
-   No link between components is lost, and links within one change nothing.
-
-The bitmap of a set has a bit for the parity of each hash value modulo about half
-its size.  Bits that differ between two bitmaps count differences of the sets
+3. Pivots.  Each tile's smallest id is its pivot.  Every document is intersected
+   exactly with one pivot, the one of most of its tiles.  Where this leaves tiles
+   split, pivots are chosen anew: the document with the most of its shingles in
+   such tiles, as the middle of a group of near copies has.
+4. Rest.  Tiles whose documents are not in one component yet are joined within
+   size bands (neighbouring powers of 1 / t).  Only pairs of different components
+   come out that pass the size bound, the bound by the key's positions and the
+   bitmap bound; these are intersected exactly.
+5. Crowds.  A tile of more than CROWD documents would make too many pairs.  Its
+   documents are cut, by hash, into more parts than sets of a size band that link
+   can have different shingles: two that link then have one part wholly equal
+   (pigeonhole).  The parts' hashes are keys that little but near copies share;
+   they go through pivots and rest again, without a crowd's limit.
+
+No link between components is lost, and links within one change nothing.
+
+The bitmap of a set has a bit for the parity of each hash value modulo a power of
+two, at least half its size.  Bits that differ between two bitmaps count differences of the sets
 from below, hence bound their overlap from above.
 
 Documents without words have empty sets and no links; null ids are never linked.
@@ -31,12 +42,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftwell.llm.shared import Tables, components
+from siftwell.llm.shared import Tables, components, only
 from siftwell.llm.words import Words, mix, rolling, slices
 
-BIN_BITS, BIN_CHUNK = 20, 1 << 12
+BIN_BITS, BIN_CHUNK = 21, 1 << 12
 #: Shingles that are compared with one pivot in one group.
 GROUP_SHINGLES = 200_000
+#: Documents of a tile that are joined as they are.
+CROWD = 32
 
 
 def shingle_sets(words: Words, width: int) -> Iterator[np.ndarray]:
@@ -54,7 +67,7 @@ def shingle_sets(words: Words, width: int) -> Iterator[np.ndarray]:
 
 def bitmap(values: np.ndarray) -> np.ndarray:
     """Parities of the values modulo a power of two of 64-bit words, as many as the size asks for."""
-    bits = 64 << max(0, (len(values) // 128 - 1).bit_length() if len(values) >= 128 else 0)
+    bits = max(64, 1 << max(0, len(values)).bit_length() >> 1)
     counts = np.bincount((values & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
     return np.packbits(counts & 1 != 0, bitorder="little").view(np.int64)
 
@@ -81,14 +94,14 @@ def _crowding(rows: DataFrame, width: int) -> np.ndarray:
                 np.add.at(total, (values >> np.uint64(64 - BIN_BITS)).astype(np.int64), 1)
         for k in range(0, len(total), BIN_CHUNK):
             chunk = total[k : k + BIN_CHUNK]
-            yield pa.RecordBatch.from_arrays([pa.array([k // BIN_CHUNK], pa.int32()), pa.array([chunk.astype(np.int32 if chunk.max() < 2**31 else np.int64).tobytes()])], names=["chunk", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.array([k // BIN_CHUNK], pa.int32()), pa.array([chunk.astype(np.uint16 if chunk.max() < 2**16 else np.int64).tobytes()])], names=["chunk", "counts"])
 
     def add(table: pa.Table) -> pa.Table:
-        counts = [np.frombuffer(x, np.int32 if len(x) == 4 * BIN_CHUNK else np.int64).astype(np.int64) for x in table.column("counts").to_pylist()]
+        counts = [np.frombuffer(x, np.uint16 if len(x) == 2 * BIN_CHUNK else np.int64).astype(np.int64) for x in table.column("counts").to_pylist()]
         return pa.table([table.column("chunk").slice(0, 1), pa.array([np.sum(counts, axis=0).tobytes()])], names=["chunk", "counts"])
 
     schema = "chunk int, counts binary"
-    found = rows.select("text").mapInArrow(count, schema).groupBy("chunk").applyInArrow(add, schema).collect()  # 8 MB, whatever the input
+    found = rows.select("text").mapInArrow(count, schema).groupBy("chunk").applyInArrow(add, schema).collect()  # 16 MB, whatever the input
     total = np.zeros(1 << BIN_BITS, np.int64)
     for row in found:
         total[row["chunk"] * BIN_CHUNK : (row["chunk"] + 1) * BIN_CHUNK] = np.frombuffer(row["counts"], np.int64)
@@ -117,12 +130,14 @@ def _described(rows: DataFrame, width: int, percent: int, kind: str) -> DataFram
     return rows.mapInArrow(describe, f"id {kind}, n long, same binary, bitmap array<long>, keys array<long>")
 
 
-def _verified(rows: DataFrame, pairs: DataFrame, width: int, percent: int, kind: str) -> DataFrame:
+def _verified(tables: Tables, rows: DataFrame, pairs: DataFrame, width: int, percent: int, kind: str) -> DataFrame:
     """Those of the pairs (a, b, n), n the size of a, whose sets link.  b's set meets groups of a's of bounded size."""
+    pairs = tables.put(pairs)
     crowd = pairs.groupBy("b").agg((F.floor(F.sum("n") / GROUP_SHINGLES) + 1).cast("int").alias("parts"))
     members = pairs.join(crowd, "b").select(F.col("a").alias("id"), F.col("b").alias("pivot"), F.pmod(F.hash("a"), "parts").alias("part"), F.lit(False).alias("is_pivot"))
     pivots = crowd.select(F.col("b").alias("id"), F.col("b").alias("pivot"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(True).alias("is_pivot"))
-    tiles = rows.join(members.unionByName(pivots), "id")
+    texts = only(tables, rows, pairs.select(F.col("a").alias("id")).union(pairs.select("b")))
+    tiles = texts.join(members.unionByName(pivots), "id")
 
     def intersect(key: tuple, table: pa.Table) -> pa.Table:
         ids, pivot_row = table.column("id").to_pylist(), table.column("is_pivot").to_pylist()
@@ -145,44 +160,111 @@ def _verified(rows: DataFrame, pairs: DataFrame, width: int, percent: int, kind:
     return tiles.groupBy("pivot", "part").applyInArrow(intersect, f"a {kind}, b {kind}")
 
 
-def linked_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
+def _parts(rows: DataFrame, width: int, percent: int, kind: str) -> DataFrame:
+    """(id, key, place) of the hashed parts of each set, for both pairs of size bands that it belongs to; place is 0."""
+    ratio = 100.0 / percent
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text"):
+            keys = []
+            for values in shingle_sets(Words(part.column("text"), lower=True), width):
+                n = len(values)
+                band = int(np.floor(np.log(max(1, n)) / np.log(ratio) + 1e-9))
+                found = []
+                for low in (band - 1, band):
+                    # n <= m <= n / t and n < ratio ** (low + 1): sets that link differ in (n + m) (1 - t) / (1 + t) values at most
+                    smaller = ratio ** (low + 1)
+                    most = int(smaller * (1 + ratio) * (100 - percent) / (100 + percent) + 1e-6)
+                    count = most + most // 4 + 2
+                    where = (mix(values) % np.uint64(count)).astype(np.int64)
+                    sums = np.zeros(count, np.uint64)
+                    np.add.at(sums, where, mix(values ^ np.uint64(0x5851F42D4C957F2D)))
+                    named = mix(sums + mix(np.arange(count, dtype=np.uint64) + np.uint64((low + 1) << 32)))
+                    filled = np.bincount(where, minlength=count) > 0
+                    # with more filled parts than differences an equal one is filled; only sets with fewer need their empty parts
+                    found.append(named[filled] if filled.sum() > most else named)
+                keys.append(np.unique(np.concatenate(found)).view(np.int64))
+            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(keys, pa.list_(pa.int64()))], names=["id", "keys"])
+
+    return rows.mapInArrow(cut, f"id {kind}, keys array<long>").select("id", F.explode("keys").alias("key"), F.lit(0).alias("place"))
+
+
+def linked_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, crowd: int = CROWD) -> DataFrame:
     """(id, n_shingles, component_id) for each row of df: sets link from percent % of Jaccard similarity on."""
-    spark = df.sparkSession
     kind = df.schema[id_col].dataType.simpleString()
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    tables = Tables(spark)
+    tables = Tables(df.sparkSession)
     sets = tables.put(_described(rows, width, percent, kind))
     known = sets.where("id IS NOT NULL AND n > 0")
-    keys = known.select("id", F.explode("keys").alias("key"))
-    pivots = keys.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).where("pivot <> last").drop("last")
-    tiles = tables.put(keys.join(pivots, "key"))
-    about = known.select("id", "n", "same", "bitmap")
-
-    def survivors(pairs: DataFrame) -> DataFrame:
-        """Distinct pairs (a, b) that may link, with a mark on equal sets."""
-        a, b = (about.select(*[F.col(c).alias(f"{c}_{x}" if c != "id" else x) for c in about.columns]) for x in "ab")
-        both = pairs.join(a, "a").join(b, "b")
-        bound = _overlap_bound(F.col("n_a"), F.col("n_b"), F.col("bitmap_a"), F.col("bitmap_b"))
-        near = (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) & (100 * bound >= percent * (F.col("n_a") + F.col("n_b") - bound))
-        equal = F.col("same_a") == F.col("same_b")
-        return both.where(equal | near).select("a", "b", F.col("n_a").alias("n"), equal.alias("equal"))
-
-    def links(pairs: DataFrame) -> DataFrame:
-        left = tables.put(survivors(pairs))
-        exact = _verified(rows, left.where(~F.col("equal")).drop("equal"), width, percent, kind)
-        return tables.put(left.where("equal").select("a", "b").union(exact))
-
-    first = components(tables, links(tiles.where("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()))
-    placed = tiles.select("key", "id").join(first, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    split = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
+    equal = known.groupBy("n", "same").agg(F.min("id").alias("first"), F.max("id").alias("last"))
+    copies = tables.put(known.select("id", "n", "same").join(equal.where("first <> last"), ["n", "same"]).where("id <> first").select("id", F.col("first").alias("component")))
+    about = known.select("id", "n", "bitmap")
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9)
-    open_tiles = tables.put(placed.join(split, "key").join(known.select("id", "n"), "id").withColumn("band", band))
-    one = open_tiles.select("key", F.col("id").alias("a"), F.col("component").alias("c_a"), F.col("n").alias("size_a"), F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("band"), F.col("band").alias("own"))
-    two = open_tiles.select("key", F.col("id").alias("b"), F.col("component").alias("c_b"), F.col("n").alias("size_b"), "band")
-    across = one.join(two, ["key", "band"]).where("c_a <> c_b AND (own < band OR a < b)").where(100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b"))
-    rest = links(across.select("a", "b").distinct())
-    bridges = rest.join(first.select(F.col("id").alias("a"), F.col("component").alias("c_a")), "a", "left").join(first.select(F.col("id").alias("b"), F.col("component").alias("c_b")), "b", "left")
-    second = components(tables, bridges.select(F.coalesce("c_a", "a").alias("a"), F.coalesce("c_b", "b").alias("b")))
-    placed = sets.select("id", "n").join(first, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    final = placed.join(second.select(F.col("id").alias("component"), F.col("component").alias("lowest")), "component", "left")
-    return final.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("lowest", "component").alias("component_id"))
+
+    def tiled(keys: DataFrame) -> DataFrame:
+        """(key, id, place, pivot) of the tiles of two documents or more, without copies."""
+        pivots = keys.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).where("pivot <> last").drop("last")
+        return tables.put(keys.join(pivots, "key").join(copies, "id", "left_anti"))
+
+    def with_component(df: DataFrame, labels: DataFrame) -> DataFrame:
+        return df.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+
+    def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+        """labels (id, component) after links (a, b) between documents."""
+        ends = [labels.select(F.col("id").alias(x), F.col("component").alias(f"c_{x}")) for x in "ab"]
+        lifted = links.join(ends[0], "a", "left").join(ends[1], "b", "left").select(F.coalesce("c_a", "a").alias("a"), F.coalesce("c_b", "b").alias("b"))
+        found = components(tables, lifted)
+        old = labels.join(found.select(F.col("id").alias("component"), F.col("component").alias("lowest")), "component", "left").select("id", F.coalesce("lowest", "component").alias("component"))
+        return tables.put(old.unionByName(found.join(labels, "id", "left_anti")))
+
+    def by_pivot(tiles: DataFrame) -> DataFrame:
+        """Links of documents with the pivot of most of their tiles."""
+        counts = tiles.where("id <> pivot").groupBy("id", "pivot").agg(F.count("*").alias("shared"))
+        chosen = counts.groupBy("id").agg(F.max(F.struct("shared", -F.col("pivot"))).alias("best")).select(F.col("id").alias("a"), (-F.col("best").getField("col2")).cast(kind).alias("b"))
+        a, b = (about.select(*[F.col(c).alias(f"{c}_{x}") for c in about.columns]) for x in "ab")
+        both = chosen.join(a, chosen["a"] == a["id_a"]).join(b, chosen["b"] == b["id_b"])
+        n, m, bound = F.col("n_a"), F.col("n_b"), _overlap_bound(F.col("n_a"), F.col("n_b"), F.col("bitmap_a"), F.col("bitmap_b"))
+        near = both.where((100 * F.least(n, m) >= percent * F.greatest(n, m)) & (100 * bound >= percent * (n + m - bound)))
+        return tables.put(_verified(tables, rows, near.select("a", "b", n.alias("n")), width, percent, kind))
+
+    def split(tiles: DataFrame, labels: DataFrame) -> DataFrame:
+        """(key, id, place, component, crowded) of tiles with more than one component."""
+        placed = with_component(tiles.select("key", "id", "place"), labels)
+        mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")).where("low <> high")
+        return tables.put(placed.join(mixed.select("key", (F.col("size") > crowd).alias("crowded")), "key"))
+
+    def by_middle(mixed: DataFrame) -> DataFrame:
+        """by_pivot for split tiles with their best connected document as the pivot."""
+        middles = mixed.groupBy("id").agg(F.count("*").alias("tiles")).join(known.select("id", "n"), "id").select("id", F.round(F.col("tiles") * 1000 / F.col("n")).alias("weight"))
+        pivots = mixed.join(middles, "id").groupBy("key").agg((-F.max(F.struct("weight", -F.col("id"))).getField("col2")).cast(kind).alias("pivot"))
+        return by_pivot(mixed.join(pivots, "key"))
+
+    def across(mixed: DataFrame, by_place: bool) -> DataFrame:
+        """Links between different components of a tile, by all its pairs."""
+        described = mixed.select("key", "id", "place", "component").join(about, "id").withColumn("band", band)
+        one, two = (described.select(*[F.col(c).alias(f"{c}_{x}") for c in described.columns]) for x in "ab")
+        one = one.withColumn("band", F.explode(F.array(F.col("band_a"), F.col("band_a") + 1)))
+        n, m = F.col("n_a"), F.col("n_b")
+        fits = (F.col("component_a") != F.col("component_b")) & ((F.col("band_a") < F.col("band_b")) | (F.col("id_a") < F.col("id_b"))) & (100 * F.least(n, m) >= percent * F.greatest(n, m))
+        if by_place:  # true of the first key that a pair shares
+            after = 1 + F.least(n - 1 - F.col("place_a"), m - 1 - F.col("place_b"))
+            fits = fits & (100 * after >= percent * (n + m - after))
+        bound = _overlap_bound(n, m, F.col("bitmap_a"), F.col("bitmap_b"))
+        near = one.join(two, (F.col("key_a") == F.col("key_b")) & (F.col("band") == F.col("band_b")) & fits & (100 * bound >= percent * (n + m - bound)))
+        return tables.put(_verified(tables, rows, near.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"), F.col("n_a").alias("n")).distinct(), width, percent, kind))
+
+    tiles = tiled(known.select("id", F.posexplode("keys").alias("place", "key")))
+    labels = merged(copies, by_pivot(tiles))
+    mixed = split(tiles, labels)
+    labels = merged(labels, by_middle(mixed))
+    mixed = split(mixed, labels)  # links never split a tile anew
+    labels = merged(labels, across(mixed.where("NOT crowded"), True))
+    crowds = mixed.where("crowded").select("id").distinct()
+    if not crowds.isEmpty():
+        parts = tiled(_parts(only(tables, rows, crowds), width, percent, kind))
+        labels = merged(labels, by_pivot(parts))
+        mixed = split(parts, labels)
+        labels = merged(labels, by_middle(mixed))
+        labels = merged(labels, across(split(mixed, labels), False))
+    final = with_component(sets.select("id", "n"), labels)
+    return final.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))

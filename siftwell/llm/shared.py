@@ -4,18 +4,20 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+@lru_cache(1)
+def _own_folder() -> str:
+    return "file://" + tempfile.mkdtemp(prefix="siftwell-")
+
+
 def folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; where it is unset, as in tests, a temporary folder that is then set."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="siftwell-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
+    """spark.checkpoint.dir; where it is unset, as in tests, a temporary folder of this process."""
+    return spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
 
 
 class Tables:
@@ -37,6 +39,24 @@ class Tables:
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Ids that are sent to every task at most: 16 MB.
+MOST_SENT = 1 << 20
+
+
+def without(tables: Tables, df: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
+    """The rows of df whose id is not among ids (id).  Few ids, by their count, go to every task; else both sides are shuffled."""
+    found = tables.put(ids.select(F.col("id").alias(id_col)).distinct())
+    few = found.limit(MOST_SENT + 1).count() <= MOST_SENT
+    return df.join(F.broadcast(found) if few else found, id_col, "left_anti")
+
+
+def only(tables: Tables, df: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of df (id, ...) whose id is among ids (id); few ids go to every task, so that other rows aren't shuffled."""
+    found = tables.put(ids.distinct())
+    few = found.limit(MOST_SENT + 1).count() <= MOST_SENT
+    return df.join(F.broadcast(found) if few else found, "id", "left_semi")
+
+
 def components(tables: Tables, edges: DataFrame) -> DataFrame:
     """(id, component) for every id in edges (a, b): the smallest id that its edges lead to.
 
