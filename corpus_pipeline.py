@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftwell.llm import decontamination, jaccard, pieces, quality, secrets
-from siftwell.llm.shared import folder
+from siftwell.llm.shared import Tables, folder, without
 
 #: Documents with a lower quality score go.
 LEAST_QUALITY = 0.5
@@ -35,7 +35,7 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that leak no benchmark item."""
     found = decontamination.leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti")
+    return without(Tables(spark), docs, found.select(F.col("doc_id").alias("id")), "doc_id")
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
