@@ -16,7 +16,7 @@ CHECKED = ["normalize_paths", "filter_counts", "latest_run", "severity_maps", "c
 
 
 def _value(v):
-    if v is None or v != v or str(v) == "<NA>":
+    if v is None or str(v) in ("<NA>", "nan", "NaT"):
         return None
     if isinstance(v, float) or hasattr(v, "dtype") and v.dtype.kind == "f":
         return int(v) if math.isfinite(v) and float(v).is_integer() else float(v)
