@@ -2,14 +2,18 @@
 
 Texts become templates: numbers, names and units are replaced by placeholders of
 their type, other words are lower-cased and stripped of punctuation.  Windows of
-WINDOW template words are hashed and joined with those of the benchmark, so a
-question with other numbers or names still matches.  The replaced values are the
-slots of a window; within one occurrence of an item in a document every value of
-the item has to stand for one value of the document, and the other way round.
+SEED template words, of which at least LITERALS are literal, are hashed and joined
+with those of the benchmark, so a question with other numbers or names still
+matches.  Windows whose offsets (place in the document less place in the item)
+differ by at most DRIFT are one occurrence of the item, so inserted, deleted and
+changed words only cost the windows that hold them.
 
-A window counts if at least LITERALS of its words are literal.  An item with
-fewer words than WINDOW is one window.  A document leaks an item if consistent
-windows make up at least SHARE of the item's windows.
+The replaced values are the slots of a window; within one occurrence every value
+of the item has to stand for one value of the document, and the other way round.
+
+An item's word counts if it is in a consistent window.  A document leaks an item
+if SHARE of the item's words count, and at least LEAST_WORDS of them (all words of
+a shorter item).
 
 The benchmark's hashes are sent to all tasks only if there are at most
 MOST_HASHES of them; else the windows of all documents are shuffled.  Null and
@@ -28,7 +32,7 @@ from pyspark.sql import functions as F
 
 from siftwell.llm.words import Words, bodies, hash_ranges, mix, rolling, slices
 
-WINDOW, LITERALS, SHARE = 10, 5, 0.5
+SEED, LITERALS, DRIFT, SHARE, LEAST_WORDS = 5, 3, 10, 0.5, 8
 #: Eight bytes each.
 MOST_HASHES = 1 << 20
 _NUMBER, _UNIT, _NAME = 1, 2, 3
@@ -92,87 +96,116 @@ class Template:
         self.words = self.hashes.copy()
         self.words[slot] = _PLACEHOLDERS[self.kind[slot] - 1]
 
-    def windows(self, width: int) -> tuple[np.ndarray, np.ndarray]:
+    def windows(self) -> tuple[np.ndarray, np.ndarray]:
         """Hash and first word of each window within one row that has enough literal words."""
-        if len(self.words) < width:
+        if len(self.words) < SEED:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64)
         literal = np.concatenate([[0], np.cumsum(self.kind == 0)])
         rows = np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
-        at = np.flatnonzero((rows[width - 1 :] == rows[: len(rows) - width + 1]) & (literal[width:] - literal[:-width] >= LITERALS))
-        return rolling(self.words, width)[at] + np.uint64(width), at
-
-    def slots(self, at: int, width: int) -> list[str]:
-        """Type and lower-cased value of each placeholder of a window."""
-        return [f"{self.kind[k]}{self.lower[self.lower_start[k] : self.lower_end[k]].tobytes().decode('utf-8', 'replace')}" for k in range(at, at + width) if self.kind[k]]
+        at = np.flatnonzero((rows[SEED - 1 :] == rows[: len(rows) - SEED + 1]) & (literal[SEED:] - literal[:-SEED] >= LITERALS))
+        return rolling(self.words, SEED)[at], at
 
+    def slots(self, at: int) -> list[str]:
+        """Type, place in the window (a digit each) and lower-cased value of each placeholder of a window."""
+        return [f"{self.kind[k]}{k - at}{self.lower[self.lower_start[k] : self.lower_end[k]].tobytes().decode('utf-8', 'replace')}" for k in range(at, at + SEED) if self.kind[k]]
 
-_SCHEMA = "hash long, place long, slots array<string>"
 
+def _kept(hashes: np.ndarray, wanted: np.ndarray | None) -> np.ndarray:
+    """Which hashes are among the sorted ones of wanted; all if that is None."""
+    if wanted is None or not len(wanted):
+        return np.full(len(hashes), wanted is None)
+    return wanted[np.minimum(np.searchsorted(wanted, hashes), len(wanted) - 1)] == hashes
 
-def template_windows(df: DataFrame, widths: list[int] | None, wanted: np.ndarray | None = None) -> DataFrame:
-    """(id, hash, place, slots) of the windows of df's (id, text).
 
-    widths None: one window of each text with fewer than WINDOW words.  wanted: sorted hashes that are kept.
-    """
+def template_windows(df: DataFrame, wanted: np.ndarray | None = None) -> DataFrame:
+    """(id, n_words, hash, place, slots) of the windows of df's (id, text); n_words is the text's.  wanted: sorted hashes that are kept."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             template = Template(part.column("text"))
-            ids = part.column("id")
-            counts = np.diff(template.first)
-            for width in [WINDOW, *sorted({int(c) for c in counts if LITERALS <= c < WINDOW})] if widths is None else widths:
-                hashes, at = template.windows(width)
-                row = np.searchsorted(template.first, at, "right") - 1
-                good = np.ones(len(at), bool)
-                if widths is None and width < WINDOW:
-                    good = counts[row] == width
-                if wanted is not None:
-                    place = np.minimum(np.searchsorted(wanted, hashes), max(0, len(wanted) - 1))
-                    good &= wanted[place] == hashes if len(wanted) else False
-                hashes, at, row = hashes[good], at[good], row[good]
-                for a in range(0, len(at), 20_000):
-                    b = slice(a, a + 20_000)
-                    slots = pa.array([template.slots(k, width) for k in at[b].tolist()], pa.list_(pa.string()))
-                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(row[b])), pa.array(hashes[b].view(np.int64)), pa.array(at[b] - template.first[row[b]]), slots], names=["id", "hash", "place", "slots"])
-
-    return df.mapInArrow(run, f"id {df.schema['id'].dataType.simpleString()}, {_SCHEMA}")
+            ids, counts = part.column("id"), np.diff(template.first)
+            hashes, at = template.windows()
+            good = _kept(hashes, wanted)
+            hashes, at = hashes[good], at[good]
+            row = np.searchsorted(template.first, at, "right") - 1
+            for a in range(0, len(at), 20_000):
+                b = slice(a, a + 20_000)
+                slots = pa.array([template.slots(k) for k in at[b].tolist()], pa.list_(pa.string()))
+                columns = [ids.take(pa.array(row[b])), pa.array(counts[row[b]]), pa.array(hashes[b].view(np.int64)), pa.array(at[b] - template.first[row[b]]), slots]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "n_words", "hash", "place", "slots"])
+
+    return df.mapInArrow(run, f"id {df.schema['id'].dataType.simpleString()}, n_words long, hash long, place long, slots array<string>")
+
+
+def _least(n: int, share: float) -> float:
+    """The words of an item of n words that a leak has at least."""
+    return max(share * n, min(n, LEAST_WORDS))
+
+
+def _slots(place: np.ndarray, item_place: np.ndarray, pairs: list[tuple[list[str], list[str]]]) -> set[tuple[int, int, str, str, str]]:
+    """(word of the item, word of the document, type, value in the item, value in the document) of matched windows."""
+    return {(q + int(y[1]), p + int(y[1]), y[0], y[2:], x[2:]) for p, q, (xs, ys) in zip(place.tolist(), item_place.tolist(), pairs, strict=True) for x, y in zip(xs, ys, strict=True)}
+
+
+def _consistent(slots: set[tuple[int, int, str, str, str]]) -> bool:
+    values = {(y, x) for _, _, kind, y, x in ((q, p, k, k + y, k + x) for q, p, k, y, x in slots)}
+    return len({y for y, _ in values}) == len(values) == len({x for _, x in values})
+
+
+def _words(places: np.ndarray) -> np.ndarray:
+    return np.unique(places[:, None] + np.arange(SEED))
+
+
+def _best(n: int, seeds: list[dict], share: float) -> tuple[int, bool] | None:
+    """Matched words of the best occurrence among matched windows of an item of n words, and whether its slots' values changed."""
+    place, item_place = (np.array([s[c] for s in seeds]) for c in ("place", "item_place"))
+    order = np.argsort(place - item_place, kind="stable")
+    place, item_place = place[order], item_place[order]
+    pairs = [(seeds[k]["slots"], seeds[k]["item_slots"]) for k in order]
+    offset = place - item_place
+    best, past = None, 0
+    for a in np.flatnonzero(np.diff(offset, prepend=offset[0] - 1)).tolist():
+        b = int(np.searchsorted(offset, offset[a] + DRIFT, "right"))
+        if b == past:
+            continue  # within the occurrence before
+        past = b
+        matched = min(len(_words(item_place[a:b])), len(_words(place[a:b])))
+        if matched < _least(n, share) or (best and matched < best[0]):
+            continue
+        slots = _slots(place[a:b], item_place[a:b], pairs[a:b])
+        if not _consistent(slots):
+            continue
+        verbatim = {q for q, *_ in slots} == {q for q, _, _, y, x in slots if y == x}
+        best = max(best or (0, False), (matched, verbatim))
+        if best == (n, True):
+            break
+    return best and (best[0], not best[1])
 
 
 def leaks(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", share: float = SHARE, most_hashes: int = MOST_HASHES) -> DataFrame:
-    """(id, item, n_windows, n_matched, share, changed): items that documents leak.
+    """(id, item, n_words, n_matched, share, changed): items that documents leak.
 
     changed tells whether the best occurrence has other numbers, names or units than the item.
     """
-    items = template_windows(benchmark.select(F.col(item_col).alias("id"), F.col(item_text_col).alias("text")), None)
-    items = items.select(F.col("id").alias("item"), "hash", F.col("place").alias("item_place"), F.col("slots").alias("item_slots"))
+    items = template_windows(benchmark.select(F.col(item_col).alias("id"), F.col(item_text_col).alias("text")))
+    items = items.select(F.col("id").alias("item"), "n_words", "hash", F.col("place").alias("item_place"), F.col("slots").alias("item_slots"))
     found = items.select("hash").distinct().limit(most_hashes + 1).toPandas()["hash"].to_numpy()
     wanted = np.sort(found.view(np.uint64)) if len(found) <= most_hashes else None
-    short = benchmark.select(F.col(item_col).alias("id"), F.col(item_text_col).alias("text"))
-    widths = [WINDOW, *_short_widths(short)]
-    rows = template_windows(documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), widths, wanted).where("id IS NOT NULL")
-    pairs = rows.join(items, "hash").withColumn("offset", F.col("place") - F.col("item_place"))
-    occurrence = ["id", "item", "offset"]
-    matched = pairs.groupBy(*occurrence).agg(F.countDistinct("item_place").alias("n_matched"))
-    slots = pairs.where(F.size("slots") > 0).select(*occurrence, F.explode(F.arrays_zip("slots", "item_slots")).alias("slot")).select(*occurrence, "slot.slots", "slot.item_slots").distinct()
-    checked = slots.groupBy(*occurrence).agg(
-        ((F.countDistinct("item_slots") == F.count("*")) & (F.countDistinct("slots") == F.count("*"))).alias("consistent"),
-        F.max(F.col("slots") != F.col("item_slots")).alias("changed"),
-    )
-    sizes = items.groupBy("item").agg(F.count("*").alias("n_windows"))
-    judged = matched.join(checked, occurrence, "left").where(F.coalesce("consistent", F.lit(True))).join(sizes, "item")
-    best = judged.groupBy("id", "item").agg(F.max(F.struct("n_matched", (~F.coalesce("changed", F.lit(False))).alias("verbatim"))).alias("best"), F.max("n_windows").alias("n_windows"))
-    part = F.col("best.n_matched") / F.col("n_windows")
-    return best.where(part >= share).select(
-        F.col("id").alias(id_col), F.col("item").alias(item_col), "n_windows", F.col("best.n_matched").alias("n_matched"), part.alias("share"), (~F.col("best.verbatim")).alias("changed")
-    )
-
-
-def _short_widths(items: DataFrame) -> list[int]:
-    """The numbers of template words, under WINDOW, of the benchmark's short items."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
-            counts = np.diff(Template(part.column("text")).first)
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(counts[(counts >= LITERALS) & (counts < WINDOW)]).astype(np.int64))], names=["width"])
-
-    return sorted(r["width"] for r in items.mapInArrow(run, "width long").distinct().collect())
+    rows = template_windows(documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), wanted).where("id IS NOT NULL").drop("n_words")
+    pairs = rows.join(items.where("item IS NOT NULL"), "hash").groupBy("id", "item", "n_words").agg(F.collect_list(F.struct("place", "item_place", "slots", "item_slots")).alias("seeds"))
+    words = F.array_distinct(F.flatten(F.transform("seeds", lambda s: F.sequence(s["item_place"], s["item_place"] + (SEED - 1)))))
+    likely = pairs.where(F.size(words) >= F.greatest(F.col("n_words") * share, F.least(F.col("n_words"), F.lit(LEAST_WORDS))))
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, batch.num_rows, 100):
+                part = batch.slice(a, 100)
+                sizes = part.column("n_words").to_pylist()
+                got = [_best(n, seeds, share) for n, seeds in zip(sizes, part.column("seeds").to_pylist(), strict=True)]
+                hits = [k for k, g in enumerate(got) if g]
+                columns = [*(part.column(c).take(pa.array(hits, pa.int64())) for c in ("id", "item", "n_words")), pa.array([got[k][0] for k in hits], pa.int64()), pa.array([got[k][1] for k in hits], pa.bool_())]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "item", "n_words", "n_matched", "changed"])
+
+    kinds = {c: likely.schema[c].dataType.simpleString() for c in ("id", "item")}
+    judged = likely.mapInArrow(judge, f"id {kinds['id']}, item {kinds['item']}, n_words long, n_matched long, changed boolean")
+    return judged.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "n_words", "n_matched", (F.col("n_matched") / F.col("n_words")).alias("share"), "changed")

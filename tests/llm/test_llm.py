@@ -218,6 +218,18 @@ def test_decontamination(spark, odd, empty, texts):
     assert leaked <= {r["doc_id"] for r in queries.op7_decontamination(spark, SF).collect()}
 
 
+def test_decontamination_of_edited_copies(spark):
+    rows = [(r["item_id"], r["text"].split()) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    assert min(len(w) for _, w in rows) > 12
+    edits = {"insert": lambda w, k: [*w[:k], "surely", *w[k:]], "delete": lambda w, k: w[:k] + w[k + 1 :], "substitute": lambda w, k: [*w[:k], "surely", *w[k + 1 :]]}
+    docs = [(f"{name} {item}", "so it was. " + " ".join(edit(w, (item * 7 + len(w) // 2) % len(w))) + " and more") for item, w in rows for name, edit in edits.items()]
+    items = spark.createDataFrame([(item, " ".join(w)) for item, w in rows], "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontamination.leaks(spark.createDataFrame(docs, "doc_id string, text string"), items).collect()}
+    assert found >= {(f"{name} {item}", item) for item, _ in rows for name in edits}
+    halves = [(f"half {item}", " ".join(w[: len(w) // 3])) for item, w in rows]
+    assert decontamination.leaks(spark.createDataFrame(halves, "doc_id string, text string"), items).count() == 0
+
+
 def test_fingerprints(spark, odd, empty):
     same_as_sql(spark, "op8_fingerprints")
     fp = fingerprints.fingerprint
