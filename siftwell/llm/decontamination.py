@@ -9,11 +9,15 @@ differ by at most DRIFT are one occurrence of the item, so inserted, deleted and
 changed words only cost the windows that hold them.
 
 The replaced values are the slots of a window; within one occurrence every value
-of the item has to stand for one value of the document, and the other way round.
+of the item stands for the value of the document that it meets most often (if
+several do as often: for itself, or for none), and every name of the document for
+one name of the item in the same way; different numbers or units may become equal.
+Words agree if they are among WINDOW successive words of the item (or in a shorter
+item) whose matched slots all have these values.
 
-An item's word counts if it is in a consistent window.  A document leaks an item
-if SHARE of the item's words count, and at least LEAST_WORDS of them (all words of
-a shorter item).
+An item's word counts if it is in a matched window whose words agree.  A document
+leaks an item if SHARE of the item's words count, and at least LEAST_WORDS of them
+(all words of a shorter item).
 
 The benchmark's hashes are sent to all tasks only if there are at most
 MOST_HASHES of them; else the windows of all documents are shuffled.  Null and
@@ -22,6 +26,7 @@ empty texts have no windows; rows with equal ids are one document.
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +37,7 @@ from pyspark.sql import functions as F
 
 from siftwell.llm.words import Words, bodies, hash_ranges, mix, rolling, slices
 
-SEED, LITERALS, DRIFT, SHARE, LEAST_WORDS = 5, 3, 10, 0.5, 8
+SEED, LITERALS, WINDOW, DRIFT, SHARE, LEAST_WORDS = 5, 3, 10, 10, 0.5, 8
 #: Eight bytes each.
 MOST_HASHES = 1 << 20
 _NUMBER, _UNIT, _NAME = 1, 2, 3
@@ -147,9 +152,34 @@ def _slots(place: np.ndarray, item_place: np.ndarray, pairs: list[tuple[list[str
     return {(q + int(y[1]), p + int(y[1]), y[0], y[2:], x[2:]) for p, q, (xs, ys) in zip(place.tolist(), item_place.tolist(), pairs, strict=True) for x, y in zip(xs, ys, strict=True)}
 
 
-def _consistent(slots: set[tuple[int, int, str, str, str]]) -> bool:
-    values = {(y, x) for _, _, kind, y, x in ((q, p, k, k + y, k + x) for q, p, k, y, x in slots)}
-    return len({y for y, _ in values}) == len(values) == len({x for _, x in values})
+def _majority(votes: set[tuple[int, int, str, str]]) -> dict[str, str]:
+    """The second value that each first one meets most often in votes (places, first, second): itself among equals, or none."""
+    counts = defaultdict(Counter)
+    for *_, a, b in votes:
+        counts[a][b] += 1
+    chosen = {}
+    for a, found in counts.items():
+        top = [b for b, c in found.items() if c == max(found.values())]
+        if len(top) == 1 or a in top:
+            chosen[a] = a if a in top else top[0]
+    return chosen
+
+
+def _disagreeing(slots: set[tuple[int, int, str, str, str]]) -> set[int]:
+    """The item's words whose slots have no value of the majority."""
+    typed = {(q, p, kind + y, kind + x) for q, p, kind, y, x in slots}
+    there = _majority(typed)
+    names = _majority({(q, p, x, y) for q, p, y, x in typed if x[0] == str(_NAME)})
+    good = {q for q, _, y, x in typed if there.get(y) == x and (x[0] != str(_NAME) or names.get(x) == y)}
+    return {q for q, *_ in typed} - good
+
+
+def _agreeing(n: int, bad: set[int]) -> np.ndarray:
+    """Which of an item's n words are in WINDOW words (or the whole item) without any of bad."""
+    width = min(n, WINDOW)
+    before = np.concatenate([[0], np.cumsum(np.isin(np.arange(n), list(bad)))])
+    clear = np.flatnonzero(before[width:] == before[: n + 1 - width])
+    return np.isin(np.arange(n), (clear[:, None] + np.arange(width)).ravel())
 
 
 def _words(places: np.ndarray) -> np.ndarray:
@@ -173,7 +203,10 @@ def _best(n: int, seeds: list[dict], share: float) -> tuple[int, bool] | None:
         if matched < _least(n, share) or (best and matched < best[0]):
             continue
         slots = _slots(place[a:b], item_place[a:b], pairs[a:b])
-        if not _consistent(slots):
+        agrees = _agreeing(n, _disagreeing(slots))
+        kept = agrees[item_place[a:b, None] + np.arange(SEED)].all(axis=1)
+        matched = min(len(_words(item_place[a:b][kept])), len(_words(place[a:b][kept])))
+        if matched < _least(n, share):
             continue
         verbatim = {q for q, *_ in slots} == {q for q, _, _, y, x in slots if y == x}
         best = max(best or (0, False), (matched, verbatim))

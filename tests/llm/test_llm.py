@@ -230,6 +230,15 @@ def test_decontamination_of_edited_copies(spark):
     assert decontamination.leaks(spark.createDataFrame(halves, "doc_id string, text string"), items).count() == 0
 
 
+def test_decontamination_counts_windows_that_agree(spark):
+    rest = "and then all of them walked slowly along the old road towards the market where they met other people and talked about the weather until it was late"
+    apples = "How many apples are in the big basket if there are 3 apples from us and another 4 apples from them in it today"
+    items = spark.createDataFrame([(1, f"There were 12 boxes in the small house by the lake {rest} and of these 12 boxes none was open"), (2, apples)], "item_id long, text string")
+    docs = [(1, f"There were 12 boxes in the small house by the lake {rest} and of these 13 boxes none was open"), (2, apples.replace("3", "5").replace("4", "5")), (3, "How many apples are in it today")]
+    found = {(r["doc_id"], r["item_id"], r["changed"]) for r in decontamination.leaks(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()}
+    assert found == {(1, 1, True), (2, 2, True)}
+
+
 def test_fingerprints(spark, odd, empty):
     same_as_sql(spark, "op8_fingerprints")
     fp = fingerprints.fingerprint
