@@ -19,6 +19,12 @@ An item's word counts if it is in a matched window whose words agree.  A documen
 leaks an item if SHARE of the item's words count, and at least LEAST_WORDS of them
 (all words of a shorter item).
 
+Items that windows could miss even in a verbatim copy (with less than SEED words to
+spare, as few words are literal) are also found by all their words, lower-cased and
+without the marks around them; words of marks alone, such as +, are kept here.  This
+holds for items of a single word too.  Equal rows of the benchmark are one; different
+texts of one item are judged by themselves, and the best one stands for the item.
+
 The benchmark's hashes are sent to all tasks only if there are at most
 MOST_HASHES of them; else the windows of all documents are shuffled.  Null and
 empty texts have no windows; rows with equal ids are one document.
@@ -41,6 +47,8 @@ SEED, LITERALS, WINDOW, DRIFT, SHARE, LEAST_WORDS = 5, 3, 10, 10, 0.5, 8
 #: Eight bytes each.
 MOST_HASHES = 1 << 20
 _NUMBER, _UNIT, _NAME = 1, 2, 3
+_FACTOR = 0x9E3779B97F4A7C15
+_INVERSE = pow(_FACTOR, -1, 1 << 64)
 _PLACEHOLDERS = mix(np.arange(1, 4, dtype=np.uint64))
 
 # Words that count as units after a number, and as names at any place.
@@ -78,6 +86,10 @@ class Template:
         start, end = bodies(words)
         kept = start < words.end
         lower = Words(pc.utf8_lower(column))  # the same words
+        lower_start, lower_end = bodies(lower)
+        marks = lower_start >= lower.end
+        self.all_first = words.first
+        self.all_hashes = hash_ranges(lower.data, np.where(marks, lower.start, lower_start), np.where(marks, lower.end, lower_end))
         opening = np.ones(len(words), bool)
         same = np.diff(words.rows, prepend=-1) == 0
         later = np.flatnonzero(same)
@@ -85,7 +97,7 @@ class Template:
         opening[later] = _STOP[data[words.end[later - 1] - 1]] | (breaks[words.start[later]] > breaks[words.end[later - 1]])
         start, end, opening = start[kept], end[kept], opening[kept]
         self.lower = lower.data
-        self.lower_start, self.lower_end = (x[kept] for x in bodies(lower))
+        self.lower_start, self.lower_end = lower_start[kept], lower_end[kept]
         total = np.concatenate([[0], np.cumsum(kept)])
         self.first = total[words.first]
         self.hashes = hash_ranges(self.lower, self.lower_start, self.lower_end)
@@ -110,6 +122,16 @@ class Template:
         at = np.flatnonzero((rows[SEED - 1 :] == rows[: len(rows) - SEED + 1]) & (literal[SEED:] - literal[:-SEED] >= LITERALS))
         return rolling(self.words, SEED)[at], at
 
+    def runs(self, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hash and first word of each run of width words, marks included, within one row; any width takes the same time."""
+        n = len(self.all_hashes) - width + 1
+        if n <= 0:
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        powers, inverse = (np.multiply.accumulate(np.full(len(self.all_hashes), f, np.uint64)) for f in (_FACTOR, _INVERSE))
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.all_hashes * powers)])
+        at = np.flatnonzero(np.searchsorted(self.all_first, np.arange(n), "right") == np.searchsorted(self.all_first, np.arange(n) + width - 1, "right"))
+        return mix((total[at + width] - total[at]) * inverse[at] + np.uint64(width)), at
+
     def slots(self, at: int) -> list[str]:
         """Type, place in the window (a digit each) and lower-cased value of each placeholder of a window."""
         return [f"{self.kind[k]}{k - at}{self.lower[self.lower_start[k] : self.lower_end[k]].tobytes().decode('utf-8', 'replace')}" for k in range(at, at + SEED) if self.kind[k]]
@@ -122,29 +144,51 @@ def _kept(hashes: np.ndarray, wanted: np.ndarray | None) -> np.ndarray:
     return wanted[np.minimum(np.searchsorted(wanted, hashes), len(wanted) - 1)] == hashes
 
 
-def template_windows(df: DataFrame, wanted: np.ndarray | None = None) -> DataFrame:
-    """(id, n_words, hash, place, slots) of the windows of df's (id, text); n_words is the text's.  wanted: sorted hashes that are kept."""
+def _least(n: int, share: float) -> float:
+    """The words of an item of n words that a leak has at least."""
+    return max(share * n, min(n, LEAST_WORDS))
+
+
+def _short(template: Template, share: float) -> np.ndarray:
+    """The rows, of one word at least, that windows could miss in a verbatim copy."""
+    counts = np.diff(template.first)
+    covered = np.zeros(len(template.words), bool)
+    covered[(template.windows()[1][:, None] + np.arange(SEED)).ravel()] = True
+    sums = np.diff(np.concatenate([[0], np.cumsum(covered)])[template.first])
+    return np.array([k for k, (n, c) in enumerate(zip(counts.tolist(), sums.tolist(), strict=True)) if n and c - SEED < _least(n, share)], np.int64)
+
+
+def template_windows(df: DataFrame, share: float, widths: list[int] | None, wanted: np.ndarray | None = None) -> DataFrame:
+    """(id, n_words, hash, place, slots) of the windows of df's (id, text); n_words is the text's.
+
+    Runs of all words have slots null: those of widths or, if that is None, one for each item that windows could
+    miss.  wanted: sorted hashes that are kept.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             template = Template(part.column("text"))
             ids, counts = part.column("id"), np.diff(template.first)
-            hashes, at = template.windows()
-            good = _kept(hashes, wanted)
-            hashes, at = hashes[good], at[good]
-            row = np.searchsorted(template.first, at, "right") - 1
-            for a in range(0, len(at), 20_000):
-                b = slice(a, a + 20_000)
-                slots = pa.array([template.slots(k) for k in at[b].tolist()], pa.list_(pa.string()))
-                columns = [ids.take(pa.array(row[b])), pa.array(counts[row[b]]), pa.array(hashes[b].view(np.int64)), pa.array(at[b] - template.first[row[b]]), slots]
-                yield pa.RecordBatch.from_arrays(columns, names=["id", "n_words", "hash", "place", "slots"])
 
-    return df.mapInArrow(run, f"id {df.schema['id'].dataType.simpleString()}, n_words long, hash long, place long, slots array<string>")
+            def found(hashes: np.ndarray, at: np.ndarray, first: np.ndarray, whole: bool, only: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+                good = _kept(hashes, wanted)
+                hashes, at = hashes[good], at[good]
+                row = np.searchsorted(first, at, "right") - 1
+                if only is not None:
+                    hashes, at, row = (x[np.isin(row, only)] for x in (hashes, at, row))
+                for a in range(0, len(at), 20_000):
+                    b = slice(a, a + 20_000)
+                    slots = pa.array([None if whole else template.slots(k) for k in at[b].tolist()], pa.list_(pa.string()))
+                    columns = [ids.take(pa.array(row[b])), pa.array(counts[row[b]]), pa.array(hashes[b].view(np.int64)), pa.array(at[b] - first[row[b]]), slots]
+                    yield pa.RecordBatch.from_arrays(columns, names=["id", "n_words", "hash", "place", "slots"])
+
+            yield from found(*template.windows(), template.first, False)
+            sizes = np.diff(template.all_first)
+            short = _short(template, share) if widths is None else None
+            for width in np.unique(sizes[short]).tolist() if widths is None else widths:
+                yield from found(*template.runs(width), template.all_first, True, None if short is None else short[sizes[short] == width])
 
-
-def _least(n: int, share: float) -> float:
-    """The words of an item of n words that a leak has at least."""
-    return max(share * n, min(n, LEAST_WORDS))
+    return df.mapInArrow(run, f"id {df.schema['id'].dataType.simpleString()}, n_words long, hash long, place long, slots array<string>")
 
 
 def _slots(place: np.ndarray, item_place: np.ndarray, pairs: list[tuple[list[str], list[str]]]) -> set[tuple[int, int, str, str, str]]:
@@ -220,25 +264,43 @@ def leaks(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
     changed tells whether the best occurrence has other numbers, names or units than the item.
     """
-    items = template_windows(benchmark.select(F.col(item_col).alias("id"), F.col(item_text_col).alias("text")))
-    items = items.select(F.col("id").alias("item"), "n_words", "hash", F.col("place").alias("item_place"), F.col("slots").alias("item_slots"))
+    texts = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("text")).where("item IS NOT NULL AND text IS NOT NULL").distinct()
+    texts = texts.select(F.struct("item", F.xxhash64("text").alias("version")).alias("id"), "text")
+    items = template_windows(texts, share, None)
+    items = items.select("id.item", "id.version", "n_words", "hash", F.col("place").alias("item_place"), F.col("slots").alias("item_slots"))
     found = items.select("hash").distinct().limit(most_hashes + 1).toPandas()["hash"].to_numpy()
     wanted = np.sort(found.view(np.uint64)) if len(found) <= most_hashes else None
-    rows = template_windows(documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), wanted).where("id IS NOT NULL").drop("n_words")
-    pairs = rows.join(items.where("item IS NOT NULL"), "hash").groupBy("id", "item", "n_words").agg(F.collect_list(F.struct("place", "item_place", "slots", "item_slots")).alias("seeds"))
+    rows = template_windows(documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), share, _short_widths(texts, share), wanted).where("id IS NOT NULL").drop("n_words")
+    both = rows.join(items, "hash").where(F.col("slots").isNull() == F.col("item_slots").isNull())
+    seed = F.when(F.col("slots").isNotNull(), F.struct("place", "item_place", "slots", "item_slots"))
+    pairs = both.groupBy("id", "item", "version", "n_words").agg(F.collect_list(seed).alias("seeds"), F.max(F.col("slots").isNull()).alias("whole"))
     words = F.array_distinct(F.flatten(F.transform("seeds", lambda s: F.sequence(s["item_place"], s["item_place"] + (SEED - 1)))))
-    likely = pairs.where(F.size(words) >= F.greatest(F.col("n_words") * share, F.least(F.col("n_words"), F.lit(LEAST_WORDS))))
+    likely = pairs.where(F.col("whole") | (F.size(words) >= F.greatest(F.col("n_words") * share, F.least(F.col("n_words"), F.lit(LEAST_WORDS)))))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a in range(0, batch.num_rows, 100):
                 part = batch.slice(a, 100)
                 sizes = part.column("n_words").to_pylist()
-                got = [_best(n, seeds, share) for n, seeds in zip(sizes, part.column("seeds").to_pylist(), strict=True)]
+                found = zip(sizes, part.column("seeds").to_pylist(), part.column("whole").to_pylist(), strict=True)
+                got = [(n, False) if whole else _best(n, seeds, share) for n, seeds, whole in found]
                 hits = [k for k, g in enumerate(got) if g]
                 columns = [*(part.column(c).take(pa.array(hits, pa.int64())) for c in ("id", "item", "n_words")), pa.array([got[k][0] for k in hits], pa.int64()), pa.array([got[k][1] for k in hits], pa.bool_())]
                 yield pa.RecordBatch.from_arrays(columns, names=["id", "item", "n_words", "n_matched", "changed"])
 
     kinds = {c: likely.schema[c].dataType.simpleString() for c in ("id", "item")}
     judged = likely.mapInArrow(judge, f"id {kinds['id']}, item {kinds['item']}, n_words long, n_matched long, changed boolean")
-    return judged.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "n_words", "n_matched", (F.col("n_matched") / F.col("n_words")).alias("share"), "changed")
+    part = F.col("n_matched") / F.col("n_words")
+    best = judged.groupBy("id", "item").agg(F.max(F.struct(part.alias("share"), (~F.col("changed")).alias("verbatim"), "n_matched", "n_words")).alias("best"))
+    return best.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "best.n_words", "best.n_matched", "best.share", (~F.col("best.verbatim")).alias("changed"))
+
+
+def _short_widths(items: DataFrame, share: float) -> list[int]:
+    """The numbers of words, marks included, of the items that windows could miss."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text"):
+            template = Template(part.column("text"))
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.diff(template.all_first)[_short(template, share)]).astype(np.int64))], names=["width"])
+
+    return sorted(r["width"] for r in items.mapInArrow(run, "width long").distinct().collect())

@@ -239,6 +239,17 @@ def test_decontamination_counts_windows_that_agree(spark):
     assert found == {(1, 1, True), (2, 2, True)}
 
 
+def test_decontamination_of_repeated_and_dense_items(spark):
+    long = "There were many boxes in the small house by the lake and then all of them walked slowly along the old road towards the market"
+    rows = [(1, long)] * 3 + [(2, "What is 12 + 7?"), (3, "3 4 5 6 7 8 9 10 11 12 13"), (4, "Alice, Bob: 3 kg; Carol 5 kg, Eve 7 kg, what now?"), (5, "Paris?"), (6, long.upper()), (6, "Some other text")]
+    items = spark.createDataFrame(rows, "item_id long, text string")
+    docs = [(1, " ".join(long.split()[:18])), (2, "He asked: what is 12 + 7? Nobody knew."), (3, "So 3 4 5 6 7 8 9 10 11 12 13 it is"), (4, "Yes. Alice, Bob: 3 kg; Carol 5 kg, Eve 7 kg, what now? No"), (5, "Go to Paris"), (6, "He asked: what is 12 - 7? 3 4 5 6 7 8 9 10 11 12 14"), (6, "Alice, Bob: 4 kg"), (7, "xx")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(1)
+    for most in (0, decontamination.MOST_HASHES):
+        found = {(r["doc_id"], r["item_id"]) for r in decontamination.leaks(frame, items, most_hashes=most).collect()}
+        assert found - {(1, 6)} == {(k, k) for k in range(1, 6)}
+
+
 def test_fingerprints(spark, odd, empty):
     same_as_sql(spark, "op8_fingerprints")
     fp = fingerprints.fingerprint
