@@ -2,18 +2,22 @@
 
 Every paragraph (line) hashes to a wide vector: six lanes modulo 2**40 from two
 MD5 digests of the paragraph, the number of its sentences modulo 2**32, and 60
-lanes modulo 2**16 that count the hash bits of its sentences.  A fingerprint is
+lanes modulo 2**31 that count the hash bits of its sentences (as_text gives them
+modulo 2**16).  A fingerprint is
 the sum of its paragraphs' vectors, each lane modulo its power of two.  So it
 does not depend on the order of paragraphs, equal multisets of paragraphs have
 equal fingerprints, and insertion or deletion of paragraphs is one addition or
 subtraction (add, subtract) without the rest of the document.
 
-The last 60 lanes are a linear sketch: with s = 2 * lane - sentences, the mean
-product of s and t over the lanes estimates the inner product of two texts'
+The last 60 lanes are a linear sketch: with s = 2 * lane - sentences, read between
+-2**31 and 2**31 as both are known modulo 2**32, the mean product of s and t over the lanes estimates the inner product of two texts'
 sentence frequencies (the tug-of-war estimate).  likeness is 2 s.t / (s.s + t.t):
 1 for equal multisets, about 0 for texts without a common sentence.  Sentences
 are cut at . ! ? , ; | and the line's end.
 
+OP8_SQL reads the lanes modulo 2**16, so its likeness holds only for texts of fewer
+than 65,536 sentences.
+
 Null texts count as empty.  Two texts without any sentence have likeness 1.
 """
 
@@ -25,7 +29,7 @@ from pyspark.sql import functions as F
 from siftwell.llm.ranges import borders, range_of
 
 PARAGRAPH_LANES, PARAGRAPH_BITS = 6, 40
-SKETCH_LANES, SKETCH_BITS = 60, 16
+SKETCH_LANES, SKETCH_BITS, SKETCH_TEXT_BITS = 60, 31, 16
 COUNT_BITS = 32
 _SENTENCE_END = "[.!?,;|\n]+"
 #: Rows of a range of ids that are sorted together to find each row's successor.
@@ -68,7 +72,7 @@ def _combined(a: Column, b: Column, sign: int) -> Column:
         F.zip_with(a["paragraphs"], b["paragraphs"], lane(PARAGRAPH_BITS)).alias("paragraphs"),
         F.struct(
             lane(COUNT_BITS)(a["counts"]["sentences"], b["counts"]["sentences"]).alias("sentences"),
-            F.zip_with(a["counts"]["sketch"], b["counts"]["sketch"], lane(SKETCH_BITS)).alias("sketch"),
+            F.zip_with(a["counts"]["sketch"], b["counts"]["sketch"], lambda x, y: lane(SKETCH_BITS)(x.cast("bigint"), y).cast("int")).alias("sketch"),
         ).alias("counts"),
     )
 
@@ -92,7 +96,7 @@ def as_text(fp: Column) -> Column:
     return F.concat(
         F.array_join(F.transform(fp["paragraphs"], lambda x: digits(x, PARAGRAPH_BITS)), ""),
         digits(fp["counts"]["sentences"], COUNT_BITS),
-        F.array_join(F.transform(fp["counts"]["sketch"], lambda x: digits(x, SKETCH_BITS)), ""),
+        F.array_join(F.transform(fp["counts"]["sketch"], lambda x: digits(_mask(x, SKETCH_TEXT_BITS), SKETCH_TEXT_BITS)), ""),
     )
 
 
@@ -101,13 +105,14 @@ def likeness(a: Column, b: Column) -> Column:
     n, m = a["counts"]["sentences"], b["counts"]["sentences"]
 
     def signed(fp: Column) -> Column:
-        return F.transform(fp["counts"]["sketch"], lambda x: x.cast("bigint") * 2 - fp["counts"]["sentences"])
+        half = 1 << SKETCH_BITS
+        return F.transform(fp["counts"]["sketch"], lambda x: (F.pmod(x.cast("bigint") * 2 - fp["counts"]["sentences"] + half, F.lit(2 * half)) - half).cast("double"))
 
     def product(x: Column, y: Column) -> Column:
-        return F.aggregate(F.zip_with(x, y, lambda u, v: u * v), F.lit(0).cast("bigint"), lambda acc, d: acc + d)
+        return F.aggregate(F.zip_with(x, y, lambda u, v: u * v), F.lit(0.0), lambda acc, d: acc + d)
 
     squares = product(signed(a), signed(a)) + product(signed(b), signed(b))
-    share = (product(signed(a), signed(b)) * 2).cast("double") / squares.cast("double")
+    share = product(signed(a), signed(b)) * 2 / squares
     return F.when(n + m == 0, F.lit(1.0)).when(squares == 0, F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), share))
 
 

@@ -262,6 +262,19 @@ def test_fingerprints(spark, odd, empty):
     assert fingerprints.edited_pairs(odd).count() == len(ODD) and fingerprints.edited_pairs(empty).count() == 0
 
 
+def test_likeness_of_very_long_texts(spark):
+    """Fingerprints are doubled until they stand for 2 ** 18 sentences and more, so the test needs no such text."""
+    fp, add = fingerprints.fingerprint, fingerprints.add
+    texts = [(" ".join(f"a{k}." for k in range(64)), " ".join(f"b{k}." for k in range(64)))]
+    both = spark.createDataFrame(texts, "a string, b string").select(fp(F.col("a")).alias("a"), fp(F.col("b")).alias("b"))
+    both = spark.createDataFrame(both.collect(), both.schema)
+    few = both.select(fingerprints.likeness(F.col("a"), F.col("b")).alias("l")).first()["l"]
+    for _ in range(12):
+        both = spark.createDataFrame(both.select(add(F.col("a"), F.col("a")).alias("a"), add(F.col("b"), F.col("b")).alias("b")).collect(), both.schema)
+    row = both.select(fingerprints.likeness(F.col("a"), F.col("b")).alias("other"), fingerprints.likeness(F.col("a"), F.col("a")).alias("same"), F.col("a.counts.sentences").alias("n")).first()
+    assert row["n"] == 64 << 12 and row["same"] == 1.0 and abs(row["other"] - few) < 1e-9 and few < 0.6
+
+
 def test_token_counts(spark, odd, empty, texts):
     from tokenizers import Tokenizer
 
