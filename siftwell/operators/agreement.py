@@ -105,10 +105,19 @@ def unique_files(kept: DataFrame) -> DataFrame:
 
 
 def classified(findings: DataFrame, cwe_owasp: DataFrame) -> DataFrame:
-    """findings with cwe (normalised) and codes: the 2021 codes of its CWE, else those its rule and title name."""
-    named = findings.withColumn("cwe", normalize_cwe(F.col("cwe_id"))).join(F.broadcast(cwe_owasp.withColumnRenamed("cwe_id", "cwe")), "cwe", "left")
-    vendor = codes_from_tags(F.array_compact(F.array("rule_id", "title")), 2021)
-    return named.withColumn("codes", F.when(F.coalesce(F.size("owasp_2021"), F.lit(0)) > 0, F.array_distinct("owasp_2021")).otherwise(vendor)).drop("owasp_2021")
+    """findings with cwe (its first one, normalised) and codes: the 2021 codes of all its CWEs, else those its vendor's tags, rule and title name.
+
+    cwe_ids and owasp_tags are lists that findings may lack.
+    """
+    none = F.array().cast("array<string>")
+    cwe_ids, tags = (F.coalesce(c, none) if c in findings.columns else none for c in ("cwe_ids", "owasp_tags"))
+    cwes = F.array_distinct(F.array_compact(F.transform(F.concat(F.array("cwe_id"), cwe_ids), normalize_cwe)))
+    codes = cwe_owasp.where("cwe_id IS NOT NULL AND owasp_2021 IS NOT NULL").groupBy("cwe_id").agg(F.flatten(F.collect_list("owasp_2021")).alias("codes"))
+    known = codes.agg(F.map_from_entries(F.collect_list(F.struct("cwe_id", "codes"))).alias("_known"))  # one row, of the size of the CWE catalogue
+    named = findings.withColumn("_cwes", cwes).crossJoin(F.broadcast(known))
+    canonical = F.array_distinct(F.flatten(F.transform("_cwes", lambda c: F.coalesce(F.try_element_at(F.col("_known"), c), none))))
+    vendor = codes_from_tags(F.array_compact(F.concat(tags, F.array("rule_id", "title"))), 2021)
+    return named.withColumn("cwe", F.get("_cwes", F.lit(0))).withColumn("codes", F.when(F.size(canonical) > 0, canonical).otherwise(vendor)).drop("_cwes", "_known")
 
 
 def taxonomy(findings: DataFrame, cwe_owasp: DataFrame) -> DataFrame:

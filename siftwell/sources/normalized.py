@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,10 +11,11 @@ from siftwell.functions.paths import repo_relative
 from siftwell.functions.severity import generic_severity, sarif_severity, semgrep_severity, sonar_severity
 from siftwell.sources.layout import only_latest, path_columns
 
+BLOCKS = ("owasp_top_10_2021", "owasp_top_10_2021_vendor")
 FINDING = T.StructType([T.StructField(c, T.StringType()) for c in ("finding_id", "rule_id", "title", "severity", "file_path")] + [T.StructField(c, T.IntegerType()) for c in ("line_number", "end_line_number")]
-                       + [T.StructField(c, T.StringType()) for c in ("issue_type", "vuln_class", "cwe_id")] + [T.StructField("cwe_ids", T.ArrayType(T.StringType()))])
+                       + [T.StructField(c, T.StringType()) for c in ("issue_type", "vuln_class", "cwe_id")] + [T.StructField("cwe_ids", T.ArrayType(T.StringType()))] + [T.StructField(c, T.StructType([T.StructField("categories", T.ArrayType(T.StringType()))])) for c in BLOCKS])
 RUN = T.StructType([T.StructField("schema_version", T.StringType()), T.StructField("tool", T.StringType()), T.StructField("tool_version", T.StringType()), T.StructField("findings", T.ArrayType(FINDING))])
-COLUMNS = ["suite_id", "case_id", "tool", "run_id", "finding_id", "rule_id", "title", "severity", "issue_type", "file_path", "line_number", "end_line_number", "cwe_id", "item_seq"]
+COLUMNS = ["suite_id", "case_id", "tool", "run_id", "finding_id", "rule_id", "title", "severity", "issue_type", "file_path", "line_number", "end_line_number", "cwe_id", "cwe_ids", "owasp_tags", "item_seq"]
 
 
 def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -23,9 +24,15 @@ def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return rows.select("*", F.col("_metadata.file_path").alias("path")).withColumns(path_columns(F.col("path")))
 
 
+def _texts(*lists: Column) -> Column:
+    """The distinct texts of several lists, any of which may be null."""
+    return F.array_distinct(F.array_compact(F.concat(*[F.coalesce(x, F.array().cast("array<string>")) for x in lists])))
+
+
 def _finished(rows: DataFrame, tool: str | None = None) -> DataFrame:
     named = rows if tool is None else rows.withColumn("tool", F.lit(tool))
     filled = named.withColumns({c: F.lit(None).cast("string") for c in ("issue_type", "cwe_id") if c not in named.columns})
+    filled = filled.withColumns({c: F.lit(None).cast("array<string>") for c in ("cwe_ids", "owasp_tags") if c not in named.columns})
     return filled.withColumn("item_seq", F.col("pos").cast("bigint")).select(*COLUMNS)
 
 
@@ -33,7 +40,7 @@ def read_runs(spark: SparkSession, path: str, latest: bool = True) -> DataFrame:
     """Findings of normalised reports (.../cases/C/tool_runs/T/R/normalized.json), of each tool's latest run."""
     runs = _read(spark, path, RUN).withColumn("tool", F.coalesce("tool", F.regexp_extract("path", r"/tool_runs/([^/]+)/", 1)))
     rows = runs.select("suite_id", "case_id", "tool", "run_id", F.posexplode_outer("findings").alias("pos", "f")).select("suite_id", "case_id", "tool", "run_id", "pos", "f.*").where("pos IS NOT NULL")
-    found = _finished(rows)
+    found = _finished(rows.withColumn("owasp_tags", _texts(*[F.col(f"{c}.categories") for c in BLOCKS], F.array("vuln_class"))))
     return only_latest(found, ["suite_id", "case_id", "tool"]) if latest else found
 
 
@@ -50,6 +57,7 @@ def read_semgrep(spark: SparkSession, path: str, root: str = "") -> DataFrame:
         "suite_id", "case_id", "run_id", "pos", F.concat_ws(":", "r.check_id", "r.path", line.cast("string")).alias("finding_id"), F.col("r.check_id").alias("rule_id"), F.coalesce("r.extra.message", "r.check_id").alias("title"),
         semgrep_severity(F.col("r.extra.severity")).alias("severity"), F.upper("r.extra.metadata.category").alias("issue_type"), repo_relative(F.col("r.path"), root).alias("file_path"), line.alias("line_number"),
         F.coalesce("r.end.line", line).alias("end_line_number"), normalize_cwe(F.get("r.extra.metadata.cwe", F.lit(0))).alias("cwe_id"),
+        F.transform("r.extra.metadata.cwe", normalize_cwe).alias("cwe_ids"), F.col("r.extra.metadata.owasp").alias("owasp_tags"),
     ), "semgrep")
 
 
@@ -64,6 +72,7 @@ def read_sarif(spark: SparkSession, path: str, tool: str = "snyk") -> DataFrame:
         "suite_id", "case_id", "run_id", "pos", F.concat_ws(":", "r.ruleId", place["artifactLocation"]["uri"], start.cast("string")).alias("finding_id"), F.col("r.ruleId").alias("rule_id"),
         F.coalesce("rule.shortDescription.text", "rule.name", "r.message.text", "r.ruleId").alias("title"), sarif_severity(F.col("r.level")).alias("severity"), place["artifactLocation"]["uri"].alias("file_path"), start.alias("line_number"),
         F.coalesce(F.nullif(place["region"]["endLine"], F.lit(0)), start).alias("end_line_number"), normalize_cwe(F.get("rule.properties.cwe", F.lit(0))).alias("cwe_id"),
+        F.transform(_texts(F.col("rule.properties.cwe"), F.filter("rule.properties.tags", lambda t: F.lower(t).contains("cwe"))), normalize_cwe).alias("cwe_ids"), F.col("rule.properties.tags").alias("owasp_tags"),
     ), tool)
 
 

@@ -2,6 +2,7 @@
 
 import json
 
+from siftwell.operators import agreement
 from siftwell.sources import groundtruth, normalized
 
 
@@ -51,3 +52,21 @@ def test_markers(spark, tmp_path):
     assert got == {("g1", "src/a.py", 2, 2, "sast", "core"), ("blk", "src/a.py", 3, 5, None, None)}
     empty = groundtruth.read_markers(spark, str(tmp_path), token="other").limit(0)
     assert groundtruth.first_source([("yaml", empty), ("markers", groundtruth.read_markers(spark, str(tmp_path)))])[0] == "markers"
+
+
+def test_all_cwes_and_vendor_codes(spark, tmp_path):
+    def semgrep(rule, **metadata):
+        return {"check_id": rule, "path": "x.py", "start": {"line": 2}, "extra": {"message": "m", "severity": "ERROR", "metadata": metadata}}
+
+    put(tmp_path, "a/" + run("semgrep"), {"results": [semgrep("r1", cwe=["CWE-79: XSS", "CWE-22: Path"], owasp=["A09:2021 - Logging"]), semgrep("r2", cwe=["CWE-9999"], owasp=["A09:2021 - Logging", "A3:2017 - Data"])]})
+    rules = [{"id": "r", "properties": {"cwe": ["CWE-79", "CWE-22"]}}, {"id": "q", "properties": {"tags": ["security", "OWASP-A09"]}}, {"id": "p", "properties": {"tags": ["external/cwe/cwe-022"]}}]
+    put(tmp_path, "b/" + run("snyk"), {"runs": [{"tool": {"driver": {"rules": rules}}, "results": [{"ruleId": k} for k in "rqp"]}]})
+    put(tmp_path, "c/" + run("aikido", name="normalized.json"), {"tool": "aikido", "findings": [{"cwe_id": "CWE-79", "cwe_ids": ["79", "CWE-22"]}, {"owasp_top_10_2021_vendor": {"codes": ["A09"], "categories": ["A09:2021-Logging"]}}, {"cwe_ids": ["CWE-22"]}]})
+    known = spark.createDataFrame([("CWE-79", ["A03"]), ("CWE-22", ["A01"])], "cwe_id string, owasp_2021 array<string>")
+
+    def codes(df):
+        return [r["codes"] for r in agreement.classified(df, known).orderBy("item_seq").collect()]
+
+    assert codes(normalized.read_semgrep(spark, str(tmp_path / "a"))) == [["A03", "A01"], ["A09"]]
+    assert codes(normalized.read_sarif(spark, str(tmp_path / "b"))) == [["A03", "A01"], ["A09"], ["A01"]]
+    assert codes(normalized.read_runs(spark, str(tmp_path / "c"))) == [["A03", "A01"], ["A09"], ["A01"]]
