@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from functools import cached_property
+from dataclasses import replace
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from siftwell.config import AnalysisConfig
 from siftwell.operators import calibration, clustering, evaluation, filters, groundtruth, triage
@@ -119,3 +121,21 @@ class Suite:
     @cached_property
     def marginal(self) -> DataFrame:
         return evaluation.tool_marginal(self.rows, self.cases, self.utility, self.model, self.config)
+
+    @cached_property
+    def at_tolerances(self) -> list[Suite]:
+        """This suite at each candidate tolerance of the ground truth."""
+        return [Suite(self.findings, self.gt, replace(self.config, gt_tolerance=t)) for t in self.config.gt_tolerance_candidates]
+
+    def _by_tolerance(self, tables: list[DataFrame]) -> DataFrame:
+        return reduce(DataFrame.unionByName, [df.withColumn("gt_tolerance", F.lit(t)) for df, t in zip(tables, self.config.gt_tolerance_candidates, strict=True)])
+
+    @cached_property
+    def tolerance_tools(self) -> DataFrame:
+        """The weights of each tool at each candidate tolerance."""
+        return self._by_tolerance([s.weights for s in self.at_tolerances])
+
+    @cached_property
+    def tolerance_macro(self) -> DataFrame:
+        """Macro precision and coverage of each strategy and k at each candidate tolerance."""
+        return self._by_tolerance([s.macro for s in self.at_tolerances])

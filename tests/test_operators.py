@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from siftwell.config import AnalysisConfig, CalibrationParams
 from siftwell.functions import classification, parsing, paths, severity
 from siftwell.operators import agreement, calibration, clustering, compare, evaluation, filters, groundtruth, tolerance
+from siftwell.plans.suite import Suite
 from siftwell.sources import layout
 
 ITEM = "suite_id string, case_id string, tool string, finding_id string, rule_id string, title string, severity string, issue_type string, file_path string, line_number int, end_line_number int, item_seq long"
@@ -168,3 +169,13 @@ def test_compare_and_layout(spark):
     assert compare.alerts({"effective_gt_tolerance": 0}, {"effective_gt_tolerance": 3}) == ["GT tolerance changed: 0 -> 3"]
     runs = spark.createDataFrame([("c", "t", "2024010101"), ("c", "t", "2024010201"), ("c", "t", "tmp")], "case_id string, tool string, run_id string")
     assert [r["run_id"] for r in layout.latest_runs(runs, ["case_id", "tool"]).collect()] == ["2024010201"]
+
+
+def test_tool_and_macro_rows_of_each_tolerance(spark):
+    raw = spark.createDataFrame([("s", "c", "g1", "x", "5", "5", None), ("s", "c", "g2", "y", "1", "1", None)], "suite_id string, case_id string, id string, file string, line string, end string, track string")
+    found = items(spark, [("semgrep", "x", 6, 6, "LOW"), ("snyk", "y", 9, 9, "LOW")])
+    suite = Suite(found, groundtruth.normalize_items(raw), AnalysisConfig(gt_tolerance_candidates=(0, 1, 10), ks=(2,)))
+    tools = {(r["gt_tolerance"], r["tool"]): (r["tp"], r["fp"]) for r in suite.tolerance_tools.collect()}
+    assert tools == {(t, tool): ((1, 0) if t >= least else (0, 1)) for t in (0, 1, 10) for tool, least in (("semgrep", 1), ("snyk", 10))}
+    macro = {(r["gt_tolerance"], r["precision"], r["gt_coverage"]) for r in suite.tolerance_macro.collect()}
+    assert macro == {(0, 0.0, 0.0), (1, 0.5, 0.5), (10, 1.0, 1.0)}
