@@ -197,7 +197,7 @@ def linked_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = tables.put(_described(rows, width, percent, kind))
     known = sets.where("id IS NOT NULL AND n > 0")
     equal = known.groupBy("n", "same").agg(F.min("id").alias("first"), F.max("id").alias("last"))
-    copies = tables.put(known.select("id", "n", "same").join(equal.where("first <> last"), ["n", "same"]).where("id <> first").select("id", F.col("first").alias("component")))
+    copies = tables.put(known.select("id", "n", "same").join(equal.where("first <> last"), ["n", "same"]).where("id <> first").select("id", F.col("first").alias("component")).distinct())
     about = known.select("id", "n", "bitmap")
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9)
 

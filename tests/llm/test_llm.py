@@ -204,6 +204,12 @@ def test_licences(spark, odd, empty, texts):
     assert [x["family"] for x in licenses.classify(pa.array([odd_licence]), licenses.trained())[0]] in (["unknown"], [])
 
 
+def test_jaccard_of_repeated_rows_with_a_smaller_copy(spark):
+    rows = [(1, WORDS), (2, WORDS), (2, WORDS), (2, WORDS)]
+    got = sorted((r["doc_id"], r["component_id"]) for r in jaccard.linked_components(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == [(1, 1), (2, 1), (2, 1), (2, 1)]
+
+
 def test_decontamination(spark, odd, empty, texts):
     items = spark.createDataFrame([(1, "John has 12 apples and buys 7 more from Mary before he walks home to cook the dinner"), (2, ""), (3, None)], "item_id long, text string")
     rows = [(1, "x y z. John has 12 apples and buys 7 more from Mary before he walks home to cook the dinner. End"), (2, "Peter has 30 apples and buys 9 more from Anna before he walks home to cook the dinner"),
