@@ -9,19 +9,17 @@ Sets are sorted arrays of 64-bit hashes of lower-cased 5-word shingles.
    common order.  The order puts shingles of crowded hash bins last (counted over
    all documents in BINS bins), so a passage that many documents share is no key
    for them.  A tile is what shares a key; tiles of one document vanish.
-3. Pivots.  Each tile's smallest id is its pivot.  Every document is intersected
-   exactly with one pivot, the one of most of its tiles.  Where this leaves tiles
-   split, pivots are chosen anew: the document with the most of its shingles in
-   such tiles, as the middle of a group of near copies has.
-4. Rest.  Tiles whose documents are not in one component yet are joined within
-   size bands (neighbouring powers of 1 / t).  Only pairs of different components
-   come out that pass the size bound, the bound by the key's positions and the
-   bitmap bound; these are intersected exactly.
-5. Crowds.  A tile of more than CROWD documents would make too many pairs.  Its
-   documents are cut, by hash, into more parts than sets of a size band that link
-   can have different shingles: two that link then have one part wholly equal
-   (pigeonhole).  The parts' hashes are keys that little but near copies share;
-   they go through pivots and rest again, without a crowd's limit.
+3. Pivots.  Each tile's pivot is the document whose shingles are the most crowded,
+   as those of the middle of a group of near copies are.  Every document is
+   intersected exactly with one pivot, the one of most of its tiles.
+4. Crowds.  Documents of tiles of more than CROWD that are not in one component yet
+   are tiled anew, in the order of the exact numbers of these documents that hold a
+   shingle; shingles of one document alone come first and fill the places of keys,
+   so a document that differs too much has no key left.  Pivots are chosen again.
+5. Rest.  What is still in several components is joined within size bands, but only
+   documents outside a tile's largest component look for partners, and only in the
+   bands that the place of their key leaves possible.  The pairs that pass the
+   bound by both places and the bitmap bound are intersected exactly.
 
 No link between components is lost, and links within one change nothing.
 
@@ -29,27 +27,29 @@ The bitmap of a set has a bit for the parity of each hash value modulo a power o
 two, at least half its size.  Bits that differ between two bitmaps count differences of the sets
 from below, hence bound their overlap from above.
 
-Documents without words have empty sets and no links; null ids are never linked.
+Documents without words have empty sets and no links; null ids are never linked.  Ids
+may be of any type with an order; rows of one id are one document of all their links.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siftwell.llm.shared import Tables, components, only
+from siftwell.llm.shared import Tables, components, only, without
 from siftwell.llm.words import Words, mix, rolling, slices
 
 BIN_BITS, BIN_CHUNK = 21, 1 << 12
-#: Shingles that are compared with one pivot in one group.
-GROUP_SHINGLES = 200_000
-#: Documents of a tile that are joined as they are.
+#: Documents of a tile that are joined in the order of the bins.
 CROWD = 32
+#: Size bands within the ratio of two sizes that can link.
+BANDS = 4
 
 
 def shingle_sets(words: Words, width: int) -> Iterator[np.ndarray]:
@@ -109,84 +109,59 @@ def _crowding(rows: DataFrame, width: int) -> np.ndarray:
 
 
 def _described(rows: DataFrame, width: int, percent: int, kind: str) -> DataFrame:
-    """(id, n, same, bitmap, keys) of each row: set size, a hash of the set, its bitmap and its tile keys."""
+    """(id, n, same, bitmap, weight, keys) of each row: set size, a hash of the set, its bitmap, how crowded its shingles are, and its tile keys."""
     crowding = rows.sparkSession.sparkContext.broadcast(_crowding(rows, width))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         steps = crowding.value
         for part in slices(batches, "text"):
-            size, same, maps, keys = [], [], [], []
+            size, same, maps, weight, keys = [], [], [], [], []
             for values in shingle_sets(Words(part.column("text"), lower=True), width):
                 n = len(values)
                 size.append(n)
                 same.append(hashlib.blake2b(values.tobytes(), digest_size=16).digest())
                 maps.append(bitmap(values))
-                order = np.argsort(steps[(values >> np.uint64(64 - BIN_BITS)).astype(np.int64)], kind="stable")
+                step = steps[(values >> np.uint64(64 - BIN_BITS)).astype(np.int64)]
+                weight.append(float(step.mean()) if n else 0.0)
+                order = np.argsort(step, kind="stable")
                 keys.append(values[order[: n - -(-percent * n // 100) + 1 if n else 0]].view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [part.column("id"), pa.array(size, pa.int64()), pa.array(same, pa.binary()), *(pa.array(x, pa.list_(pa.int64())) for x in (maps, keys))], names=["id", "n", "same", "bitmap", "keys"]
+                [part.column("id"), pa.array(size, pa.int64()), pa.array(same, pa.binary()), pa.array(maps, pa.list_(pa.int64())), pa.array(weight, pa.float64()), pa.array(keys, pa.list_(pa.int64()))],
+                names=["id", "n", "same", "bitmap", "weight", "keys"],
             )
 
-    return rows.mapInArrow(describe, f"id {kind}, n long, same binary, bitmap array<long>, keys array<long>")
+    return rows.mapInArrow(describe, f"id {kind}, n long, same binary, bitmap array<long>, weight double, keys array<long>")
+
+
+def _sets(rows: DataFrame, width: int, kind: str) -> DataFrame:
+    """(id, values) of each row: its sorted set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text"):
+            values = [s.view(np.int64) for s in shingle_sets(Words(part.column("text"), lower=True), width)]
+            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(values, pa.list_(pa.int64()))], names=["id", "values"])
+
+    return rows.mapInArrow(run, f"id {kind}, values array<long>")
 
 
 def _verified(tables: Tables, rows: DataFrame, pairs: DataFrame, width: int, percent: int, kind: str) -> DataFrame:
-    """Those of the pairs (a, b, n), n the size of a, whose sets link.  b's set meets groups of a's of bounded size."""
+    """Those of the pairs (a, b) whose sets link, by intersection of sorted arrays."""
     pairs = tables.put(pairs)
-    crowd = pairs.groupBy("b").agg((F.floor(F.sum("n") / GROUP_SHINGLES) + 1).cast("int").alias("parts"))
-    members = pairs.join(crowd, "b").select(F.col("a").alias("id"), F.col("b").alias("pivot"), F.pmod(F.hash("a"), "parts").alias("part"), F.lit(False).alias("is_pivot"))
-    pivots = crowd.select(F.col("b").alias("id"), F.col("b").alias("pivot"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(True).alias("is_pivot"))
-    texts = only(tables, rows, pairs.select(F.col("a").alias("id")).union(pairs.select("b")))
-    tiles = texts.join(members.unionByName(pivots), "id")
-
-    def intersect(key: tuple, table: pa.Table) -> pa.Table:
-        ids, pivot_row = table.column("id").to_pylist(), table.column("is_pivot").to_pylist()
-        at = 0
-        sets: list[np.ndarray] = []
-        for part in slices(table.combine_chunks().to_batches(), "text"):
-            sets += shingle_sets(Words(part.column("text"), lower=True), width)
-        found = []
-        for mine in [s for s, is_pivot in zip(sets, pivot_row, strict=True) if is_pivot]:
-            for at, other in enumerate(sets):
-                if not pivot_row[at] and len(mine) and len(other):
-                    place = np.minimum(np.searchsorted(mine, other), len(mine) - 1)
-                    common = int((mine[place] == other).sum())
-                    if 100 * common >= percent * (len(mine) + len(other) - common):
-                        found.append(ids[at])
-        pivot = key[0].as_py()
-        id_type = table.schema.field("id").type
-        return pa.table([pa.array(found, id_type), pa.array([pivot] * len(found), id_type)], names=["a", "b"])
-
-    return tiles.groupBy("pivot", "part").applyInArrow(intersect, f"a {kind}, b {kind}")
-
-
-def _parts(rows: DataFrame, width: int, percent: int, kind: str) -> DataFrame:
-    """(id, key, place) of the hashed parts of each set, for both pairs of size bands that it belongs to; place is 0."""
-    ratio = 100.0 / percent
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
-            keys = []
-            for values in shingle_sets(Words(part.column("text"), lower=True), width):
-                n = len(values)
-                band = int(np.floor(np.log(max(1, n)) / np.log(ratio) + 1e-9))
-                found = []
-                for low in (band - 1, band):
-                    # n <= m <= n / t and n < ratio ** (low + 1): sets that link differ in (n + m) (1 - t) / (1 + t) values at most
-                    smaller = ratio ** (low + 1)
-                    most = int(smaller * (1 + ratio) * (100 - percent) / (100 + percent) + 1e-6)
-                    count = most + most // 4 + 2
-                    where = (mix(values) % np.uint64(count)).astype(np.int64)
-                    sums = np.zeros(count, np.uint64)
-                    np.add.at(sums, where, mix(values ^ np.uint64(0x5851F42D4C957F2D)))
-                    named = mix(sums + mix(np.arange(count, dtype=np.uint64) + np.uint64((low + 1) << 32)))
-                    filled = np.bincount(where, minlength=count) > 0
-                    # with more filled parts than differences an equal one is filled; only sets with fewer need their empty parts
-                    found.append(named[filled] if filled.sum() > most else named)
-                keys.append(np.unique(np.concatenate(found)).view(np.int64))
-            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(keys, pa.list_(pa.int64()))], names=["id", "keys"])
-
-    return rows.mapInArrow(cut, f"id {kind}, keys array<long>").select("id", F.explode("keys").alias("key"), F.lit(0).alias("place"))
+    sets = _sets(only(tables, rows, pairs.select(F.col("a").alias("id")).union(pairs.select("b"))), width, kind)
+    both = pairs.join(sets.withColumnsRenamed({"id": "b", "values": "of_b"}), "b").join(sets.withColumnsRenamed({"id": "a", "values": "of_a"}), "a")
+
+    def intersect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flat, at = zip(*((c.values.to_numpy(zero_copy_only=False).view(np.uint64), c.offsets.to_numpy()) for c in (batch.column("of_a"), batch.column("of_b"))), strict=True)
+            linked = []
+            for k in range(batch.num_rows):
+                x, y = (flat[s][at[s][k] : at[s][k + 1]] for s in range(2))
+                place = np.searchsorted(x, y)
+                common = int((x[np.minimum(place, len(x) - 1)] == y).sum()) if len(x) and len(y) else 0
+                linked.append(common > 0 and 100 * common >= percent * (len(x) + len(y) - common))
+            yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
+
+    return tables.put(both.select("a", "b", "of_a", "of_b").mapInArrow(intersect, f"a {kind}, b {kind}"))
 
 
 def linked_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, crowd: int = CROWD) -> DataFrame:
@@ -197,74 +172,78 @@ def linked_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = tables.put(_described(rows, width, percent, kind))
     known = sets.where("id IS NOT NULL AND n > 0")
     equal = known.groupBy("n", "same").agg(F.min("id").alias("first"), F.max("id").alias("last"))
-    copies = tables.put(known.select("id", "n", "same").join(equal.where("first <> last"), ["n", "same"]).where("id <> first").select("id", F.col("first").alias("component")).distinct())
+    copies = tables.put(known.select("id", "n", "same").join(equal.where("first <> last"), ["n", "same"]).where("id <> first").groupBy("id").agg(F.min("first").alias("first")))
     about = known.select("id", "n", "bitmap")
-    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9)
-
-    def tiled(keys: DataFrame) -> DataFrame:
-        """(key, id, place, pivot) of the tiles of two documents or more, without copies."""
-        pivots = keys.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).where("pivot <> last").drop("last")
-        return tables.put(keys.join(pivots, "key").join(copies, "id", "left_anti"))
+    finer = BANDS / math.log(100.0 / percent)
 
-    def with_component(df: DataFrame, labels: DataFrame) -> DataFrame:
-        return df.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    def band(size: Column) -> Column:
+        return F.floor(F.log(size.cast("double")) * finer + 1e-9)
 
-    def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
-        """labels (id, component) after links (a, b) between documents."""
+    def merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+        """labels (id, component) after links (a, b) between documents; an id without links needs no label."""
+        if labels is None:
+            return components(tables, links)
         ends = [labels.select(F.col("id").alias(x), F.col("component").alias(f"c_{x}")) for x in "ab"]
         lifted = links.join(ends[0], "a", "left").join(ends[1], "b", "left").select(F.coalesce("c_a", "a").alias("a"), F.coalesce("c_b", "b").alias("b"))
         found = components(tables, lifted)
         old = labels.join(found.select(F.col("id").alias("component"), F.col("component").alias("lowest")), "component", "left").select("id", F.coalesce("lowest", "component").alias("component"))
         return tables.put(old.unionByName(found.join(labels, "id", "left_anti")))
 
-    def by_pivot(tiles: DataFrame) -> DataFrame:
-        """Links of documents with the pivot of most of their tiles."""
-        counts = tiles.where("id <> pivot").groupBy("id", "pivot").agg(F.count("*").alias("shared"))
-        chosen = counts.groupBy("id").agg(F.max(F.struct("shared", -F.col("pivot"))).alias("best")).select(F.col("id").alias("a"), (-F.col("best").getField("col2")).cast(kind).alias("b"))
+    def linked(pairs: DataFrame) -> DataFrame:
+        """Those of the pairs (a, b) whose sets link; size and bitmap come before the texts."""
         a, b = (about.select(*[F.col(c).alias(f"{c}_{x}") for c in about.columns]) for x in "ab")
-        both = chosen.join(a, chosen["a"] == a["id_a"]).join(b, chosen["b"] == b["id_b"])
+        both = pairs.join(a, pairs["a"] == a["id_a"]).join(b, pairs["b"] == b["id_b"])
         n, m, bound = F.col("n_a"), F.col("n_b"), _overlap_bound(F.col("n_a"), F.col("n_b"), F.col("bitmap_a"), F.col("bitmap_b"))
         near = both.where((100 * F.least(n, m) >= percent * F.greatest(n, m)) & (100 * bound >= percent * (n + m - bound)))
-        return tables.put(_verified(tables, rows, near.select("a", "b", n.alias("n")), width, percent, kind))
+        return _verified(tables, rows, near.select("a", "b").distinct(), width, percent, kind)
+
+    def by_pivot(tiles: DataFrame) -> DataFrame:
+        """Links of documents with the pivot of most of their tiles; a tile's pivot is its document of most weight."""
+        pivots = tiles.groupBy("key").agg(F.min_by("id", F.struct(-F.col("weight"), F.col("id"))).alias("pivot"))
+        counts = tiles.join(pivots, "key").where("id <> pivot").groupBy("id", "pivot").agg(F.count("*").alias("shared"))
+        return linked(counts.groupBy(F.col("id").alias("a")).agg(F.min_by("pivot", F.struct(-F.col("shared"), F.col("pivot"))).alias("b")))
 
     def split(tiles: DataFrame, labels: DataFrame) -> DataFrame:
-        """(key, id, place, component, crowded) of tiles with more than one component."""
-        placed = with_component(tiles.select("key", "id", "place"), labels)
-        mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")).where("low <> high")
-        return tables.put(placed.join(mixed.select("key", (F.col("size") > crowd).alias("crowded")), "key"))
-
-    def by_middle(mixed: DataFrame) -> DataFrame:
-        """by_pivot for split tiles with their best connected document as the pivot."""
-        middles = mixed.groupBy("id").agg(F.count("*").alias("tiles")).join(known.select("id", "n"), "id").select("id", F.round(F.col("tiles") * 1000 / F.col("n")).alias("weight"))
-        pivots = mixed.join(middles, "id").groupBy("key").agg((-F.max(F.struct("weight", -F.col("id"))).getField("col2")).cast(kind).alias("pivot"))
-        return by_pivot(mixed.join(pivots, "key"))
-
-    def across(mixed: DataFrame, by_place: bool) -> DataFrame:
-        """Links between different components of a tile, by all its pairs."""
-        described = mixed.select("key", "id", "place", "component").join(about, "id").withColumn("band", band)
-        one, two = (described.select(*[F.col(c).alias(f"{c}_{x}") for c in described.columns]) for x in "ab")
-        one = one.withColumn("band", F.explode(F.array(F.col("band_a"), F.col("band_a") + 1)))
-        n, m = F.col("n_a"), F.col("n_b")
-        fits = (F.col("component_a") != F.col("component_b")) & ((F.col("band_a") < F.col("band_b")) | (F.col("id_a") < F.col("id_b"))) & (100 * F.least(n, m) >= percent * F.greatest(n, m))
-        if by_place:  # true of the first key that a pair shares
-            after = 1 + F.least(n - 1 - F.col("place_a"), m - 1 - F.col("place_b"))
-            fits = fits & (100 * after >= percent * (n + m - after))
-        bound = _overlap_bound(n, m, F.col("bitmap_a"), F.col("bitmap_b"))
-        near = one.join(two, (F.col("key_a") == F.col("key_b")) & (F.col("band") == F.col("band_b")) & fits & (100 * bound >= percent * (n + m - bound)))
-        return tables.put(_verified(tables, rows, near.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"), F.col("n_a").alias("n")).distinct(), width, percent, kind))
-
-    tiles = tiled(known.select("id", F.posexplode("keys").alias("place", "key")))
-    labels = merged(copies, by_pivot(tiles))
+        """tiles with more than one component, with each row's component, the tile's largest one and whether it is crowded."""
+        placed = tiles.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        sizes = placed.groupBy("key", "component").agg(F.count("*").alias("members"))
+        mixed = sizes.groupBy("key").agg(F.sum("members").alias("size"), F.count("*").alias("parts"), F.min_by("component", F.struct(-F.col("members"), F.col("component"))).alias("main")).where("parts > 1")
+        return tables.put(placed.join(mixed.select("key", "main", (F.col("size") > crowd).alias("crowded")), "key"))
+
+    def recounted(ids: DataFrame) -> DataFrame:
+        """(key, id, place, n, weight) of these documents, their keys in the order of how many of them hold a shingle."""
+        values = _sets(only(tables, rows, ids), width, kind).select("id", F.size("values").cast("long").alias("n"), F.explode("values").alias("key"))
+        held = values.groupBy("key").agg(F.count("*").alias("held")).where("held > 1")
+        shared = values.join(held, "key")
+        of_one = Window.partitionBy("id")
+        ranked = shared.select("*", F.row_number().over(of_one.orderBy("held", "key")).alias("rank"), F.count("*").over(of_one).alias("n_shared"), F.avg("held").over(of_one).alias("mean"))
+        placed = ranked.withColumn("place", (F.col("n") - F.col("n_shared") + F.col("rank") - 1).cast("int")).where(F.col("place") <= F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100))
+        return tables.put(placed.select("key", "id", "place", "n", (F.col("mean") * F.col("n_shared") / F.col("n")).alias("weight")))
+
+    def across(mixed: DataFrame) -> DataFrame:
+        """Candidate pairs (a, b) of different components of a tile, one of them outside the largest."""
+        # with a common key at places p and q, an overlap is 1 + min(n - 1 - p, m - 1 - q) at most if the key is the first that the sets share
+        most = F.floor((F.col("n") - F.col("place")) * (100 + percent) / percent) - F.col("n")
+        seen = mixed.select("key", "id", "n", "component", "main", most.alias("most"))
+        one = seen.where("component <> main").withColumns({"low": F.ceil(F.col("n") * percent / 100), "high": F.least(F.floor(F.col("n") * 100 / percent), F.col("most"))}).where("low <= high")
+        one = one.withColumn("band", F.explode(F.sequence(band(F.col("low")), band(F.col("high"))))).select("key", "band", "low", "high", *[F.col(c).alias(f"{c}_a") for c in ("id", "n", "component")])
+        two = seen.select("key", band(F.col("n")).alias("band"), *[F.col(c).alias(f"{c}_b") for c in ("id", "n", "component", "main", "most")])
+        fits = F.col("n_b").between(F.col("low"), F.col("high")) & (F.col("most_b") >= F.col("n_a")) & (F.col("component_a") != F.col("component_b"))
+        once = (F.col("component_b") == F.col("main_b")) | (F.col("id_a") < F.col("id_b"))
+        return one.join(two, ["key", "band"]).where(fits & once).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
+
+    keys = without(tables, known, copies.select("id"), "id").select("id", "n", "weight", F.posexplode("keys").alias("place", "key"))
+    shared = keys.groupBy("key").agg(F.count("*").alias("held")).where("held > 1").select("key")
+    tiles = tables.put(keys.join(shared, "key").select("key", "id", "place", "n", "weight"))
+    labels = merged(None, by_pivot(tiles))
     mixed = split(tiles, labels)
-    labels = merged(labels, by_middle(mixed))
-    mixed = split(mixed, labels)  # links never split a tile anew
-    labels = merged(labels, across(mixed.where("NOT crowded"), True))
-    crowds = mixed.where("crowded").select("id").distinct()
+    candidates = across(mixed.where("NOT crowded"))
+    crowds = tables.put(mixed.where("crowded").select("id").distinct())
     if not crowds.isEmpty():
-        parts = tiled(_parts(only(tables, rows, crowds), width, percent, kind))
-        labels = merged(labels, by_pivot(parts))
-        mixed = split(parts, labels)
-        labels = merged(labels, by_middle(mixed))
-        labels = merged(labels, across(split(mixed, labels), False))
-    final = with_component(sets.select("id", "n"), labels)
-    return final.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+        again = recounted(crowds)
+        labels = merged(labels, by_pivot(split(again, labels)))
+        candidates = candidates.union(across(split(again, labels)))
+    labels = merged(labels, linked(candidates.distinct()))
+    final = sets.select("id", "n").join(copies, "id", "left").join(labels.withColumnRenamed("id", "first_"), F.coalesce("first", "id") == F.col("first_"), "left")
+    found = tables.last(final.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "first", "id").alias("component_id")))
+    return found

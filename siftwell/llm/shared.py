@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import lru_cache
@@ -16,12 +17,23 @@ def _own_folder() -> str:
 
 
 def folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; where it is unset, as in tests, a temporary folder of this process."""
-    return spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
+    """spark.checkpoint.dir; where it is unset and Spark runs in one process, as in tests, a temporary folder of this process."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if found:
+        return found
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return _own_folder()
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder wherever Spark can write."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 class Tables:
-    """Tables that are written once and read again; drop() removes them."""
+    """Tables that are written once and read again; last() removes all but the result."""
 
     def __init__(self, spark: SparkSession):
         self.spark, self.root = spark, f"{folder(spark)}/siftwell-{uuid.uuid4().hex}"
@@ -34,9 +46,12 @@ class Tables:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self) -> None:
-        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.root)
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    def last(self, df: DataFrame) -> DataFrame:
+        """df, written and reread as put() does, after which the other tables go."""
+        found = self.put(df)
+        for k in range(self._n - 1):
+            delete(self.spark, f"{self.root}/{k}")
+        return found
 
 
 #: Ids that are sent to every task at most: 16 MB.
