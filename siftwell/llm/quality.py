@@ -8,12 +8,15 @@ tanh layer), gated attention weights the passages of a bag,
 
 and a logistic layer scores the weighted sum of the passage encodings.  Only
 document labels are needed for training: the attention learns which passages
-carry them.  Training uses a bounded sample (TRAIN_DOCUMENTS documents with at
-most TRAIN_PASSAGES evenly spread passages each); scoring reads every passage.
+carry them.  Training uses a bounded sample of labelled documents: at most
+TRAIN_DOCUMENTS, taken in the order of a hash of their ids as long as all their
+passages together number at most TRAIN_PASSAGES (one that would exceed this is
+left out).  Every passage of a document is used, in training and in scoring.
 
 A null, empty or blank text is a bag with one all-zero passage, and gets a score
 like any other.  Without labels of both kinds the score is the smoothed share of
-label 1 (0.5 without labels).
+label 1 (0.5 without labels).  Repeated rows are scored alike, and are separate
+documents in training.
 """
 
 from __future__ import annotations
@@ -26,12 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siftwell.llm.shared import Tables
 from siftwell.llm.words import Words, slices
 
 PASSAGE_WORDS = 64
 #: Bounds of the training sample.
 TRAIN_DOCUMENTS = 4000
-TRAIN_PASSAGES = 64
+TRAIN_PASSAGES = 300_000
 _HIDDEN, _ATTENTION, _STEPS = 16, 8, 400
 
 #: Character classes by byte: the rest is class 0.
@@ -110,12 +114,15 @@ class BagModel:
     def scores(self, x: np.ndarray, first: np.ndarray) -> np.ndarray:
         if self.weights is None:
             return np.full(len(first) - 1, self.prior)
-        return self._forward((x - self.mean) / self.scale, first)["p"]
+        return self._forward(self._scaled(x), first)["p"]
+
+    def _scaled(self, x: np.ndarray) -> np.ndarray:
+        return np.clip((x - self.mean) / self.scale, -20, 20)
 
     def fit(self, x: np.ndarray, first: np.ndarray, y: np.ndarray) -> BagModel:
         """Adam on the log loss of all bags, with a small penalty on the weights."""
         self.mean, self.scale = x.mean(0), x.std(0) + 0.02
-        x = np.clip((x - self.mean) / self.scale, -20, 20)
+        x = self._scaled(x)
         rng = np.random.default_rng(5)
         shapes = {"W": (FEATURES, _HIDDEN), "b": (_HIDDEN,), "V": (_HIDDEN, _ATTENTION), "U": (_HIDDEN, _ATTENTION), "w": (_ATTENTION,), "c": (_HIDDEN,), "d": ()}
         self.weights = w = {k: rng.normal(0, 1 / np.sqrt(max(1, s[0] if s else 1)), s) * (k not in "bd") for k, s in shapes.items()}
@@ -144,8 +151,8 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = TRAIN_DOCUMENTS) -> BagModel:
-    """Fit a model on at most sample labelled documents outside the held-out fold, chosen by a hash of their ids.
+def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = TRAIN_DOCUMENTS, passages: int = TRAIN_PASSAGES) -> BagModel:
+    """Fit a model on at most sample labelled documents of that many passages outside the held-out fold, chosen by a hash of their ids.
 
     Rows without an id or label are left out.
     """
@@ -160,15 +167,22 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             x, first = encode_passages(Words(part.column("text")))
-            for k, (a, b) in enumerate(zip(first[:-1], first[1:], strict=True)):
-                some = x[a + np.unique(np.linspace(0, b - a - 1, TRAIN_PASSAGES).astype(int))] if b - a > TRAIN_PASSAGES else x[a:b]
-                row = part.slice(k, 1)
-                yield pa.RecordBatch.from_arrays([row.column("id"), row.column("y"), pa.array([some.astype(np.float32).tobytes()])], names=["id", "y", "x"])
+            bags = [x[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([part.column("id"), part.column("y"), pa.array(np.diff(first), pa.int64()), pa.array(bags, pa.binary())], names=["id", "y", "n", "x"])
 
     kind = documents.schema[id_col].dataType.simpleString()
-    found = rows.mapInArrow(encode, f"id {kind}, y int, x binary").limit(2 * sample).toPandas().sort_values(["id", "y", "x"])
-    if not len(found):
+    encoded = Tables(documents.sparkSession).put(rows.mapInArrow(encode, f"id {kind}, y int, n long, x binary").withColumn("hash", F.xxhash64("x")))
+    order = [F.xxhash64("id"), "id", "y", "n", "hash"]
+    sizes = encoded.select("id", "y", "n", "hash").orderBy(*order).limit(sample).toPandas()
+    left, chosen_rows = passages, []
+    for k, n in enumerate(sizes["n"].tolist()):
+        if n <= left:
+            left -= n
+            chosen_rows.append(k)
+    if not chosen_rows:
         return BagModel(0.5)
+    wanted = documents.sparkSession.createDataFrame(list(sizes[["id", "hash"]].iloc[chosen_rows].drop_duplicates().itertuples(index=False, name=None)), f"id {kind}, hash long")
+    found = encoded.join(F.broadcast(wanted), ["id", "hash"]).orderBy(*order).limit(len(chosen_rows)).toPandas()
     y = (found["y"].to_numpy() == 1).astype(float)
     model = BagModel(float((y.sum() + 1) / (len(y) + 2)))
     if 0 < y.sum() < len(y):
