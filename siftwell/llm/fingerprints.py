@@ -116,12 +116,15 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(n + m == 0, F.lit(1.0)).when(squares == 0, F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), share))
 
 
-def with_next(df: DataFrame, id_col: str, payload: list[str], order_text: str) -> DataFrame:
+def with_next(df: DataFrame, id_col: str, payload: list[str], order_text: str, computed: dict[str, Column] | None = None) -> DataFrame:
     """df with a struct column next: the payload of the row that follows in descending id; the first one follows the last.
 
-    Ids are cut into ranges of about RANGE_ROWS rows at quantiles; each range is sorted by itself, and only the
-    first rows of the ranges meet their neighbours.  Rows with one id go by order_text, descending; null ids last.
+    computed: columns of the payload that are made of df's, once for each row.  Ids are cut into ranges of about
+    RANGE_ROWS rows at quantiles (more, where RANGE_ROWS rows would make over MOST_RANGES ranges); each range is
+    sorted by itself, which Spark does with spilling, and only the first rows of the ranges meet their neighbours.
+    Rows with one id go by order_text, descending; null ids last.  Ids are numbers.
     """
+    computed = computed or {}
     spark = df.sparkSession
     ids = df.select(F.col(id_col).alias("id"))
     splits = borders(df, id_col, df.count() // RANGE_ROWS + 1)
@@ -129,11 +132,13 @@ def with_next(df: DataFrame, id_col: str, payload: list[str], order_text: str) -
     tops = ids.groupBy(range_of(F.col("id"), splits).alias("range")).agg(F.max("id").alias("id")).collect()
     present = sorted((r["range"] for r in tops), reverse=True)
     if not present:
-        return df.withColumn("next", F.struct(*payload))
+        return df.withColumns(computed).withColumn("next", F.struct(*payload))
     follower = spark.createDataFrame(list(zip(present, [*present[1:], present[0]], strict=True)), "range int, head int")
     top_ids = spark.createDataFrame([(r["range"], r["id"]) for r in tops], f"head int, id {df.schema[id_col].dataType.simpleString()}")
-    rows = df.withColumn("range", range_of(F.col(id_col), splits))
-    top_rows = df.join(F.broadcast(top_ids), df[id_col].eqNullSafe(top_ids["id"])).groupBy("head").agg(F.max_by(F.struct(*payload), F.struct(order_text)).alias("top"))
+    rows = df.withColumns(computed).withColumn("range", range_of(F.col(id_col), splits))
+    plain = [c for c in payload if c not in computed]
+    tops = df.join(F.broadcast(top_ids), df[id_col].eqNullSafe(top_ids["id"])).groupBy("head").agg(F.max_by(F.struct(*plain), F.struct(order_text)).alias("top"))
+    top_rows = tops.select("head", "top.*").withColumns(computed).select("head", F.struct(*payload).alias("top"))
     heads = top_rows.join(F.broadcast(follower), "head").select("range", "top")
     within = F.expr(f"lead(struct({', '.join(payload)})) OVER (PARTITION BY range ORDER BY {id_col} DESC NULLS LAST, {order_text} DESC)")
     return rows.withColumn("within", within).join(heads.hint("merge"), "range", "left").withColumn("next", F.coalesce("within", "top")).drop("range", "within", "top")
@@ -146,10 +151,10 @@ def edited_pairs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     document's first ones.  Returns id, n_chars, edited, fp, edited_fp and next_fp.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = df.select(F.col(id_col).alias("id"), text.alias("text"), fingerprint(F.col(text_col)).alias("fp"))
+    rows = df.select(F.col(id_col).alias("id"), text.alias("text"))
     n = F.char_length("text")
     cut = F.floor(n / 3).cast("int")
-    paired = with_next(rows, "id", ["text", "fp"], "text").select(
+    paired = with_next(rows, "id", ["text", "fp"], "text", {"fp": fingerprint(F.col("text"))}).select(
         "id",
         n.cast("bigint").alias("n_chars"),
         F.concat(F.substring("text", F.lit(1), n - cut), F.substring("next.text", F.lit(1), cut)).alias("edited"),
