@@ -1,7 +1,7 @@
 """Five stages that clean the documents table: what a stage keeps is written as Parquet, and the next one reads it.
 
-The stages keep the columns of documents, but for the last, which adds the pieces.  Rows with a null id
-stay where a stage can't name them.
+The stages keep the columns of documents, but for the last, which adds the pieces.  Stages that compare rows
+know them by a hash of id and text, so rows with a null or repeated id are judged like any other.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftwell.llm import decontamination, jaccard, pieces, quality, secrets
-from siftwell.llm.shared import Tables, folder, without
+from siftwell.llm.shared import Tables, delete, folder, only, without
 
 #: Documents with a lower quality score go.
 LEAST_QUALITY = 0.5
@@ -25,17 +25,36 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return quality.score(docs, model, score_col="quality score").where(F.col("quality score") >= LEAST_QUALITY).drop("quality score")
 
 
+#: A hash of a row's id and text.  Rows that share it by chance are never taken for one.
+ROW_KEY = "siftwell row key"
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.withColumn(ROW_KEY, F.xxhash64(F.col("doc_id").cast("string"), F.lit("|"), "text"))
+
+
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies; of rows with one id, one."""
-    groups = jaccard.linked_components(docs)
-    firsts = groups.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(firsts, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id IS NULL"))
+    """One document of each group of near copies: that of the smallest id, or of the smallest key of equal ids.
+
+    A null id counts as the largest.  Of rows that are equal in all columns, one stays.
+    """
+    tables, keyed = Tables(spark), _keyed(docs)
+    groups = jaccard.linked_components(keyed, id_col=ROW_KEY)
+    named = groups.join(keyed.select(ROW_KEY, "doc_id"), ROW_KEY)
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", ROW_KEY)
+    many = groups.where(F.col(ROW_KEY) != F.col("component_id")).select("component_id").distinct()
+    first = named.join(many, "component_id", "left_semi").groupBy("component_id").agg(F.min(rank).alias("first"))
+    later = named.join(first, "component_id").where(F.col(ROW_KEY) != F.col(f"first.{ROW_KEY}")).select(F.col(ROW_KEY).alias("id"))
+    kept = without(tables, keyed, later, ROW_KEY)
+    twice = tables.put(groups.groupBy(ROW_KEY).count().where("count > 1").select(F.col(ROW_KEY).alias("id")))
+    again = only(tables, kept.withColumnRenamed(ROW_KEY, "id"), twice).drop("id").dropDuplicates()
+    return without(tables, kept, twice, ROW_KEY).drop(ROW_KEY).unionByName(again)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that leak no benchmark item."""
-    found = decontamination.leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return without(Tables(spark), docs, found.select(F.col("doc_id").alias("id")), "doc_id")
+    found = decontamination.leaks(_keyed(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col=ROW_KEY)
+    return without(Tables(spark), _keyed(docs), found.select(F.col(ROW_KEY).alias("id")), ROW_KEY).drop(ROW_KEY)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,7 +83,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows.  Each stage's rows are written to the shared folder and read again."""
+    """The last stage's rows.  Each stage's rows are written to the shared folder and read again; those of earlier stages go."""
     root = f"{folder(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (_, stage) in enumerate(STAGES):
@@ -72,4 +91,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = f"{root}/{k}"
         found.write.parquet(path)
         docs = spark.read.schema(found.schema).parquet(path)
+        if k:
+            delete(spark, f"{root}/{k - 1}")
     return docs
