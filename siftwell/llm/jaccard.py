@@ -133,21 +133,21 @@ def _described(rows: DataFrame, width: int, percent: int, kind: str) -> DataFram
     return rows.mapInArrow(describe, f"id {kind}, n long, same binary, bitmap array<long>, weight double, keys array<long>")
 
 
-def _sets(rows: DataFrame, width: int, kind: str) -> DataFrame:
-    """(id, values) of each row: its sorted set."""
+def _sets(tables: Tables, rows: DataFrame, ids: DataFrame, width: int, kind: str) -> DataFrame:
+    """(id, values) of the rows with these ids: their sorted sets.  They are written, so no task holds the workers of two steps."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             values = [s.view(np.int64) for s in shingle_sets(Words(part.column("text"), lower=True), width)]
             yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(values, pa.list_(pa.int64()))], names=["id", "values"])
 
-    return rows.mapInArrow(run, f"id {kind}, values array<long>")
+    return tables.put(only(tables, rows, ids).mapInArrow(run, f"id {kind}, values array<long>"))
 
 
 def _verified(tables: Tables, rows: DataFrame, pairs: DataFrame, width: int, percent: int, kind: str) -> DataFrame:
     """Those of the pairs (a, b) whose sets link, by intersection of sorted arrays."""
     pairs = tables.put(pairs)
-    sets = _sets(only(tables, rows, pairs.select(F.col("a").alias("id")).union(pairs.select("b"))), width, kind)
+    sets = _sets(tables, rows, pairs.select(F.col("a").alias("id")).union(pairs.select("b")), width, kind)
     both = pairs.join(sets.withColumnsRenamed({"id": "b", "values": "of_b"}), "b").join(sets.withColumnsRenamed({"id": "a", "values": "of_a"}), "a")
 
     def intersect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,7 +212,7 @@ def linked_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def recounted(ids: DataFrame) -> DataFrame:
         """(key, id, place, n, weight) of these documents, their keys in the order of how many of them hold a shingle."""
-        values = _sets(only(tables, rows, ids), width, kind).select("id", F.size("values").cast("long").alias("n"), F.explode("values").alias("key"))
+        values = _sets(tables, rows, ids, width, kind).select("id", F.size("values").cast("long").alias("n"), F.explode("values").alias("key"))
         held = values.groupBy("key").agg(F.count("*").alias("held")).where("held > 1")
         shared = values.join(held, "key")
         of_one = Window.partitionBy("id")
