@@ -12,10 +12,12 @@ SEMGREP = {"ERROR": "HIGH", "WARNING": "MEDIUM", "INFO": "LOW", "CRITICAL": "HIG
 SARIF = {"ERROR": "HIGH", "WARNING": "MEDIUM", "NOTE": "LOW", "NONE": "LOW"}
 SONAR = {"BLOCKER": "HIGH", "CRITICAL": "HIGH", "MAJOR": "HIGH", "MINOR": "MEDIUM", "INFO": "LOW"}
 GENERIC = {
-    "CRITICAL": "HIGH", "HIGH": "HIGH", "ERROR": "HIGH", "BLOCKER": "HIGH", "SEVERE": "HIGH",
-    "MEDIUM": "MEDIUM", "MODERATE": "MEDIUM", "WARNING": "MEDIUM", "WARN": "MEDIUM", "MAJOR": "MEDIUM",
-    "LOW": "LOW", "INFO": "LOW", "MINOR": "LOW", "NOTE": "LOW", "INFORMATIONAL": "LOW",
+    "CRITICAL": "HIGH", "CRIT": "HIGH", "BLOCKER": "HIGH", "MAJOR": "HIGH", "HIGH": "HIGH", "ERROR": "HIGH",
+    "MEDIUM": "MEDIUM", "MODERATE": "MEDIUM", "WARNING": "MEDIUM", "WARN": "MEDIUM", "MINOR": "MEDIUM",
+    "LOW": "LOW", "INFO": "LOW", "INFORMATIONAL": "LOW", "NOTE": "LOW", "NONE": "LOW",
 }
+# Parts of Aikido's words, the first that occurs counts.
+AIKIDO_PARTS = {"CRITICAL": "HIGH", "HIGH": "HIGH", "MEDIUM": "MEDIUM", "LOW": "LOW", "INFO": "LOW"}
 
 
 def _word(value: Column) -> Column:
@@ -47,7 +49,8 @@ def _mapped(value: Column, words: dict[str, str], other: str | None) -> Column:
 
 
 def semgrep_severity(value: Column) -> Column:
-    return _mapped(value, SEMGREP, "MEDIUM")
+    """Null for null alone; words that aren't known, the empty one included, are MEDIUM."""
+    return F.when(value.isNull(), None).otherwise(F.coalesce(_mapped(value, SEMGREP, "MEDIUM"), F.lit("MEDIUM")))
 
 
 def sarif_severity(level: Column) -> Column:
@@ -58,11 +61,21 @@ def sonar_severity(value: Column) -> Column:
     return _mapped(value, SONAR, None)
 
 
-def generic_severity(value: Column) -> Column:
-    """A score (7 and more is HIGH, 4 MEDIUM, above 0 LOW) or a word; null where neither is known."""
-    score = value.try_cast("double")
+def generic_severity(value: Column, tool: str | None = None) -> Column:
+    """A score (7 and more is HIGH, 4 MEDIUM, above 0 LOW) or a word; null where neither is known.
+
+    A score has digits and at most one point, without a sign.  Of tool aikido, words that hold a known one count too.
+    """
+    word = _word(value)
+    score = F.when(word.rlike(r"^(?=.*[0-9])[0-9]*\.?[0-9]*$"), word.try_cast("double"))
     banded = F.when(score >= 7, "HIGH").when(score >= 4, "MEDIUM").when(score > 0, "LOW")
-    return F.when(score.isNotNull(), banded).otherwise(_mapped(value, GENERIC, None))
+    found = _mapped(value, GENERIC, None)
+    if tool == "aikido":
+        part = F.lit(None).cast("string")
+        for known, label in reversed(AIKIDO_PARTS.items()):
+            part = F.when(word.contains(known), label).otherwise(part)
+        found = F.coalesce(found, part)
+    return F.when(score.isNotNull(), banded).otherwise(found)
 
 
 def bucket(value: Column) -> Column:

@@ -113,9 +113,12 @@ def classified(findings: DataFrame, cwe_owasp: DataFrame) -> DataFrame:
     cwe_ids, tags = (F.coalesce(c, none) if c in findings.columns else none for c in ("cwe_ids", "owasp_tags"))
     cwes = F.array_distinct(F.array_compact(F.transform(F.concat(F.array("cwe_id"), cwe_ids), normalize_cwe)))
     codes = cwe_owasp.where("cwe_id IS NOT NULL AND owasp_2021 IS NOT NULL").groupBy("cwe_id").agg(F.flatten(F.collect_list("owasp_2021")).alias("codes"))
-    known = codes.agg(F.map_from_entries(F.collect_list(F.struct("cwe_id", "codes"))).alias("_known"))  # one row, of the size of the CWE catalogue
-    named = findings.withColumn("_cwes", cwes).crossJoin(F.broadcast(known))
-    canonical = F.array_distinct(F.flatten(F.transform("_cwes", lambda c: F.coalesce(F.try_element_at(F.col("_known"), c), none))))
+    named = findings.withColumn("_cwes", cwes)
+    # the few distinct lists of CWEs meet the catalogue, not the findings
+    lists = named.select("_cwes").distinct().select("_cwes", F.posexplode("_cwes").alias("pos", "cwe_id")).join(codes, "cwe_id")
+    known = lists.groupBy("_cwes").agg(F.array_distinct(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("pos", "codes"))), lambda x: x["codes"]))).alias("_known"))
+    named = named.join(known, "_cwes", "left")
+    canonical = F.coalesce("_known", none)
     vendor = codes_from_tags(F.array_compact(F.concat(tags, F.array("rule_id", "title"))), 2021)
     return named.withColumn("cwe", F.get("_cwes", F.lit(0))).withColumn("codes", F.when(F.size(canonical) > 0, canonical).otherwise(vendor)).drop("_cwes", "_known")
 

@@ -13,7 +13,7 @@ from siftwell.functions.scoring import log_odds, round6, smoothed_precision, tri
 
 def labelled(features: DataFrame, gt_cases: DataFrame) -> DataFrame:
     """(suite_id, case_id, tools, gt_overlap, owasp_id) of the clusters in cases with ground truth."""
-    rows = features.join(F.broadcast(gt_cases.select("suite_id", "case_id").distinct()), ["suite_id", "case_id"], "left_semi")
+    rows = features.join(gt_cases.select("suite_id", "case_id").distinct(), ["suite_id", "case_id"], "left_semi")
     return rows.select("suite_id", "case_id", parse_tools(F.col("tools_json"), F.col("tools")).alias("tools"), "gt_overlap", owasp_id(F.col("owasp_id")).alias("owasp_id"))
 
 
@@ -57,10 +57,10 @@ def model(rows: DataFrame, params: CalibrationParams) -> DataFrame:
 def with_score(rows: DataFrame, weights: DataFrame, params: CalibrationParams, by_owasp: bool = True, name: str = "triage_score_v1") -> DataFrame:
     """rows (with tools, tool_count, max_severity and owasp_id) and their score; a category's weights if it has any."""
     whole = weights.where("owasp_id IS NULL").select("suite_id", F.col("weights").alias("_all"))
-    out = rows.join(F.broadcast(whole), "suite_id", "left")
+    out = rows.join(whole, "suite_id", "left")
     if by_owasp:
         slices = weights.where("owasp_id IS NOT NULL").select("suite_id", F.col("owasp_id").alias("_slice"), F.col("weights").alias("_own"))
-        out = out.withColumn("_slice", owasp_id(F.col("owasp_id"))).join(F.broadcast(slices), ["suite_id", "_slice"], "left")
+        out = out.withColumn("_slice", owasp_id(F.col("owasp_id"))).join(slices, ["suite_id", "_slice"], "left")
     chosen = F.coalesce("_own", "_all") if by_owasp else F.col("_all")
     score = round6(triage_score(F.col("tools"), F.col("tool_count"), F.col("max_severity"), chosen, params))
     return out.withColumn(name, F.when(F.col("_all").isNotNull(), score)).drop("_all", "_own", "_slice")

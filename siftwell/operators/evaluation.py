@@ -88,7 +88,7 @@ def topk(ranked: DataFrame, found: DataFrame) -> DataFrame:
     """The ranked rows with the number and share of the case's items that they and those before them cover."""
     keys = [*CASE, "strategy"]
     first = ranked.select(*keys, "rank", F.explode("gt_ids").alias("gt_id")).groupBy(*keys, "gt_id").agg(F.min("rank").alias("rank")).groupBy(*keys, "rank").agg(F.count("*").alias("_new"))
-    rows = ranked.join(first, [*keys, "rank"], "left").join(F.broadcast(found.select(*CASE, "has_gt", "gt_total")), CASE)
+    rows = ranked.join(first, [*keys, "rank"], "left").join(found.select(*CASE, "has_gt", "gt_total"), CASE)
     so_far = F.sum(F.coalesce("_new", F.lit(0))).over(Window.partitionBy(*keys).orderBy("rank").rowsBetween(Window.unboundedPreceding, 0))
     scored = F.when(F.col("gt_total") > 0, so_far)
     return rows.select(
@@ -164,7 +164,7 @@ def topk_focus(macro_rows: DataFrame, micro_rows: DataFrame) -> DataFrame:
 
 
 def _in_gt_cases(rows: DataFrame, found: DataFrame) -> DataFrame:
-    return rows.join(F.broadcast(found.where("has_gt = 1").select(*CASE)), CASE, "left_semi")
+    return rows.join(found.where("has_gt = 1").select(*CASE), CASE, "left_semi")
 
 
 def tool_utility(rows: DataFrame, found: DataFrame) -> DataFrame:
@@ -185,11 +185,11 @@ def tool_utility(rows: DataFrame, found: DataFrame) -> DataFrame:
 MARGINAL = ("baseline", "agreement", "calibrated")
 
 
-def tool_marginal(rows: DataFrame, found: DataFrame, utility: DataFrame, model: DataFrame | None, config: AnalysisConfig) -> DataFrame:
-    """Precision, coverage and negatives among the first k with all tools and without each one.
+def rankings_without(rows: DataFrame, found: DataFrame, model: DataFrame | None, config: AnalysisConfig) -> DataFrame:
+    """rankings() of the clusters in cases with ground truth, with all tools and without each one.
 
     A cluster without a tool keeps its severity and labels; one that only this tool found goes.  All variants are
-    ranked in one plan: rows are exploded by the tool left out, '' for none.
+    ranked in one plan: rows are exploded by the tool left out (dropped), '' for none.
     """
     strategies = MARGINAL if model is not None else MARGINAL[:2]
     scored = _in_gt_cases(rows, found)
@@ -203,9 +203,16 @@ def tool_marginal(rows: DataFrame, found: DataFrame, utility: DataFrame, model:
         "finding_count": F.when(has, F.aggregate(F.map_values("_left"), F.lit(0).cast("bigint"), lambda acc, n: acc + n)).otherwise(F.col("finding_count")),
     }).drop("_left")
     ranked = rankings(changed, model, config, max(config.ks), (*CASE, "dropped"), strategies, use_triage_rank=False)
+    return ranked.select(*CASE, "dropped", "strategy", "rank", "gt_overlap", "gt_ids")
+
+
+def tool_marginal(rows: DataFrame, found: DataFrame, utility: DataFrame, ranked: DataFrame, config: AnalysisConfig) -> DataFrame:
+    """Precision, coverage and negatives among the first k with all tools and without each one, from rankings_without()."""
+    strategies = [s for s in MARGINAL if s != "calibrated" or not ranked.where("strategy = 'calibrated'").isEmpty()]
+    scored = _in_gt_cases(rows, found)
     totals = _totals(ranked, config, [*CASE, "dropped", "strategy"]).groupBy("suite_id", "dropped", "strategy", "k").agg(F.sum("tp").alias("tp"), F.sum("rows").alias("rows"), F.sum("covered").alias("covered"))
     items = found.where("has_gt = 1").groupBy("suite_id").agg(F.sum("gt_total").alias("gt_total"))
-    metrics = totals.join(F.broadcast(items), "suite_id").select(
+    metrics = totals.join(items, "suite_id").select(
         "suite_id", "dropped", "strategy", "k", ratio(F.col("tp"), F.col("rows")).alias("precision"), ratio(F.col("covered"), F.col("gt_total")).alias("coverage"), (F.col("rows") - F.col("tp")).alias("neg")
     )
     full, drop = (metrics.select("suite_id", *extra, "strategy", "k", *[F.col(c).alias(f"{c}_{n}") for c in ("precision", "coverage", "neg")]) for n, extra in (("full", ()), ("drop", (F.col("dropped").alias("tool"),))))

@@ -28,6 +28,12 @@ def by_scope(findings: DataFrame, prefixes: tuple[str, ...]) -> DataFrame:
     return findings.where(~is_excluded(F.col("file_path"), prefixes)) if prefixes else findings
 
 
+def flagged(findings: DataFrame, config: AnalysisConfig) -> DataFrame:
+    """findings with normalised paths, and is_in_mode and is_in_scope."""
+    mode = F.lit(True) if config.mode.strip().lower() == "all" else is_security(F.col("tool"), F.col("issue_type"))
+    return with_path(findings, config.repo_name).withColumns({"is_in_mode": mode, "is_in_scope": ~is_excluded(F.col("file_path"), config.exclude_prefixes)})
+
+
 def selected(findings: DataFrame, config: AnalysisConfig) -> DataFrame:
     """Mode filter, normalised paths, scope filter."""
     return by_scope(with_path(by_mode(findings, config.mode), config.repo_name), config.exclude_prefixes)

@@ -67,20 +67,16 @@ def tool_recall(matches: DataFrame) -> DataFrame:
     return per_tool.join(totals, CASE).withColumn("recall", round6(ratio(F.col("gt_matched"), F.col("gt_items"))))
 
 
-def gap_queue(matches: DataFrame, findings: DataFrame, in_mode: DataFrame, kept: DataFrame) -> DataFrame:
+def gap_queue(matches: DataFrame, flagged: DataFrame) -> DataFrame:
     """Unmatched items and why: no findings in the file, filtered out (by mode or scope), or found elsewhere in it.
 
-    findings, in_mode and kept have normalised paths: all of them, those of the mode, and those in scope too.
+    flagged: all findings with normalised paths, is_in_mode and is_in_scope.
     """
-
-    def files(df: DataFrame, mark: str) -> DataFrame:
-        return df.select(*CASE, F.col("file_path").alias("file")).distinct().withColumn(mark, F.lit(True))
-
-    rows = matches.where("NOT matched")
-    for df, mark in ((findings, "any_found"), (in_mode, "any_mode"), (kept, "any_kept")):
-        rows = rows.join(files(df, mark), [*CASE, "file"], "left")
-    reason = F.when(F.col("any_found").isNull(), "no_findings").when(F.col("any_kept").isNull(), "filtered_out").otherwise("found_but_not_matched")
-    by = F.when(reason != "filtered_out", "").when(F.col("any_mode").isNull(), "mode").otherwise("scope")
+    in_mode, kept = F.max("is_in_mode"), F.max(F.col("is_in_mode") & F.col("is_in_scope"))
+    files = flagged.groupBy(*CASE, F.col("file_path").alias("file")).agg(in_mode.alias("any_mode"), kept.alias("any_kept"))
+    rows = matches.where("NOT matched").join(files, [*CASE, "file"], "left")
+    reason = F.when(F.col("any_mode").isNull(), "no_findings").when(~F.col("any_kept"), "filtered_out").otherwise("found_but_not_matched")
+    by = F.when(reason != "filtered_out", "").when(~F.col("any_mode"), "mode").otherwise("scope")
     return rows.select(*matches.columns, reason.alias("reason"), by.alias("filtered_by"))
 
 

@@ -48,7 +48,7 @@ def dim_case(cases: DataFrame, benchmark_id: str, manifests: DataFrame | None =
     more = ["track", "repo_label", "runs_repo_name", "expected_branch", "expected_commit", "tags_json"]
     rows = cases
     if manifests is not None:
-        rows = rows.join(F.broadcast(manifests.select("case_id", *[c for c in more if c in manifests.columns])), "case_id", "left")
+        rows = rows.join(manifests.select("case_id", *[c for c in more if c in manifests.columns]), "case_id", "left")
     rows = rows.withColumns({c: F.coalesce(F.col(c), F.lit("")) if c in rows.columns else F.lit("") for c in more})
     owasp = infer_owasp(F.concat_ws(" ", "case_id", "expected_branch", "repo_label", "tags_json"))
     return rows.select(

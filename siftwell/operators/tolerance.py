@@ -56,10 +56,10 @@ def select_tolerance(stats: DataFrame, min_fraction: float = 0.95) -> DataFrame:
     rows = stats if "analysis_rc" in stats.columns else stats.withColumn("analysis_rc", F.lit(0))
     ok = F.coalesce("analysis_rc", F.lit(0)) == 0
     good = rows.groupBy("suite_id").agg(F.max(ok).alias("_some_ok"), F.max(~ok).alias("_some_bad"))
-    used = rows.join(F.broadcast(good), "suite_id").where(ok | ~F.col("_some_ok"))
+    used = rows.join(good, "suite_id").where(ok | ~F.col("_some_ok"))
     most = used.groupBy("suite_id").agg(F.max("gt_overlap_1").alias("max_gt_positive_clusters"), F.max(F.col("_some_bad") & F.col("_some_ok")).alias("analysis_rc_filter_applied"))
     needed = most.withColumn("required_min", F.ceil(F.col("max_gt_positive_clusters") * F.lit(share) - 1e-9).cast("bigint"))
-    hits = used.join(F.broadcast(needed), "suite_id").where("gt_overlap_1 >= required_min")
+    hits = used.join(needed, "suite_id").where("gt_overlap_1 >= required_min")
     return hits.groupBy("suite_id").agg(
         F.min("gt_tolerance").alias("selected_gt_tolerance"), F.first("max_gt_positive_clusters").alias("max_gt_positive_clusters"), F.first("required_min").alias("required_min"),
         F.first("analysis_rc_filter_applied").alias("analysis_rc_filter_applied"), F.min_by("clusters_multi_gt", "gt_tolerance").alias("clusters_multi_gt"), F.min_by("gt_ids_multi_cluster", "gt_tolerance").alias("gt_ids_multi_cluster"),

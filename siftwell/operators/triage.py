@@ -28,7 +28,7 @@ def triage_queue(clusters: DataFrame, config: AnalysisConfig, model: DataFrame |
     )
 
 
-def triage_features(clusters: DataFrame, gt: DataFrame, queue: DataFrame, config: AnalysisConfig, provenance: DataFrame | None = None, generated_at: str = "") -> DataFrame:
+def triage_features(clusters: DataFrame, gt: DataFrame, config: AnalysisConfig, provenance: DataFrame | None = None, generated_at: str = "") -> DataFrame:
     """One row per cluster with place, agreement, severity, diversity, rank, sample and ground-truth labels.
 
     provenance: (suite_id, case_id, repo_url, ...) of the cases; what it lacks is empty.
@@ -36,10 +36,10 @@ def triage_features(clusters: DataFrame, gt: DataFrame, queue: DataFrame, config
     found = overlaps(clusters, gt, (config.gt_tolerance,)).groupBy(*CASE, "cluster_id").agg(
         *[F.array_sort(F.collect_set(c)).alias(n) for c, n in (("gt_id", "gt_ids"), ("set_name", "gt_sets"), ("track", "gt_tracks"))]
     )
-    rows = clusters.join(found, [*CASE, "cluster_id"], "left").join(queue.select(*CASE, "cluster_id", F.col("rank").alias("triage_rank")), [*CASE, "cluster_id"], "left")
+    rows = ranked(clusters, severity_order(), name="triage_rank").join(found, [*CASE, "cluster_id"], "left")
     known = [c for c in PROVENANCE if provenance is not None and c in provenance.columns]
     if known:
-        rows = rows.join(F.broadcast(provenance.select(*CASE, *known)), CASE, "left")
+        rows = rows.join(provenance.select(*CASE, *known), CASE, "left")
     rows = rows.withColumns({c: F.coalesce(F.col(c), F.lit("")) if c in known else F.lit("{}" if c == "case_tags_json" else "") for c in PROVENANCE})
     for c in ("gt_ids", "gt_sets", "gt_tracks"):
         rows = rows.withColumn(c, F.filter(F.coalesce(c, F.array().cast("array<string>")), lambda x: x != ""))
@@ -57,7 +57,7 @@ def triage_features(clusters: DataFrame, gt: DataFrame, queue: DataFrame, config
         round6(F.coalesce(ratio(F.col("tool_count"), F.lit(len(config.tools))), F.lit(0.0))).alias("agreement_tool_ratio"), sorted_json(counts).alias("tool_counts_json"), "finding_count",
         *[f"{t}_count" for t in config.tools], others.alias("other_tool_count"), "max_severity", "max_severity_rank",
         "severity_high_count", "severity_medium_count", "severity_low_count", "severity_unknown_count", "unique_rule_count", "unique_title_count", "unique_finding_id_count",
-        F.coalesce("triage_rank", F.lit(0)).alias("triage_rank"), *[F.col(f"sample.{c}").alias(f"sample_{c}") for c in ("tool", "rule_id", "title", "severity")],
+        "triage_rank", *[F.col(f"sample.{c}").alias(f"sample_{c}") for c in ("tool", "rule_id", "title", "severity")],
         F.when(F.size("gt_ids") > 0, 1).otherwise(0).alias("gt_overlap"), F.size("gt_ids").alias("gt_overlap_count"),
         *[x for n, c in (("ids", "gt_ids"), ("sets", "gt_sets"), ("tracks", "gt_tracks")) for x in (F.to_json(c).alias(f"gt_overlap_{n}_json"), F.array_join(c, ";").alias(f"gt_overlap_{n}"))],
     )

@@ -52,11 +52,12 @@ def latest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def severity_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.regexp_extract("o_orderpriority", "([A-Z]+)", 1).alias("word"), (F.pmod("o_custkey", F.lit(10))).cast("string").alias("score")).distinct()
+    raw = F.get(F.array(*map(F.lit, adapters.SEVERITIES)), F.pmod("o_custkey", F.lit(len(adapters.SEVERITIES))).cast("int"))
+    words = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.regexp_extract("o_orderpriority", "([A-Z]+)", 1).alias("word"), raw.alias("raw")).distinct()
     return words.select(
-        "word", "score", severity.severity_rank(F.col("word")).alias("rank"), severity.report_rank(F.when(F.col("word") == "URGENT", "critical").otherwise(F.col("word"))).alias("report_rank"),
-        severity.semgrep_severity(F.col("word")).alias("semgrep"), severity.sarif_severity(F.when(F.col("word") == "URGENT", "error").otherwise(F.col("word"))).alias("sarif"),
-        severity.sonar_severity(F.when(F.col("word") == "HIGH", "MAJOR").otherwise(F.col("word"))).alias("sonar"), severity.generic_severity(F.col("score")).alias("generic"),
+        "word", "raw", severity.severity_rank(F.col("word")).alias("rank"), severity.report_rank(F.when(F.col("word") == "URGENT", "critical").otherwise(F.col("word"))).alias("report_rank"),
+        severity.semgrep_severity(F.col("raw")).alias("semgrep"), severity.sarif_severity(F.when(F.col("word") == "URGENT", "error").otherwise(F.col("word"))).alias("sarif"),
+        severity.sonar_severity(F.when(F.col("word") == "HIGH", "MAJOR").otherwise(F.col("word"))).alias("sonar"), severity.generic_severity(F.col("raw")).alias("generic"), severity.generic_severity(F.col("raw"), "aikido").alias("aikido"),
     )
 
 

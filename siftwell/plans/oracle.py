@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import re
 
-from siftwell.sources.adapters import CWE_OWASP, FINDINGS, GROUND_TRUTH, RAW_PATHS, SUITES, TOOL_RUNS
+from siftwell.sources.adapters import CWE_OWASP, FINDINGS, GROUND_TRUTH, RAW_PATHS, SEVERITIES, SUITES, TOOL_RUNS
 
 TOOLS = ("semgrep", "snyk", "sonar", "aikido")
 KS = "(1), (3), (5), (10), (25), (50)"
@@ -130,6 +130,7 @@ VIEWS = {
   FROM (SELECT suite_id, count(*) AS clusters_total FROM cl GROUP BY suite_id) CROSS JOIN (VALUES (0), (1), (2), (3), (5), (10)) AS tols(t)
   LEFT JOIN (SELECT suite_id, gt_tolerance AS t, count(*) AS pos, count(*) FILTER (n > 1) AS multi, max(n) AS most_ids FROM (SELECT suite_id, gt_tolerance, case_id, cluster_id, count(DISTINCT gt_id) AS n FROM pairs GROUP BY ALL) GROUP BY ALL) USING (suite_id, t)
   LEFT JOIN (SELECT suite_id, gt_tolerance AS t, count(*) AS ids, count(*) FILTER (n > 1) AS spread, max(n) AS most_clusters FROM (SELECT suite_id, gt_tolerance, gt_id, count(*) AS n FROM pairs GROUP BY ALL) GROUP BY ALL) USING (suite_id, t)""",
+    "peaks": "SELECT suite_id, most, CAST(ceil(CAST(most AS DOUBLE) * 0.95::DOUBLE - 1e-9::DOUBLE) AS BIGINT) AS needed FROM (SELECT suite_id, max(gt_overlap_1) AS most FROM sweep GROUP BY suite_id)",
     "counts": "SELECT suite_id, count(*) AS clusters_total, count(*) FILTER (gt_overlap = 1) AS clusters_gt_pos, count(*) FILTER (gt_overlap <> 1) AS clusters_gt_neg, count(DISTINCT case_id) AS cases_seen FROM feat GROUP BY suite_id",
     "cwe_map": "SELECT * FROM (VALUES " + ", ".join(f"('{k}', {v})" for k, v in CWE_OWASP.items()) + ") AS t(cwe, codes)",
 }
@@ -214,9 +215,10 @@ SELECTS = {
     regexp_replace(regexp_replace(regexp_replace(replace(raw_path, chr(92), '/'), '^(\./)+', ''), '^/+|/+$', '', 'g'), '/+', '/', 'g') AS as_prefix FROM paths""",
     "location_keys": "SELECT file_path || ':' || coalesce(line_number, 0) || '-' || coalesce(end_line_number, line_number, 0) AS location_key, count(*) AS findings FROM f GROUP BY ALL",
     "latest_run": f"SELECT case_id, tool, max(run_id) AS run_id FROM runs WHERE {_NOT_RUN} GROUP BY ALL",
-    "severity_maps": """SELECT DISTINCT word, score, CASE word WHEN 'HIGH' THEN 3 WHEN 'MEDIUM' THEN 2 WHEN 'LOW' THEN 1 ELSE 0 END AS rank, CASE word WHEN 'URGENT' THEN 4 WHEN 'HIGH' THEN 3 WHEN 'MEDIUM' THEN 2 WHEN 'LOW' THEN 1 ELSE 0 END AS report_rank,
-    CASE word WHEN 'HIGH' THEN 'HIGH' WHEN 'LOW' THEN 'LOW' WHEN '' THEN NULL ELSE 'MEDIUM' END AS semgrep, CASE word WHEN 'URGENT' THEN 'HIGH' WHEN '' THEN NULL ELSE 'MEDIUM' END AS sarif, CASE word WHEN 'HIGH' THEN 'HIGH' END AS sonar,
-    CASE WHEN score::INT >= 7 THEN 'HIGH' WHEN score::INT >= 4 THEN 'MEDIUM' WHEN score::INT > 0 THEN 'LOW' END AS generic FROM (SELECT regexp_extract(o_orderpriority, '[A-Z]+') AS word, CAST(o_custkey % 10 AS VARCHAR) AS score FROM orders)""",
+    "severity_maps": """SELECT DISTINCT word, raw, CASE word WHEN 'HIGH' THEN 3 WHEN 'MEDIUM' THEN 2 WHEN 'LOW' THEN 1 ELSE 0 END AS rank, CASE word WHEN 'URGENT' THEN 4 WHEN 'HIGH' THEN 3 WHEN 'MEDIUM' THEN 2 WHEN 'LOW' THEN 1 ELSE 0 END AS report_rank,
+    CASE WHEN raw IN ('error', 'critical', 'high') THEN 'HIGH' WHEN raw IN ('info', 'low') THEN 'LOW' ELSE 'MEDIUM' END AS semgrep, CASE word WHEN 'URGENT' THEN 'HIGH' WHEN '' THEN NULL ELSE 'MEDIUM' END AS sarif, CASE word WHEN 'HIGH' THEN 'HIGH' END AS sonar,
+    label AS generic, CASE WHEN raw = 'very high risk' THEN 'HIGH' ELSE label END AS aikido FROM (SELECT *, CASE WHEN lower(raw) IN ('critical', 'crit', 'blocker', 'major', 'high', 'error', '7.5') THEN 'HIGH' WHEN raw IN ('medium', 'moderate', 'warning', 'warn', 'minor', '4') THEN 'MEDIUM'
+    WHEN raw IN ('low', 'info', 'informational', 'note', 'none', '.5') THEN 'LOW' END AS label FROM (SELECT regexp_extract(o_orderpriority, '[A-Z]+') AS word, (""" + str(list(SEVERITIES)) + """)[o_custkey % """ + str(len(SEVERITIES)) + """ + 1] AS raw FROM orders))""",
     "cwe_ids": "SELECT cwe_id, CASE WHEN cwe_id IS NOT NULL THEN 'CWE-' || regexp_extract(cwe_id, '[0-9]+') END AS cwe, count(*) AS findings FROM f GROUP BY ALL",
     "filter_mode": f"SELECT {C}, tool, issue_type, count(*) AS findings FROM sec GROUP BY ALL",
     "filter_scope": f"SELECT {C}, file_path, count(*) AS findings FROM items GROUP BY ALL",
@@ -281,8 +283,8 @@ SELECTS = {
     "tool_utility": "SELECT * FROM utility",
     "tool_marginal": "SELECT * FROM marginal",
     "tolerance_sweep": "SELECT * FROM sweep",
-    "tolerance_auto": """SELECT suite_id, min(gt_tolerance) AS selected_gt_tolerance, any_value(most) AS max_gt_positive_clusters, any_value(needed) AS required_min, false AS analysis_rc_filter_applied, arg_min(clusters_multi_gt, gt_tolerance) AS clusters_multi_gt, arg_min(gt_ids_multi_cluster, gt_tolerance) AS gt_ids_multi_cluster
-    FROM (SELECT *, max(gt_overlap_1) OVER (PARTITION BY suite_id) AS most, CAST(ceil(max(gt_overlap_1) OVER (PARTITION BY suite_id) * 0.95::DOUBLE - 1e-9::DOUBLE) AS BIGINT) AS needed FROM sweep) WHERE gt_overlap_1 >= needed GROUP BY suite_id""",
+    "tolerance_auto": """SELECT suite_id, min(gt_tolerance) AS selected_gt_tolerance, max(most) AS max_gt_positive_clusters, max(needed) AS required_min, false AS analysis_rc_filter_applied, arg_min(clusters_multi_gt, gt_tolerance) AS clusters_multi_gt, arg_min(gt_ids_multi_cluster, gt_tolerance) AS gt_ids_multi_cluster
+    FROM sweep JOIN peaks USING (suite_id) WHERE gt_overlap_1 >= needed GROUP BY suite_id""",
     "tolerance_by_case": f"SELECT {C}, gt_tolerance, count(DISTINCT cluster_id) AS gt_overlap_1 FROM pairs GROUP BY ALL",
     "gt_ambiguity": """SELECT suite_id, gt_tolerance, array_to_string(list_filter([CASE WHEN clusters_multi_gt > 0 THEN 'many_to_one_clusters=' || clusters_multi_gt END, CASE WHEN gt_ids_multi_cluster > 0 THEN 'one_to_many_gt_ids=' || gt_ids_multi_cluster END,
     CASE WHEN max_gt_ids_per_cluster > 1 THEN 'max_gt_ids_per_cluster=' || max_gt_ids_per_cluster END, CASE WHEN max_clusters_per_gt_id > 1 THEN 'max_clusters_per_gt_id=' || max_clusters_per_gt_id END], lambda x: x IS NOT NULL), ';') AS warnings FROM sweep WHERE gt_tolerance = 3""",

@@ -19,8 +19,9 @@ class Suite:
     Two passes are explicit: the first queue has no trust model; the model is learned from its features, and the
     calibrated queue uses it.
 
-    Tables that several later ones read (the features, the model and the rankings) are written to the shared folder
-    when they are first asked for, so no plan repeats what stands behind them.
+    Tables that several later ones read (the findings with their normalised paths, the clusters, the features, the
+    model and the rankings) are written to the shared folder when they are first asked for, so no plan repeats what
+    stands behind them.
     """
 
     def __init__(self, findings: DataFrame, gt: DataFrame, config: AnalysisConfig | None = None):
@@ -28,15 +29,16 @@ class Suite:
 
     @cached_property
     def with_path(self) -> DataFrame:
-        return filters.with_path(self.findings, self.config.repo_name)
+        """The findings with normalised paths, and whether each is in the mode and in scope: paths are read by expressions once."""
+        return stored(filters.flagged(self.findings, self.config))
 
     @cached_property
     def in_mode(self) -> DataFrame:
-        return filters.by_mode(self.with_path, self.config.mode)
+        return self.with_path.where("is_in_mode").drop("is_in_mode", "is_in_scope")
 
     @cached_property
     def items(self) -> DataFrame:
-        return filters.by_scope(self.in_mode, self.config.exclude_prefixes)
+        return self.with_path.where("is_in_mode AND is_in_scope").drop("is_in_mode", "is_in_scope")
 
     @cached_property
     def assigned(self) -> DataFrame:
@@ -44,7 +46,7 @@ class Suite:
 
     @cached_property
     def clusters(self) -> DataFrame:
-        return clustering.summarize_clusters(self.assigned, self.config.tools)
+        return stored(clustering.summarize_clusters(self.assigned, self.config.tools))
 
     @cached_property
     def matches(self) -> DataFrame:
@@ -52,7 +54,7 @@ class Suite:
 
     @cached_property
     def gaps(self) -> DataFrame:
-        return groundtruth.gap_queue(self.matches, self.with_path, self.in_mode, self.items)
+        return groundtruth.gap_queue(self.matches, self.with_path)
 
     @cached_property
     def queue(self) -> DataFrame:
@@ -60,7 +62,7 @@ class Suite:
 
     @cached_property
     def features(self) -> DataFrame:
-        return triage.triage_features(self.clusters, self.gt, self.queue, self.config)
+        return triage.triage_features(self.clusters, self.gt, self.config)
 
     @cached_property
     def stored_features(self) -> DataFrame:
@@ -92,7 +94,7 @@ class Suite:
 
     @cached_property
     def cases(self) -> DataFrame:
-        return evaluation.cases(self.rows, self.gt)
+        return stored(evaluation.cases(self.rows, self.gt))
 
     @cached_property
     def ranked(self) -> DataFrame:
@@ -120,7 +122,8 @@ class Suite:
 
     @cached_property
     def marginal(self) -> DataFrame:
-        return evaluation.tool_marginal(self.rows, self.cases, self.utility, self.model, self.config)
+        ranked = stored(evaluation.rankings_without(self.rows, self.cases, self.model, self.config))
+        return evaluation.tool_marginal(self.rows, self.cases, self.utility, ranked, self.config)
 
     @cached_property
     def at_tolerances(self) -> list[Suite]:

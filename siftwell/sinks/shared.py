@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import lru_cache
@@ -15,8 +16,13 @@ def _own_folder() -> str:
 
 
 def folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; where it is unset, as in tests, a temporary folder of this process."""
-    return spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
+    """spark.checkpoint.dir; where it is unset and Spark runs in one process, as in tests, a temporary folder of this process."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if found:
+        return found
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return _own_folder()
 
 
 def stored(df: DataFrame) -> DataFrame:

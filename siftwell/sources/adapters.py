@@ -30,7 +30,7 @@ FROM {{lineitem}} WHERE {{kept}}
 GROUND_TRUTH = """
 SELECT '{suite}' AS suite_id, 'owasp2021-a' || lpad(CAST(c AS STRING), 2, '0') || '-case' AS case_id,
   'OWASP2021_Acc_' || CAST(p_partkey AS STRING) AS gt_id, 'src/f' || CAST(p_partkey AS STRING) || '.py' AS file,
-  CAST(p_size % 40 + 1 AS INT) AS start_line, CAST(p_size % 40 + 1 + p_size % 3 AS INT) AS end_line,
+  CAST(p_size % 40 + 1 + CASE WHEN c = 10 THEN 1000 ELSE 0 END AS INT) AS start_line, CAST(p_size % 40 + 1 + p_size % 3 + CASE WHEN c = 10 THEN 1000 ELSE 0 END AS INT) AS end_line,
   CASE WHEN p_size % 7 = 0 THEN 'sca' ELSE 'sast' END AS track, CASE WHEN p_size % 2 = 0 THEN 'core' ELSE 'extended' END AS set_name
 FROM {part}, (VALUES (1), (2), (3), (4), (5), (7), (8), (9), (10)) AS cases(c)
 WHERE (p_partkey * 7 + c) % 5 = 0 AND p_partkey % 20 <> 0
@@ -51,6 +51,9 @@ SELECT DISTINCT {_CASE} AS case_id, {_TOOL} AS tool,
 FROM {{lineitem}}
 """
 
+# Severities as tools write them.
+SEVERITIES = ("critical", "crit", "Blocker", "major", "high", "error", "medium", "moderate", "warning", "warn", "minor", "low", "info", "informational", "note", "none", "very high risk", "", "severe", "7.5", "4", ".5", "0", "-3")
+
 # A small dimension in place of a full CWE catalogue.
 CWE_OWASP = {
     "CWE-79": ["A03"],

@@ -16,7 +16,7 @@ def latest_runs(runs: DataFrame, keys: list[str]) -> DataFrame:
 
 def only_latest(rows: DataFrame, keys: list[str]) -> DataFrame:
     """The rows of each group's latest run."""
-    return rows.join(F.broadcast(latest_runs(rows.select(*keys, "run_id").distinct(), keys)), [*keys, "run_id"], "left_semi")
+    return rows.join(latest_runs(rows.select(*keys, "run_id").distinct(), keys), [*keys, "run_id"], "left_semi")
 
 
 def path_columns(path: Column) -> dict[str, Column]:

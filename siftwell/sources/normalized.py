@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from siftwell.config import AnalysisConfig
 from siftwell.functions.classification import normalize_cwe
 from siftwell.functions.paths import repo_relative
 from siftwell.functions.severity import generic_severity, sarif_severity, semgrep_severity, sonar_severity
@@ -33,7 +34,14 @@ def _finished(rows: DataFrame, tool: str | None = None) -> DataFrame:
     named = rows if tool is None else rows.withColumn("tool", F.lit(tool))
     filled = named.withColumns({c: F.lit(None).cast("string") for c in ("issue_type", "cwe_id") if c not in named.columns})
     filled = filled.withColumns({c: F.lit(None).cast("array<string>") for c in ("cwe_ids", "owasp_tags") if c not in named.columns})
-    return filled.withColumn("item_seq", F.col("pos").cast("bigint")).select(*COLUMNS)
+    return filled.withColumn("item_seq", _tool_order(F.col("tool")) * F.lit(1 << 40) + F.col("pos")).select(*COLUMNS)
+
+
+def _tool_order(tool: Column) -> Column:
+    """The tool's place among those of an analysis; others come after all of them."""
+    known = AnalysisConfig().tools
+    place = F.array_position(F.array(*map(F.lit, known)), F.lower(F.coalesce(tool, F.lit(""))))
+    return F.when(place > 0, place - 1).otherwise(F.lit(len(known)).cast("bigint"))
 
 
 def read_runs(spark: SparkSession, path: str, latest: bool = True) -> DataFrame:
@@ -47,6 +55,9 @@ def read_runs(spark: SparkSession, path: str, latest: bool = True) -> DataFrame:
 SEMGREP = "results array<struct<check_id:string,path:string,start:struct<line:int>,end:struct<line:int>,extra:struct<message:string,severity:string,metadata:struct<category:string,cwe:array<string>,owasp:array<string>>>>>"
 SARIF = "runs array<struct<tool:struct<driver:struct<rules:array<struct<id:string,name:string,shortDescription:struct<text:string>,properties:struct<cwe:array<string>,tags:array<string>>>>>>,results:array<struct<ruleId:string,level:string,message:struct<text:string>,locations:array<struct<physicalLocation:struct<artifactLocation:struct<uri:string>,region:struct<startLine:int,endLine:int>>>>>>>>"
 SONAR = "issues array<struct<key:string,rule:string,severity:string,component:string,message:string,type:string,line:int,textRange:struct<startLine:int,endLine:int>>>"
+# The keys that hold Aikido's issues, the first list counts; then those of objects that hold such a list.
+AIKIDO_LISTS = ("data", "issues", "findings", "vulnerabilities", "blockingIssues", "blocking_issues", "openIssues", "open_issues", "newIssues", "new_issues")
+AIKIDO_OBJECTS = ("result", "results", "scan", "scanResult", "scan_result")
 AIKIDO = "id string, rule_id string, rule string, title string, severity string, severity_score string, affected_file string, file_path string, start_line int, line int, end_line int, cwe_id string, code_repo_id string"
 
 
@@ -88,15 +99,21 @@ def read_sonar(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_aikido(spark: SparkSession, path: str, repo_id: str | None = None) -> DataFrame:
-    """Issues of saved Aikido exports: a list, or under data, issues or findings; of one repository if named."""
+    """Issues of saved Aikido exports of one repository, if named: a list, or one under a key of AIKIDO_LISTS, in an object of AIKIDO_OBJECTS, or new and existing ones."""
     issue = f"array<struct<{AIKIDO.replace(' string', ':string').replace(' int', ':int').replace(', ', ',')}>>"
     texts = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("path")).withColumns(path_columns(F.col("path")))
-    wrapped = F.from_json("value", f"struct<data:{issue},issues:{issue},findings:{issue}>")
+
+    def under(path: str) -> Column:
+        """The list at a path; null where there is none.  Keys that hold something else don't spoil the others."""
+        return F.from_json(F.get_json_object("value", path), issue)
+
+    inner = [under(f"$.{outer}.{key}") for outer in AIKIDO_OBJECTS for key in AIKIDO_LISTS[:4]]
+    wrapped = F.coalesce(*[under(f"$.{key}") for key in AIKIDO_LISTS], *inner, F.concat(under("$.new"), under("$.existing")))
     listed = F.from_json("value", issue)
-    rows = texts.select("suite_id", "case_id", "run_id", F.posexplode(F.when(F.ltrim("value").startswith("["), listed).otherwise(F.coalesce(wrapped["data"], wrapped["issues"], wrapped["findings"]))).alias("pos", "r"))
+    rows = texts.select("suite_id", "case_id", "run_id", F.posexplode(F.when(F.ltrim("value").startswith("["), listed).otherwise(wrapped)).alias("pos", "r"))
     rows = rows if repo_id is None else rows.where(F.col("r.code_repo_id") == repo_id)
     start, rule = F.coalesce("r.start_line", "r.line"), F.coalesce("r.rule_id", "r.rule")
     return _finished(rows.select(
-        "suite_id", "case_id", "run_id", "pos", F.concat_ws(":", "r.id", rule).alias("finding_id"), rule.alias("rule_id"), F.coalesce("r.title", rule).alias("title"), generic_severity(F.coalesce("r.severity_score", "r.severity")).alias("severity"),
+        "suite_id", "case_id", "run_id", "pos", F.concat_ws(":", "r.id", rule).alias("finding_id"), rule.alias("rule_id"), F.coalesce("r.title", rule).alias("title"), generic_severity(F.coalesce("r.severity_score", "r.severity"), "aikido").alias("severity"),
         F.coalesce("r.affected_file", "r.file_path").alias("file_path"), start.alias("line_number"), F.coalesce("r.end_line", start).alias("end_line_number"), normalize_cwe(F.col("r.cwe_id")).alias("cwe_id"),
     ), "aikido")

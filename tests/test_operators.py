@@ -104,7 +104,7 @@ def test_ground_truth(spark):
     assert got == {"gt:x:5:9": (5, 9, "sast"), "g2": (1, 1, "unknown")}
     found = items(spark, [("a", "x", 10, 10, "LOW"), ("b", "y", 9, 9, "LOW")])
     assert {r["gt_id"]: r["matched_tools"] for r in groundtruth.match_items(gt, found, 1).collect()} == {"gt:x:5:9": "a", "g2": ""}
-    gaps = groundtruth.gap_queue(groundtruth.match_items(gt, found, 0), found, found, found.limit(0))
+    gaps = groundtruth.gap_queue(groundtruth.match_items(gt, found, 0), found.selectExpr("*", "true AS is_in_mode", "false AS is_in_scope"))
     assert {r["gt_id"]: (r["reason"], r["filtered_by"]) for r in gaps.collect()} == {"gt:x:5:9": ("filtered_out", "scope"), "g2": ("filtered_out", "scope")}
     stats = tolerance.sweep(clustering.summarize_clusters(clustering.assign_clusters(found, 3), ("a", "b")), gt, (0, 1, 10))
     assert {r["gt_tolerance"]: r["gt_overlap_1"] for r in stats.collect()} == {0: 0, 1: 1, 10: 2}
@@ -156,7 +156,7 @@ def test_marginal(spark):
     config = AnalysisConfig(ks=(1, 2))
     rows = evaluation.read_features(table)
     cases = evaluation.cases(rows, gt_of(spark, [("one", "g")]))
-    got = {(r["tool"], r["strategy"], r["k"]): r for r in evaluation.tool_marginal(rows, cases, evaluation.tool_utility(rows, cases), None, config).collect()}
+    got = {(r["tool"], r["strategy"], r["k"]): r for r in evaluation.tool_marginal(rows, cases, evaluation.tool_utility(rows, cases), evaluation.rankings_without(rows, cases, None, config), config).collect()}
     noise, good = got["aikido", "baseline", 1], got["snyk", "baseline", 2]
     assert (noise["precision_full"], noise["precision_drop"], noise["neg_in_topk_full"], noise["neg_in_topk_drop"]) == (0.0, 1.0, 1, 0)
     assert (good["gt_coverage_full"], good["gt_coverage_drop"]) == (1.0, 0.0)

@@ -11,8 +11,6 @@ from siftwell.plans.catalog import QUERIES
 from siftwell.plans.oracle import ORACLE_SQL
 
 SF = "/root/testdata/sf0.001"
-CHECKED = ["normalize_paths", "filter_counts", "latest_run", "severity_maps", "cluster_locations", "tool_profile", "pairwise_agreement", "consensus_queue", "overview_tools", "taxonomy", "gt_match", "gt_gap_queue", "gt_set_scores",
-           "triage_features", "calibration_by_owasp", "triage_queue_calibrated", "eval_topk", "eval_macro", "tool_marginal", "tolerance_auto"]
 
 
 def _value(v):
@@ -41,11 +39,12 @@ def test_every_query_has_sql():
     assert set(QUERIES) <= set(entry.queries()) and set(ORACLE_SQL) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", CHECKED)
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_sql(spark, duck, name):
     found, wanted = QUERIES[name](spark, SF).toPandas(), duck.sql(ORACLE_SQL[name]).df()
     assert set(found.columns) == set(wanted.columns)
     assert rows(found) == rows(wanted)
+    assert len(found) or name in ("gt_ambiguity",)
 
 
 def test_entry_is_a_ranked_queue(spark):

@@ -44,6 +44,22 @@ def test_reports(spark, tmp_path):
     assert rows(normalized.read_aikido(spark, str(tmp_path / "d"), "9")) == rows(normalized.read_aikido(spark, str(tmp_path / "e"))) == [("aikido", "r", "r", "HIGH", "x.py", 1, 1, None)]
 
 
+def test_aikido_shapes(spark, tmp_path):
+    issue = {"id": "1", "rule": "r", "severity": "quite High", "file_path": "x.py"}
+    shapes = [{"vulnerabilities": [issue]}, {"data": "no list", "scanResult": {"findings": [issue]}}, {"new": [issue], "existing": [{**issue, "id": "2"}]}, {"openIssues": [issue], "issues": []}]
+    for k, shape in enumerate(shapes):
+        put(tmp_path, f"{k}/" + run("aikido"), shape)
+    counts = [normalized.read_aikido(spark, str(tmp_path / str(k))).count() for k in range(len(shapes))]
+    assert counts == [1, 1, 2, 0] and normalized.read_aikido(spark, str(tmp_path / "0")).first()["severity"] == "HIGH"
+
+
+def test_order_of_tools(spark, tmp_path):
+    for tool in ("aikido", "other", "snyk"):
+        put(tmp_path, run(tool, name="normalized.json"), {"tool": tool, "findings": [{"finding_id": "a"}, {"finding_id": "b"}]})
+    got = normalized.read_runs(spark, str(tmp_path)).orderBy("item_seq").collect()
+    assert [(r["tool"], r["finding_id"]) for r in got] == [(t, f) for t in ("snyk", "aikido", "other") for f in "ab"]
+
+
 def test_markers(spark, tmp_path):
     put(tmp_path, "src/a.py", "x = 1\n# GT_MARKER id=g1 track=sast, set=core id=g9\n# GT:blk_END\ny\n# GT:blk_START\n")
     put(tmp_path, "README.md", "GT_MARKER id=no\n")
