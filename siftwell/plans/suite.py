@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from siftwell.config import AnalysisConfig
 from siftwell.operators import calibration, clustering, evaluation, filters, groundtruth, triage
-from siftwell.sinks.shared import stored
+from siftwell.sinks.shared import spread, stored
 
 
 class Suite:
@@ -30,7 +30,7 @@ class Suite:
     @cached_property
     def with_path(self) -> DataFrame:
         """The findings with normalised paths, and whether each is in the mode and in scope: paths are read by expressions once."""
-        return stored(filters.flagged(self.findings, self.config))
+        return stored(filters.flagged(spread(self.findings), self.config))
 
     @cached_property
     def in_mode(self) -> DataFrame:

@@ -25,6 +25,12 @@ def folder(spark: SparkSession) -> str:
     return _own_folder()
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df, dealt out anew if it comes in fewer partitions than there are slots, as a few small files do."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+
+
 def stored(df: DataFrame) -> DataFrame:
     """df, written and reread: later plans start at the table, and lost executors cost no earlier work."""
     path = f"{folder(df.sparkSession)}/siftwell-{uuid.uuid4().hex}"
