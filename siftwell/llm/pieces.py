@@ -47,6 +47,8 @@ class PieceModel:
         from sentencepiece import SentencePieceProcessor
 
         model = SentencePieceProcessor(model_file=model_path)
+        if sum(model.is_byte(k) for k in range(model.vocab_size())) != 256:
+            raise ValueError("the model has no pieces for all bytes, so some texts would not come back")
         self.bytes_of = [b""] * model.vocab_size()
         self.byte_ids = np.zeros(256, np.int64)
         weight: dict[bytes, tuple[int, float]] = {}

@@ -9,10 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftwell.llm import decontamination, fingerprints, jaccard, licenses, personal, pieces, quality, secrets, substrings, token_counts
+from siftwell.llm.shared import small_batches
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return small_batches(spark).read.parquet(f"{sf_dir}/documents.parquet")
 
 
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,6 +26,20 @@ def folder(spark: SparkSession) -> str:
     return _own_folder()
 
 
+#: Bytes of the batches that Spark hands to Python: a task holds a few of them at once.
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """spark, whose Arrow batches hold at most BATCH_BYTES from here on, whatever the length of the rows; smaller settings stay."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = re.fullmatch(r"(\d+)([bkmg]?)b?", spark.conf.get(name).lower())
+    size = int(now[1]) << {"k": 10, "m": 20, "g": 30}.get(now[2], 0) if now else 0
+    if not 0 < size <= BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+    return spark
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Remove a folder wherever Spark can write."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

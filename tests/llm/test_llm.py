@@ -292,6 +292,22 @@ def test_token_counts(spark, odd, empty, texts):
     wanted = sorted((k or 0, len(library.encode(t or "", add_special_tokens=False).ids)) for k, t in ODD)
     assert sorted((r["doc_id"] or 0, r["n_tokens"]) for r in token_counts.count_tokens(odd, path).collect()) == wanted
     assert token_counts.count_tokens(empty, path).count() == 0
+    with pytest.raises(ValueError):
+        token_counts.PieceCounts(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_token_counts_of_hostile_texts():
+    from tokenizers import Tokenizer
+
+    from siftwell.llm.words import Words
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, rng = Tokenizer.from_file(path), np.random.default_rng(3)
+    signs = ["a", "Z", "\u00e9", "e\u0301", "\u0301", "\u4f60", "\U0001f600", "'s", "'", "9", "_", ",", " ", "\n", "\t", "\u00a0", "\u2028", "\x00", "<|endoftext|>", "<|startoftext|>", "<|", "\u0130", "\ufb01"]
+    texts = ["".join(rng.choice(signs, rng.integers(1, 40))) for _ in range(1500)] + ["x" * 300_000, "ab," * 50_000]
+    counts = token_counts.PieceCounts(path, entries=50)
+    got = np.concatenate([counts.per_row(Words(pa.array(texts[k : k + 100]))) for k in range(0, len(texts), 100)])
+    assert got.tolist() == [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
 
 
 def base_personal(text):
