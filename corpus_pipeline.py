@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftwell.llm import decontamination, jaccard, pieces, quality, secrets
-from siftwell.llm.shared import Tables, delete, folder, only, without
+from siftwell.llm.shared import Tables, delete, folder, only, small_batches, without
 
 #: Documents with a lower quality score go.
 LEAST_QUALITY = 0.5
@@ -21,6 +21,7 @@ LEAST_QUALITY = 0.5
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score is LEAST_QUALITY or more."""
+    small_batches(spark)
     model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality.score(docs, model, score_col="quality score").where(F.col("quality score") >= LEAST_QUALITY).drop("quality score")
 
@@ -38,7 +39,7 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
     A null id counts as the largest.  Of rows that are equal in all columns, one stays.
     """
-    tables, keyed = Tables(spark), _keyed(docs)
+    tables, keyed = Tables(small_batches(spark)), _keyed(docs)
     groups = jaccard.linked_components(keyed, id_col=ROW_KEY)
     named = groups.join(keyed.select(ROW_KEY, "doc_id"), ROW_KEY)
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", ROW_KEY)
@@ -53,17 +54,20 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that leak no benchmark item."""
+    small_batches(spark)
     found = decontamination.leaks(_keyed(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col=ROW_KEY)
     return without(Tables(spark), _keyed(docs), found.select(F.col(ROW_KEY).alias("id")), ROW_KEY).drop(ROW_KEY)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets replaced by their kind; n_chars is counted anew where it changes."""
+    small_batches(spark)
     return secrets.redact(docs, n_chars_col="n_chars")
 
 
 def sentencepiece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_chars, n_pieces, piece_ids and whether decoding gives back the text."""
+    small_batches(spark)
     model = public_tokenizers.path("piece_bpe_32k.model")
     both = pieces.decode(pieces.encode(docs, model), model)
     lossless = (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless")
