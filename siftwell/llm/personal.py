@@ -26,8 +26,8 @@ from siftwell.llm.words import slices, text_bytes
 
 BASE_KINDS = ["email", "ip", "card", "phone"]
 KINDS = [*BASE_KINDS, "ssn", "iban"]
-#: The most words of a segment that is personal data.
-MOST_WORDS = 6
+#: The most words of a segment that is personal data: an IBAN of 34 characters in groups of four has nine.
+MOST_WORDS = 9
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -134,7 +134,9 @@ def _made_islands(rng: np.random.Generator, count: int) -> Iterator[tuple[str, s
             return rng.choice([f"+{number(1)} ({number(3)}) {number(3)}-{number(4)}", f"({number(3)}) {number(3)}-{number(4)}", f"+{number(2)} {number(3)} {number(3)} {number(3)}", f"{number(3)}-{number(3)}-{number(4)}"])
         if kind == 4:
             return f"{number(3)}-{number(2)}-{number(4)}"
-        return f"{rng.choice(['DE', 'FR', 'GB'])}{number(2)} {number(4)} {number(4)} {number(4)} {number(4)}" if rng.random() < 0.5 else f"{rng.choice(['DE', 'FR', 'GB'])}{number(18)}"
+        length = int(rng.choice([15, 16, 18, 20, 22, 22, 24, 27, 28, 29, 31, 34]))
+        whole = f"{rng.choice(['DE', 'FR', 'GB', 'NO', 'MT'])}{number(length - 2)}"
+        return " ".join(whole[k : k + 4] for k in range(0, length, 4)) if rng.random() < 0.6 else whole
 
     def noise() -> str:
         return str(rng.choice([number(1), number(2), number(4), number(8), number(12), number(16), f"{number(2)}.{number(2)}", f"v{number(1)}.{number(1)}.{number(1)}", f"{number(4)}-{number(2)}-{number(2)}", f"a{number(3)}", f"x@{number(2)}", f"@user{number(2)}", f"{number(3)},{number(3)}", f"{number(20)}", f"{number(24)}ab"]))

@@ -22,12 +22,14 @@ A null or empty text has no pieces, and decodes to the empty text.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from siftwell.llm.words import _HASHES, _POWERS, mix, slices, text_bytes
 
@@ -40,6 +42,12 @@ _DRAW_BITS = 30
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
+@lru_cache(2)
+def piece_model(model_path: str, alpha: float) -> PieceModel:
+    """A worker reads a model once."""
+    return PieceModel(model_path, alpha)
+
+
 class PieceModel:
     """The pieces of a SentencePiece model file, and a table of their prefixes with code and log weight."""
 
@@ -261,11 +269,25 @@ def encode(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str
     Rows with equal ids and texts get equal pieces; a null id is a key like any other.  A column piece_ids of df is
     replaced.
     """
-    rows = df.drop("piece_ids").withColumn("piece_ids", F.xxhash64(df[id_col]))  # the key, until the pieces are there
-    names = rows.columns
+    rows = _with_key(df, id_col)
+    return rows.mapInArrow(_encoder(model_path, text_col, rows.columns, alpha, seed), _encoded_schema(df))
+
+
+def _with_key(df: DataFrame, id_col: str) -> DataFrame:
+    """df with piece_ids: the row's key, until the pieces are there."""
+    return df.drop("piece_ids").withColumn("piece_ids", F.xxhash64(df[id_col]))
+
+
+def _encoded_schema(df: DataFrame) -> StructType:
+    return df.drop("piece_ids").withColumn("piece_ids", F.array(F.lit(0))).schema
 
+
+Step = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def _encoder(model_path: str, text_col: str, names: list[str], alpha: float, seed: int) -> Step:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = PieceModel(model_path, alpha)
+        model = piece_model(model_path, alpha)
         lattices = Lattices(model)
         for part in slices(batches, text_col):
             data, start, first = _pretokens(part.column(text_col), model.alone)
@@ -281,15 +303,26 @@ def encode(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str
             lists = pa.ListArray.from_arrays(pa.array(total[first].astype(np.int32)), pa.array(ids))
             yield pa.RecordBatch.from_arrays([*part.columns[:-1], lists], names=names)
 
-    return rows.mapInArrow(run, df.drop("piece_ids").withColumn("piece_ids", F.array(F.lit(0))).schema)
+    return run
 
 
 def decode(df: DataFrame, model_path: str, pieces_col: str = "piece_ids") -> DataFrame:
     """df with a column decoded: the text of its pieces.  Null pieces decode to null; a column decoded of df is replaced."""
     df = df.drop("decoded")
+    return df.mapInArrow(_decoder(model_path, pieces_col), df.selectExpr("*", "'' AS decoded").schema)
+
+
+def round_trip(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", alpha: float = 1.0, seed: int = 0) -> DataFrame:
+    """decode(encode(df)) by one worker for each task."""
+    rows = _with_key(df.drop("decoded"), id_col)
+    first, then = _encoder(model_path, text_col, rows.columns, alpha, seed), _decoder(model_path, "piece_ids", alpha)
+    schema = _encoded_schema(df.drop("decoded")).add("decoded", "string")
+    return rows.mapInArrow(lambda batches: then(first(batches)), schema)
+
 
+def _decoder(model_path: str, pieces_col: str, alpha: float = 1.0) -> Step:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spelled = PieceModel(model_path, 1.0).bytes_of
+        spelled = piece_model(model_path, alpha).bytes_of
         size = np.array([len(x) for x in spelled])
         begin = np.cumsum(size) - size
         letters = np.frombuffer(b"".join(spelled), np.uint8)
@@ -307,4 +340,4 @@ def decode(df: DataFrame, model_path: str, pieces_col: str = "piece_ids") -> Dat
                 decoded = pa.array([t if ok else None for t, ok in zip(texts, lists.is_valid().to_pylist(), strict=True)], pa.string())
                 yield pa.RecordBatch.from_arrays([*part.columns, decoded], names=[*part.schema.names, "decoded"])
 
-    return df.mapInArrow(run, df.selectExpr("*", "'' AS decoded").schema)
+    return run

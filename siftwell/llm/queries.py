@@ -161,7 +161,7 @@ FROM docs LEFT JOIN sizes USING (doc_id) LEFT JOIN (SELECT id AS doc_id, min(oth
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
-    both = pieces.decode(pieces.encode(_documents(spark, sf_dir).select("doc_id", "text"), model), model)
+    both = pieces.round_trip(_documents(spark, sf_dir).select("doc_id", "text"), model)
     return both.select("doc_id", F.size("piece_ids").alias("n_pieces"), "piece_ids", (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"))
 
 

@@ -164,7 +164,7 @@ RULES = [
     Rule("stripe", r"[rs]k_live_[A-Za-z0-9]{20,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
     Rule("bearer", r"bearer\x20[A-Za-z0-9._~+/-]{20,}", re.ASCII | re.IGNORECASE),
-    Rule("url_password", r"://[^\s:/@]{1,64}:[^\s:/@]{3,64}@"),
+    Rule("url_password", r"://[^\s:/@]+:[^\s:/@]{3,}@"),
 ]
 
 

@@ -27,7 +27,7 @@ def folder(spark: SparkSession) -> str:
 
 
 #: Bytes of the batches that Spark hands to Python: a task holds a few of them at once.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 
 
 def small_batches(spark: SparkSession) -> SparkSession:

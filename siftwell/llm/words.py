@@ -54,7 +54,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut batches into runs of rows whose texts hold at most limit bytes, or a single row."""
+    """Cut batches into runs of rows whose texts hold at most limit bytes, or a single row; a worker's unused memory goes back at the end."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -64,6 +64,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = C
             end = max(begin + 1, int(np.searchsorted(at, at[begin] + limit, "right")) - 1)
             yield batch.slice(begin, end - begin)
             begin = end
+    pa.default_memory_pool().release_unused()
 
 
 def hash_ranges(data: np.ndarray, start: np.ndarray, end: np.ndarray, which: int = 0) -> np.ndarray:

@@ -161,6 +161,8 @@ def test_pieces(spark, odd, empty):
     assert one == two
     other = {(r["doc_id"], r["text"]): r["piece_ids"] for r in pieces.encode(odd, path, seed=7).collect()}
     assert one != other
+    trip = {(r["doc_id"], r["text"]): (r["piece_ids"], r["decoded"]) for r in pieces.round_trip(odd, path).collect()}
+    assert trip == {k: (one[k], k[1] or "") for k in one}
     assert queries.op5_sentencepiece(spark, SF).where("NOT lossless").count() == 0
 
 
@@ -331,3 +333,38 @@ def test_personal(spark, odd, empty, texts):
     assert personal.find(odd).count() == len(ODD) and personal.find(empty).count() == 0
     got = {(s["kind"], ODD[12][1][s["start"] : s["end"]]) for r in personal.find(odd).where("doc_id = 10").collect() for s in r["spans"]}
     assert {("email", "a.b@c.de"), ("ip", "10.0.0.1"), ("phone", "+1 (706) 555-3138"), ("card", "4539 1488 0343 6467")} <= got
+
+
+def test_field_finds_whole_spans():
+    """Made islands of another seed: the field's spans are those that were made; IBANs in fours are whole."""
+    model, rng = personal.trained(), np.random.default_rng(99)
+    wanted = got = both = 0
+    for text, before, labels in personal._made_islands(rng, 400):
+        words = [m.span() for m in personal._WORD.finditer(text)]
+        truth = {(y - 1, words[a][0]) for y, a, _ in labels if y}
+        found = {(k, a - len(before) - 1) for k, a, _ in personal.field_spans(f"{before} {text}", *model)}
+        wanted, got, both = wanted + len(truth), got + len(found), both + len(truth & found)
+    assert both >= 0.9 * wanted and both >= 0.9 * got
+    for iban in ("DE89 3704 0044 0532 0130 00", "FR14 2004 1010 0505 0001 3002 606"):
+        assert (5, 5, 5 + len(iban)) in personal.field_spans(f"iban {iban} and", *model)
+
+
+def test_viterbi_is_the_best_of_all_segmentations():
+    weights, moves = personal.trained()
+    for text in ("12 4539 1488 0343 6467", "a@b.de 10.0.0.1 7", "+1 (706) 555-3138"):
+        words = [m.span() for m in personal._WORD.finditer(text)]
+        rows, places = personal._segments(text, words, "")
+        scores = dict(zip(places, personal._scores(rows, places, weights), strict=True))
+
+        def ways(at, last):
+            if at == len(words):
+                yield 0.0, ()
+            for end in range(at, min(len(words), at + personal.MOST_WORDS)):
+                for y in range(moves.shape[0]):
+                    own = moves[last, y] + scores[at, end][y]
+                    if np.isfinite(own):
+                        for rest, spans in ways(end + 1, y):
+                            yield own + rest, (((y - 1, at, end),) if y else ()) + spans
+
+        _, best = max(ways(0, 0))
+        assert sorted((k, a) for k, a, _ in personal.field_spans(text, weights, moves)) == sorted((k, words[a][0]) for k, a, _ in best)
