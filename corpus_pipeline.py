@@ -69,7 +69,7 @@ def sentencepiece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """doc_id, lang, source, n_chars, n_pieces, piece_ids and whether decoding gives back the text."""
     small_batches(spark)
     model = public_tokenizers.path("piece_bpe_32k.model")
-    both = pieces.decode(pieces.encode(docs, model), model)
+    both = pieces.round_trip(docs, model)
     lossless = (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless")
     return both.select("doc_id", "lang", "source", "n_chars", F.size("piece_ids").alias("n_pieces"), "piece_ids", lossless)
 
