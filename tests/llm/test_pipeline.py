@@ -36,3 +36,12 @@ def test_stages_take_odd_tables(spark):
             assert stage(spark, df, SF).count() <= df.count()
     assert corpus_pipeline.STAGES[0][1](spark, docs, SF).columns == docs.columns
     assert jaccard.linked_components(docs).count() == len(rows)
+
+
+def test_near_copies_with_null_and_repeated_ids(spark):
+    """Of each group the smallest id stays, a null one last; rows of one id with different texts are different documents."""
+    one, two = (" ".join(f"{x}{k}" for k in range(40)) for x in "ab")
+    rows = [(5, one), (3, one), (3, two), (None, one + " more"), (None, "alone it stands here and there"), (7, "short"), (7, "short"), (8, None), (8, "")]
+    docs = spark.createDataFrame([(k, t, "en") for k, t in rows], "doc_id long, text string, lang string")
+    got = sorted(((r["doc_id"], r["text"]) for r in corpus_pipeline.ngram_jaccard_join(spark, docs, SF).collect()), key=repr)
+    assert got == sorted([(3, one), (3, two), (None, "alone it stands here and there"), (7, "short"), (8, None), (8, "")], key=repr)
