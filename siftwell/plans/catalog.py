@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftwell.functions import classification, paths, severity
-from siftwell.operators import agreement, clustering, compare, evaluation, filters, groundtruth, mart, tolerance
+from siftwell.functions import classification, contract, paths, severity
+from siftwell.operators import agreement, clustering, compare, diagnostics, evaluation, filters, groundtruth, mart, report, resolution, tolerance
 from siftwell.plans.suite import Suite
 from siftwell.sources import adapters, layout
 
@@ -147,3 +147,112 @@ def mart_strategy_ab(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM {facts} WHERE k = 25 GROUP BY case_id""",
         facts=facts,
     )
+
+
+of_suite("tolerance_tools", lambda s: s.tolerance_tools)
+of_suite("tolerance_macro", lambda s: s.tolerance_macro)
+
+
+def _joined(name: str) -> Column:
+    return F.array_join(name, ",").alias(name.split(".")[0])
+
+
+def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = adapters.tagged(spark, sf_dir)
+    ids = resolution.cwe_candidates([F.array("cwe_id")], [F.col("description")])
+    return resolution.resolve(rows.withColumns({"cwe_ids": ids, "vendor_codes": resolution.vendor_codes([F.col("vendor_field")], [])}), adapters.cwe_mapping(spark))
+
+
+@query
+def finding_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Findings by their CWE ids and the six views of their OWASP codes."""
+    rows = _classified(spark, sf_dir).select("tool", "cwe_id", _joined("cwe_ids"), *[_joined(f"{b}.codes") for b in contract.BLOCKS])
+    return rows.groupBy(*rows.columns).agg(F.count("*").alias("findings"))
+
+
+@query
+def finalized_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contract.finalized(_classified(spark, sf_dir)).select(*CASE, "tool", "finding_id", "file_path", "line_number", _joined("cwe_ids"))
+
+
+@query
+def finding_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = adapters.flawed(spark, sf_dir).select("tool", F.explode(contract.problems()).alias("problem"))
+    return rows.groupBy("tool", "problem").agg(F.count("*").alias("findings"))
+
+
+def _rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resolution.rule_classification(adapters.rules(spark, sf_dir))
+
+
+@query
+def rule_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rules(spark, sf_dir).select("rule_key", "vuln_class", _joined("cwe_ids"), _joined("owasp_top_10_2017.codes"), _joined("owasp_top_10_2021.codes"))
+
+
+@query
+def rule_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sonar's findings with what their rules add."""
+    rows = adapters.findings(spark, sf_dir).where("tool = 'sonar'").withColumns({"cwe_ids": F.array().cast("array<string>"), "vuln_class": F.lit("own")})
+    found = resolution.enriched(rows, _rules(spark, sf_dir)).select("rule_id", "cwe_id", _joined("cwe_ids"), "vuln_class", _joined("owasp_top_10_2021.codes"))
+    return found.groupBy(*found.columns).agg(F.count("*").alias("findings"))
+
+
+@query
+def schema_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return diagnostics.schema_gaps(adapters.flawed(spark, sf_dir))
+
+
+@query
+def empty_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return diagnostics.empty_runs(adapters.reports(spark, sf_dir), adapters.findings(spark, sf_dir))
+
+
+@query
+def scanner_config(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = adapters.receipts(spark, sf_dir).unionByName(adapters.receipts(spark, sf_dir, "suite_prev"))
+    hashes = F.array_join(F.transform("config_hashes", lambda x: F.concat(x["tool"], F.lit("="), F.array_join(x["hashes"], ","))), ";")
+    rows = diagnostics.scanner_config(both, ("semgrep", "snyk", "sonar", "aikido"))
+    return rows.select("suite_id", "profile", "profile_mode", hashes.alias("config_hashes"), "receipts_found", _joined("tools_seen"), _joined("missing_tools"), F.array_join("warnings", "; ").alias("warnings"))
+
+
+def _cases(s: Suite, sf_dir: str) -> DataFrame:
+    spark = s.findings.sparkSession
+    return s.case_rows(adapters.planned(spark), adapters.reports(spark, sf_dir))
+
+
+@query
+def case_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _cases(suite(spark, sf_dir), sf_dir)
+    return rows.withColumns({c: F.array_join(c, ",") for c in ("tools_used", "tools_missing", "empty_tools", "filtered_to_zero_tools")})
+
+
+@query
+def action_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = suite(spark, sf_dir)
+    return report.action_items(_cases(s, sf_dir), s.weights_by_owasp).withColumn("examples", F.array_join("examples", ","))
+
+
+@query
+def report_pointers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.pointers(_cases(suite(spark, sf_dir), sf_dir))
+
+
+def _drilldown(s: Suite) -> DataFrame:
+    fields = ("tool", "severity", "rule_id", "title", "finding_id")
+    shown = F.array_join(F.transform("examples", lambda x: F.concat_ws(":", *[F.coalesce(x[f], F.lit("")) for f in fields])), ";")
+    return report.drilldown(s.clusters, s.assigned).withColumns({"examples": shown, "tools": F.array_join("tools", ",")})
+
+
+of_suite("hotspot_drilldown", _drilldown)
+of_suite("scoreboard", lambda s: report.scoreboard(s.queue, s.clusters, s.config.tools))
+
+
+@query
+def dataset_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Planned cases, of which one has no table, two have an empty one and one has rows of another schema version."""
+    features = suite(spark, sf_dir).features.where("case_id NOT IN ('owasp2021-a09-case', 'owasp2021-a10-case')")
+    older = (F.col("case_id") == "owasp2021-a02-case") & (F.col("triage_rank") > 1)
+    features = features.withColumn("schema_version", F.when(older, "triage_features_v0").otherwise(F.col("schema_version")))
+    tables = adapters.planned(spark).where("case_id NOT IN ('owasp2021-a10-case', 'owasp2021-a12-case')")
+    return diagnostics.dataset_audit(adapters.planned(spark), tables, features)

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import re
 
-from siftwell.sources.adapters import CWE_OWASP, FINDINGS, GROUND_TRUTH, RAW_PATHS, SEVERITIES, SUITES, TOOL_RUNS
+from siftwell.sources.adapters import CASES, CWE_OWASP, CWE_OWASP_2017, FINDINGS, FLAWED, GROUND_TRUTH, RAW_PATHS, RECEIPTS, RULES, SEVERITIES, SUITES, TAGGED, TOOL_RUNS
 
 TOOLS = ("semgrep", "snyk", "sonar", "aikido")
 KS = "(1), (3), (5), (10), (25), (50)"
@@ -305,3 +305,107 @@ SELECTS = {
 }
 
 ORACLE_SQL = {name: sql(text) for name, text in SELECTS.items()} | {"suite_compare": _compare()}
+
+
+def _unique(values: str) -> str:
+    return f"list_filter({values}, lambda x, i: list_position({values}, x) = i)"
+
+
+def _mapped(codes: dict[str, list[str]]) -> str:
+    return "MAP {" + ", ".join(f"'{k}': {v}" for k, v in codes.items()) + "}"
+
+
+def _text(values: str) -> str:
+    return f"nullif(array_to_string({values}, ','), '')"
+
+
+def _padded(number: str) -> str:
+    return f"'A' || lpad(CAST(CAST({number} AS INT) AS VARCHAR), 2, '0')"
+
+
+_DIGITS = r"'(?i)\bA([0-9]{1,2})\b', 1"
+VIEWS |= {
+    "tagged": _adapted(TAGGED),
+    "flawed": _adapted(FLAWED),
+    "receipts": _adapted(RECEIPTS) + " UNION ALL " + _adapted(RECEIPTS, "suite_prev"),
+    "rules": _adapted(RULES),
+    "planned": f"SELECT 'suite_main' AS suite_id, unnest({list(CASES)}) AS case_id",
+    "reports": f"SELECT DISTINCT {C}, tool FROM f UNION ALL SELECT 'suite_main', '{CASES[10]}', unnest(['semgrep', 'snyk'])",
+    "listed": r"""SELECT *, list_filter(list_transform(list_concat([cwe_id], regexp_extract_all(coalesce(description, ''), '(?i)\bCWE[-_ ]?([0-9]{1,6})\b', 1)), lambda x: 'CWE-' || TRY_CAST(regexp_extract(x, '([0-9]{1,6})', 1) AS INT)), lambda x: x IS NOT NULL) AS ids,
+    string_split(coalesce(tags_text, ''), '|') AS tags, string_split(vendor_text, '|') AS vendor FROM tagged""",
+    "coded": f"""SELECT *, {_unique("ids")} AS cwes, flatten(list_transform(list_filter(tags, lambda t: contains(t, '2017')), lambda t: regexp_extract_all(t, {_DIGITS}))) AS of_2017,
+    flatten(list_transform(list_filter(tags, lambda t: contains(t, '2021') OR (contains(lower(t), 'owasp') AND NOT contains(t, '2017'))), lambda t: regexp_extract_all(t, {_DIGITS}))) AS of_2021,
+    list_transform(list_filter(vendor, lambda v: regexp_matches(v, '(?i)^a[0-9]+$')), lambda v: {_padded("substr(v, 2)")}) AS given FROM listed""",
+    "implied": f"""SELECT *, list_transform(of_2017, lambda n: 'A' || CAST(n AS INT)) AS v17, list_transform(of_2021, lambda n: {_padded("n")}) AS tag21,
+    flatten(list_transform(cwes, lambda c: coalesce({_mapped(CWE_OWASP_2017)}[c], []))) AS c17, flatten(list_transform(cwes, lambda c: coalesce({_mapped(CWE_OWASP)}[c], []))) AS c21 FROM coded""",
+    "six": f"""SELECT tool, cwes, {_text(_unique("v17"))} AS t17, coalesce({_text(_unique("tag21"))}, {_text(_unique("given"))}) AS t21, {_text(_unique("c17"))} AS i17, {_text(_unique("c21"))} AS i21 FROM implied""",
+    "stated": "SELECT rule_key, name, string_split(tags_text, '|') AS tags, string_split(standards_text, '|') AS standards FROM rules",
+    "rule_ids": """SELECT *, list_filter(list_transform(list_concat(list_transform(list_filter(standards, lambda s: s LIKE 'cwe:%'), lambda s: substr(s, 5)), list_transform(list_filter(tags, lambda t: regexp_matches(t, '^cwe-[0-9]+$')), lambda t: substr(t, 5))),
+    lambda x: 'CWE-' || TRY_CAST(x AS INT)), lambda x: x IS NOT NULL) AS ids FROM stated""",
+    "ruled": f"""SELECT rule_key, name AS vuln_class, {_unique("ids")} AS cwes, {_text("list_transform(list_filter(standards, lambda s: s LIKE 'owaspTop10-2017:%' OR s LIKE 'owaspTop10:%'), lambda s: 'A' || regexp_extract(s, ':a([0-9]+)$', 1))")} AS o17,
+    {_text("list_transform(list_filter(standards, lambda s: s LIKE 'owaspTop10-2021:%'), lambda s: " + _padded("regexp_extract(s, ':a([0-9]+)$', 1)") + ")")} AS o21 FROM rule_ids""",
+    "raw_n": f"SELECT {C}, tool, count(*) AS n FROM f GROUP BY ALL",
+    "kept_n": f"SELECT {C}, tool, count(*) AS kept FROM items GROUP BY ALL",
+    "run_n": f"SELECT {C}, tool, coalesce(n, 0) AS n, coalesce(kept, 0) AS kept FROM reports LEFT JOIN raw_n USING ({C}, tool) LEFT JOIN kept_n USING ({C}, tool)",
+    "run_sum": f"""SELECT {C}, list_sort(list(tool)) AS used, list_sort(coalesce(list(tool) FILTER (n = 0), [])) AS hollow, list_sort(coalesce(list(tool) FILTER (n > 0 AND kept = 0), [])) AS unkept,
+    CAST(sum(n) AS BIGINT) AS findings, CAST(sum(kept) AS BIGINT) AS findings_kept FROM run_n GROUP BY {C}""",
+    "cl_sum": f"SELECT {C}, count(*) AS clusters, max(max_severity_rank) AS top FROM cl GROUP BY {C}",
+    "gt_sum": f"SELECT {C}, count(*) AS gt_total, count(*) FILTER (matched) AS gt_matched FROM matches GROUP BY {C}",
+    "case_rep": f"""SELECT {C}, coalesce(used, []) AS used, list_sort(list_filter({list(TOOLS)}, lambda t: NOT list_contains(coalesce(used, []), t))) AS lacking, coalesce(hollow, []) AS hollow, coalesce(unkept, []) AS unkept,
+    coalesce(findings, 0) AS findings, coalesce(findings_kept, 0) AS findings_kept, coalesce(clusters, 0) AS clusters, coalesce(gt_total, 0) AS gt_total, coalesce(gt_matched, 0) AS gt_matched,
+    round_even(CASE WHEN gt_total > 0 THEN CAST(gt_matched AS DOUBLE) / gt_total END, 6) AS match_rate, gt_total - gt_matched AS gap_total, ['', 'LOW', 'MEDIUM', 'HIGH'][CAST(coalesce(top, 0) AS INT) + 1] AS top_severity
+  FROM planned LEFT JOIN run_sum USING ({C}) LEFT JOIN cl_sum USING ({C}) LEFT JOIN gt_sum USING ({C})""",
+    "todo": f"""SELECT {C}, 'missing_outputs' AS kind, '' AS subject FROM case_rep WHERE len(lacking) > 0 UNION ALL SELECT {C}, 'no_clusters', '' FROM case_rep WHERE clusters = 0
+    UNION ALL SELECT {C}, 'empty_results', unnest(hollow) FROM case_rep UNION ALL SELECT {C}, 'filtered_to_zero', unnest(unkept) FROM case_rep""",
+    "shown": f"""SELECT {C}, cluster_id, coalesce(tool, '') || ':' || coalesce(severity, '') || ':' || coalesce(rule_id, '') || ':' || coalesce(title, '') || ':' || coalesce(finding_id, '') AS example,
+    row_number() OVER (PARTITION BY {C}, cluster_id ORDER BY {_SEQ}) AS n FROM named QUALIFY n <= 5""",
+    "hot": f"SELECT *, CAST(row_number() OVER (PARTITION BY {C} ORDER BY file_path, coalesce(start_line, 0), cluster_id) AS INT) AS place FROM cl QUALIFY place <= 200",
+    "tables_there": "SELECT suite_id, case_id, 1 AS there FROM planned WHERE case_id NOT IN ('owasp2021-a10-case', 'owasp2021-a12-case')",
+    "feat_n": f"SELECT {C}, count(*) AS n, count(*) FILTER (case_id = 'owasp2021-a02-case' AND rank > 1) AS others FROM feat WHERE case_id NOT IN ('owasp2021-a09-case', 'owasp2021-a10-case') GROUP BY {C}",
+}
+_EXPECTED = ("finding_id", "rule_id", "title", "file_path", "line_number", "severity")
+_WARNINGS = """concat_ws('; ', CASE WHEN len(ps) > 1 THEN 'multiple profiles observed: [''' || array_to_string(ps, ''', ''') || ''']' END, 'missing config_receipt for tools: [''aikido'']',
+    CASE WHEN len(several) > 0 THEN 'multiple config signatures detected for tools: [''' || array_to_string(several, ''', ''') || ''']' END)"""
+ADDED = {
+    "finding_classification": """SELECT tool, cwes[1] AS cwe_id, coalesce(array_to_string(cwes, ','), '') AS cwe_ids, coalesce(i17, t17) AS owasp_top_10_2017, t17 AS owasp_top_10_2017_vendor, i17 AS owasp_top_10_2017_canonical,
+    coalesce(t21, i21) AS owasp_top_10_2021, t21 AS owasp_top_10_2021_vendor, i21 AS owasp_top_10_2021_canonical, count(*) AS findings FROM six GROUP BY ALL""",
+    "finalized_findings": f"SELECT {C}, tool, finding_id, file_path, line_number, coalesce(array_to_string(list_sort(cwes), ','), '') AS cwe_ids FROM coded",
+    "finding_problems": "SELECT tool, problem, count(*) AS findings FROM ("
+    + " UNION ALL ".join(f"SELECT tool, 'missing:{c}' AS problem FROM flawed WHERE coalesce({c}, '') = ''" for c in _EXPECTED[:3])
+    + " UNION ALL SELECT tool, 'invalid:severity' FROM flawed WHERE severity NOT IN ('', 'HIGH', 'MEDIUM', 'LOW')"
+    + "".join(f" UNION ALL SELECT tool, 'invalid:{c}' FROM flawed WHERE {c} IS NOT NULL AND TRY_CAST({c} AS INT) IS NULL" for c in ("line_number", "end_line_number"))
+    + ") GROUP BY ALL",
+    "rule_classification": "SELECT rule_key, vuln_class, coalesce(array_to_string(cwes, ','), '') AS cwe_ids, o17 AS owasp_top_10_2017, o21 AS owasp_top_10_2021 FROM ruled",
+    "rule_enrichment": """SELECT rule_id, coalesce(cwe_id, cwes[1]) AS cwe_id, coalesce(array_to_string(cwes, ','), '') AS cwe_ids, coalesce(vuln_class, 'own') AS vuln_class, o21 AS owasp_top_10_2021, count(*) AS findings
+    FROM f LEFT JOIN ruled ON rule_id = rule_key WHERE tool = 'sonar' GROUP BY ALL""",
+    "schema_gaps": " UNION ALL ".join(f"SELECT suite_id, tool, '{c}' AS field, count(*) AS findings, count(*) FILTER (coalesce(CAST({c} AS VARCHAR), '') = '') AS missing FROM flawed GROUP BY suite_id, tool" for c in _EXPECTED),
+    "empty_runs": f"SELECT {C}, tool FROM reports ANTI JOIN f USING ({C}, tool)",
+    "scanner_config": f"""SELECT suite_id, CASE len(ps) WHEN 0 THEN NULL WHEN 1 THEN ps[1] ELSE 'mixed' END AS profile, CASE len(ps) WHEN 0 THEN 'unknown' WHEN 1 THEN 'uniform' ELSE 'mixed' END AS profile_mode, config_hashes, receipts_found, tools_seen,
+    'aikido' AS missing_tools, {_WARNINGS} AS warnings
+  FROM (SELECT suite_id, list_sort(list(DISTINCT trim(profile)) FILTER (trim(profile) <> '')) AS ps, count(*) AS receipts_found, array_to_string(list_sort(list(DISTINCT tool)), ',') AS tools_seen FROM receipts GROUP BY suite_id)
+  JOIN (SELECT suite_id, string_agg(tool || '=' || array_to_string(hs, ','), ';' ORDER BY tool) AS config_hashes, list_sort(coalesce(list(tool) FILTER (len(hs) > 1), [])) AS several
+    FROM (SELECT suite_id, tool, list_sort(list(DISTINCT config_hash)) AS hs FROM receipts GROUP BY suite_id, tool) GROUP BY suite_id) USING (suite_id)""",
+    "case_report": """SELECT * EXCLUDE (used, lacking, hollow, unkept), array_to_string(used, ',') AS tools_used, array_to_string(lacking, ',') AS tools_missing, array_to_string(hollow, ',') AS empty_tools,
+    array_to_string(unkept, ',') AS filtered_to_zero_tools FROM case_rep""",
+    "action_items": """SELECT suite_id, kind, subject, count(*) AS n, array_to_string(list_sort(list(case_id))[:3], ',') AS examples FROM todo GROUP BY suite_id, kind, subject
+    UNION ALL SELECT DISTINCT suite_id, 'below_min_support', owasp_id, support_clusters, '' FROM w_own WHERE fallback_to_global = 1""",
+    "report_pointers": """SELECT suite_id, 'gt_gap' AS list, CAST(row_number() OVER (PARTITION BY suite_id ORDER BY gap_total DESC, case_id) AS INT) AS place, case_id, CAST(gap_total AS VARCHAR) AS value FROM case_rep WHERE gap_total IS NOT NULL QUALIFY place <= 3
+    UNION ALL SELECT suite_id, 'severity', CAST(row_number() OVER (PARTITION BY suite_id ORDER BY list_position(['LOW', 'MEDIUM', 'HIGH'], top_severity) DESC NULLS LAST, clusters DESC, case_id) AS INT) AS place, case_id, top_severity FROM case_rep QUALIFY place <= 3""",
+    "hotspot_drilldown": f"""SELECT {C}, cluster_id, file_path, start_line, end_line, array_to_string(tools, ',') AS tools, tool_count, max_severity, place, examples
+    FROM hot JOIN (SELECT {C}, cluster_id, string_agg(example, ';' ORDER BY n) AS examples FROM shown GROUP BY {C}, cluster_id) USING ({C}, cluster_id)""",
+    "scoreboard": f"SELECT {C}, count(*) AS triage_items, max(tool_count) FILTER (rank = 1) AS top_agreement, count(*) FILTER (tool_count > 1) AS consensus_items, "
+    + ", ".join(f"count(*) FILTER (list_contains(tools, '{t}')) AS {t}_clusters" for t in TOOLS)
+    + f" FROM queue GROUP BY {C}",
+    "dataset_audit": f"""SELECT {C}, CASE WHEN there IS NULL AND n IS NULL THEN 'missing' WHEN n IS NULL THEN 'empty' WHEN others > 0 THEN 'mismatch' ELSE 'ok' END AS status, coalesce(n, 0) AS n_rows,
+    CASE WHEN others > 0 THEN 'triage_features_v0' WHEN n > 0 THEN 'triage_features_v1' END AS schema_version FROM planned LEFT JOIN tables_there USING ({C}) LEFT JOIN feat_n USING ({C})""",
+}
+
+
+def _at_tolerances(text: str) -> str:
+    """The rows of a query at each tolerance of the ground truth."""
+    one = sql(text)
+    return " UNION ALL ".join(f"SELECT *, {t} AS gt_tolerance FROM ({one.replace('WHERE gt_tolerance = 0', f'WHERE gt_tolerance = {t}')})" for t in (0, 1, 2, 3, 5, 10))
+
+
+ORACLE_SQL |= {name: sql(text) for name, text in ADDED.items()}
+ORACLE_SQL |= {"tolerance_tools": _at_tolerances(SELECTS["calibration_global"]), "tolerance_macro": _at_tolerances(SELECTS["eval_macro"])}

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftwell.config import AnalysisConfig
-from siftwell.operators import calibration, clustering, evaluation, filters, groundtruth, triage
+from siftwell.operators import calibration, clustering, evaluation, filters, groundtruth, report, triage
 from siftwell.sinks.shared import spread, stored
 
 
@@ -52,6 +52,10 @@ class Suite:
     def matches(self) -> DataFrame:
         return groundtruth.match_items(self.gt, self.items, self.config.gt_tolerance)
 
+    def case_rows(self, planned: DataFrame, runs: DataFrame) -> DataFrame:
+        """The report's rows of the planned cases (suite_id, case_id); runs: (suite_id, case_id, tool) of the reports that exist."""
+        return report.case_rows(planned, runs, self.with_path, self.clusters, self.matches, self.config.tools)
+
     @cached_property
     def gaps(self) -> DataFrame:
         return groundtruth.gap_queue(self.matches, self.with_path)
@@ -127,8 +131,11 @@ class Suite:
 
     @cached_property
     def at_tolerances(self) -> list[Suite]:
-        """This suite at each candidate tolerance of the ground truth."""
-        return [Suite(self.findings, self.gt, replace(self.config, gt_tolerance=t)) for t in self.config.gt_tolerance_candidates]
+        """This suite at each candidate tolerance of the ground truth; its findings and clusters are those of this one."""
+        found = [Suite(self.findings, self.gt, replace(self.config, gt_tolerance=t)) for t in self.config.gt_tolerance_candidates]
+        for suite in found:
+            suite.__dict__ |= {"with_path": self.with_path, "clusters": self.clusters}
+        return found
 
     def _by_tolerance(self, tables: list[DataFrame]) -> DataFrame:
         return reduce(DataFrame.unionByName, [df.withColumn("gt_tolerance", F.lit(t)) for df, t in zip(tables, self.config.gt_tolerance_candidates, strict=True)])

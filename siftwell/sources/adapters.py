@@ -6,7 +6,8 @@ are plain SQL that Spark and DuckDB read alike; {lineitem} and {part} stand for
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _CASE = "'owasp2021-a' || lpad(CAST(l_suppkey % 10 + 1 AS STRING), 2, '0') || '-case'"
 _TOOL = "CASE l_linenumber % 4 WHEN 0 THEN 'semgrep' WHEN 1 THEN 'snyk' WHEN 2 THEN 'sonar' ELSE 'aikido' END"
@@ -51,6 +52,38 @@ SELECT DISTINCT {_CASE} AS case_id, {_TOOL} AS tool,
 FROM {{lineitem}}
 """
 
+# The same findings with tags, vendor codes and a text, as lists joined by |.
+TAGGED = f"""
+SELECT *, CASE CAST(substr(title, 7) AS INT) % 6 WHEN 0 THEN 'owasp:A03|security' WHEN 1 THEN 'OWASP-A1:2017|x' WHEN 2 THEN 'owasp-2021-a5|OWASP A10' WHEN 3 THEN ''
+    WHEN 4 THEN 'A7 2017|A07:2021' ELSE NULL END AS tags_text,
+  CASE WHEN CAST(substr(title, 7) AS INT) % 2 = 0 THEN '' ELSE 'a4|A09|zz|A4' END AS vendor_text,
+  CASE CAST(substr(title, 7) AS INT) % 5 WHEN 0 THEN 'See CWE-611 and cwe_22.' WHEN 1 THEN NULL ELSE 'Injection of CWE 79' END AS description
+FROM ({FINDINGS}) tagged
+"""
+
+# The same findings with faults.
+FLAWED = f"""
+SELECT suite_id, case_id, tool, finding_id, CASE WHEN rule_id = 'R3' THEN NULL ELSE rule_id END AS rule_id, CASE WHEN title = 'Issue 0' THEN '' ELSE title END AS title,
+  CASE WHEN title = 'Issue 5' THEN 'CRITICAL' ELSE severity END AS severity, file_path,
+  CASE WHEN title = 'Issue 7' THEN 'x12' ELSE CAST(line_number AS STRING) END AS line_number, CAST(end_line_number AS STRING) AS end_line_number
+FROM ({FINDINGS}) flawed
+"""
+
+RULES = """
+SELECT 'R' || CAST(k AS STRING) AS rule_key, CASE WHEN k % 5 = 0 THEN NULL ELSE 'Rule ' || CAST(k AS STRING) END AS name,
+  CASE WHEN k % 3 = 0 THEN 'cwe-' || CAST(20 + k AS STRING) || '|bug' ELSE 'bug' END AS tags_text,
+  CASE k % 4 WHEN 0 THEN 'cwe:79|owaspTop10-2021:a3|cwe:23' WHEN 1 THEN 'owaspTop10:a1|cwe:89' WHEN 2 THEN '' ELSE 'owaspTop10-2017:a5|owaspTop10-2021:a1|cwe:unknown' END AS standards_text
+FROM (SELECT DISTINCT p_partkey % 25 AS k FROM {part}) numbers WHERE k % 7 <> 6
+"""
+
+# A receipt of each tool run: its scanner's profile and the signature of its configuration.
+RECEIPTS = f"""
+SELECT DISTINCT '{{suite}}' AS suite_id, {_CASE} AS case_id, {_TOOL} AS tool,
+  CASE WHEN l_suppkey % 10 = 3 THEN ' ' WHEN '{{suite}}' = 'suite_main' AND l_suppkey % 10 = 4 THEN 'strict' ELSE 'default' END AS profile,
+  'h' || CAST(CASE WHEN l_linenumber % 4 = 1 THEN l_suppkey % 10 % 2 ELSE 0 END AS STRING) AS config_hash
+FROM {{lineitem}} WHERE l_linenumber % 4 <> 3 AND {{kept}}
+"""
+
 # Severities as tools write them.
 SEVERITIES = ("critical", "crit", "Blocker", "major", "high", "error", "medium", "moderate", "warning", "warn", "minor", "low", "info", "informational", "note", "none", "very high risk", "", "severe", "7.5", "4", ".5", "0", "-3")
 
@@ -63,6 +96,9 @@ CWE_OWASP = {
     "CWE-502": ["A08"],
     "CWE-798": ["A07", "A02"],
 }
+CWE_OWASP_2017 = {"CWE-79": ["A7"], "CWE-89": ["A1"], "CWE-22": ["A5"], "CWE-611": ["A4", "A5"], "CWE-502": ["A8"]}
+# The cases that a suite is planned to have.
+CASES = tuple(f"owasp2021-a{n:02}-case" for n in range(1, 13))
 SUITES = {"suite_main": "true", "suite_prev": "l_orderkey % 10 < 8"}
 
 
@@ -89,3 +125,41 @@ def tool_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cwe_owasp(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(CWE_OWASP.items()), "cwe_id string, owasp_2021 array<string>")
+
+
+def cwe_mapping(spark: SparkSession) -> DataFrame:
+    """cwe_owasp() with both editions."""
+    rows = [(c, CWE_OWASP_2017.get(c), CWE_OWASP.get(c)) for c in sorted({*CWE_OWASP, *CWE_OWASP_2017})]
+    return spark.createDataFrame(rows, "cwe_id string, owasp_2017 array<string>, owasp_2021 array<string>")
+
+
+def _split(name: str) -> Column:
+    return F.filter(F.split(F.coalesce(name, F.lit("")), "[|]"), lambda x: x != "")
+
+
+def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.sql(TAGGED.replace("{suite}", "suite_main").replace("{kept}", "true"), lineitem=_table(spark, sf_dir, "lineitem"))
+    return rows.withColumns({"owasp_tags": _split("tags_text"), "vendor_field": _split("vendor_text")})
+
+
+def flawed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(FLAWED.replace("{suite}", "suite_main").replace("{kept}", "true"), lineitem=_table(spark, sf_dir, "lineitem"))
+
+
+def rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.sql(RULES, part=_table(spark, sf_dir, "part"))
+    return rows.select("rule_key", "name", _split("tags_text").alias("tags"), _split("standards_text").alias("standards"))
+
+
+def receipts(spark: SparkSession, sf_dir: str, suite: str = "suite_main") -> DataFrame:
+    return spark.sql(RECEIPTS.replace("{suite}", suite).replace("{kept}", SUITES[suite]), lineitem=_table(spark, sf_dir, "lineitem"))
+
+
+def planned(spark: SparkSession, suite: str = "suite_main") -> DataFrame:
+    return spark.createDataFrame([(suite, c) for c in CASES], "suite_id string, case_id string")
+
+
+def reports(spark: SparkSession, sf_dir: str, suite: str = "suite_main") -> DataFrame:
+    """(suite_id, case_id, tool) of the reports that exist: those with findings and two of a case without any."""
+    empty = [(suite, CASES[10], t) for t in ("semgrep", "snyk")]
+    return findings(spark, sf_dir, suite).select("suite_id", "case_id", "tool").distinct().unionByName(spark.createDataFrame(empty, "suite_id string, case_id string, tool string"))
