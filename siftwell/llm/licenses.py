@@ -1,12 +1,20 @@
 """Licence scans with a trained paragraph classifier.
 
-Paragraphs are lines.  A paragraph's features are its word n-grams of one to
+Paragraphs are lines, and blocks of several lines without a blank line between
+them, as licences are wrapped; lines that hold marks only, as in comments, count
+as blank.  Of a block counts what lies between the first and the last word pair
+that its family's templates have, if that is several lines and BLOCK_COVERED of its
+pairs are such; then it takes the place of the lines in it.  A licence that runs into
+other text without a blank line is found by its lines alone.
+
+A paragraph's features are its word n-grams of one to
 three lower-cased words without the marks around them, by 64-bit hash, weighted
 by one over the square root of their number.  Multinomial logistic regression
 over the n-grams of the training paragraphs tells the licence families and
 ordinary text apart.  It is trained here, on the templates below (whole, with
-words dropped, and among other words) and on made paragraphs of ordinary text,
-from a fixed seed; no row of a table is read for it.
+words dropped, and among other words), on notices made of a phrase and a licence's
+name, on sentences that only mention a name, and on made paragraphs of ordinary
+text, from a fixed seed; no row of a table is read for it.
 
 A temperature, fitted on made paragraphs that training left out, calibrates the
 probabilities.  A paragraph that is likelier a licence than not, but whose best
@@ -33,6 +41,8 @@ from pyspark.sql import DataFrame
 from siftwell.llm.words import Words, bodies, hash_ranges, mix, slices
 
 CERTAIN, CONFIRMED = 0.6, 0.6
+#: The least share of a block's word pairs that its family's templates have.
+BLOCK_COVERED = 0.5
 NGRAM = 3
 UNKNOWN = "unknown"
 
@@ -51,12 +61,14 @@ TEMPLATES = {
         "This project is licensed under the terms of the MIT license.",
         'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software.',
         "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+        'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.',
     ],
     "gpl": [
         "This work is licensed under the GNU General Public License, version 3.",
         "SPDX-License-Identifier: GPL-3.0-or-later",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
         "You should have received a copy of the GNU General Public License along with this program. If not, see https://www.gnu.org/licenses/.",
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
     ],
     "lgpl": [
         "This library is licensed under the GNU Lesser General Public License, version 2.1.",
@@ -74,6 +86,9 @@ TEMPLATES = {
         "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
         "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+        'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES.',
     ],
     "mpl": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
@@ -84,6 +99,12 @@ TEMPLATES = {
         "Released under the ISC License.",
         "SPDX-License-Identifier: ISC",
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.',
+    ],
+    "boost": [
+        "Distributed under the Boost Software License, Version 1.0.",
+        "SPDX-License-Identifier: BSL-1.0",
+        "See accompanying file LICENSE_1_0.txt or copy at https://www.boost.org/LICENSE_1_0.txt",
     ],
     "cc-by": [
         "Licensed under CC BY 4.0.",
@@ -111,6 +132,30 @@ TEMPLATES = {
         "No part of this publication may be reproduced or transmitted in any form without the prior written permission of the publisher.",
     ],
 }
+# The names by which notices call a family's licences, phrases before a name, and phrases that only mention one.
+NAMES = {
+    "apache": ["the Apache License 2.0", "Apache License, Version 2.0", "Apache 2.0", "the Apache 2 licence", "Apache 2 terms", "the Apache-2.0 license", "the Apache License"],
+    "mit": ["the MIT License", "the MIT licence", "MIT", "an MIT license", "MIT terms", "the MIT (Expat) license"],
+    "gpl": ["the GNU General Public License", "the GPL", "GPLv3", "the GNU GPL v2", "the GPL version 3", "GPL-2.0"],
+    "lgpl": ["the GNU Lesser General Public License", "the LGPL", "LGPLv2.1", "the GNU LGPL version 3", "LGPL-3.0"],
+    "agpl": ["the GNU Affero General Public License", "the AGPL", "AGPLv3", "the GNU AGPL version 3", "AGPL-3.0"],
+    "bsd": ["the BSD license", "a BSD licence", "the three-clause BSD license", "the 2-clause BSD licence", "the BSD-3-Clause license", "the new BSD License", "BSD terms"],
+    "mpl": ["the Mozilla Public License", "the MPL", "MPL 2.0", "the Mozilla Public License 2.0", "the MPL-2.0 licence"],
+    "isc": ["the ISC License", "the ISC licence", "ISC terms", "an ISC license"],
+    "boost": ["the Boost Software License", "the Boost Software License 1.0", "the Boost licence", "the Boost license, version 1.0"],
+    "cc-by": ["CC BY 4.0", "CC-BY", "a Creative Commons Attribution License", "Creative Commons Attribution 4.0"],
+    "cc-by-sa": ["CC BY-SA 4.0", "CC-BY-SA", "a Creative Commons Attribution-ShareAlike license", "Creative Commons Attribution-ShareAlike 3.0"],
+    "cc-by-nc": ["CC BY-NC 4.0", "CC-BY-NC", "a Creative Commons Attribution-NonCommercial license", "Creative Commons Attribution-NonCommercial 4.0"],
+    "public-domain": ["the Unlicense", "CC0", "CC0 1.0", "the CC0 dedication"],
+}
+PHRASES = [
+    "Licensed under", "Released under", "This code is distributed under", "Available under", "Code is covered by", "This project is licensed under", "Distributed under the terms of", "The source is made available under", "You may use this file under",
+    "This library is released under the terms of", "Published under", "This package is subject to", "The software is licensed under", "All files are under",
+]
+MENTIONS = [
+    "The talk compared {} with others.", "He had never heard of {} before.", "A lawyer explained {} to the class.", "{} was discussed at the meeting.", "Critics of {} wrote a long letter.", "What do people like about {} and why?",
+    "The history of {} began long ago.", "Students of law read about {} this year.", "She asked whether {} is popular.", "They argued over {} all night.",
+]
 # Ordinary words, and ordinary sentences about licences.
 COMMON = """
 the of and to in a is that it for was on are with as be this have from or had by but not what all were we when your can
@@ -141,20 +186,24 @@ ORDINARY = [
 class Paragraphs:
     """N-grams of the words of a text column, by paragraph; paragraphs without words don't count.
 
-    row, begin and end tell where each paragraph is; grams are its n-grams' hashes and owner their paragraphs.
+    A word that is lines_apart or more lines below the one before opens a paragraph: 1 for lines, 2 for blocks.  row,
+    begin and end tell where each paragraph is and height over how many lines it goes; grams are its n-grams' hashes
+    and owner their paragraphs.
     """
 
-    def __init__(self, column: pa.Array):
+    def __init__(self, column: pa.Array, lines_apart: int = 1):
         words = Words(column, lower=True)
         start, end = bodies(words)
         kept = start < words.end
         rows = words.rows[kept]
         start, end = start[kept], end[kept]
         lines = np.concatenate([[0], np.cumsum(words.data == 0x0A)])[start]
-        opens = np.flatnonzero((np.diff(rows, prepend=-1) != 0) | (np.diff(lines, prepend=-1) != 0))
+        opens = np.flatnonzero((np.diff(rows, prepend=-1) != 0) | (np.diff(lines, prepend=-1) >= lines_apart))
         counts = np.diff(np.append(opens, len(start)))
         self.row = rows[opens]
         self.begin, self.end = start[opens] - words.offsets[self.row], end[opens + counts - 1] - words.offsets[self.row]
+        self.height = lines[opens + counts - 1] - lines[opens] + 1
+        self._words, self._lines, self._starts, self._ends = opens, lines, start - words.offsets[rows], end - words.offsets[rows]
         of_word = np.repeat(np.arange(len(opens)), counts)
         hashes = hash_ranges(words.data, start, end)
         grams, owner = [hashes], [of_word]
@@ -170,6 +219,16 @@ class Paragraphs:
     def __len__(self) -> int:
         return len(self.row)
 
+    def part(self, at: int, pairs: np.ndarray) -> tuple[int, int, int, float] | None:
+        """Of a paragraph, what goes from the first of the given word pairs to the last: begin, end, height, share of its pairs that are given."""
+        grams, owner = self.pairs
+        hit = np.isin(grams[np.searchsorted(owner, at) : np.searchsorted(owner, at, "right")], pairs)
+        if not hit.any():
+            return None
+        places = np.flatnonzero(hit)
+        first, last = self._words[at] + places[0], self._words[at] + places[-1] + 1
+        return int(self._starts[first]), int(self._ends[last]), int(self._lines[last] - self._lines[first] + 1), float(hit[places[0] : places[-1] + 1].mean())
+
     def word_pairs(self, which: np.ndarray) -> list[np.ndarray]:
         """The distinct word pairs of some paragraphs, given in ascending order."""
         grams, owner = self.pairs
@@ -223,6 +282,13 @@ def _made_paragraphs(rng: np.random.Generator) -> tuple[list[str], np.ndarray]:
                 made.append(" ".join([*ordinary(rng.integers(0, 8)), *words, *ordinary(rng.integers(0, 8))]))
             texts += made
             classes += [k] * len(made)
+    # words of the templates that don't name a family
+    plain = sorted({w for family in TEMPLATES.values() for t in family for w in t.split(" ") if w.isalpha() and w.islower()})
+    for k, family in enumerate(TEMPLATES):
+        made = [f"{phrase} {name}{rng.choice(['.', '', ', see LICENSE.'])}" for name in NAMES.get(family, ()) for phrase in PHRASES]
+        made += [" ".join([*ordinary(rng.integers(0, 4)), *rng.choice(plain, rng.integers(0, 4)), *rng.choice(["under", "by", "under the terms of"]).split(" "), name]) for name in NAMES.get(family, ()) for _ in range(20)]
+        texts += made
+        classes += [k] * len(made)
     made = [" ".join(ordinary(n)) for n in rng.integers(1, 60, 400)]
     made += [" ".join(w if rng.random() < 0.4 else "".join(rng.choice(list("abcdefghijklmnoprstuvwyz"), rng.integers(2, 9))) for w in ordinary(n)) for n in rng.integers(1, 40, 300)]
     # a few words of a template are no licence
@@ -230,6 +296,9 @@ def _made_paragraphs(rng: np.random.Generator) -> tuple[list[str], np.ndarray]:
     made += named + [" ".join([w] * n) for w, n in zip(ordinary(150), rng.integers(2, 30, 150), strict=True)]
     made += [" ".join(rng.choice(named, n).tolist()) for n in rng.integers(2, 4, 300)]
     made += [s for s in ORDINARY for _ in range(6)]
+    names = [name for family in NAMES.values() for name in family]
+    made += [s.format(name) for name in names for s in MENTIONS]
+    made += [" ".join([*ordinary(rng.integers(1, 6)), rng.choice(["about", "of", "than", "with", "that"]), name, *ordinary(rng.integers(1, 6))]) for name in names for _ in range(4)]
     made += [" ".join([*ordinary(5), *s.split(" "), *ordinary(5)]) for s in ORDINARY for _ in range(4)]
     return texts + made, np.array(classes + [len(TEMPLATES)] * len(made))
 
@@ -276,20 +345,47 @@ def trained(steps: int = 200) -> LicenceModel:
 @lru_cache(1)
 def _template_pairs() -> list[list[np.ndarray]]:
     out = []
-    for family in TEMPLATES.values():
-        paragraphs = Paragraphs(pa.array(family))
+    for name, family in TEMPLATES.items():
+        names = NAMES.get(name, ())
+        paragraphs = Paragraphs(pa.array([*family, *[x for x in names if " " in x], *[f"{word} {x}" for word in ("under", "by", "of") for x in names]]))
         out.append(paragraphs.word_pairs(np.arange(len(paragraphs))))
     return out
 
 
+@lru_cache(1)
+def _family_pairs() -> list[np.ndarray]:
+    """All word pairs of each family's templates."""
+    return [np.unique(np.concatenate(pairs)) for pairs in _template_pairs()]
+
+
 def likeness_to_templates(pairs: np.ndarray, family: int) -> float:
     """The share of word pairs in common with the family's nearest template, out of the shorter one's."""
     return max((float(np.isin(pairs, t).sum()) / max(1, min(len(pairs), len(t))) for t in _template_pairs()[family]), default=0.0)
 
 
-def classify(column: pa.Array, model: LicenceModel) -> list[list[dict]]:
-    """For each row its licence paragraphs: family, start, end, probability and likeness to the nearest template."""
+def _blocks(column: pa.Array, model: LicenceModel) -> list[list[dict]]:
+    """The licences among each row's blocks of several lines."""
     found: list[list[dict]] = [[] for _ in range(len(column))]
+    blocks = Paragraphs(column, 2)
+    if not (blocks.height > 1).any():
+        return found
+    which, logits = model.logits(blocks)
+    p = model.probabilities(logits)
+    certain = np.flatnonzero((blocks.height[which] > 1) & (p[:, -1] < 0.5) & (p[:, :-1].max(1, initial=0) >= CERTAIN))
+    families = list(TEMPLATES)
+    for k in certain.tolist():
+        best = int(p[k, :-1].argmax())
+        part = blocks.part(which[k], _family_pairs()[best])
+        if part and part[2] > 1 and part[3] >= BLOCK_COVERED:
+            found[blocks.row[which[k]]].append({"family": families[best], "start": part[0], "end": part[1], "probability": float(p[k, best]), "likeness": part[3]})
+    return found
+
+
+def classify(column: pa.Array, model: LicenceModel) -> list[list[dict]]:
+    """For each row its licence paragraphs: family, start, end, probability and likeness to the nearest template, for blocks to all of them."""
+    found = _blocks(column, model)
+    starts = [np.array([x["start"] for x in row]) for row in found]
+    ends = [np.array([x["end"] for x in row]) for row in found]
     paragraphs = Paragraphs(column)
     if not len(paragraphs):
         return found
@@ -304,8 +400,11 @@ def classify(column: pa.Array, model: LicenceModel) -> list[list[dict]]:
             continue
         name = families[best] if p[k, best] >= CERTAIN and near >= CONFIRMED else UNKNOWN
         at = which[k]
-        found[paragraphs.row[at]].append({"family": name, "start": int(paragraphs.begin[at]), "end": int(paragraphs.end[at]), "probability": float(p[k, best]), "likeness": near})
-    return found
+        row = paragraphs.row[at]
+        if ((starts[row] <= paragraphs.begin[at]) & (paragraphs.end[at] <= ends[row])).any():
+            continue
+        found[row].append({"family": name, "start": int(paragraphs.begin[at]), "end": int(paragraphs.end[at]), "probability": float(p[k, best]), "likeness": near})
+    return [sorted(row, key=lambda x: x["start"]) for row in found]
 
 
 def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: LicenceModel | None = None) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import textwrap
 from pathlib import Path
 
 import duckdb
@@ -368,3 +369,34 @@ def test_viterbi_is_the_best_of_all_segmentations():
 
         _, best = max(ways(0, 0))
         assert sorted((k, a) for k, a, _ in personal.field_spans(text, weights, moves)) == sorted((k, words[a][0]) for k, a, _ in best)
+
+
+# Wordings that training has no part of, and that were written after the model's made notices were settled.
+HELD_OUT = ["Made available under {}.", "Redistribution is allowed under {}", "We license this tool under {}.", "Reuse of these sources is permitted by {}", "Everything in this folder falls under {}."]
+MERE_MENTIONS = ["Our teacher mentioned {} in the second lesson.", "Nobody in the room liked {} very much.", "An essay about {} won a prize."]
+
+
+def test_held_out_licences():
+    model = licenses.trained()
+
+    def families(text):
+        return [x["family"] for x in licenses.classify(pa.array([text]), model)[0]]
+
+    found = [families(h.format(n)) == [family] for family, names in licenses.NAMES.items() for n in names for h in HELD_OUT]
+    wrong = [bool(set(families(h.format(n))) - {"unknown"}) for names in licenses.NAMES.values() for n in names for h in MERE_MENTIONS]
+    print("recall", sum(found), len(found), "mentions taken", sum(wrong), len(wrong))
+    assert sum(found) >= 0.9 * len(found) and sum(wrong) <= 0.05 * len(wrong)
+
+
+def test_wrapped_licences():
+    model = licenses.trained()
+    body = [textwrap.fill(x, 60) for x in licenses.TEMPLATES["mit"][3:]]
+    for mark in ("", "# ", " * "):
+        text = "Some words before\n\n" + "\n\n".join(body)
+        text = "".join(f"{mark}{line}".rstrip() + "\n" for line in text.split("\n")) + "\nint main(void) { return 0; }\n"
+        found = licenses.classify(pa.array([None, text, ""]), model)
+        assert [x["family"] for x in found[1]] == ["mit"] * 3 and not found[0] and not found[2]
+        raw = text.encode()
+        assert [raw[x["start"] : x["end"]].split()[-1] for x in found[1]] == [b"Software", b"Software", b"SOFTWARE"]
+    # many ordinary lines are one block, and no licence
+    assert licenses.classify(pa.array(["the river was old\nand the land near it\nwas still young\n" * 500]), model) == [[]]
