@@ -26,6 +26,18 @@ def compared(a: DataFrame, b: DataFrame) -> DataFrame:
     return both.select(*[F.coalesce(f"{c}_a", f"{c}_b").alias(c) for c in KEYS], "a", "b", (F.col("b") - F.col("a")).alias("delta"))
 
 
+# The order of a drift report's sections; others come before the last.
+SECTIONS = ("policy", "scanner_config", "dataset", "eval_micro", "eval_macro", "calibration_weight_global", "calibration_weight_by_owasp", "tool_utility", "tool_marginal")
+LAST = "alerts"
+
+
+def ordered(rows: DataFrame) -> DataFrame:
+    """Rows of compared() in the order of a report: by section, then by name, tool, strategy and k."""
+    place = F.array_position(F.array(*map(F.lit, SECTIONS)), F.col("section"))
+    rank = F.when(F.col("section") == LAST, len(SECTIONS) + 2).when(place > 0, place).otherwise(len(SECTIONS) + 1)
+    return rows.orderBy(rank, "section", F.concat_ws(":", "name", "tool", "strategy"), F.concat("tool", "strategy"), F.coalesce("k", F.lit(0)))
+
+
 def long_table(counts: DataFrame, macro: DataFrame, micro: DataFrame, weights: DataFrame, by_owasp: DataFrame, utility: DataFrame, marginal: DataFrame | None = None) -> DataFrame:
     """Everything a drift report compares about one run."""
     parts = [

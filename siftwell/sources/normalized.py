@@ -98,6 +98,24 @@ def read_sonar(spark: SparkSession, path: str) -> DataFrame:
     ), "sonar")
 
 
+# The keys of a rule's standards by the way lists of them begin.
+STANDARDS = {"cwe:": "CWE", "owaspTop10-2017:": "OWASP Top 10 2017", "owaspTop10-2021:": "OWASP Top 10 2021"}
+
+
+def read_sonar_rules(spark: SparkSession, path: str) -> DataFrame:
+    """(rule_key, name, tags, standards) of saved rules, for resolution.rule_classification(); standards may be a list or an object of lists."""
+    rows = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
+
+    def listed(key: str) -> Column:
+        return F.coalesce(F.from_json(F.get_json_object("value", f"$.rule.{key}"), "array<string>"), F.array().cast("array<string>"))
+
+    named = [F.transform(listed(f"securityStandards['{key}']"), lambda x: F.concat(F.lit(start), x)) for start, key in STANDARDS.items()]
+    whole = F.get_json_object("value", "$.rule.securityStandards")
+    standards = F.when(F.ltrim(whole).startswith("["), F.from_json(whole, "array<string>")).otherwise(F.concat(*named))
+    rules = rows.select(F.get_json_object("value", "$.rule.key").alias("rule_key"), F.get_json_object("value", "$.rule.name").alias("name"), listed("tags").alias("tags"), standards.alias("standards"))
+    return rules.where("rule_key IS NOT NULL").dropDuplicates(["rule_key"])
+
+
 def read_aikido(spark: SparkSession, path: str, repo_id: str | None = None) -> DataFrame:
     """Issues of saved Aikido exports of one repository, if named: a list, or one under a key of AIKIDO_LISTS, in an object of AIKIDO_OBJECTS, or new and existing ones."""
     issue = f"array<struct<{AIKIDO.replace(' string', ':string').replace(' int', ':int').replace(', ', ',')}>>"

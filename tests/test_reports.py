@@ -6,9 +6,10 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 from siftwell.functions import contract
-from siftwell.operators import diagnostics, report, resolution
+from siftwell.operators import compare, diagnostics, report, resolution
 from siftwell.plans.catalog import suite
 from siftwell.sinks import tables
+from siftwell.sources.normalized import read_sonar_rules
 from siftwell.sources.tables import read_csv, read_feature_tables
 
 SF = "/root/testdata/sf0.001"
@@ -53,6 +54,21 @@ def test_rules(spark):
     assert [tuple(r)[:4] for r in found] == [("r1", "CWE-79", ["CWE-79", "CWE-20"], "Name"), ("r2", "CWE-1", ["CWE-1"], "old"), (None, None, None, None)]
 
 
+def test_saved_rules(spark, tmp_path):
+    texts = ['{"rule":{"key":"a","name":"N","tags":["cwe-7"],"securityStandards":["cwe:89","owaspTop10-2021:a3"]}}', '{"rule":{"key":"b","securityStandards":{"CWE":["79"],"OWASP Top 10 2017":["A7"],"other":1}}}', '{"errors":[]}', "no json"]
+    for k, text in enumerate(texts):
+        (tmp_path / f"{k}.json").write_text(text)
+    known = resolution.rule_classification(read_sonar_rules(spark, str(tmp_path))).orderBy("rule_key").collect()
+    assert [(r["rule_key"], r["vuln_class"], r["cwe_ids"]) for r in known] == [("a", "N", ["CWE-89", "CWE-7"]), ("b", None, ["CWE-79"])]
+    assert known[0]["owasp_top_10_2021"]["codes"] == ["A03"] and known[1]["owasp_top_10_2017"]["codes"] == ["A7"]
+
+
+def test_report_order(spark):
+    rows = [("alerts", "x", "", "", None), ("tool_marginal", "m", "b", "s", 5), ("tool_marginal", "m", "b", "s", 1), ("new", "n", "", "", None), ("dataset", "d", "", "", None), ("policy", "p", "", "", None)]
+    found = compare.ordered(spark.createDataFrame(rows, "section string, name string, tool string, strategy string, k int")).collect()
+    assert [(r["section"], r["k"]) for r in found] == [("policy", None), ("dataset", None), ("tool_marginal", 1), ("tool_marginal", 5), ("new", None), ("alerts", None)]
+
+
 def test_contract(spark):
     kind = "suite_id string, case_id string, tool string, finding_id string, rule_id string, title string, severity string, file_path string, line_number string, end_line_number string, cwe_ids array<string>"
     rows = [("s", "c", "t", "2", "r", "t", "LOW", "b", "3", None, ["CWE-9", None, "CWE-1"]), ("s", "c", "t", "1", "", None, "severe", "b", None, "x", None), ("s", "c", "t", "3", "r", "t", None, "a", "20", "20", []), ("s", "c", "t", "4", "r", "t", "", "b", "10", "10", [])]
