@@ -410,7 +410,8 @@ def classify(column: pa.Array, model: LicenceModel) -> list[list[dict]]:
 def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: LicenceModel | None = None) -> DataFrame:
     """(id, licences): the licence paragraphs of each row, in text order.
 
-    Every paragraph of every text is classified where it was read; nothing is shuffled.  Equal rows give equal results.
+    Every paragraph of every text is classified where it was read; nothing is shuffled.  Equal rows give equal
+    results, null and empty texts an empty list; a text is classified whole, however long, and other columns don't matter.
     """
     model = model or trained()
     kind = df.schema[id_col].dataType.simpleString()
