@@ -1,24 +1,25 @@
 """Removal of word sequences that an earlier document has too, by fixed-block anchors.
 
-Documents are cut into batches by ranges of their ids, so that an earlier batch
-holds smaller ids only.  A repeat of WINDOW = 13 words holds one whole block of
-BLOCK = 7 words of its earlier document, as blocks lie at multiples of 7.
-
-1. Every batch settles its own repeats.  Of each distinct window only the first
-   document of the batch goes on, so a passage that a third of all documents
-   share takes one entry per batch.
-2. Anchors: the batches send 48 bits of the hash of every rolling block, with a
-   mark on those that are non-overlapping reference blocks.  Hash ranges are
-   probed by themselves: a rolling block that an earlier batch indexes is a hit,
-   and so is a reference block that a later batch probes.
-3. Extension: windows that hold a hit are compared as wholes (96 bits beside the
-   range they were sent to), which gives the exact 13-word repeats; adjoining
-   ones make up the maximal repeats.
-4. Each document drops the words that its covered windows cover.
-
-Windows are judged on the input, not on what is left.  A null text has no words.
-Documents with a null id are kept whole and make no repeat; rows with equal ids
-are no repeats of each other.
+Documents are dealt to batches of about 4 MB by a hash of id and text.  A repeat of WINDOW = 13 words
+holds one whole block of BLOCK = 7 words of its earlier document, as blocks lie at multiples of 7.
+
+1. Every batch settles its own repeats.  Of each distinct window only the document of the smallest id of the
+   batch goes on, so a passage that a third of all documents share takes one entry per batch.
+2. Anchors: the batches send 47 bits of the hash of every rolling block, with a mark on those that are
+   non-overlapping reference blocks.  Hash ranges are probed by themselves: a rolling block that another batch
+   indexes is a hit, and so is a reference block that another batch probes.
+3. Extension: a hit is extended to both sides to the 13-word windows that hold it.  These meet those of the
+   other batches as wholes (96 bits and the smallest id), so a block of many references needs no pairs.
+   Extensions that follow each other word by word make up the maximal repeats.
+4. Each document drops the words that its repeats cover.
+
+A batch packs its entries of a hash range into one row.  Ranges are as many as batches, so a range takes as much
+memory as a batch at any size of input.  Rows number at most batches times ranges and never more than there are
+entries; their bytes are in proportion to the input, and no step loops over rows or ranges in Python.
+
+Ids are integers.  Windows are judged on the input, not on what is left.  A null text has no words; an empty one
+neither.  Documents with a null id are kept whole and make no repeat; rows with equal ids are no repeats of each
+other.  A single text is never split, so the longest one bounds a task's memory from below.
 """
 
 from __future__ import annotations
@@ -27,21 +28,22 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
-from siftwell.llm.ranges import borders, range_of
-from siftwell.llm.words import Words, rolling, slices
+from siftwell.llm.words import Words, rolling, slices, text_bytes
 
 WINDOW, BLOCK = 13, 7
 #: Text bytes of a batch, on average.
 BATCH_BYTES = 4 << 20
-_KEY_BITS = 48
+_KEY_BITS = 47
+#: With at least as many hash ranges an entry's place in its range takes 40 bits.
+LEAST_RANGES = 256
 
 
 class _Batch:
-    """The words of a batch's documents, in the order of their ids, with the windows that the batch can settle."""
+    """The words of a batch's documents, with the windows that the batch can settle."""
 
     def __init__(self, table: pa.Table):
-        table = table.sort_by([("id", "ascending"), ("text", "ascending")])
         self.table = table
         self.parts: list[Words] = []
         hashes, others, counts = [], [], []
@@ -63,14 +65,14 @@ class _Batch:
         self.place = np.arange(n) - np.repeat(first, self.counts)
         windows = rolling(hashes, WINDOW)
         self.keys = windows[self.whole] if len(windows) else np.zeros(0, np.uint64)
-        ids = np.asarray(table.column("id").combine_chunks().fill_null(-1)) if len(table) else np.zeros(0, np.int64)
-        rank = np.unique(ids, return_inverse=True)[1][self.row[self.whole]] if n else np.zeros(0, np.int64)
+        ids = np.asarray(table.column("id").combine_chunks().cast(pa.int64()).fill_null(0))
+        self.ids = ids[self.row[self.whole]]
         order = np.argsort(self.keys, kind="stable")
-        opens = np.diff(self.keys[order], prepend=np.uint64(0)) != 0
-        opens[:1] = True
-        least = rank[order][opens][np.cumsum(opens) - 1] if len(order) else rank
+        opens = _opens(self.keys[order])
         self.owner = np.ones(len(self.keys), bool)
-        self.owner[order] = rank[order] == least
+        if len(order):
+            count = np.diff(np.append(opens, len(order)))
+            self.owner[order] = self.ids[order] == np.repeat(np.minimum.reduceat(self.ids[order], opens), count)
         self._hashes = hashes
 
     def _spread(self, starts: np.ndarray, width: int) -> np.ndarray:
@@ -85,119 +87,151 @@ class _Batch:
         starts = np.flatnonzero(self._spread(self.whole[self.owner], WINDOW - BLOCK + 1))
         keys = rolling(self._hashes, BLOCK)[starts] >> np.uint64(64 - _KEY_BITS) if len(starts) else np.zeros(0, np.uint64)
         both = np.sort(keys * np.uint64(2) + (self.place[starts] % BLOCK != 0))
-        return both[np.diff(both >> np.uint64(1), prepend=np.uint64(2**63)) != 0], starts, keys
+        return both[_opens(both >> np.uint64(1))], starts, keys
 
-    def candidates(self, later: np.ndarray, earlier: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Sorted distinct keys (64 and 32 bits) of the owned windows with a hit.  later, earlier: marks on anchors()."""
-        found, starts, keys = self.anchors()
-        at = np.searchsorted(found >> np.uint64(1), keys)
-        hit = later[at] | (earlier[at] & (self.place[starts] % BLOCK == 0))
+    def extensions(self, anchors: tuple[np.ndarray, np.ndarray, np.ndarray], marks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sorted distinct keys (64 and 32 bits) and ids of the owned windows around a hit.  marks: PROBED and INDEXED on anchors."""
+        found, starts, keys = anchors
+        mark = marks[np.searchsorted(found >> np.uint64(1), keys)]
+        hit = (mark & INDEXED > 0) | ((mark & PROBED > 0) & (self.place[starts] % BLOCK == 0))
         near = np.zeros(len(self.row) + WINDOW, np.int64)
         near[starts[hit]] = 1
         total = np.concatenate([[0], np.cumsum(near)])
         some = self.owner & (total[self.whole + WINDOW - BLOCK + 1] > total[self.whole])
-        keys = self.keys[some]
-        keys, at = np.unique(keys, return_index=True)
+        keys, at = np.unique(self.keys[some], return_index=True)
         wide = rolling(self._others, WINDOW, 1)[self.whole[some][at]] >> np.uint64(32) if len(keys) else keys
-        return keys, wide.astype(np.uint32)
+        return keys, wide.astype(np.uint32), self.ids[some][at]
 
-    def covered(self, keys: np.ndarray) -> np.ndarray:
-        """Marks on words of windows that an earlier document has; keys: sorted windows of earlier batches."""
+    def repeated(self, keys: np.ndarray) -> np.ndarray:
+        """Where windows start that a smaller id has; keys: sorted windows that a smaller id of another batch has."""
         again = ~self.owner
         if len(keys):
             at = np.minimum(np.searchsorted(keys, self.keys), len(keys) - 1)
             again |= keys[at] == self.keys
-        return self._spread(self.whole[again], WINDOW)
+        return self.whole[again]
+
+    def maximal(self, starts: np.ndarray) -> pa.Array:
+        """For each document its maximal repeats: runs of repeated windows, as (first word, word after the last)."""
+        row = self.row[starts]
+        opens = (np.diff(starts, prepend=-2) != 1) | (np.diff(row, prepend=-1) != 0)
+        closes = np.append(opens[1:], True)[: len(starts)]
+        spans = pa.StructArray.from_arrays([pa.array(self.place[starts[opens]]), pa.array(self.place[starts[closes]] + WINDOW)], ["start", "end"])
+        ends = np.cumsum(np.bincount(row[opens], minlength=len(self.counts)))
+        return pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), spans)
+
+    def covered(self, starts: np.ndarray) -> np.ndarray:
+        """Marks on the words of the windows that start there."""
+        return self._spread(starts, WINDOW)
+
+
+#: Marks on a block's key: another batch has it as a rolling block, or as a reference block.
+PROBED, INDEXED = np.uint8(1), np.uint8(2)
+
 
+def _opens(keys: np.ndarray) -> np.ndarray:
+    """Where runs of equal keys begin."""
+    return np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
 
-def _cuts(keys: np.ndarray, bits: int, buckets: int) -> np.ndarray:
-    """Where the sorted keys of each bucket begin, and the end."""
-    edges = [-(-(k << bits) // buckets) for k in range(buckets)]
-    return np.append(np.searchsorted(keys, np.array(edges, np.uint64)), len(keys))
 
+def _bucket(keys: np.ndarray, bits: int, buckets: int) -> np.ndarray:
+    """The hash range of each key; larger keys have equal or larger ranges."""
+    return (((keys >> np.uint64(bits - 32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
 
-def _bits(marks: np.ndarray) -> bytes:
-    return np.packbits(marks).tobytes()
 
+def _base(bucket: np.ndarray, buckets: int) -> np.ndarray:
+    """The least key of 48 bits in each hash range."""
+    return ((bucket.astype(np.uint64) << np.uint64(32)) + np.uint64(buckets - 1)) // np.uint64(buckets) << np.uint64(16)
 
-def _marks(rows: pa.Table, name: str, cuts: np.ndarray) -> np.ndarray:
-    """The marks of all buckets, one after the other; none where no row came."""
-    out = np.zeros(cuts[-1], bool)
-    for bucket, data in zip(rows.column("bucket").to_pylist(), rows.column(name).to_pylist(), strict=True):
-        a, b = cuts[bucket], cuts[bucket + 1]
-        out[a:b] = np.unpackbits(np.frombuffer(data, np.uint8), count=b - a).astype(bool)
-    return out
+
+def _packed(values: np.ndarray, edges: np.ndarray) -> pa.Array:
+    """One binary value for each run of values between neighbouring edges."""
+    offsets = (edges * values.itemsize).astype(np.int64)
+    found = pa.Array.from_buffers(pa.large_binary(), len(edges) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
+    return found.cast(pa.binary())
+
+
+def _unpacked(column: pa.ChunkedArray, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """The values of all rows, one after the other, and how many each row has."""
+    data, at = text_bytes(column.combine_chunks())
+    size = np.dtype(kind).itemsize
+    return data.view(kind), np.diff(at) // size
+
+
+def _edges(counts: np.ndarray) -> np.ndarray:
+    return np.append(0, np.cumsum(counts))
+
+
+def _numbers(column: pa.ChunkedArray) -> np.ndarray:
+    return column.to_numpy().astype(np.int64)
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", batch_bytes: int = BATCH_BYTES) -> DataFrame:
-    """(id, n_words, n_removed, kept): the words left in each document, joined by one space."""
+    """(id, n_words, n_removed, kept, repeats): the words left in each document, joined by one space, and its maximal repeats in words."""
+    kind = df.schema[id_col].dataType
+    if not isinstance(kind, IntegralType):
+        raise ValueError(f"{id_col} must be an integer column, not {kind.simpleString()}")
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     size = rows.select(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = size // batch_bytes + 1
-    texts = rows.withColumn("batch", range_of(F.col("id"), borders(rows, "id", buckets)))
-    kind = df.schema[id_col].dataType.simpleString()
+    batches = size // batch_bytes + 1
+    buckets = max(LEAST_RANGES, batches)
+    texts = rows.withColumn("batch", F.pmod(F.xxhash64("id", "text"), F.lit(batches)).cast("int"))
 
     def anchors(key: tuple, table: pa.Table) -> pa.Table:
-        found, _, _ = _Batch(table).anchors()
-        cuts = _cuts(found >> np.uint64(1), _KEY_BITS, buckets)
-        out = []
-        for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-            if a < b:
-                keys = found[a:b] >> np.uint64(1)
-                steps = np.diff(keys, prepend=np.uint64(-(-(k << _KEY_BITS) // buckets)))
-                narrow = int(steps.max()) < 1 << 32
-                out.append((k, key[0].as_py(), narrow, steps.astype(np.uint32 if narrow else np.uint64).tobytes(), _bits(found[a:b] & np.uint64(1) == 0)))
-        return pa.table([pa.array(x, t) for x, t in zip(list(zip(*out, strict=True)) or [[]] * 5, (pa.int32(), pa.int32(), pa.bool_(), pa.binary(), pa.binary()), strict=True)], names=["bucket", "batch", "narrow", "steps", "indexed"])
-
-    def probe(key: tuple, table: pa.Table) -> pa.Table:
-        bucket = key[0].as_py()
-        parts = table.to_pylist()
-        steps = [np.frombuffer(x["steps"], np.uint32 if x["narrow"] else np.uint64).astype(np.uint64) for x in parts]
-        base = np.uint64(-(-(bucket << _KEY_BITS) // buckets))
-        keys = np.concatenate([base + np.cumsum(s, dtype=np.uint64) for s in steps])
-        indexed = np.concatenate([np.unpackbits(np.frombuffer(x["indexed"], np.uint8), count=len(s)) for x, s in zip(parts, steps, strict=True)]).astype(bool)
-        batch = np.repeat(np.array([x["batch"] for x in parts], np.int64), [len(s) for s in steps])
-        order = np.argsort(keys, kind="stable")
-        opens = np.flatnonzero(np.diff(keys[order], prepend=~keys[order[:1]]) != 0)
+        found = _Batch(table).anchors()[0]
+        bucket = _bucket(found, 48, buckets)
+        first = _opens(bucket)
+        rest, edges = found - _base(bucket, buckets), np.append(first, len(found))
+        batch = np.full(len(first), key[0].as_py(), np.int32)
+        return pa.table({"bucket": bucket[first].astype(np.int32), "batch": batch, "high": _packed((rest >> np.uint64(32)).astype(np.uint8), edges), "low": _packed(rest.astype(np.uint32), edges)})
+
+    def probe(table: pa.Table) -> pa.Table:
+        bucket = _numbers(table.column("bucket"))
+        low, counts = _unpacked(table.column("low"), np.uint32)
+        high, _ = _unpacked(table.column("high"), np.uint8)
+        found = np.repeat(_base(bucket, buckets), counts) + (high.astype(np.uint64) << np.uint64(32)) + low
+        order = np.argsort(found, kind="stable")
+        keys, indexed = found[order] >> np.uint64(1), found[order] & np.uint64(1) == 0
+        opens = _opens(keys)
         count = np.diff(np.append(opens, len(keys)))
-        b, ix = batch[order], indexed[order]
-        first_index = np.repeat(np.minimum.reduceat(np.where(ix, b, np.iinfo(np.int64).max), opens), count)
-        last_probe = np.repeat(np.maximum.reduceat(b, opens), count)
-        later, earlier = np.zeros(len(keys), bool), np.zeros(len(keys), bool)
-        later[order], earlier[order] = first_index < b, ix & (last_probe > b)
-        ends = np.cumsum([len(s) for s in steps])
-        out = [(x["batch"], bucket, _bits(later[e - len(s) : e]), _bits(earlier[e - len(s) : e])) for x, s, e in zip(parts, steps, ends, strict=True) if later[e - len(s) : e].any() or earlier[e - len(s) : e].any()]
-        return pa.table([pa.array(x, t) for x, t in zip(list(zip(*out, strict=True)) or [[]] * 4, (pa.int32(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["batch", "bucket", "later", "earlier"])
+        references = np.repeat(np.add.reduceat(indexed.astype(np.int64), opens), count)
+        marks = np.zeros(len(keys), np.uint8)
+        marks[order] = np.where(np.repeat(count, count) > 1, PROBED, 0) | np.where(references > indexed, INDEXED, 0)
+        some = np.maximum.reduceat(marks, _edges(counts)[:-1]) > 0
+        return pa.table({"batch": table.column("batch"), "bucket": table.column("bucket"), "marks": _packed(marks, _edges(counts))}).filter(pa.array(some))
 
     def extend(key: tuple, table: pa.Table, hits: pa.Table) -> pa.Table:
-        out = []
-        if len(table) and len(hits):
-            batch = _Batch(table)
-            cuts = _cuts(batch.anchors()[0] >> np.uint64(1), _KEY_BITS, buckets)
-            keys, wide = batch.candidates(_marks(hits, "later", cuts), _marks(hits, "earlier", cuts))
-            cuts = _cuts(keys, 64, buckets)
-            out = [(k, key[0].as_py(), keys[a:b].tobytes(), wide[a:b].tobytes()) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if a < b]
-        return pa.table([pa.array(x, t) for x, t in zip(list(zip(*out, strict=True)) or [[]] * 4, (pa.int32(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["bucket", "batch", "keys", "wide"])
+        batch = _Batch(table if len(hits) else table.slice(0, 0))
+        found = batch.anchors()
+        marks = np.zeros(len(found[0]), np.uint8)
+        if len(hits):
+            bucket = _bucket(found[0], 48, buckets)
+            first = _opens(bucket)
+            data, counts = _unpacked(hits.column("marks"), np.uint8)
+            begin = first[np.searchsorted(bucket[first], _numbers(hits.column("bucket")))]
+            marks[np.repeat(begin - _edges(counts)[:-1], counts) + np.arange(len(data))] = data
+        keys, wide, ids = batch.extensions(found, marks)
+        bucket = _bucket(keys, 64, buckets)
+        first = _opens(bucket)
+        edges = np.append(first, len(keys))
+        number = np.full(len(first), key[0].as_py() if len(first) else 0, np.int32)
+        return pa.table({"bucket": bucket[first].astype(np.int32), "batch": number, "keys": _packed(keys, edges), "wide": _packed(wide, edges), "ids": _packed(ids, edges)})
 
     def compare(table: pa.Table) -> pa.Table:
-        parts = table.to_pylist()
-        keys = [np.frombuffer(x["keys"], np.uint64) for x in parts]
-        count = [len(k) for k in keys]
-        keys, wide = np.concatenate(keys), np.concatenate([np.frombuffer(x["wide"], np.uint32) for x in parts])
-        batch = np.repeat(np.array([x["batch"] for x in parts]), count)
-        order = np.lexsort((batch, wide, keys))
-        opens = (np.diff(keys[order], prepend=~keys[order[:1]]) != 0) | (np.diff(wide[order].astype(np.int64), prepend=-1) != 0)
-        least = batch[order][opens][np.cumsum(opens) - 1]
+        keys, counts = _unpacked(table.column("keys"), np.uint64)
+        wide, ids = _unpacked(table.column("wide"), np.uint32)[0], _unpacked(table.column("ids"), np.int64)[0]
+        order = np.lexsort((ids, wide, keys))
+        k, w = keys[order], wide[order]
+        opens = np.flatnonzero(np.append(True, (k[1:] != k[:-1]) | (w[1:] != w[:-1])))
+        least = np.repeat(ids[order][opens], np.diff(np.append(opens, len(k))))
         again = np.zeros(len(keys), bool)
-        again[order] = least < batch[order]
-        ends = np.cumsum(count)
-        out = [(x["batch"], keys[e - c : e][again[e - c : e]].tobytes()) for x, c, e in zip(parts, count, ends, strict=True) if again[e - c : e].any()]
-        return pa.table([pa.array(x, t) for x, t in zip(list(zip(*out, strict=True)) or [[]] * 2, (pa.int32(), pa.binary()), strict=True)], names=["batch", "keys"])
+        again[order] = least < ids[order]
+        counts = np.add.reduceat(again.astype(np.int64), _edges(counts)[:-1])
+        return pa.table({"batch": table.column("batch"), "keys": _packed(keys[again], _edges(counts))}).filter(pa.array(counts > 0))
 
     def finish(table: pa.Table, found: pa.Table) -> pa.Table:
         batch = _Batch(table)
-        keys = np.sort(np.concatenate([np.zeros(0, np.uint64), *[np.frombuffer(x, np.uint64) for x in found.column("keys").to_pylist()]]))
-        gone = batch.covered(keys)
+        starts = batch.repeated(np.sort(_unpacked(found.column("keys"), np.uint64)[0]))
+        gone = batch.covered(starts)
         removed = np.bincount(batch.row[gone], minlength=len(batch.counts))
         kept: list[bytes] = []
         at = 0
@@ -214,10 +248,11 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             total = np.concatenate([[0], np.cumsum(np.where(stays, length, 0))])
             raw = data.tobytes()
             kept += [raw[total[a] : max(total[a], total[b] - 1)] for a, b in zip(words.first[:-1], words.first[1:], strict=True)]
-        return pa.table([batch.table.column("id"), pa.array(batch.counts), pa.array(removed.astype(np.int64)), pa.array(kept, pa.binary()).cast(pa.string())], names=[id_col, "n_words", "n_removed", "kept"])
+        columns = {id_col: batch.table.column("id"), "n_words": batch.counts, "n_removed": removed.astype(np.int64), "kept": pa.array(kept, pa.binary()).cast(pa.string()), "repeats": batch.maximal(starts)}
+        return pa.table(columns)
 
     by_batch = texts.groupBy("batch")
-    hits = by_batch.applyInArrow(anchors, "bucket int, batch int, narrow boolean, steps binary, indexed binary").groupBy("bucket").applyInArrow(probe, "batch int, bucket int, later binary, earlier binary")
-    windows = by_batch.cogroup(hits.groupBy("batch")).applyInArrow(extend, "bucket int, batch int, keys binary, wide binary")
+    hits = by_batch.applyInArrow(anchors, "bucket int, batch int, high binary, low binary").groupBy("bucket").applyInArrow(probe, "batch int, bucket int, marks binary")
+    windows = by_batch.cogroup(hits.groupBy("batch")).applyInArrow(extend, "bucket int, batch int, keys binary, wide binary, ids binary")
     repeats = windows.groupBy("bucket").applyInArrow(compare, "batch int, keys binary")
-    return by_batch.cogroup(repeats.groupBy("batch")).applyInArrow(finish, f"{id_col} {kind}, n_words long, n_removed long, kept string")
+    return by_batch.cogroup(repeats.groupBy("batch")).applyInArrow(finish, f"{id_col} {kind.simpleString()}, n_words long, n_removed long, kept string, repeats array<struct<start: long, end: long>>")

@@ -103,8 +103,37 @@ def test_substrings_over_many_batches(spark, texts):
     con = duckdb.connect()
     con.sql(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
     wanted = {(a, b, c) for a, b, c, _ in con.sql(f"SELECT doc_id, n_words, n_removed, kept_sha256 FROM ({queries.OP2_SQL})").fetchall()}
-    got = substrings.remove_repeats(spark.read.parquet(f"{SF}/documents.parquet"), batch_bytes=40_000)
-    assert {(r["doc_id"], r["n_words"], r["n_removed"]) for r in got.collect()} == wanted
+    for batch_bytes in (40_000, 1_500):  # fewer and more batches than LEAST_RANGES
+        got = substrings.remove_repeats(spark.read.parquet(f"{SF}/documents.parquet"), batch_bytes=batch_bytes)
+        assert {(r["doc_id"], r["n_words"], r["n_removed"]) for r in got.collect()} == wanted
+
+
+def test_maximal_repeats(spark):
+    rng = np.random.default_rng(5)
+    passages = [" ".join(f"p{k}w{j}" for j in range(13 + 5 * k)) for k in range(6)]
+    rows = []
+    for k in range(120):
+        parts = [" ".join(f"f{x}" for x in rng.integers(0, 10**9, rng.integers(0, 9))) if rng.random() < 0.5 else passages[rng.integers(6)] for _ in range(5)]
+        rows.append((None if k % 17 == 16 else k // 2, " ".join(parts)))
+    texts = [(i, t.split()) for i, t in rows]
+    least: dict = {}
+    for i, w in texts:
+        for p in range(len(w) - 12 if i is not None else 0):
+            least[tuple(w[p : p + 13])] = min(i, least.get(tuple(w[p : p + 13]), i))
+    wanted = []
+    for i, w in texts:
+        starts = [p for p in range(len(w) - 12) if i is not None and least[tuple(w[p : p + 13])] < i]
+        spans = [[p, p + 13] for p in starts if p - 1 not in starts]
+        for span in spans:
+            while span[1] - 12 in starts:
+                span[1] += 1
+        wanted.append((str(i), len(w), [tuple(x) for x in spans]))
+    df = spark.createDataFrame(rows, "doc_id int, text string")
+    for batch_bytes in (1_000, 1 << 20):
+        got = substrings.remove_repeats(df, batch_bytes=batch_bytes).collect()
+        assert sorted((str(r["doc_id"]), r["n_words"], [(x["start"], x["end"]) for x in r["repeats"]]) for r in got) == sorted(wanted)
+    with pytest.raises(ValueError):
+        substrings.remove_repeats(df.withColumn("doc_id", F.col("doc_id").cast("string")))
 
 
 def test_quality(spark, odd, empty):
