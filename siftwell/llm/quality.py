@@ -119,6 +119,20 @@ class BagModel:
     def _scaled(self, x: np.ndarray) -> np.ndarray:
         return np.clip((x - self.mean) / self.scale, -20, 20)
 
+    def _gradient(self, x: np.ndarray, first: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
+        """Of the mean log loss of all bags."""
+        w = self.weights
+        f = self._forward(x, first)
+        bag, a, h = f["bag"], f["a"], f["h"]
+        dlogit = (f["p"] - y) / len(y)
+        dz = dlogit[:, None] * w["c"]
+        of_a = np.sum(h * dz[bag], 1)
+        de = a * (of_a - np.add.reduceat(a * of_a, first[:-1])[bag])
+        dtg = de[:, None] * w["w"]
+        dt, dg = dtg * f["g"] * (1 - f["t"] ** 2), dtg * f["t"] * f["g"] * (1 - f["g"])
+        dh = (a[:, None] * dz[bag] + dt @ w["V"].T + dg @ w["U"].T) * (1 - h**2)
+        return {"W": x.T @ dh, "b": dh.sum(0), "V": h.T @ dt, "U": h.T @ dg, "w": (f["t"] * f["g"]).T @ de, "c": f["z"].T @ dlogit, "d": dlogit.sum()}
+
     def fit(self, x: np.ndarray, first: np.ndarray, y: np.ndarray) -> BagModel:
         """Adam on the log loss of all bags, with a small penalty on the weights."""
         self.mean, self.scale = x.mean(0), x.std(0) + 0.02
@@ -128,16 +142,7 @@ class BagModel:
         self.weights = w = {k: rng.normal(0, 1 / np.sqrt(max(1, s[0] if s else 1)), s) * (k not in "bd") for k, s in shapes.items()}
         m, v = ({k: np.zeros(s) for k, s in shapes.items()} for _ in range(2))
         for step in range(1, _STEPS + 1):
-            f = self._forward(x, first)
-            bag, a, h = f["bag"], f["a"], f["h"]
-            dlogit = (f["p"] - y) / len(y)
-            dz = dlogit[:, None] * w["c"]
-            of_a = np.sum(h * dz[bag], 1)
-            de = a * (of_a - np.add.reduceat(a * of_a, first[:-1])[bag])
-            dtg = de[:, None] * w["w"]
-            dt, dg = dtg * f["g"] * (1 - f["t"] ** 2), dtg * f["t"] * f["g"] * (1 - f["g"])
-            dh = (a[:, None] * dz[bag] + dt @ w["V"].T + dg @ w["U"].T) * (1 - h**2)
-            grad = {"W": x.T @ dh, "b": dh.sum(0), "V": h.T @ dt, "U": h.T @ dg, "w": (f["t"] * f["g"]).T @ de, "c": f["z"].T @ dlogit, "d": dlogit.sum()}
+            grad = self._gradient(x, first, y)
             for k, g in grad.items():
                 g = g + 1e-4 * w[k] * (k not in "bd")
                 m[k] = 0.9 * m[k] + 0.1 * g
