@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftwell.llm import decontamination, fingerprints, jaccard, licenses, personal, pieces, quality, secrets, substrings, token_counts
+from siftwell.llm import audit, bytepair, decontamination, fingerprints, infill, jaccard, licenses, personal, pieces, quality, secrets, substrings, token_counts
 from siftwell.llm.shared import small_batches
 
 
@@ -169,6 +169,80 @@ def op10_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _digests(personal.find(_documents(spark, sf_dir)), F.col("base"), personal.BASE_KINDS)
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.interactions(audit.masks(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+OP11_SQL = """
+WITH RECURSIVE labelled AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id
+), docs AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+    list_filter(string_split_regex(coalesce(text, ''), '[ ' || chr(9) || '-' || chr(13) || ']+'), lambda w: w <> '') AS words
+  FROM documents
+), judged AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    len(words) < 100 AS a, 100 * len(list_distinct(words)) < 80 * len(words) AS b,
+    100 * length(regexp_replace(text, '[^A-Z]+', '', 'g')) > 10 * length(text) AS c, regexp_matches(text, '[#$%&*|]') AS d,
+    coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false) AS e
+  FROM docs LEFT JOIN labelled USING (doc_id)
+), failed AS (
+  SELECT part, good, toxic, (CASE WHEN a THEN 'A' ELSE '' END) || (CASE WHEN b THEN 'B' ELSE '' END) || (CASE WHEN c THEN 'C' ELSE '' END) || (CASE WHEN d THEN 'D' ELSE '' END) || (CASE WHEN e THEN 'E' ELSE '' END) AS fails
+  FROM judged
+), kinds AS (
+  SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM failed GROUP BY ALL
+), orders AS (
+  SELECT '' AS o UNION ALL SELECT o || f FROM orders, (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) AS t(f) WHERE NOT contains(o, f)
+), steps AS (
+  SELECT o AS filter_order, CAST(k AS INTEGER) AS step, substr(o, k, 1) AS f, substr(o, 1, k - 1) AS before FROM orders, range(1, 6) AS r(k) WHERE length(o) = 5
+), met AS (
+  SELECT part, filter_order, step, f, n, good, toxic, contains(fails, f) AS bad, fails = f AS sole,
+    length(translate(fails, before, '')) < length(fails) AS gone
+  FROM kinds, steps
+), counted AS (
+  SELECT part, filter_order, step, f,
+    sum(CASE WHEN NOT bad AND NOT gone THEN n ELSE 0 END) AS kept, sum(CASE WHEN bad AND NOT gone THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN bad AND gone THEN n ELSE 0 END) AS redundant, sum(CASE WHEN sole THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN bad AND NOT gone THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN bad AND NOT gone THEN toxic ELSE 0 END) AS toxic_lost
+  FROM met GROUP BY ALL
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+  CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM counted
+"""
+
+
+def op12_bytepair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = bytepair.round_trip(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+    ids = F.array_join(F.col("token_ids").cast("array<string>"), ",")
+    return both.select("doc_id", F.size("token_ids").cast("bigint").alias("n_tokens"), F.sha2(ids.cast("binary"), 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op13_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cuts = infill.transform(_documents(spark, sf_dir))
+    text = infill.restored(F.col("output"), F.col("form"))
+    return cuts.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"), F.sha2(text.cast("binary"), 256).alias("restored_sha256"))
+
+
+OP13_SQL = """
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS text, CAST(length(coalesce(text, '')) AS BIGINT) AS n, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS digest FROM documents
+), drawn AS (
+  SELECT doc_id, text, n, list_transform(range(4), lambda k: CAST('0x' || substr(digest, CAST(8 * k + 1 AS INT), 8) AS BIGINT)) AS h FROM docs
+), cuts AS (
+  SELECT doc_id, text, n, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 90 THEN 'plain' WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || substr(text, 1, a) || '<S>' || substr(text, b + 1) || '<M>' || substr(text, a + 1, b - a)
+    ELSE '<S>' || substr(text, b + 1) || '<P>' || substr(text, 1, a) || '<M>' || substr(text, a + 1, b - a) END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM cuts
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_substrings": op2_substrings,
@@ -180,10 +254,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_token_counts": op9_token_counts,
     "op10_personal": op10_personal,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_bytepair": op12_bytepair,
+    "op13_infill": op13_infill,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_substrings": OP2_SQL,
     "op4_jaccard": OP4_SQL,
     "op8_fingerprints": OP8_SQL,
+    "op11_filter_audit": OP11_SQL,
+    "op13_infill": OP13_SQL,
 }
