@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siftwell.functions.severity import bucket, severity_rank
+from siftwell.sinks.shared import stored
 
 FILE = ["suite_id", "case_id", "file_path"]
 CLUSTER = [*FILE, "cluster_id", "start_line", "end_line"]
@@ -83,5 +86,17 @@ def agreement_order() -> list[Column]:
 
 
 def ranked(rows: DataFrame, order: list[Column], keys: tuple[str, ...] = ("suite_id", "case_id"), name: str = "rank") -> DataFrame:
-    """rows with their place within a case.  A case is one scanned repository, so its clusters fit in a task."""
-    return rows.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    """rows with their place within a case, however many of the rows one case holds.
+
+    The rows are dealt out by ranges of case and order and written, numbered within each range.  A case's ranges are few, so
+    the numbers that its earlier ranges hold come from a small table of counts.
+    """
+    sides = [F.asc(k) for k in keys]
+    sorted_ranges = rows.repartitionByRange(*sides, *order).sortWithinPartitions(*sides, *order)
+    placed = stored(sorted_ranges.withColumn("_place", F.monotonically_increasing_id()).withColumn("_range", F.shiftright("_place", 33)))
+    counts = placed.groupBy(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_range").alias("_from")).agg(F.min("_place").alias("_first"), F.count("*").alias("_n"))
+    earlier = Window.partitionBy(*[f"_{k}" for k in keys]).orderBy("_from").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.withColumn("_start", F.col("_first") - F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - 1)
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    numbered = placed.join(starts, reduce(Column.__and__, same, F.col("_range") == F.col("_from")))
+    return numbered.select(*rows.columns, (F.col("_place") - F.col("_start")).cast("int").alias(name))

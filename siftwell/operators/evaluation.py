@@ -61,7 +61,7 @@ def rankings(rows: DataFrame, model: DataFrame | None, config: AnalysisConfig, m
     """
     use = use_triage_rank and model is None
     if use:
-        rows = rows.withColumn("_any_rank", F.max(F.col("triage_rank") > 0).over(Window.partitionBy(*keys)))
+        rows = rows.join(rows.groupBy(*keys).agg(F.max(F.col("triage_rank") > 0).alias("_any_rank")), list(keys))
     if model is None:
         strategies = tuple(s for s in strategies if not s.startswith("calibrated"))
     else:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from siftwell.functions.paths import normalize_file_path
 from siftwell.functions.scoring import ratio, round6
+from siftwell.operators.intervals import candidates
 
 CASE = ["suite_id", "case_id"]
 
@@ -44,11 +45,12 @@ def normalize_items(raw: DataFrame, repo_name: str = "") -> DataFrame:
 def match_items(gt: DataFrame, items: DataFrame, tolerance: int) -> DataFrame:
     """Each item with the tools that have a finding whose line lies in its range, widened by tolerance.
 
-    A missing line counts as 0.  Findings are reduced to distinct places before they meet the items of their file.
+    A missing line counts as 0.  Findings are reduced to distinct places, which meet the items of their file by buckets of lines.
     """
     places = items.where("tool <> '' AND file_path <> ''").select(*CASE, F.col("file_path").alias("file"), "tool", F.coalesce("line_number", F.lit(0)).alias("line")).distinct()
     inside = F.col("line").between(F.col("start_line") - tolerance, F.col("end_line") + tolerance)
-    found = gt.join(places, [*CASE, "file"]).where(inside).groupBy(*CASE, "gt_id", "file", "start_line", "end_line").agg(F.array_sort(F.collect_set("tool")).alias("found"))
+    ranges = gt.select(*CASE, "gt_id", "file", "start_line", "end_line").distinct()
+    found = candidates(places, ranges, [*CASE, "file"], ("line", "line"), ("start_line", "end_line"), tolerance).where(inside).groupBy(*CASE, "gt_id", "file", "start_line", "end_line").agg(F.array_sort(F.collect_set("tool")).alias("found"))
     rows = gt.join(found, [*CASE, "gt_id", "file", "start_line", "end_line"], "left").withColumn("found", F.coalesce("found", F.array().cast("array<string>")))
     return rows.select(
         *CASE, "gt_id", "track", "set_name", "file", "start_line", "end_line", (F.size("found") > 0).alias("matched"), F.size("found").alias("matched_tool_count"), F.array_join("found", ",").alias("matched_tools")
@@ -87,7 +89,13 @@ def gap_summary(gaps: DataFrame, matches: DataFrame) -> DataFrame:
 
 
 def overlaps(clusters: DataFrame, gt: DataFrame, tolerances: tuple[int, ...]) -> DataFrame:
-    """Cluster and item of every overlap, for each tolerance: one join with the widest, then a row per tolerance that holds.
+    """Cluster and item of every overlap, for each tolerance: one join with the widest, then a row per tolerance that holds."""
+    holds = F.filter(F.array(*map(F.lit, tolerances)), lambda t: t >= F.col("gap"))
+    return nearest(clusters, gt, max(tolerances)).select(*CASE, "cluster_id", "gt_id", "set_name", "track", F.explode(holds).alias("gt_tolerance"))
+
+
+def nearest(clusters: DataFrame, gt: DataFrame, reach: int) -> DataFrame:
+    """Cluster and item of every two within reach lines, and the gap between them: 0 or less where they overlap.
 
     Clusters without lines count as line 0.
     """
@@ -95,9 +103,8 @@ def overlaps(clusters: DataFrame, gt: DataFrame, tolerances: tuple[int, ...]) ->
     places = clusters.select(*CASE, F.col("file_path").alias("file"), "cluster_id", start.alias("c_start"), end.alias("c_end"))
     items = gt.select(*CASE, "file", "gt_id", "set_name", "track", F.col("start_line").alias("g_start"), F.col("end_line").alias("g_end"))
     gap = F.greatest(F.col("c_start") - F.col("g_end"), F.col("g_start") - F.col("c_end"))
-    near = places.join(items, [*CASE, "file"]).where(gap <= max(tolerances)).withColumn("gap", gap)
-    holds = F.filter(F.array(*map(F.lit, tolerances)), lambda t: t >= F.col("gap"))
-    return near.select(*CASE, "cluster_id", "gt_id", "set_name", "track", F.explode(holds).alias("gt_tolerance"))
+    near = candidates(places, items, [*CASE, "file"], ("c_start", "c_end"), ("g_start", "g_end"), reach)
+    return near.where(gap <= reach).select(*CASE, "cluster_id", "gt_id", "set_name", "track", gap.alias("gap"))
 
 
 def set_scores(expected: DataFrame, found: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
