@@ -17,7 +17,8 @@ def labelled(features: DataFrame, gt_cases: DataFrame) -> DataFrame:
     return rows.select("suite_id", "case_id", parse_tools(F.col("tools_json"), F.col("tools")).alias("tools"), "gt_overlap", owasp_id(F.col("owasp_id")).alias("owasp_id"))
 
 
-def _with_weights(counts: DataFrame, params: CalibrationParams) -> DataFrame:
+def with_weights(counts: DataFrame, params: CalibrationParams) -> DataFrame:
+    """Counts (tp, fp) of each tool with its smoothed precision and weight."""
     p = smoothed_precision(F.col("tp"), F.col("fp"), params)
     return counts.withColumns({"p_smoothed": round6(p), "weight": round6(log_odds(p, params))})
 
@@ -29,14 +30,14 @@ def _hits(df: DataFrame, *keys: str) -> DataFrame:
 
 def global_weights(rows: DataFrame, params: CalibrationParams) -> DataFrame:
     """(suite_id, tool, tp, fp, p_smoothed, weight) from labelled() rows."""
-    return _with_weights(_hits(rows, "suite_id"), params)
+    return with_weights(_hits(rows, "suite_id"), params)
 
 
 def weights_by_owasp(rows: DataFrame, params: CalibrationParams) -> DataFrame:
     """The same for each OWASP category, with its support; thinly supported ones fall back to the global weights."""
     known = rows.where("owasp_id IS NOT NULL")
     support = known.groupBy("suite_id", "owasp_id").agg(F.count("*").alias("support_clusters"), F.count_distinct("case_id").alias("support_cases"), F.sum("gt_overlap").alias("gt_positive_clusters"))
-    found = _with_weights(_hits(known, "suite_id", "owasp_id"), params).join(support, ["suite_id", "owasp_id"])
+    found = with_weights(_hits(known, "suite_id", "owasp_id"), params).join(support, ["suite_id", "owasp_id"])
     return found.withColumns({"min_support_by_owasp": F.lit(params.min_support), "fallback_to_global": F.when(F.col("support_clusters") < params.min_support, 1).otherwise(0)})
 
 
@@ -46,21 +47,26 @@ def model(rows: DataFrame, params: CalibrationParams) -> DataFrame:
     Its size is bounded by ten categories a suite.
     """
 
-    def as_map(df: DataFrame, *keys: str) -> DataFrame:
-        return df.groupBy(*keys).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("tool", "weight")))).alias("weights"))
+    return as_model(global_weights(rows, params), weights_by_owasp(rows, params).where("fallback_to_global = 0"))
 
-    whole = as_map(global_weights(rows, params), "suite_id").select("suite_id", F.lit(None).cast("string").alias("owasp_id"), "weights")
-    slices = as_map(weights_by_owasp(rows, params).where("fallback_to_global = 0"), "suite_id", "owasp_id")
-    return whole.unionByName(slices)
 
+def as_model(whole: DataFrame, slices: DataFrame, keys: tuple[str, ...] = ("suite_id",)) -> DataFrame:
+    """(keys, owasp_id, weights map) from the weights (tool, weight) of a whole and of its supported categories."""
 
-def with_score(rows: DataFrame, weights: DataFrame, params: CalibrationParams, by_owasp: bool = True, name: str = "triage_score_v1") -> DataFrame:
-    """rows (with tools, tool_count, max_severity and owasp_id) and their score; a category's weights if it has any."""
-    whole = weights.where("owasp_id IS NULL").select("suite_id", F.col("weights").alias("_all"))
-    out = rows.join(whole, "suite_id", "left")
+    def as_map(df: DataFrame, *by: str) -> DataFrame:
+        return df.groupBy(*by).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("tool", "weight")))).alias("weights"))
+
+    every = as_map(whole, *keys).select(*keys, F.lit(None).cast("string").alias("owasp_id"), "weights")
+    return every.unionByName(as_map(slices, *keys, "owasp_id"))
+
+
+def with_score(rows: DataFrame, weights: DataFrame, params: CalibrationParams, by_owasp: bool = True, name: str = "triage_score_v1", keys: tuple[str, ...] = ("suite_id",)) -> DataFrame:
+    """rows (with keys, tools, tool_count, max_severity and owasp_id) and their score; a category's weights if it has any."""
+    whole = weights.where("owasp_id IS NULL").select(*keys, F.col("weights").alias("_all"))
+    out = rows.join(whole, list(keys), "left")
     if by_owasp:
-        slices = weights.where("owasp_id IS NOT NULL").select("suite_id", F.col("owasp_id").alias("_slice"), F.col("weights").alias("_own"))
-        out = out.withColumn("_slice", owasp_id(F.col("owasp_id"))).join(slices, ["suite_id", "_slice"], "left")
+        slices = weights.where("owasp_id IS NOT NULL").select(*keys, F.col("owasp_id").alias("_slice"), F.col("weights").alias("_own"))
+        out = out.withColumn("_slice", owasp_id(F.col("owasp_id"))).join(slices, [*keys, "_slice"], "left")
     chosen = F.coalesce("_own", "_all") if by_owasp else F.col("_all")
     score = round6(triage_score(F.col("tools"), F.col("tool_count"), F.col("max_severity"), chosen, params))
     return out.withColumn(name, F.when(F.col("_all").isNotNull(), score)).drop("_all", "_own", "_slice")

@@ -67,14 +67,35 @@ def rankings(rows: DataFrame, model: DataFrame | None, config: AnalysisConfig, m
     else:
         rows = with_score(rows, model, config.calibration, name="_score")
         rows = with_score(rows, model, config.calibration, by_owasp=False, name="_score_all") if "calibrated_global" in strategies else rows
+    return _by_strategy(rows, _orders(strategies, use), list(keys), most)
+
+
+def _by_strategy(rows: DataFrame, orders: dict[str, list[Column]], keys: list[str], most: int) -> DataFrame:
     found = None
-    for strategy, order in _orders(strategies, use).items():
+    for strategy, order in orders.items():
         score = F.col({"calibrated": "_score", "calibrated_global": "_score_all"}[strategy]) if strategy.startswith("calibrated") else F.lit(None).cast("double")
-        part = _ranks(rows, list(keys), order, most).withColumns({"strategy": F.lit(strategy), "triage_score_v1": score}).drop("_score", "_score_all", "_any_rank")
+        part = _ranks(rows, keys, order, most).withColumns({"strategy": F.lit(strategy), "triage_score_v1": score}).drop("_score", "_score_all", "_any_rank")
         found = part if found is None else found.unionByName(part)
     return found
 
 
+def rankings_at(rows: DataFrame, models: DataFrame, config: AnalysisConfig, most: int, tolerances: tuple[int, ...]) -> DataFrame:
+    """rankings() of each tolerance, from rows with hits (see tolerance.labels) and a model keyed by gt_tolerance as well.
+
+    Orders that no model enters are the same at every tolerance, so they are ranked once.
+    """
+    orders = _orders(STRATEGIES, False)
+    every = F.explode(F.array(*map(F.lit, tolerances)))
+    fixed = _by_strategy(rows, {s: o for s, o in orders.items() if not s.startswith("calibrated")}, CASE, most).withColumn("gt_tolerance", every)
+    scored, by = rows.withColumn("gt_tolerance", every), ("suite_id", "gt_tolerance")
+    for name, by_owasp in (("_score", True), ("_score_all", False)):
+        scored = with_score(scored, models, config.calibration, by_owasp, name, by)
+    moving = _by_strategy(scored, {s: o for s, o in orders.items() if s.startswith("calibrated")}, [*CASE, "gt_tolerance"], most)
+    gt_ids = F.transform(F.filter("hits", lambda h: h["gt_tolerance"] <= F.col("gt_tolerance")), lambda h: h["gt_id"])
+    both = fixed.unionByName(moving).withColumn("gt_ids", gt_ids)
+    return both.select(*CASE, "gt_tolerance", "strategy", "rank", "cluster_id", "gt_ids", F.when(F.size("gt_ids") > 0, 1).otherwise(0).alias("gt_overlap"))
+
+
 def _ks(config: AnalysisConfig) -> Column:
     return F.array(*map(F.lit, config.ks))
 
@@ -106,25 +127,26 @@ def _totals(ranked: DataFrame, config: AnalysisConfig, keys: list[str]) -> DataF
     return counts.join(covered, [*keys, "k"], "left").na.fill(0, ["covered"])
 
 
-def by_case(ranked: DataFrame, found: DataFrame, config: AnalysisConfig, strategies: tuple[str, ...] = STRATEGIES) -> DataFrame:
+def by_case(ranked: DataFrame, found: DataFrame, config: AnalysisConfig, strategies: tuple[str, ...] = STRATEGIES, by: tuple[str, ...] = ()) -> DataFrame:
     """Precision and coverage at each k for each case and strategy; null where a case has no ground truth or rows.
 
-    Coverage counts all items of the first k clusters, so it may pass 1.
+    by: columns of both tables that tell more rows of a case apart.  Coverage counts all items of the first k clusters, so it may pass 1.
     """
-    grid = found.select(*CASE, "n_clusters", "has_gt", "gt_total", F.explode(F.array(*map(F.lit, strategies))).alias("strategy")).select("*", F.explode(_ks(config)).alias("k"))
-    rows = grid.join(_totals(ranked, config, [*CASE, "strategy"]), [*CASE, "strategy", "k"], "left").na.fill(0, ["tp", "rows", "covered"])
+    keys = [*CASE, *by, "strategy"]
+    grid = found.select(*CASE, *by, "n_clusters", "has_gt", "gt_total", F.explode(F.array(*map(F.lit, strategies))).alias("strategy")).select("*", F.explode(_ks(config)).alias("k"))
+    rows = grid.join(_totals(ranked, config, keys), [*keys, "k"], "left").na.fill(0, ["tp", "rows", "covered"])
     scored = F.col("has_gt") == 1
     tp, denom, covered = (F.when(scored, F.col(c)).otherwise(0) for c in ("tp", "rows", "covered"))
     return rows.select(
-        *CASE, "strategy", "k", "n_clusters", "has_gt", "gt_total", round6(ratio(tp, denom)).alias("precision"), tp.alias("tp_at_k"), denom.alias("denom_at_k"),
+        *keys, "k", "n_clusters", "has_gt", "gt_total", round6(ratio(tp, denom)).alias("precision"), tp.alias("tp_at_k"), denom.alias("denom_at_k"),
         round6(ratio(covered, F.when(scored, F.col("gt_total")))).alias("gt_coverage"), covered.alias("gt_covered_at_k"),
     )
 
 
-def macro(rows: DataFrame) -> DataFrame:
+def macro(rows: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Averages over cases of by_case() rows, from unrounded ratios."""
     p, c = ratio(F.col("tp_at_k"), F.col("denom_at_k")), ratio(F.col("gt_covered_at_k"), F.when(F.col("has_gt") == 1, F.col("gt_total")))
-    return rows.groupBy("suite_id", "strategy", "k").agg(
+    return rows.groupBy("suite_id", *by, "strategy", "k").agg(
         round6(F.avg(p)).alias("precision"), F.count(p).alias("precision_cases"), round6(F.avg(c)).alias("gt_coverage"), F.count(c).alias("gt_coverage_cases")
     )
 

@@ -151,6 +151,7 @@ def mart_strategy_ab(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 of_suite("tolerance_tools", lambda s: s.tolerance_tools)
 of_suite("tolerance_macro", lambda s: s.tolerance_macro)
+of_suite("tolerance_report", lambda s: s.tolerance_report)
 
 
 def _joined(name: str) -> Column:

@@ -409,3 +409,17 @@ def _at_tolerances(text: str) -> str:
 
 ORACLE_SQL |= {name: sql(text) for name, text in ADDED.items()}
 ORACLE_SQL |= {"tolerance_tools": _at_tolerances(SELECTS["calibration_global"]), "tolerance_macro": _at_tolerances(SELECTS["eval_macro"])}
+
+
+def _report() -> str:
+    """Overlap counts beside the macro metrics of each tolerance, turned to columns."""
+    wide = [f"max({m}) FILTER (strategy = '{s}' AND k = {k}) AS macro_{m}_{s}_k{k}" for m in ("precision", "gt_coverage") for s in ("baseline", "agreement", "calibrated") for k in (1, 3, 5, 10, 25)]
+    above = [f"round_even(macro_{m}_calibrated_k{k} - macro_{m}_baseline_k{k}, 6) AS delta_macro_{m}_calibrated_vs_baseline_k{k}" for m in ("precision", "gt_coverage") for k in (1, 3, 5, 10, 25)]
+    told = ", ".join(f"CASE WHEN {c} > {least} THEN '{name}=' || {c} END" for c, name, least in (("clusters_multi_gt", "many_to_one_clusters", 0), ("gt_ids_multi_cluster", "one_to_many_gt_ids", 0), ("max_gt_ids_per_cluster", "max_gt_ids_per_cluster", 1), ("max_clusters_per_gt_id", "max_clusters_per_gt_id", 1)))
+    return f"""SELECT * EXCLUDE (told), CASE WHEN len(told) > 0 THEN 1 ELSE 0 END AS gt_ambiguity_warning, len(told) AS gt_ambiguity_warning_count,
+      '[' || array_to_string(list_transform(told, lambda w: '"' || w || '"'), ', ') || ']' AS gt_ambiguity_warnings_json, {", ".join(above)}
+    FROM (SELECT *, clusters_multi_gt AS many_to_one_clusters, gt_ids_multi_cluster AS one_to_many_gt_ids, list_filter([{told}], lambda w: w IS NOT NULL) AS told FROM ({sql(SELECTS["tolerance_sweep"])})) counts
+    LEFT JOIN (SELECT suite_id, gt_tolerance, {", ".join(wide)} FROM ({ORACLE_SQL["tolerance_macro"]}) GROUP BY suite_id, gt_tolerance) wide USING (suite_id, gt_tolerance)"""
+
+
+ORACLE_SQL["tolerance_report"] = _report()

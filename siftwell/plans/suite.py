@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-from functools import cached_property, reduce
+from functools import cached_property
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from siftwell.config import AnalysisConfig
-from siftwell.operators import calibration, clustering, evaluation, filters, groundtruth, report, triage
+from siftwell.operators import calibration, clustering, evaluation, filters, groundtruth, report, tolerance, triage
 from siftwell.sinks.shared import spread, stored
 
 
@@ -130,22 +128,21 @@ class Suite:
         return evaluation.tool_marginal(self.rows, self.cases, self.utility, ranked, self.config)
 
     @cached_property
-    def at_tolerances(self) -> list[Suite]:
-        """This suite at each candidate tolerance of the ground truth; its findings and clusters are those of this one."""
-        found = [Suite(self.findings, self.gt, replace(self.config, gt_tolerance=t)) for t in self.config.gt_tolerance_candidates]
-        for suite in found:
-            suite.__dict__ |= {"with_path": self.with_path, "clusters": self.clusters}
-        return found
-
-    def _by_tolerance(self, tables: list[DataFrame]) -> DataFrame:
-        return reduce(DataFrame.unionByName, [df.withColumn("gt_tolerance", F.lit(t)) for df, t in zip(tables, self.config.gt_tolerance_candidates, strict=True)])
+    def swept(self) -> DataFrame:
+        """The clusters with what each candidate tolerance reaches: the one scan of clusters that the whole sweep takes."""
+        return stored(tolerance.labels(self.clusters, self.gt, self.config.gt_tolerance_candidates))
 
     @cached_property
     def tolerance_tools(self) -> DataFrame:
         """The weights of each tool at each candidate tolerance."""
-        return self._by_tolerance([s.weights for s in self.at_tolerances])
+        return tolerance.tools_at(self.swept, self.gt, self.config)
 
     @cached_property
     def tolerance_macro(self) -> DataFrame:
         """Macro precision and coverage of each strategy and k at each candidate tolerance."""
-        return self._by_tolerance([s.macro for s in self.at_tolerances])
+        return tolerance.macro_at(self.swept, self.gt, tolerance.models_at(self.swept, self.gt, self.config), self.config)
+
+    @cached_property
+    def tolerance_report(self) -> DataFrame:
+        """Overlaps, ambiguities and macro metrics in one row per tolerance."""
+        return tolerance.sweep_report(tolerance.stats_at(self.swept, self.config.gt_tolerance_candidates), self.tolerance_macro)

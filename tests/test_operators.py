@@ -1,6 +1,7 @@
 """Operators on hand-made rows whose results are known."""
 
 import random
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
@@ -179,3 +180,34 @@ def test_tool_and_macro_rows_of_each_tolerance(spark):
     assert tools == {(t, tool): ((1, 0) if t >= least else (0, 1)) for t in (0, 1, 10) for tool, least in (("semgrep", 1), ("snyk", 10))}
     macro = {(r["gt_tolerance"], r["precision"], r["gt_coverage"]) for r in suite.tolerance_macro.collect()}
     assert macro == {(0, 0.0, 0.0), (1, 0.5, 0.5), (10, 1.0, 1.0)}
+    row = {r["gt_tolerance"]: r for r in suite.tolerance_report.collect()}
+    assert [row[t]["gt_overlap_1"] for t in (0, 1, 10)] == [0, 1, 2] and row[1]["macro_precision_baseline_k3"] is None and row[10]["gt_ambiguity_warnings_json"] == "[]"
+
+
+def test_sweep_equals_an_analysis_at_each_tolerance(spark):
+    """Models, rankings and metrics of one plan against a suite of its own for every tolerance, with items near several clusters."""
+    rng = random.Random(7)
+    cases = ["owasp2021-a01-case", "owasp2021-a02-case", "plain"]
+    found = spark.createDataFrame(
+        [("s", rng.choice(cases), rng.choice(["semgrep", "snyk", "sonar"]), f"F{k}", "r", "t", rng.choice(["HIGH", "LOW", None]), "VULNERABILITY", f"f{rng.randrange(6)}", rng.choice([None, rng.randrange(1, 90)]), None, None, k) for k in range(400)],
+        "suite_id string, case_id string, tool string, finding_id string, rule_id string, title string, severity string, issue_type string, file_path string, line_number int, end_line_number int, cwe_id string, item_seq long",
+    )
+    gt = spark.createDataFrame(
+        [("s", rng.choice(cases[1:]), f"g{rng.randrange(40)}" if k else "", f"f{rng.randrange(6)}", a, a + rng.randrange(5), "sast", "core") for k, a in enumerate(rng.randrange(1, 99) for _ in range(60))],
+        "suite_id string, case_id string, gt_id string, file string, start_line int, end_line int, track string, set_name string",
+    )
+    config = AnalysisConfig(tolerance=1, gt_tolerance_candidates=(0, 2, 5), ks=(1, 3, 5, 10, 25))
+    suite = Suite(found, gt, config)
+    wide = {r["gt_tolerance"]: r for r in suite.tolerance_report.collect()}
+    for t in config.gt_tolerance_candidates:
+        one = Suite(found, gt, replace(config, gt_tolerance=t))
+        for mine, other in ((suite.tolerance_tools, one.weights), (suite.tolerance_macro, one.macro)):
+            assert sorted(map(str, mine.where(F.col("gt_tolerance") == t).select(*other.columns).collect())) == sorted(map(str, other.collect()))
+        for r in one.macro.where("strategy IN ('baseline', 'calibrated')").collect():
+            assert wide[t][f"macro_precision_{r['strategy']}_k{r['k']}"] == r["precision"]
+        assert wide[t]["gt_overlap_1"] == one.features.where("gt_overlap = 1").count()
+
+
+def test_candidates_of_a_text():
+    assert tolerance.parse_candidates("3, 1;1 x -2\t0") == (3, 1, 0)
+    assert tolerance.parse_candidates(None) == tolerance.parse_candidates(" ,") == (0, 1, 2, 3, 5, 10)
