@@ -3,7 +3,8 @@
 The library's Split pre-tokenizer isolates every match of a pattern that is one code point, so its offsets are those of
 the code points, in order, and no vocabulary is trained.  The length of the offset array is n; the offsets of rank c1 and
 c2 cut the text into prefix, middle and suffix.  Code points are isolated whatever stands beside them, so a text goes
-through the pre-tokenizer in blocks, whose offsets are appended: memory is 8 bytes a code point of the longest text.
+through the pre-tokenizer in blocks.  Of their offset arrays the lengths are kept, and the two that hold the ranks of the cuts are
+made once more: a text takes little more memory than its own, however long it is.
 
 The draws are digits of sha256(seed ":" id), so a row is cut alike wherever and however often it is run.  A null text
 counts as empty and stays plain, and so does a text that holds a sentinel.  A null id draws as an empty one; repeated
@@ -24,7 +25,7 @@ from siftwell.llm.words import slices
 
 PREFIX, SUFFIX, MIDDLE = "<P>", "<S>", "<M>"
 #: Code points that pass the pre-tokenizer at once.
-BLOCK = 1024
+BLOCK = 256
 
 
 @lru_cache(1)
@@ -34,18 +35,29 @@ def _splitter():
     return pre_tokenizers.Split(Regex(r"(?m:.)"), behavior="isolated")
 
 
-def code_points(text: str) -> np.ndarray:
-    """Where each code point of text begins, by the pre-tokenizer's offsets."""
+def offsets(text: str, block: int) -> np.ndarray:
+    """Where the code points of one block of the text begin, by the pre-tokenizer."""
+    return np.array([at for _, (at, _) in _splitter().pre_tokenize_str(text[block * BLOCK : (block + 1) * BLOCK])], np.int64) + block * BLOCK
+
+
+def lengths(text: str) -> np.ndarray:
+    """How long the offset array of each block is."""
     split = _splitter().pre_tokenize_str
-    blocks = [np.array([at for _, (at, _) in split(text[k : k + BLOCK])], np.int64) + k for k in range(0, len(text), BLOCK)]
-    return np.concatenate(blocks) if blocks else np.zeros(0, np.int64)
+    return np.array([len(split(text[k : k + BLOCK])) for k in range(0, len(text), BLOCK)], np.int64)
 
 
 def cut(text: str, h1: int, h2: int) -> tuple[int, str, str, str]:
     """n, prefix, middle and suffix; h1 and h2 modulo n + 1 are the ranks of the cuts."""
-    offsets = code_points(text)
-    n = len(offsets)
-    first, then = (int(offsets[rank]) if rank < n else len(text) for rank in sorted((h1 % (n + 1), h2 % (n + 1))))
+    before = np.concatenate([[0], np.cumsum(lengths(text))])
+    n = int(before[-1])
+
+    def offset(rank: int) -> int:
+        if rank == n:
+            return len(text)
+        block = int(np.searchsorted(before, rank, "right")) - 1
+        return int(offsets(text, block)[rank - before[block]])
+
+    first, then = (offset(rank) for rank in sorted((h1 % (n + 1), h2 % (n + 1))))
     return n, text[:first], text[first:then], text[then:]
 
 

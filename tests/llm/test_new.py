@@ -215,4 +215,10 @@ def test_infill(spark, odd, empty):  # noqa: F811
 
 def test_code_points_are_isolated():
     for text in ("", "a", "\n\n\n", "\r\n" * 3000, "é́" * 2000, "😀‍" * 1500, "\x00\x85 "):
-        assert infill.code_points(text).tolist() == list(range(len(text)))
+        sizes = infill.lengths(text)
+        assert sizes.sum() == len(text)
+        assert [k for block in range(len(sizes)) for k in infill.offsets(text, block).tolist()] == list(range(len(text)))
+        for a, b in ((0, 0), (len(text), 0), (len(text) // 2, len(text) // 3), (255, 256), (257, 512)):
+            n, prefix, middle, suffix = infill.cut(text, a, b)
+            low, high = sorted((a % (n + 1), b % (n + 1)))
+            assert (prefix, middle, suffix) == (text[:low], text[low:high], text[high:])
