@@ -32,11 +32,11 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftwell.llm.shared import folder
+from siftwell.llm.shared import Tables, delete, folder
 from siftwell.llm.words import hash_ranges, slices, text_bytes
 
-#: The most frequent pre-tokens that the lexicon holds, of at most so many bytes; all others are merged.  Both bound the
-#: lexicon, not the result.
+#: At most so many of the most frequent pre-tokens make up the lexicon, of at most so many bytes each; all others are merged.  Both
+#: bound the lexicon, not the result.
 LEXICON_WORDS = 1 << 16
 LEXICON_BYTES = 32
 #: Distinct words that a task counts before it hands its counts on.
@@ -279,14 +279,31 @@ def count_words(df: DataFrame, tokenizer_path: str, classes: str, text_col: str
     return df.select(df[text_col].alias("text")).mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def frequent(counted: DataFrame, most_words: int) -> DataFrame:
+    """The rows of counted (word, n) of the highest frequencies: whole classes, an eighth of a power of two wide, that hold at most most_words rows together.
+
+    A class is taken or left as a whole, so ties are alike; what comes to the driver is a count for each of a few hundred classes.
+    """
+    kind = F.floor(F.log2("n") * 8)
+    sizes = sorted(((r["kind"], r["rows"]) for r in counted.groupBy(kind.alias("kind")).agg(F.count("*").alias("rows")).collect()), reverse=True)
+    least, rows = None, 0
+    for k, more in sizes:
+        rows += more
+        if rows > most_words:
+            break
+        least = k
+    return counted.where(F.lit(False) if least is None else kind >= least)
+
+
 def build_lexicon(df: DataFrame, tokenizer_path: str, text_col: str = "text", most_words: int = LEXICON_WORDS, most_bytes: int = LEXICON_BYTES) -> str:
     """Count all of df's texts and share the transducer of their most frequent words; the name of its file."""
-    spark = df.sparkSession
+    tables = Tables(df.sparkSession)
     classes = code_point_classes()
-    counted = count_words(df, tokenizer_path, share(spark, packed({"classes": classes})), text_col, most_bytes)
-    words = sorted(bytes(r["word"]) for r in counted.orderBy(F.desc("n"), "word").limit(most_words).collect())  # most_words * most_bytes at most
+    counted = tables.put(count_words(df, tokenizer_path, share(df.sparkSession, packed({"classes": classes})), text_col, most_bytes))
+    words = sorted(bytes(r["word"]) for r in frequent(counted, most_words).select("word").collect())  # most_words * most_bytes at most
+    delete(df.sparkSession, tables.root)
     bpe = _byte_level(tokenizer_path)
-    return share(spark, packed(transducer(words, [tuple(bpe.merged(w)) for w in words]) | {"classes": classes}))
+    return share(df.sparkSession, packed(transducer(words, [tuple(bpe.merged(w)) for w in words]) | {"classes": classes}))
 
 
 @lru_cache(2)

@@ -173,10 +173,16 @@ def test_lexicon_holds_the_most_frequent_words(spark):
     counts = {bytes(r["word"]): r["n"] for r in bytepair.count_words(docs, BPE, classes).collect()}
     assert counts == {b"tie": 1, b" tie": 2, b" toe": 2}
     first, again = (bytepair.build_lexicon(docs, BPE, most_words=2) for _ in range(2))
-    assert first == again  # ties by the word, so equal tables share one file
+    assert first == again  # equal tables share one file
     assert len(bytepair._files(first)["end"]) == 5  # " tie" and " toe": the arcs i and o end in one state
 
 
+def test_frequent_words_are_whole_classes(spark):
+    counted = spark.createDataFrame([(f"w{k}".encode(), n) for k, n in enumerate([1] * 9 + [2] * 3 + [1000, 1001, 5])], "word binary, n long")
+    taken = {most: sorted(r["n"] for r in bytepair.frequent(counted, most).collect()) for most in (0, 1, 2, 3, 5, 6, 14, 15)}
+    assert taken == {0: [], 1: [], 2: [1000, 1001], 3: [5, 1000, 1001], 5: [5, 1000, 1001], 6: [2, 2, 2, 5, 1000, 1001], 14: [2, 2, 2, 5, 1000, 1001], 15: sorted([1] * 9 + [2] * 3 + [1000, 1001, 5])}
+
+
 def test_bytepair_on_very_long_texts(spark, library):
     long = ["你好" * 60_000, "1" * 200_000, "'s" * 100_000, " " * 300_000 + "end", "a" * 100_000]
     docs = spark.createDataFrame(list(enumerate(long)), "doc_id long, text string")
