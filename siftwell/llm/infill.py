@@ -41,9 +41,15 @@ def offsets(text: str, block: int) -> np.ndarray:
 
 
 def lengths(text: str) -> np.ndarray:
-    """How long the offset array of each block is."""
-    split = _splitter().pre_tokenize_str
-    return np.array([len(split(text[k : k + BLOCK])) for k in range(0, len(text), BLOCK)], np.int64)
+    """How long the offset array of each block is; for that, the library need not turn its offsets of bytes into those of code points."""
+    from tokenizers import PreTokenizedString
+
+    split, found = _splitter().pre_tokenize, []
+    for k in range(0, len(text), BLOCK):
+        block = PreTokenizedString(text[k : k + BLOCK])
+        split(block)
+        found.append(len(block.get_splits("original", "byte")))
+    return np.array(found, np.int64)
 
 
 def cut(text: str, h1: int, h2: int) -> tuple[int, str, str, str]:
