@@ -16,11 +16,11 @@ def _listed(value: Column) -> Column:
     return F.coalesce(value, F.array().cast("array<string>"))
 
 
-def _named(pattern: str, texts: list[Column]) -> Column:
-    """What the pattern's first group finds in each of the texts, in their order."""
-    if not texts:
-        return F.array().cast("array<string>")
-    return F.flatten(F.array(*[F.regexp_extract_all(F.coalesce(t, F.lit("")), F.lit(pattern), 1) for t in texts]))
+def _named(pattern: str, texts: list[Column], listed: Column | None) -> Column:
+    """What the pattern's first group finds in each of the texts, then in those of a list, in their order."""
+    each = F.array(*[F.coalesce(t, F.lit("")) for t in texts]) if texts else F.array().cast("array<string>")
+    every = each if listed is None else F.concat(each, _listed(listed))
+    return F.flatten(F.transform(every, lambda t: F.regexp_extract_all(t, F.lit(pattern), 1)))
 
 
 def _known(values: Column) -> Column:
@@ -34,15 +34,19 @@ def _codes(values: Column, year: int) -> Column:
     return _known(F.transform(values, lambda c: normalize_owasp(c, year)))
 
 
-def cwe_candidates(fields: list[Column], texts: list[Column]) -> Column:
+#: A CWE id named in a text, and a code of 2021.
+CWE_NAMED, CODE_NAMED = r"(?i)\bCWE[-_ ]?([0-9]{1,6})\b", r"(?i)\bA0?(10|[1-9])\b"
+
+
+def cwe_candidates(fields: list[Column], texts: list[Column], listed: Column | None = None) -> Column:
     """Distinct CWE ids, in order: those of a report's fields (lists of texts), then those that its texts name; empty for none."""
-    found = F.concat(*map(_listed, fields), _named(r"(?i)\bCWE[-_ ]?([0-9]{1,6})\b", texts))
+    found = F.concat(*map(_listed, fields), _named(CWE_NAMED, texts, listed))
     return F.array_distinct(F.array_compact(F.transform(found, normalize_cwe)))
 
 
-def vendor_codes(fields: list[Column], texts: list[Column]) -> Column:
+def vendor_codes(fields: list[Column], texts: list[Column], listed: Column | None = None) -> Column:
     """Distinct codes of 2021, in order: those of a report's fields (lists of texts), then those that its texts name; empty for none."""
-    numbers = F.transform(_named(r"(?i)\bA0?(10|[1-9])\b", texts), lambda n: F.concat(F.lit("A"), n))
+    numbers = F.transform(_named(CODE_NAMED, texts, listed), lambda n: F.concat(F.lit("A"), n))
     found = F.concat(*map(_listed, fields), numbers)
     return F.array_distinct(F.array_compact(F.transform(found, lambda x: normalize_owasp(x, 2021))))
 

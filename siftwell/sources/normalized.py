@@ -7,16 +7,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siftwell.config import AnalysisConfig
-from siftwell.functions.classification import normalize_cwe
 from siftwell.functions.paths import repo_relative
 from siftwell.functions.severity import generic_severity, sarif_severity, semgrep_severity, sonar_severity
+from siftwell.operators.resolution import CWE_NAMED, cwe_candidates, vendor_codes
+from siftwell.sinks.shared import stored
+from siftwell.sources import payload
 from siftwell.sources.layout import only_latest, path_columns
+from siftwell.sources.vendor_rules import with_vendor_rules
 
 BLOCKS = ("owasp_top_10_2021", "owasp_top_10_2021_vendor")
 FINDING = T.StructType([T.StructField(c, T.StringType()) for c in ("finding_id", "rule_id", "title", "severity", "file_path")] + [T.StructField(c, T.IntegerType()) for c in ("line_number", "end_line_number")]
                        + [T.StructField(c, T.StringType()) for c in ("issue_type", "vuln_class", "cwe_id")] + [T.StructField("cwe_ids", T.ArrayType(T.StringType()))] + [T.StructField(c, T.StructType([T.StructField("categories", T.ArrayType(T.StringType()))])) for c in BLOCKS])
 RUN = T.StructType([T.StructField("schema_version", T.StringType()), T.StructField("tool", T.StringType()), T.StructField("tool_version", T.StringType()), T.StructField("findings", T.ArrayType(FINDING))])
-COLUMNS = ["suite_id", "case_id", "tool", "run_id", "finding_id", "rule_id", "title", "severity", "issue_type", "file_path", "line_number", "end_line_number", "cwe_id", "cwe_ids", "owasp_tags", "item_seq"]
+COLUMNS = ["suite_id", "case_id", "tool", "run_id", "finding_id", "rule_id", "title", "severity", "issue_type", "file_path", "line_number", "end_line_number", "cwe_id", "cwe_ids", "owasp_tags", "vendor_codes", "item_seq"]
 
 
 def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -33,7 +36,7 @@ def _texts(*lists: Column) -> Column:
 def _finished(rows: DataFrame, tool: str | None = None) -> DataFrame:
     named = rows if tool is None else rows.withColumn("tool", F.lit(tool))
     filled = named.withColumns({c: F.lit(None).cast("string") for c in ("issue_type", "cwe_id") if c not in named.columns})
-    filled = filled.withColumns({c: F.lit(None).cast("array<string>") for c in ("cwe_ids", "owasp_tags") if c not in named.columns})
+    filled = filled.withColumns({c: F.lit(None).cast("array<string>") for c in ("cwe_ids", "owasp_tags", "vendor_codes") if c not in named.columns})
     return filled.withColumn("item_seq", _tool_order(F.col("tool")) * F.lit(1 << 40) + F.col("pos")).select(*COLUMNS)
 
 
@@ -52,38 +55,101 @@ def read_runs(spark: SparkSession, path: str, latest: bool = True) -> DataFrame:
     return only_latest(found, ["suite_id", "case_id", "tool"]) if latest else found
 
 
-SEMGREP = "results array<struct<check_id:string,path:string,start:struct<line:int>,end:struct<line:int>,extra:struct<message:string,severity:string,metadata:struct<category:string,cwe:array<string>,owasp:array<string>>>>>"
-SARIF = "runs array<struct<tool:struct<driver:struct<rules:array<struct<id:string,name:string,shortDescription:struct<text:string>,properties:struct<cwe:array<string>,tags:array<string>>>>>>,results:array<struct<ruleId:string,level:string,message:struct<text:string>,locations:array<struct<physicalLocation:struct<artifactLocation:struct<uri:string>,region:struct<startLine:int,endLine:int>>>>>>>>"
 SONAR = "issues array<struct<key:string,rule:string,severity:string,component:string,message:string,type:string,line:int,textRange:struct<startLine:int,endLine:int>>>"
 # The keys that hold Aikido's issues, the first list counts; then those of objects that hold such a list.
 AIKIDO_LISTS = ("data", "issues", "findings", "vulnerabilities", "blockingIssues", "blocking_issues", "openIssues", "open_issues", "newIssues", "new_issues")
 AIKIDO_OBJECTS = ("result", "results", "scan", "scanResult", "scan_result")
-AIKIDO = "id string, rule_id string, rule string, title string, severity string, severity_score string, affected_file string, file_path string, start_line int, line int, end_line int, cwe_id string, code_repo_id string"
+
+
+IDS = ["path", "pos"]
+
+
+def _at(place: str, kind: str = "string", payload: str = "r") -> Column:
+    """What a payload has at a place; null if there is nothing, or something that is no such value."""
+    return F.try_variant_get(payload, place, kind)
+
+
+def _list_at(place: str, payload: str = "r") -> Column:
+    """The scalars of a list at a place, or the one scalar there."""
+    one = F.try_variant_get(payload, place, "string")
+    return F.coalesce(F.try_variant_get(payload, place, "array<string>"), F.when(one != "", F.array(one)), F.array().cast("array<string>"))
+
+
+def _filled(*values: Column) -> Column:
+    """The first value that isn't blank, trimmed."""
+    return F.coalesce(*[F.nullif(F.trim(v), F.lit("")) for v in values])
+
+
+def _joined(rows: DataFrame, roles: DataFrame, names: list[str]) -> DataFrame:
+    """rows with the lists of texts of their payloads, empty for none."""
+    return rows.join(roles, IDS, "left").withColumns({n: F.coalesce(n, F.array().cast("array<string>")) for n in names})
+
+
+def with_roles(rows: DataFrame, value: Column, tool: str) -> DataFrame:
+    """rows (path, pos, ...) with the lists that payload.roles_of() names, from a payload of each row."""
+    roles = payload.roles_of(tool)
+    scalars = payload.leaves(rows, IDS, {"payload": value}, payload.WALKED)
+    found = _joined(rows, payload.texts_by_role(scalars, IDS, roles, payload.TEXT_ROLES), list(roles))
+    weak = F.when(F.size("weakness_fields") > 0, F.col("weakness_fields")).otherwise(F.col("weakness_field"))
+    return found.withColumn("weakness_fields", weak).drop("weakness_field")
 
 
 def read_semgrep(spark: SparkSession, path: str, root: str = "") -> DataFrame:
-    rows = _read(spark, path, T.StructType.fromDDL(SEMGREP)).select("suite_id", "case_id", "run_id", F.posexplode("results").alias("pos", "r"))
-    line = F.col("r.start.line")
+    """Results of Semgrep reports; CWE ids and tags come from wherever the rule's metadata has them.  A rule without a category is about security."""
+    rows = _read(spark, path, T.StructType.fromDDL("results array<variant>")).select("suite_id", "case_id", "run_id", "path", F.posexplode("results").alias("pos", "r"))
+    rows = with_roles(stored(rows), _at("$.extra.metadata", "variant"), "semgrep")
+    meta = "$.extra.metadata"
+    owasp = F.when(F.size(_list_at(f"{meta}.owasp")) > 0, _list_at(f"{meta}.owasp")).otherwise(_list_at(f"{meta}.owasp_top_10"))
+    more = [_list_at(f"{meta}.{k}") for k in ("vulnerability_class", "category", "technology", "subcategory")]
+    ids = cwe_candidates([F.col("cwe_fields"), F.col("weakness_fields")], [], F.col("cwe_texts"))
+    line, rule, file = _at("$.start.line", "int"), _at("$.check_id"), _at("$.path")
     return _finished(rows.select(
-        "suite_id", "case_id", "run_id", "pos", F.concat_ws(":", "r.check_id", "r.path", line.cast("string")).alias("finding_id"), F.col("r.check_id").alias("rule_id"), F.coalesce("r.extra.message", "r.check_id").alias("title"),
-        semgrep_severity(F.col("r.extra.severity")).alias("severity"), F.upper("r.extra.metadata.category").alias("issue_type"), repo_relative(F.col("r.path"), root).alias("file_path"), line.alias("line_number"),
-        F.coalesce("r.end.line", line).alias("end_line_number"), normalize_cwe(F.get("r.extra.metadata.cwe", F.lit(0))).alias("cwe_id"),
-        F.transform("r.extra.metadata.cwe", normalize_cwe).alias("cwe_ids"), F.col("r.extra.metadata.owasp").alias("owasp_tags"),
+        "suite_id", "case_id", "run_id", "pos", F.concat_ws(":", rule, file, line.cast("string")).alias("finding_id"), rule.alias("rule_id"), F.coalesce(_at("$.extra.message"), rule).alias("title"),
+        semgrep_severity(_at("$.extra.severity")).alias("severity"), F.upper(F.coalesce(_filled(F.get(_list_at(f"{meta}.category"), F.lit(0))), F.lit("SECURITY"))).alias("issue_type"), repo_relative(file, root).alias("file_path"),
+        line.alias("line_number"), F.coalesce(_at("$.end.line", "int"), line).alias("end_line_number"), F.get(ids, F.lit(0)).alias("cwe_id"), ids.alias("cwe_ids"), _texts(owasp, *more).alias("owasp_tags"),
     ), "semgrep")
 
 
-def read_sarif(spark: SparkSession, path: str, tool: str = "snyk") -> DataFrame:
-    """Results of the first run of each SARIF report with their rule; of rules with one id the last counts."""
-    rows = _read(spark, path, T.StructType.fromDDL(SARIF)).select("suite_id", "case_id", "run_id", F.get("runs", F.lit(0)).alias("run"))
-    results = rows.select("suite_id", "case_id", "run_id", F.col("run.tool.driver.rules").alias("rules"), F.posexplode("run.results").alias("pos", "r"))
-    rule = F.try_element_at(F.filter("rules", lambda x: x["id"] == F.col("r.ruleId")), F.lit(-1))
-    place = F.get("r.locations", F.lit(0))["physicalLocation"]
-    start = place["region"]["startLine"]
-    return _finished(results.withColumn("rule", rule).select(
-        "suite_id", "case_id", "run_id", "pos", F.concat_ws(":", "r.ruleId", place["artifactLocation"]["uri"], start.cast("string")).alias("finding_id"), F.col("r.ruleId").alias("rule_id"),
-        F.coalesce("rule.shortDescription.text", "rule.name", "r.message.text", "r.ruleId").alias("title"), sarif_severity(F.col("r.level")).alias("severity"), place["artifactLocation"]["uri"].alias("file_path"), start.alias("line_number"),
-        F.coalesce(F.nullif(place["region"]["endLine"], F.lit(0)), start).alias("end_line_number"), normalize_cwe(F.get("rule.properties.cwe", F.lit(0))).alias("cwe_id"),
-        F.transform(_texts(F.col("rule.properties.cwe"), F.filter("rule.properties.tags", lambda t: F.lower(t).contains("cwe"))), normalize_cwe).alias("cwe_ids"), F.col("rule.properties.tags").alias("owasp_tags"),
+# The keys of CWE ids in properties of SARIF, and the paths of a rule's texts.
+SARIF_CWE_KEYS = ("cwe", "cwe_id", "cweId", "cwe_ids", "cweIds", "cwes")
+SARIF_TEXTS = ("help/text", "fullDescription/text", "shortDescription/text", "name")
+SARIF_ROLES = {
+    "cwe_fields": [f"{root}/properties/{k}" for root in ("result", "rule") for k in SARIF_CWE_KEYS],
+    "taxa": ["result/taxa/id", "result/taxa/name"],
+    "tags": ["rule/properties/tags", "result/properties/tags", *[f"rule/{k}" for k in SARIF_TEXTS]],
+}
+
+
+def read_sarif(spark: SparkSession, path: str, tool: str = "snyk", vendor_rules: DataFrame | None = None) -> DataFrame:
+    """Results of the first run of each SARIF report with their rule; of rules with one id the last counts.
+
+    CWE ids come from the properties of both, from taxa and from tags and texts of the rule.  vendor_rules (see
+    vendor_rules.rule_index) adds what a mapping file says of the rule: further ids, and OWASP codes of the vendor.
+    """
+    runs = _read(spark, path, T.StructType.fromDDL("runs array<struct<tool:struct<driver:struct<rules:array<variant>>>,results:array<variant>>>")).select("suite_id", "case_id", "run_id", "path", F.get("runs", F.lit(0)).alias("run"))
+    results = runs.select("suite_id", "case_id", "run_id", "path", F.posexplode("run.results").alias("pos", "r")).withColumn("rule_id", _at("$.ruleId"))
+    rules = runs.select("path", F.posexplode("run.tool.driver.rules").alias("_place", "rule")).withColumn("rule_id", _at("$.id", payload="rule")).where("rule_id IS NOT NULL")
+    last = rules.groupBy("path", "rule_id").agg(F.max_by(F.struct("rule"), "_place").alias("_last")).select("path", "rule_id", "_last.rule")
+    rows = stored(results.join(last, ["path", "rule_id"], "left"))
+    scalars = payload.leaves(rows, IDS, {"result": F.col("r"), "rule": F.col("rule")}, ["properties", "taxa", "help", "fullDescription", "shortDescription", "name"])
+    rows = _joined(rows, payload.texts_by_role(scalars, IDS, SARIF_ROLES, ("taxa",)), list(SARIF_ROLES))
+    name = _filled(_at("$.name", payload="rule"), _at("$.shortDescription.text", payload="rule"))
+    rows = rows.withColumn("rule_name", name)
+    more = []
+    if vendor_rules is not None:
+        rows = with_vendor_rules(rows, vendor_rules)
+        more = [F.col("rule_cwe_ids")]
+    named = F.flatten(F.transform("tags", lambda t: F.slice(F.regexp_extract_all(t, F.lit(CWE_NAMED), 1), 1, 1)))
+    ids = cwe_candidates([F.col("cwe_fields"), F.filter("taxa", lambda t: t.contains("CWE-")), named, *more], [])
+    codes = vendor_codes([F.col("rule_owasp_codes")], []) if more else F.lit(None).cast("array<string>")
+    place = "$.locations[0].physicalLocation"
+    start = _at(f"{place}.region.startLine", "int")
+    file = _at(f"{place}.artifactLocation.uri")
+    title = F.coalesce(_at("$.shortDescription.text", payload="rule"), _at("$.name", payload="rule"), _at("$.message.text"), F.col("rule_id"))
+    return _finished(rows.select(
+        "suite_id", "case_id", "run_id", "pos", F.concat_ws(":", "rule_id", file, start.cast("string")).alias("finding_id"), "rule_id", title.alias("title"), sarif_severity(_at("$.level")).alias("severity"), file.alias("file_path"),
+        start.alias("line_number"), F.coalesce(F.nullif(_at(f"{place}.region.endLine", "int"), F.lit(0)), start).alias("end_line_number"), F.get(ids, F.lit(0)).alias("cwe_id"), ids.alias("cwe_ids"),
+        F.array_distinct("tags").alias("owasp_tags"), codes.alias("vendor_codes"),
     ), tool)
 
 
@@ -116,22 +182,39 @@ def read_sonar_rules(spark: SparkSession, path: str) -> DataFrame:
     return rules.where("rule_key IS NOT NULL").dropDuplicates(["rule_key"])
 
 
+# The keys of an issue's repository, in the order in which they count, and those of objects that have its id.
+REPOSITORY_KEYS = ("code_repo_id", "codeRepoId", "repository_id", "repo_id")
+REPOSITORY_OBJECTS = ("repository", "code_repo", "codeRepo", "codeRepository")
+
+
+def of_repository(issue: str) -> Column:
+    """The id of an issue's repository, as text."""
+    return F.coalesce(*[_at(f"$.{k}", payload=issue) for k in REPOSITORY_KEYS], *[_at(f"$.{k}.id", payload=issue) for k in REPOSITORY_OBJECTS])
+
+
 def read_aikido(spark: SparkSession, path: str, repo_id: str | None = None) -> DataFrame:
-    """Issues of saved Aikido exports of one repository, if named: a list, or one under a key of AIKIDO_LISTS, in an object of AIKIDO_OBJECTS, or new and existing ones."""
-    issue = f"array<struct<{AIKIDO.replace(' string', ':string').replace(' int', ':int').replace(', ', ',')}>>"
+    """Issues of saved Aikido exports of one repository, if named: a list, or one under a key of AIKIDO_LISTS, in an object of AIKIDO_OBJECTS, or new and existing ones.
+
+    CWE ids, tags and OWASP codes come from wherever an issue has them.
+    """
     texts = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("path")).withColumns(path_columns(F.col("path")))
 
-    def under(path: str) -> Column:
+    def under(place: str) -> Column:
         """The list at a path; null where there is none.  Keys that hold something else don't spoil the others."""
-        return F.from_json(F.get_json_object("value", path), issue)
+        return F.from_json(F.get_json_object("value", place), "array<variant>")
 
     inner = [under(f"$.{outer}.{key}") for outer in AIKIDO_OBJECTS for key in AIKIDO_LISTS[:4]]
     wrapped = F.coalesce(*[under(f"$.{key}") for key in AIKIDO_LISTS], *inner, F.concat(under("$.new"), under("$.existing")))
-    listed = F.from_json("value", issue)
-    rows = texts.select("suite_id", "case_id", "run_id", F.posexplode(F.when(F.ltrim("value").startswith("["), listed).otherwise(wrapped)).alias("pos", "r"))
-    rows = rows if repo_id is None else rows.where(F.col("r.code_repo_id") == repo_id)
-    start, rule = F.coalesce("r.start_line", "r.line"), F.coalesce("r.rule_id", "r.rule")
+    listed = F.from_json("value", "array<variant>")
+    rows = texts.select("suite_id", "case_id", "run_id", "path", F.posexplode(F.when(F.ltrim("value").startswith("["), listed).otherwise(wrapped)).alias("pos", "r"))
+    rows = rows if repo_id is None else rows.where(of_repository("r") == repo_id)
+    rows = with_roles(stored(rows), F.col("r"), "aikido")
+    start, rule = F.coalesce(_at("$.start_line", "int"), _at("$.line", "int")), _filled(*[_at(f"$.{k}") for k in ("rule_id", "rule", "type", "category")])
+    title = _filled(*[_at(f"$.{k}") for k in ("title", "summary", "message", "name")])
+    severity = F.coalesce(_filled(_at("$.severity_score")), _filled(_at("$.severity")), _filled(_at("$.risk")), _filled(_at("$.level")))
+    ids = cwe_candidates([F.col("cwe_fields"), F.col("weakness_fields")], [], F.col("cwe_texts"))
     return _finished(rows.select(
-        "suite_id", "case_id", "run_id", "pos", F.concat_ws(":", "r.id", rule).alias("finding_id"), rule.alias("rule_id"), F.coalesce("r.title", rule).alias("title"), generic_severity(F.coalesce("r.severity_score", "r.severity"), "aikido").alias("severity"),
-        F.coalesce("r.affected_file", "r.file_path").alias("file_path"), start.alias("line_number"), F.coalesce("r.end_line", start).alias("end_line_number"), normalize_cwe(F.col("r.cwe_id")).alias("cwe_id"),
+        "suite_id", "case_id", "run_id", "pos", F.concat_ws(":", _at("$.id"), rule).alias("finding_id"), rule.alias("rule_id"), F.coalesce(title, rule).alias("title"), generic_severity(severity, "aikido").alias("severity"),
+        F.coalesce(_at("$.affected_file"), _at("$.file_path")).alias("file_path"), start.alias("line_number"), F.coalesce(_at("$.end_line", "int"), start).alias("end_line_number"), F.get(ids, F.lit(0)).alias("cwe_id"),
+        ids.alias("cwe_ids"), F.array_distinct("tags").alias("owasp_tags"), vendor_codes([F.col("owasp_fields")], [], F.col("owasp_texts")).alias("vendor_codes"),
     ), "aikido")
