@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from siftwell.functions import classification, contract, paths, severity
 from siftwell.operators import agreement, clustering, compare, diagnostics, evaluation, filters, groundtruth, mart, report, resolution, tolerance
 from siftwell.plans.suite import Suite
-from siftwell.sources import adapters, layout
+from siftwell.sources import adapters, layout, normalized, vendor_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -199,6 +199,28 @@ def rule_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy(*found.columns).agg(F.count("*").alias("findings"))
 
 
+@query
+def payload_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CWE ids, OWASP codes and tags of payloads without a schema."""
+    rows = adapters.payloads(spark, sf_dir).select("o_orderkey", F.col("o_orderkey").cast("string").alias("path"), F.lit(0).alias("pos"), F.try_parse_json("payload").alias("r"))
+    found = normalized.with_roles(rows, F.col("r"), "aikido")
+    ids = resolution.cwe_candidates([F.col("cwe_fields"), F.col("weakness_fields")], [], F.col("cwe_texts"))
+    codes = resolution.vendor_codes([F.col("owasp_fields")], [], F.col("owasp_texts"))
+    return found.select("o_orderkey", F.array_join(ids, ",").alias("cwe_ids"), F.array_join(codes, ",").alias("vendor_codes"), F.array_join("tags", "|").alias("tags"))
+
+
+@query
+def vendor_rule_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vendor_rules.rule_index(adapters.vendor_files(spark, sf_dir)).select("rule_key", _joined("owasp_codes"), _joined("cwe_ids"))
+
+
+@query
+def vendor_rule_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Findings with what mapping files say of their rule, looked up by id, then by name."""
+    found = vendor_rules.with_vendor_rules(adapters.named_rules(spark, sf_dir), vendor_rules.rule_index(adapters.vendor_files(spark, sf_dir)))
+    return found.groupBy("rule_id", "rule_name", _joined("rule_owasp_codes"), _joined("rule_cwe_ids")).agg(F.count("*").alias("findings"))
+
+
 @query
 def schema_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return diagnostics.schema_gaps(adapters.flawed(spark, sf_dir))

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import re
 
-from siftwell.sources.adapters import CASES, CWE_OWASP, CWE_OWASP_2017, FINDINGS, FLAWED, GROUND_TRUTH, RAW_PATHS, RECEIPTS, RULES, SEVERITIES, SUITES, TAGGED, TOOL_RUNS
+from siftwell.sources.adapters import CASES, CWE_OWASP, CWE_OWASP_2017, FINDINGS, FLAWED, GROUND_TRUTH, NAMED_RULES, RAW_PATHS, RECEIPTS, RULES, SEVERITIES, SUITES, TAGGED, TOOL_RUNS
 
 TOOLS = ("semgrep", "snyk", "sonar", "aikido")
 KS = "(1), (3), (5), (10), (25), (50)"
@@ -423,3 +423,36 @@ def _report() -> str:
 
 
 ORACLE_SQL["tolerance_report"] = _report()
+
+# What payloads of each shape stand for, told from their numbers alone.
+ORACLE_SQL["payload_classification"] = """
+WITH numbered AS (
+  SELECT o_orderkey, o_orderkey % 6 AS shape, 'CWE-' || (20 + o_orderkey % 70) AS n, 'CWE-' || (21 + o_orderkey % 70) AS m, o_custkey % 9 + 1 AS c FROM orders
+)
+SELECT o_orderkey, CASE shape WHEN 0 THEN m || ',' || n WHEN 1 THEN n || ',' || m WHEN 3 THEN 'CWE-5,' || n || ',' || m ELSE '' END AS cwe_ids,
+  CASE shape WHEN 1 THEN 'A0' || c WHEN 2 THEN CASE WHEN c = 2 THEN 'A02' ELSE 'A0' || c || ',A02' END WHEN 3 THEN 'A0' || c ELSE '' END AS vendor_codes,
+  CASE shape WHEN 0 THEN 'owasp:A' || c || '|x|Flaw of ' || n WHEN 2 THEN 'L' || substr(m, 5) ELSE '' END AS tags
+FROM numbered
+"""
+
+_RULE_KEYS = """
+SELECT DISTINCT p_partkey % 25 AS k, 'A0' || (p_partkey % 25 % 9 + 1) AS code, 'CWE-' || (p_partkey % 25) AS cwe FROM part
+"""
+# Keys, and what they stand for, rule by rule.
+_INDEX = f"""
+SELECT 'Rule_' || k || ' name' AS rule_key, code AS owasp_codes, cwe AS cwe_ids FROM ({_RULE_KEYS}) WHERE k % 4 = 0
+UNION ALL SELECT 'rule ' || k || ' name', code, cwe FROM ({_RULE_KEYS}) WHERE k % 4 = 0
+UNION ALL SELECT 'R' || k, code || ',A10', '' FROM ({_RULE_KEYS}) WHERE k % 4 = 1
+UNION ALL SELECT 'R' || k, code, cwe || ',CWE-99' FROM ({_RULE_KEYS}) WHERE k % 4 = 2
+UNION ALL SELECT 'rule ' || k, code, cwe || ',CWE-99' FROM ({_RULE_KEYS}) WHERE k % 4 = 2
+UNION ALL SELECT 'R' || k, code, '' FROM ({_RULE_KEYS}) WHERE k % 4 = 3
+UNION ALL SELECT 'Rule  ' || k, '', 'CWE-7' FROM ({_RULE_KEYS}) WHERE k % 4 = 3
+UNION ALL SELECT 'rule ' || k, '', 'CWE-7' FROM ({_RULE_KEYS}) WHERE k % 4 = 3
+"""
+ORACLE_SQL["vendor_rule_index"] = _INDEX
+ORACLE_SQL["vendor_rule_findings"] = f"""
+WITH found AS ({_adapted(NAMED_RULES)}), known AS ({_INDEX})
+SELECT rule_id, rule_name, coalesce(a.owasp_codes, b.owasp_codes, '') AS rule_owasp_codes, CASE WHEN a.rule_key IS NOT NULL THEN a.cwe_ids ELSE coalesce(b.cwe_ids, '') END AS rule_cwe_ids, count(*) AS findings
+FROM found LEFT JOIN known a ON a.rule_key = rule_id LEFT JOIN known b ON a.rule_key IS NULL AND b.rule_key = regexp_replace(lower(rule_name), ' +', ' ', 'g')
+GROUP BY ALL
+"""

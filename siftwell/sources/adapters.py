@@ -84,6 +84,33 @@ SELECT DISTINCT '{{suite}}' AS suite_id, {_CASE} AS case_id, {_TOOL} AS tool,
 FROM {{lineitem}} WHERE l_linenumber % 4 <> 3 AND {{kept}}
 """
 
+# Payloads of five shapes, and texts that are none; n, m and c are numbers of the row.
+PAYLOADS = """
+SELECT o_orderkey, CASE o_orderkey % 6
+    WHEN 0 THEN '{"title": " Flaw of CWE-' || n || '", "cwe": ["CWE-' || m || '", ' || n || '], "tags": ["owasp:A' || c || '", "x"]}'
+    WHEN 1 THEN '{"weaknesses": [{"cweId": "CWE-' || n || '"}, {"name": "cwe_' || m || '"}], "message": {"text": "see A' || c || '"}}'
+    WHEN 2 THEN '{"owasp": {"2021": ["A0' || c || '", {"code": "A2"}]}, "labels": ["L' || m || '"], "weakness": null}'
+    WHEN 3 THEN '{"owaspTop10": {"codes": ["a' || c || '"]}, "rule": {"help": ["CWE ' || n || '", {"deep": [["CWE-' || m || '"]]}]}, "weakness": "CWE-5"}'
+    WHEN 4 THEN '{"cwe": [], "title": ""}' ELSE '{"cwe": ["CWE-' || n || '"' END AS payload
+FROM (SELECT o_orderkey, CAST(20 + o_orderkey % 70 AS STRING) AS n, CAST(21 + o_orderkey % 70 AS STRING) AS m, CAST(o_custkey % 9 + 1 AS STRING) AS c FROM {orders}) numbered
+"""
+
+# Mapping files of a vendor, one a rule, in three shapes.
+VENDOR_FILES = """
+SELECT k, CASE k % 4 WHEN 0 THEN '{"languages": {"py": {"Rule_' || k || ' name": {"owasp_top_10_2021": ["A0' || c || '"], "cwe": "CWE-' || k || '"}}}}'
+    WHEN 1 THEN '{"R' || k || '": ["A0' || c || '", "A10"], "_meta": {"name": "none", "cwe": "CWE-1"}}'
+    WHEN 2 THEN '{"R' || k || '": {"owasp_2021": "A0' || c || '", "cwe_ids": ["CWE-' || k || '", "CWE-99"], "name": "Rule ' || k || '"}}'
+    ELSE '{"rules": [{"id": "R' || k || '", "owasp_2021": ["A0' || c || '"]}, {"name": "Rule  ' || k || '", "cweIds": ["CWE-7"]}, {"id": "R0"}]}' END AS value
+FROM (SELECT DISTINCT CAST(p_partkey % 25 AS INT) AS k, CAST(p_partkey % 25 % 9 + 1 AS STRING) AS c FROM {part}) numbered
+"""
+
+# Findings of one tool with the id of their rule, which some lack, and its name.
+NAMED_RULES = f"""
+SELECT CASE WHEN l_quantity > 40 THEN NULL ELSE 'R' || CAST(l_partkey % 25 AS STRING) END AS rule_id,
+  'RULE ' || CAST(l_partkey % 25 AS STRING) || CASE WHEN l_partkey % 25 % 4 = 0 THEN '  name' ELSE '' END AS rule_name
+FROM {{lineitem}} WHERE {_TOOL} = 'snyk'
+"""
+
 # Severities as tools write them.
 SEVERITIES = ("critical", "crit", "Blocker", "major", "high", "error", "medium", "moderate", "warning", "warn", "minor", "low", "info", "informational", "note", "none", "very high risk", "", "severe", "7.5", "4", ".5", "0", "-3")
 
@@ -146,6 +173,23 @@ def flawed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(FLAWED.replace("{suite}", "suite_main").replace("{kept}", "true"), lineitem=_table(spark, sf_dir, "lineitem"))
 
 
+def _with_braces(text: str, table: str) -> str:
+    """A text whose braces, but for those of the table's name, are no parameters."""
+    return text.replace("{", "{{").replace("}", "}}").replace(f"{{{{{table}}}}}", f"{{{table}}}")
+
+
+def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(_with_braces(PAYLOADS, "orders"), orders=_table(spark, sf_dir, "orders"))
+
+
+def vendor_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(_with_braces(VENDOR_FILES, "part"), part=_table(spark, sf_dir, "part")).select(F.lit(0).alias("priority"), "value")
+
+
+def named_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(NAMED_RULES, lineitem=_table(spark, sf_dir, "lineitem"))
+
+
 def rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.sql(RULES, part=_table(spark, sf_dir, "part"))
     return rows.select("rule_key", "name", _split("tags_text").alias("tags"), _split("standards_text").alias("standards"))
