@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from siftwell.llm.words import _HASHES, _POWERS, mix, slices, text_bytes
+from siftwell.llm.words import hash_ranges, letters, mix, slices, text_bytes
 
 SPACE = "\u2581"
 #: Codes from here on are characters that fall back to bytes: their UTF-8 bytes, the first one lowest.
@@ -73,12 +73,12 @@ class PieceModel:
         #: Control characters that are part of no longer piece: each is a pre-token of its own.
         self.alone = [c for c in range(0x09, 0x0E) if not any(c in piece for piece in weight if len(piece) > 1)]
         self.least = min(w for _, w in weight.values()) - 7.0
-        letters = _HASHES[0][0].tolist()
+        codes = letters().tolist()
         table: dict[int, tuple[int, float]] = {}
         for piece, (code, log_weight) in weight.items():
             h = 0
             for k, byte in enumerate(piece):
-                h = (h * int(_FACTOR) + letters[byte]) % 2**64
+                h = (h * int(_FACTOR) + codes[byte]) % 2**64
                 table.setdefault(h, (-1, 0.0))
                 if k == len(piece) - 1:
                     table[h] = (code, log_weight)
@@ -106,7 +106,7 @@ def _arcs(data: np.ndarray, begin: np.ndarray, end: np.ndarray, model: PieceMode
     limit = np.repeat(end, end - begin)
     chars = np.flatnonzero((data & 0xC0) != 0x80)
     width = np.diff(np.append(chars, len(data)))
-    letters = _HASHES[0][0]
+    codes = letters()
     alive, h, length = chars, np.zeros(len(chars), np.uint64), 0
     single = np.zeros(len(data), bool)
     wide = np.zeros(len(data), np.int64)
@@ -116,7 +116,7 @@ def _arcs(data: np.ndarray, begin: np.ndarray, end: np.ndarray, model: PieceMode
         length += 1
         fits = alive + length <= limit[alive]
         alive, h = alive[fits], h[fits]
-        h = h * _FACTOR + letters[data[alive + (length - 1)]]
+        h = h * _FACTOR + codes[data[alive + (length - 1)]]
         known, at = model.look_up(h)
         alive, h = alive[known], h[known]
         code = model.codes[at]
@@ -212,15 +212,6 @@ def _pretokens(column: pa.Array, alone: list[int]) -> tuple[np.ndarray, np.ndarr
     return out, start, np.searchsorted(start, at)
 
 
-def _hashes(data: np.ndarray, start: np.ndarray) -> np.ndarray:
-    if not len(start):
-        return np.zeros(0, np.uint64)
-    letters, powers = _HASHES[0]
-    lengths = np.diff(np.append(start, len(data)))
-    within = np.arange(len(data)) - np.repeat(start, lengths)
-    return mix(np.add.reduceat(letters[data] * powers[within & (_POWERS - 1)], start) + lengths.astype(np.uint64))
-
-
 def _sample(finals: np.ndarray, seeds: np.ndarray, arrays: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Codes of one sampled path per final node, in text order, and the number of each."""
     code, previous, share = arrays
@@ -291,8 +282,8 @@ def _encoder(model_path: str, text_col: str, names: list[str], alpha: float, see
         lattices = Lattices(model)
         for part in slices(batches, text_col):
             data, start, first = _pretokens(part.column(text_col), model.alone)
-            keys, seen_at, which = np.unique(_hashes(data, start), return_index=True, return_inverse=True)
             ends = np.append(start[1:], len(data))
+            keys, seen_at, which = np.unique(hash_ranges(data, start, ends), return_index=True, return_inverse=True)
             final = lattices.find(keys, data, start[seen_at], ends[seen_at])
             counts = np.diff(first)
             row_key = np.repeat(part.column("piece_ids").to_numpy(zero_copy_only=False).view(np.uint64), counts)
@@ -325,7 +316,7 @@ def _decoder(model_path: str, pieces_col: str, alpha: float = 1.0) -> Step:
         spelled = piece_model(model_path, alpha).bytes_of
         size = np.array([len(x) for x in spelled])
         begin = np.cumsum(size) - size
-        letters = np.frombuffer(b"".join(spelled), np.uint8)
+        spelled_out = np.frombuffer(b"".join(spelled), np.uint8)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
@@ -334,7 +325,7 @@ def _decoder(model_path: str, pieces_col: str, alpha: float = 1.0) -> Step:
                 count = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
                 width = size[ids]
                 ends = np.concatenate([[0], np.cumsum(width)])
-                data = letters[np.repeat(begin[ids] - ends[:-1], width) + np.arange(ends[-1])].tobytes()
+                data = spelled_out[np.repeat(begin[ids] - ends[:-1], width) + np.arange(ends[-1])].tobytes()
                 first = ends[np.concatenate([[0], np.cumsum(count)])]
                 texts = [data[a + 1 : b].decode("utf-8") for a, b in zip(first[:-1], first[1:], strict=True)]  # without the space before
                 decoded = pa.array([t if ok else None for t, ok in zip(texts, lists.is_valid().to_pylist(), strict=True)], pa.string())

@@ -21,18 +21,6 @@ LOWER[65:91] += 32
 _MARK = np.zeros(256, bool)
 _MARK[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
 
-_POWERS = 4096
-
-
-def _tables(seed: int) -> tuple[np.ndarray, np.ndarray]:
-    rng = np.random.Generator(np.random.PCG64(seed))
-    letters = rng.integers(0, 2**64, 256, dtype=np.uint64)
-    powers = rng.integers(0, 2**64, _POWERS, dtype=np.uint64) | np.uint64(1)
-    return letters, powers
-
-
-_HASHES = [_tables(11), _tables(29)]
-
 
 def mix(x: np.ndarray) -> np.ndarray:
     """The finishing step of splitmix64."""
@@ -43,6 +31,33 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: Weights of places that are kept; those of later ones are computed by the same function.
+_KEPT = 1 << 12
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _weight(place: np.ndarray, seed: int) -> np.ndarray:
+    """An odd number for each place in a word, as unlike those of other places as random ones, however long the word."""
+    return mix(place.astype(np.uint64) * _STEP + np.uint64(seed)) | np.uint64(1)
+
+
+_SEEDS = (11, 29)
+_LETTERS = [np.random.Generator(np.random.PCG64(seed)).integers(0, 2**64, 256, dtype=np.uint64) for seed in _SEEDS]
+_WEIGHTS = [_weight(np.arange(_KEPT), 0x6A09E667F3BCC909 * seed % 2**64) for seed in _SEEDS]
+
+
+def letters(which: int = 0) -> np.ndarray:
+    """64 random bits for each byte."""
+    return _LETTERS[which]
+
+
+def weights(place: np.ndarray, which: int = 0) -> np.ndarray:
+    """The weight of each place in a word."""
+    if not len(place) or place.max() < _KEPT:
+        return _WEIGHTS[which][place]
+    return np.where(place < _KEPT, _WEIGHTS[which][np.minimum(place, _KEPT - 1)], _weight(place, 0x6A09E667F3BCC909 * _SEEDS[which] % 2**64))
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of all texts, one after the other, and where each begins; null counts as empty."""
     column = column.fill_null("") if column.null_count else column
@@ -71,11 +86,10 @@ def hash_ranges(data: np.ndarray, start: np.ndarray, end: np.ndarray, which: int
     """64 bits for the bytes of each range, none of which is empty."""
     if not len(start):
         return np.zeros(0, np.uint64)
-    letters, powers = _HASHES[which]
     lengths = end - start
     at = np.cumsum(lengths) - lengths
     within = np.arange(at[-1] + lengths[-1]) - np.repeat(at, lengths)
-    values = letters[data[within + np.repeat(start, lengths)]] * powers[within & (_POWERS - 1)]
+    values = letters(which)[data[within + np.repeat(start, lengths)]] * weights(within, which)
     return mix(np.add.reduceat(values, at) + lengths.astype(np.uint64))
 
 
