@@ -68,7 +68,11 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_ISLAND = re.compile(r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*(?:[\x20\t]{1,2}[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*)*")
+_SIGN = re.compile(r"[0-9@]")
+_SPACE = re.compile(r"[\x20\x09-\x0D]")
+_NARROW = re.compile(r"[\x20\t]{1,2}")
+#: Words whose segments are scored at once.
+BLOCK = 512
 _TRIM = " \t.,;:!?\"'<>[]{}|*#$%&=_/\\"
 _CUES = {"email": "mail email e-mail contact", "ip": "ip host address server", "card": "card visa credit payment", "phone": "phone tel call mobile fax", "ssn": "ssn social security", "iban": "iban account bank"}
 _CUE = {w: k for k, words in enumerate(_CUES.values()) for w in words.split()}
@@ -100,10 +104,28 @@ def features(segment: str, words: int, before: str) -> np.ndarray:
     )
 
 
-def _segments(text: str, spans: list[tuple[int, int]], before: str) -> tuple[np.ndarray, list[tuple[int, int]]]:
-    """Features of all segments of at most MOST_WORDS words, and their first and last word."""
+def islands(text: str) -> Iterator[list[tuple[int, int]]]:
+    """Runs of words with digits or @, with one or two blanks between: the words of each.  Every character is looked at a few times, however long a word is."""
+    run: list[tuple[int, int]] = []
+    last, sign = 0, _SIGN.search(text)
+    while sign:
+        start = max(text.rfind(c, last, sign.start()) for c in " \t\n\x0b\x0c\r") + 1
+        start = max(start, last)
+        space = _SPACE.search(text, sign.end())
+        end = space.start() if space else len(text)
+        if run and not _NARROW.fullmatch(text, run[-1][1], start):
+            yield run
+            run = []
+        run.append((start, end))
+        last, sign = end, _SIGN.search(text, end)
+    if run:
+        yield run
+
+
+def _segments(text: str, spans: list[tuple[int, int]], before: str, first: int = 0, stop: int | None = None) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Features of all segments of at most MOST_WORDS words that end with the words from first to stop, and their first and last word."""
     rows, places = [], []
-    for end in range(len(spans)):
+    for end in range(first, len(spans) if stop is None else stop):
         for begin in range(max(0, end - MOST_WORDS + 1), end + 1):
             previous = text[spans[begin - 1][0] : spans[begin - 1][1]] if begin else before
             rows.append(features(text[spans[begin][0] : spans[end][1]], end - begin + 1, previous))
@@ -204,26 +226,29 @@ def _scores(rows: np.ndarray, places: list[tuple[int, int]], weights: np.ndarray
 
 
 def field_spans(text: str, weights: np.ndarray, moves: np.ndarray) -> list[tuple[int, int, int]]:
-    """(kind number, start, end) of the most probable segmentation of each island of the text."""
+    """(kind number, start, end) of the most probable segmentation of each island of the text.
+
+    Segments are scored block by block; of a word that stays which segment and label lead best to each of its labels.
+    """
     found = []
-    for island in _ISLAND.finditer(text):
-        words = [m.span() for m in _WORD.finditer(text, *island.span())]
-        context = text[max(0, island.start() - 32) : island.start()].split()
-        rows, places = _segments(text, words, context[-1] if context else "")
-        scores = _scores(rows, places, weights)
+    for words in islands(text):
+        context = text[max(0, words[0][0] - 32) : words[0][0]].split()
         n, size = len(words), len(KINDS) + 1
         best = np.full((n + 1, size), -np.inf)
         best[0, 0] = 0.0
-        back: dict[tuple[int, int], tuple[int, int]] = {}
-        for k, (a, b) in enumerate(places):
-            through = best[a][:, None] + moves
-            came = through.argmax(0)
-            value = through.max(0) + scores[k]
-            for y in np.flatnonzero(value > best[b + 1]).tolist():
-                best[b + 1, y], back[b + 1, y] = value[y], (a, int(came[y]))
+        begins, labels = np.zeros((n + 1, size), np.int32), np.zeros((n + 1, size), np.int8)
+        for first in range(0, n, BLOCK):
+            rows, places = _segments(text, words, context[-1] if context else "", first, min(n, first + BLOCK))
+            scores = _scores(rows, places, weights)
+            for k, (a, b) in enumerate(places):
+                through = best[a][:, None] + moves
+                value = through.max(0) + scores[k]
+                better = value > best[b + 1]
+                best[b + 1, better] = value[better]
+                begins[b + 1, better], labels[b + 1, better] = a, through.argmax(0)[better]
         at, y = n, int(best[n].argmax())
         while at > 0:
-            a, came = back[at, y]
+            a, came = int(begins[at, y]), int(labels[at, y])
             if y:
                 start, end = words[a][0], words[at - 1][1]
                 body = text[start:end]
