@@ -152,12 +152,14 @@ class Rule:
         object.__setattr__(self, "compiled", re.compile(self.pattern, self.flags))
 
 
+_KEY_NAME = "(?:[A-Z]+ ){0,3}PRIVATE KEY-----"
 BASE_KINDS = ["assign", "access", "hex"]
 RULES = [
     Rule("assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE, lambda m: len(m[2]) >= 12),
     Rule("access", r"AKIA[A-Z0-9]+", accepts=lambda m: len(m[0]) >= 18),
     Rule("hex", r"[0-9a-f]{16,}"),
-    Rule("private_key", r"-----BEGIN (?:[A-Z]+ ){0,3}PRIVATE KEY-----"),
+    # To the line that ends the key, or else over the lines of its code.
+    Rule("private_key", rf"-----BEGIN {_KEY_NAME}(?:[^-]*(?:-(?!----)[^-]*)*-----END {_KEY_NAME}|(?:\s+[A-Za-z0-9+/=]{{16,}})*)"),
     Rule("github", r"gh[oprsu]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[A-Za-z0-9_-]{35}"),
