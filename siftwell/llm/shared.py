@@ -79,11 +79,11 @@ def without(tables: Tables, df: DataFrame, ids: DataFrame, id_col: str) -> DataF
     return df.join(F.broadcast(found) if few else found, id_col, "left_anti")
 
 
-def only(tables: Tables, df: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of df (id, ...) whose id is among ids (id); few ids go to every task, so that other rows aren't shuffled."""
-    found = tables.put(ids.distinct())
+def only(tables: Tables, df: DataFrame, ids: DataFrame, id_col: str = "id") -> DataFrame:
+    """The rows of df whose id is among ids (id); few ids go to every task, so that other rows aren't shuffled."""
+    found = tables.put(ids.select(F.col("id").alias(id_col)).distinct())
     few = found.limit(MOST_SENT + 1).count() <= MOST_SENT
-    return df.join(F.broadcast(found) if few else found, "id", "left_semi")
+    return df.join(F.broadcast(found) if few else found, id_col, "left_semi")
 
 
 def components(tables: Tables, edges: DataFrame) -> DataFrame:

@@ -45,3 +45,13 @@ def test_near_copies_with_null_and_repeated_ids(spark):
     docs = spark.createDataFrame([(k, t, "en") for k, t in rows], "doc_id long, text string, lang string")
     got = sorted(((r["doc_id"], r["text"]) for r in corpus_pipeline.ngram_jaccard_join(spark, docs, SF).collect()), key=repr)
     assert got == sorted([(3, one), (3, two), (None, "alone it stands here and there"), (7, "short"), (8, None), (8, "")], key=repr)
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    rows = [(1, "some words here and there", "en", "s", 25, 7, "k", [1]), (1, "some words here and there", "en", "s", 25, 7, "k", [1]), (2, None, None, None, 0, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, id long, key string, piece_ids array<int>")
+    for name, stage in corpus_pipeline.STAGES:
+        found = stage(spark, docs, SF)
+        assert set(found.columns) >= set(docs.columns) - {"text"} and found.count() <= 3, name
+    assert set(found.columns) == {*docs.columns, "n_pieces", "lossless"} - {"text"}
+    assert corpus_pipeline.ngram_jaccard_join(spark, docs, SF).count() == 2
