@@ -1,7 +1,8 @@
 """Five stages that clean the documents table: what a stage keeps is written as Parquet, and the next one reads it.
 
-The stages keep the columns of documents, but for the last, which adds the pieces.  Stages that compare rows
-know them by a hash of id and text, so rows with a null or repeated id are judged like any other.
+The stages keep the columns of documents, further ones included, but for the last, which has pieces in place of the text.
+Stages that compare rows know them by a hash of id and text, so rows with a null or repeated id are judged like any other.
+A null text counts as empty; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return quality.score(docs, model, score_col="quality score").where(F.col("quality score") >= LEAST_QUALITY).drop("quality score")
 
 
-#: A hash of a row's id and text.  Rows that share it by chance are never taken for one.
+#: A hash of a row's id and text, of 64 bits.  The Jaccard stage never takes rows that share it by chance for one; decontamination judges them alike.
 ROW_KEY = "siftwell row key"
 
 
@@ -48,7 +49,7 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     later = named.join(first, "component_id").where(F.col(ROW_KEY) != F.col(f"first.{ROW_KEY}")).select(F.col(ROW_KEY).alias("id"))
     kept = without(tables, keyed, later, ROW_KEY)
     twice = tables.put(groups.groupBy(ROW_KEY).count().where("count > 1").select(F.col(ROW_KEY).alias("id")))
-    again = only(tables, kept.withColumnRenamed(ROW_KEY, "id"), twice).drop("id").dropDuplicates()
+    again = only(tables, kept, twice, ROW_KEY).drop(ROW_KEY).dropDuplicates()
     return without(tables, kept, twice, ROW_KEY).drop(ROW_KEY).unionByName(again)
 
 
@@ -66,12 +67,12 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def sentencepiece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, lang, source, n_chars, n_pieces, piece_ids and whether decoding gives back the text."""
+    """Documents with their pieces in place of the text: n_pieces, piece_ids, and lossless, whether decoding gives back the text."""
     small_batches(spark)
     model = public_tokenizers.path("piece_bpe_32k.model")
     both = pieces.round_trip(docs, model)
-    lossless = (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless")
-    return both.select("doc_id", "lang", "source", "n_chars", F.size("piece_ids").alias("n_pieces"), "piece_ids", lossless)
+    lossless = F.col("decoded") == F.coalesce("text", F.lit(""))
+    return both.withColumns({"n_pieces": F.size("piece_ids"), "lossless": lossless}).drop("text", "decoded")
 
 
 STAGES = [
