@@ -44,7 +44,7 @@ def fact_tool_value(utility: DataFrame, marginal: DataFrame, benchmark_id: str)
 
 
 def dim_case(cases: DataFrame, benchmark_id: str, manifests: DataFrame | None = None) -> DataFrame:
-    """Cases with their OWASP category and ground truth; manifests add track, repository and tags."""
+    """Cases of each suite with their OWASP category and ground truth; manifests add track, repository and tags."""
     more = ["track", "repo_label", "runs_repo_name", "expected_branch", "expected_commit", "tags_json"]
     rows = cases
     if manifests is not None:
@@ -52,19 +52,14 @@ def dim_case(cases: DataFrame, benchmark_id: str, manifests: DataFrame | None =
     rows = rows.withColumns({c: F.coalesce(F.col(c), F.lit("")) if c in rows.columns else F.lit("") for c in more})
     owasp = infer_owasp(F.concat_ws(" ", "case_id", "expected_branch", "repo_label", "tags_json"))
     return rows.select(
-        F.lit(benchmark_id).alias("benchmark_id"), "case_id", F.concat(F.lit("cases/"), "case_id").alias("case_dir"), F.coalesce(owasp, F.lit("")).alias("owasp_id"), F.coalesce(owasp_title(owasp), F.lit("")).alias("owasp_title"),
+        F.col("suite_id").alias("suite_run_id"), F.lit(benchmark_id).alias("benchmark_id"), "case_id", F.concat(F.lit("cases/"), "case_id").alias("case_dir"), F.coalesce(owasp, F.lit("")).alias("owasp_id"), F.coalesce(owasp_title(owasp), F.lit("")).alias("owasp_title"),
         "has_gt", "gt_total", *more,
     )
 
 
-def dim_tool_run(runs: DataFrame, metadata: DataFrame | None, findings: DataFrame | None, suite_run_id: str, benchmark_id: str) -> DataFrame:
-    """Tool runs with the scanner's metadata and number of findings, joined by run_dir."""
-    rows = runs.withColumns({"suite_run_id": F.lit(suite_run_id), "benchmark_id": F.lit(benchmark_id)})
-    if metadata is not None:
-        rows = rows.join(metadata, "run_dir", "left")
-    if findings is not None:
-        rows = rows.join(findings.groupBy("run_dir").agg(F.count("*").alias("normalized_findings")), "run_dir", "left")
-    return rows
+def dim_tool_run(runs: DataFrame, benchmark_id: str) -> DataFrame:
+    """Tool runs (see provenance.tool_runs) under the mart's names."""
+    return runs.select(F.col("suite_id").alias("suite_run_id"), F.lit(benchmark_id).alias("benchmark_id"), *[c for c in runs.columns if c != "suite_id"])
 
 
 def dim_suite_run(findings: DataFrame, benchmark_id: str, tolerance: int, gt_tolerance: int, mode: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from siftwell.functions import classification, contract, paths, severity
 from siftwell.operators import agreement, clustering, compare, diagnostics, evaluation, filters, groundtruth, mart, report, resolution, tolerance
 from siftwell.plans.suite import Suite
-from siftwell.sources import adapters, layout, normalized, vendor_rules
+from siftwell.sources import adapters, layout, lines, normalized, provenance, vendor_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -124,7 +124,7 @@ of_suite("clusters_by_tool", lambda s: compare.clusters_by_tool(s.rows))
 of_suite("mart_fact_eval_case_k", lambda s: mart.fact_eval_case_k(s.by_case, BENCHMARK))
 of_suite("mart_fact_eval_suite_k", lambda s: mart.fact_eval_suite_k(s.macro, s.micro, BENCHMARK))
 of_suite("mart_fact_tool_value", lambda s: mart.fact_tool_value(s.utility, s.marginal, BENCHMARK))
-of_suite("mart_dim_case", lambda s: mart.dim_case(s.cases, BENCHMARK))
+of_suite("mart_dim_case", lambda s: mart.dim_case(s.cases, BENCHMARK).drop("suite_run_id"))
 of_suite("mart_dim_suite_run", lambda s: mart.dim_suite_run(s.findings, BENCHMARK, s.config.tolerance, s.config.gt_tolerance, s.config.mode))
 
 
@@ -221,6 +221,24 @@ def vendor_rule_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("rule_id", "rule_name", _joined("rule_owasp_codes"), _joined("rule_cwe_ids")).agg(F.count("*").alias("findings"))
 
 
+@query
+def mart_dim_tool_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mart.dim_tool_run(provenance.tool_runs(adapters.run_documents(spark, sf_dir)), BENCHMARK)
+
+
+@query
+def config_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return provenance.receipts(adapters.run_documents(spark, sf_dir))
+
+
+@query
+def line_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The line of each file that a finding in it points at."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    findings = orders.select(F.concat(F.lit("src/o"), F.col("o_orderkey").cast("string"), F.lit(".py")).alias("path"), (F.col("o_custkey") % 7).alias("line"))
+    return findings.join(lines.numbered_lines(adapters.source_lines(spark, sf_dir)), ["path", "line"], "left").select("path", "line", "content")
+
+
 @query
 def schema_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return diagnostics.schema_gaps(adapters.flawed(spark, sf_dir))

@@ -456,3 +456,23 @@ SELECT rule_id, rule_name, coalesce(a.owasp_codes, b.owasp_codes, '') AS rule_ow
 FROM found LEFT JOIN known a ON a.rule_key = rule_id LEFT JOIN known b ON a.rule_key IS NULL AND b.rule_key = regexp_replace(lower(rule_name), ' +', ' ', 'g')
 GROUP BY ALL
 """
+# The folder of a tool run below its suite.
+_TOOL_RUN = (
+    "'cases/owasp2021-a' || lpad(CAST(l_suppkey % 10 + 1 AS VARCHAR), 2, '0') || '-case/tool_runs/' || "
+    "CASE l_linenumber % 4 WHEN 0 THEN 'semgrep' WHEN 1 THEN 'snyk' WHEN 2 THEN 'sonar' ELSE 'aikido' END || '/202401010' || (l_orderkey % 3)"
+)
+ORACLE_SQL["mart_dim_tool_run"] = f"""
+WITH runs AS (SELECT DISTINCT {_TOOL_RUN} AS run_dir, split_part({_TOOL_RUN}, '/', 2) AS case_id, split_part({_TOOL_RUN}, '/', 4) AS tool, l_orderkey % 3 AS r FROM lineitem)
+SELECT 'suite_main' AS suite_run_id, 'benchmark' AS benchmark_id, case_id, tool, split_part(run_dir, '/', 5) AS run_id, 'p' || r AS profile, CASE WHEN r < 2 THEN '1.' || r ELSE '' END AS scanner_version, '' AS config_hash,
+  sha256('{{"artifacts":{{"rules_inventory":{{"a":"x","b":[1,' || r || ']}}}},"profile":"q","schema_version":2,"tool":"' || tool || '"}}') AS config_receipt_hash, CAST(r AS BIGINT) AS exit_code, 's' || r AS started, '' AS finished,
+  CASE WHEN r < 2 THEN r + 0.5::DOUBLE ELSE 0.0::DOUBLE END AS scan_time_seconds, CASE WHEN r < 2 THEN CAST(r + 1 AS INT) END AS normalized_findings, run_dir
+FROM runs
+"""
+ORACLE_SQL["config_receipts"] = f"""
+SELECT DISTINCT 'suite_main' AS suite_id, split_part({_TOOL_RUN}, '/', 2) AS case_id, split_part({_TOOL_RUN}, '/', 4) AS tool, {_TOOL_RUN} AS run_dir, 'q' AS profile,
+  sha256('{{"artifacts":{{"rules_inventory":{{"a":"x","b":[1,' || (l_orderkey % 3) || ']}}}},"profile":"q","schema_version":2,"tool":"' || split_part({_TOOL_RUN}, '/', 4) || '"}}') AS config_hash
+FROM lineitem
+"""
+ORACLE_SQL["line_content"] = """
+SELECT 'src/o' || o_orderkey || '.py' AS path, o_custkey % 7 AS line, CASE WHEN o_custkey % 7 BETWEEN 1 AND o_orderkey % 5 + 1 THEN 'line ' || (o_custkey % 7) || ' of ' || o_custkey END AS content FROM orders
+"""

@@ -60,18 +60,20 @@ def write_suite(suite: Suite, root: str, names: tuple[str, ...] = tuple(TABLES),
 
 
 def write_mart(suite: Suite, root: str, benchmark_id: str, runs: DataFrame | None = None) -> list[str]:
-    """The star schema under root, facts by suite_run_id; names of what was written.  runs: (run_dir, ...) of the tool runs."""
+    """The star schema under root, every table by suite_run_id; names of what was written.  runs: the suite's tool runs (see provenance.tool_runs).
+
+    Only the partitions of this suite run are replaced, so that suites share one root.
+    """
     config = suite.config
-    facts = {
+    tables = {
         "fact_eval_case_k": mart.fact_eval_case_k(suite.by_case, benchmark_id),
         "fact_eval_suite_k": mart.fact_eval_suite_k(suite.macro, suite.micro, benchmark_id),
         "fact_tool_value": mart.fact_tool_value(suite.utility, suite.marginal, benchmark_id),
         "dim_suite_run": mart.dim_suite_run(suite.findings, benchmark_id, config.tolerance, config.gt_tolerance, config.mode),
+        "dim_case": mart.dim_case(suite.cases, benchmark_id),
     }
-    for name, df in facts.items():
-        # Only the partitions of this suite run are replaced.
+    if runs is not None:
+        tables["dim_tool_run"] = mart.dim_tool_run(runs, benchmark_id)
+    for name, df in tables.items():
         df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("suite_run_id").parquet(f"{root}/{name}")
-    dims = {"dim_case": mart.dim_case(suite.cases, benchmark_id)} | ({} if runs is None else {"dim_tool_run": runs})
-    for name, df in dims.items():
-        write_table(df, f"{root}/{name}")
-    return [*facts, *dims]
+    return list(tables)

@@ -111,6 +111,18 @@ SELECT CASE WHEN l_quantity > 40 THEN NULL ELSE 'R' || CAST(l_partkey % 25 AS ST
 FROM {{lineitem}} WHERE {_TOOL} = 'snyk'
 """
 
+# Documents of tool runs: some runs name their findings themselves, some lack metadata or findings.
+RUN_DOCUMENTS = f"""
+SELECT folder || '/' || CASE doc WHEN 0 THEN 'run.json' WHEN 1 THEN 'metadata.json' WHEN 2 THEN 'config_receipt.json' ELSE CASE WHEN r = 1 THEN 'own.json' ELSE 'normalized.json' END END AS path,
+  CASE doc WHEN 0 THEN '{{"tool": "' || tool || '", "profile": "p' || r || '", "exit_code": ' || r || ', "started": "s' || r || '", "artifacts": {{' || CASE WHEN r = 1 THEN '"normalized": "own.json"' ELSE '' END || '}}}}'
+    WHEN 1 THEN '{{"scanner_version": "1.' || r || '", "scan_time_seconds": "' || r || '.5", "config_hash": null}}'
+    WHEN 2 THEN '{{"tool": " ' || tool || ' ", "schema_version": "2", "recorded_at": "now", "artifacts": {{"rules_inventory": {{"b": [1, ' || r || '], "a": "x"}}}}, "profile": "q"}}'
+    ELSE '{{"findings": [' || repeat('{{"a": [1, 2]}}, ', r) || '{{}}]}}' END AS value
+FROM (SELECT DISTINCT '/x/suites/suite_main/cases/' || {_CASE} || '/tool_runs/' || {_TOOL} || '/202401010' || CAST(l_orderkey % 3 AS STRING) AS folder, {_TOOL} AS tool, CAST(l_orderkey % 3 AS INT) AS r FROM {{lineitem}}) runs,
+  (VALUES (0), (1), (2), (3)) AS docs(doc)
+WHERE r < 2 OR doc IN (0, 2)
+"""
+
 # Severities as tools write them.
 SEVERITIES = ("critical", "crit", "Blocker", "major", "high", "error", "medium", "moderate", "warning", "warn", "minor", "low", "info", "informational", "note", "none", "very high risk", "", "severe", "7.5", "4", ".5", "0", "-3")
 
@@ -186,6 +198,17 @@ def vendor_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(_with_braces(VENDOR_FILES, "part"), part=_table(spark, sf_dir, "part")).select(F.lit(0).alias("priority"), "value")
 
 
+def run_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(_with_braces(RUN_DOCUMENTS, "lineitem"), lineitem=_table(spark, sf_dir, "lineitem"))
+
+
+def source_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of made files, those of a file one after another."""
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.explode(F.sequence(F.lit(1), (F.col("o_orderkey") % 5 + 1).cast("int"))).alias("k"))
+    content = F.concat(F.lit("line "), F.col("k").cast("string"), F.lit(" of "), F.col("o_custkey").cast("string"))
+    return orders.select(F.concat(F.lit("src/o"), F.col("o_orderkey").cast("string"), F.lit(".py")).alias("path"), F.floor((F.col("k") - 1) / 2).alias("block"), content.alias("content"))
+
+
 def named_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(NAMED_RULES, lineitem=_table(spark, sf_dir, "lineitem"))
 

@@ -137,3 +137,10 @@ def test_suite_and_mart(spark, tmp_path):
     assert names == ["fact_eval_case_k", "fact_eval_suite_k", "fact_tool_value", "dim_suite_run", "dim_case"]
     assert spark.read.parquet(f"{tmp_path}/mart/fact_eval_case_k").count() == s.by_case.count()
     assert Path(f"{tmp_path}/mart/dim_suite_run/suite_run_id=suite_main").is_dir()
+    runs = spark.createDataFrame([("suite_prev", "c", "semgrep", "r")], "suite_id string, case_id string, tool string, run_id string")
+    earlier = suite(spark, SF, "suite_prev")
+    tables.write_mart(earlier, f"{tmp_path}/mart", "bench", runs)  # another suite under the same root leaves the first one's rows
+    for name, rows in (("fact_eval_case_k", (s.by_case, earlier.by_case)), ("dim_case", (s.cases, earlier.cases))):
+        kept = {r["suite_run_id"]: r["count"] for r in spark.read.parquet(f"{tmp_path}/mart/{name}").groupBy("suite_run_id").count().collect()}
+        assert kept == {"suite_main": rows[0].count(), "suite_prev": rows[1].count()}
+    assert spark.read.parquet(f"{tmp_path}/mart/dim_tool_run").columns == ["benchmark_id", "case_id", "tool", "run_id", "suite_run_id"]
