@@ -108,6 +108,6 @@ def transform(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", fim
 
 def restored(output: Column, form: Column) -> Column:
     """The text behind an output.  No part holds a sentinel, so each sentinel is found where it was put."""
-    parts = F.split(output, "|".join((PREFIX, SUFFIX, MIDDLE)), -1)
-    one, two, middle = (F.get(parts, k) for k in (1, 2, 3))
-    return F.when(form == "psm", F.concat(one, middle, two)).when(form == "spm", F.concat(two, middle, one)).otherwise(output)
+    parts = F.array(F.split(output, "|".join((PREFIX, SUFFIX, MIDDLE)), -1))  # in a list of one, so that it is split once
+    back = F.transform(parts, lambda p: F.when(form == "psm", F.concat(F.get(p, F.lit(1)), F.get(p, F.lit(3)), F.get(p, F.lit(2)))).when(form == "spm", F.concat(F.get(p, F.lit(2)), F.get(p, F.lit(3)), F.get(p, F.lit(1)))))
+    return F.when(form == "plain", output).otherwise(F.get(back, F.lit(0)))
