@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from siftwell.functions import classification, contract, paths, severity
 from siftwell.operators import agreement, clustering, compare, diagnostics, evaluation, filters, groundtruth, mart, report, resolution, tolerance
 from siftwell.plans.suite import Suite
-from siftwell.sources import adapters, layout, lines, normalized, provenance, vendor_rules
+from siftwell.sources import adapters, catalogs, layout, lines, normalized, provenance, vendor_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -239,6 +239,15 @@ def line_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     return findings.join(lines.numbered_lines(adapters.source_lines(spark, sf_dir)), ["path", "line"], "left").select("path", "line", "content")
 
 
+@query
+def gt_source_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source of ground truth that each case takes, or why it takes none."""
+    cases = adapters.gt_cases(spark, sf_dir)
+    scanned = cases.where("shape = 6").select(*CASE, F.parse_json(F.lit('{"id": "s"}')).alias("item"))
+    found = catalogs.documents(adapters.catalogs(spark, sf_dir))
+    return catalogs.choices(cases, found, scanned).select(*CASE, "gt_source_mode", "gt_source_used", "reason", "n_items")
+
+
 @query
 def schema_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return diagnostics.schema_gaps(adapters.flawed(spark, sf_dir))

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import re
 
-from siftwell.sources.adapters import CASES, CWE_OWASP, CWE_OWASP_2017, FINDINGS, FLAWED, GROUND_TRUTH, NAMED_RULES, RAW_PATHS, RECEIPTS, RULES, SEVERITIES, SUITES, TAGGED, TOOL_RUNS
+from siftwell.sources.adapters import CASES, CWE_OWASP, CWE_OWASP_2017, FINDINGS, FLAWED, GROUND_TRUTH, GT_CASES, NAMED_RULES, RAW_PATHS, RECEIPTS, RULES, SEVERITIES, SUITES, TAGGED, TOOL_RUNS
 
 TOOLS = ("semgrep", "snyk", "sonar", "aikido")
 KS = "(1), (3), (5), (10), (25), (50)"
@@ -476,3 +476,19 @@ FROM lineitem
 ORACLE_SQL["line_content"] = """
 SELECT 'src/o' || o_orderkey || '.py' AS path, o_custkey % 7 AS line, CASE WHEN o_custkey % 7 BETWEEN 1 AND o_orderkey % 5 + 1 THEN 'line ' || (o_custkey % 7) || ' of ' || o_custkey END AS content FROM orders
 """
+
+# Items of each source, and how a catalogue stands, by the shape of a case's documents.
+ORACLE_SQL["gt_source_choice"] = f"""
+WITH cases AS ({_adapted(GT_CASES)}), counted AS (
+  SELECT suite_id, case_id, CASE trim(lower(gt_source)) WHEN 'markers' THEN 'markers' WHEN 'yaml' THEN 'yaml' WHEN 'off' THEN 'none' ELSE 'auto' END AS mode,
+    CASE shape WHEN 0 THEN 2 WHEN 6 THEN 1 ELSE 0 END AS markers, CASE shape WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 3 THEN 1 WHEN 7 THEN 1 ELSE 0 END AS listed,
+    CASE WHEN shape = 2 THEN 'gt_catalog_yaml_error' WHEN shape IN (4, 6) THEN 'no_gt_catalog_yaml' WHEN shape = 5 THEN 'empty_gt_catalog_yaml' END AS fault
+  FROM cases
+), chosen AS (
+  SELECT *, CASE WHEN mode IN ('auto', 'markers') AND markers > 0 THEN 'markers' WHEN mode IN ('auto', 'yaml') AND listed > 0 THEN 'yaml' END AS used FROM counted
+)
+SELECT suite_id, case_id, mode AS gt_source_mode, used AS gt_source_used,
+  CASE WHEN used IS NOT NULL THEN NULL WHEN mode = 'none' THEN 'gt_disabled' WHEN mode = 'markers' THEN 'no_gt_markers' WHEN mode = 'yaml' THEN fault WHEN fault = 'gt_catalog_yaml_error' THEN fault ELSE 'no_gt' END AS reason,
+  CAST(CASE used WHEN 'markers' THEN markers WHEN 'yaml' THEN listed ELSE 0 END AS BIGINT) AS n_items
+FROM chosen
+"""

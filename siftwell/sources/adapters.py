@@ -123,6 +123,20 @@ FROM (SELECT DISTINCT '/x/suites/suite_main/cases/' || {_CASE} || '/tool_runs/'
 WHERE r < 2 OR doc IN (0, 2)
 """
 
+# Ground-truth documents of cases, some of each kind broken or empty; the cases with the source that each asks for; markers of repositories.
+CATALOGS = """
+SELECT '/x/suites/suite_main/cases/case-' || CAST(k AS STRING) || '/gt/' || name AS path, value FROM (
+  SELECT k, CASE WHEN doc = 0 THEN 'gt_markers.json' WHEN k % 8 = 3 THEN 'gt_catalog.yml' ELSE 'gt_catalog.yaml' END AS name,
+    CASE WHEN doc = 0 THEN CASE k % 8 WHEN 0 THEN '[{"id": "a"}, 5, {"id": "b"}]' WHEN 1 THEN '{"items": []}' WHEN 7 THEN 'no json' END
+      ELSE CASE k % 8 WHEN 0 THEN '- id: z' WHEN 1 THEN '- id: y1' || chr(10) || '- {id: y2}' WHEN 2 THEN 'items: [' WHEN 3 THEN 'items:' || chr(10) || '- id: y3' WHEN 5 THEN 'x: 1' WHEN 7 THEN '[{"id": "y7"}]' END END AS value
+  FROM (SELECT DISTINCT p_partkey % 40 AS k FROM {part}) numbers, (VALUES (0), (1)) AS docs(doc)) written
+WHERE value IS NOT NULL
+"""
+GT_CASES = """
+SELECT 'suite_main' AS suite_id, 'case-' || CAST(k AS STRING) AS case_id, CASE k % 5 WHEN 0 THEN 'auto' WHEN 1 THEN ' Markers' WHEN 2 THEN 'YAML' WHEN 3 THEN 'off' ELSE 'odd' END AS gt_source, CAST(k % 8 AS INT) AS shape
+FROM (SELECT DISTINCT p_partkey % 40 AS k FROM {part}) numbers
+"""
+
 # Severities as tools write them.
 SEVERITIES = ("critical", "crit", "Blocker", "major", "high", "error", "medium", "moderate", "warning", "warn", "minor", "low", "info", "informational", "note", "none", "very high risk", "", "severe", "7.5", "4", ".5", "0", "-3")
 
@@ -209,6 +223,14 @@ def source_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.select(F.concat(F.lit("src/o"), F.col("o_orderkey").cast("string"), F.lit(".py")).alias("path"), F.floor((F.col("k") - 1) / 2).alias("block"), content.alias("content"))
 
 
+def catalogs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(_with_braces(CATALOGS, "part"), part=_table(spark, sf_dir, "part"))
+
+
+def gt_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(GT_CASES, part=_table(spark, sf_dir, "part"))
+
+
 def named_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(NAMED_RULES, lineitem=_table(spark, sf_dir, "lineitem"))
 
