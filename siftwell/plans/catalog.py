@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from siftwell.functions import classification, contract, paths, severity
 from siftwell.operators import agreement, clustering, compare, diagnostics, evaluation, filters, groundtruth, mart, report, resolution, tolerance
 from siftwell.plans.suite import Suite
-from siftwell.sources import adapters, catalogs, layout, lines, normalized, provenance, vendor_rules
+from siftwell.sources import adapters, case_lists, catalogs, layout, lines, normalized, provenance, vendor_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -248,6 +248,12 @@ def gt_source_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalogs.choices(cases, found, scanned).select(*CASE, "gt_source_mode", "gt_source_used", "reason", "n_items")
 
 
+@query
+def case_lists_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cases of lists with and without headers."""
+    return case_lists.cases_of(adapters.case_rows(spark, sf_dir)).select("list", "place", "case_id", "runs_repo_name", "label", "repo_path", "repo_key", "branch", "track", "tags_json")
+
+
 @query
 def schema_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return diagnostics.schema_gaps(adapters.flawed(spark, sf_dir))

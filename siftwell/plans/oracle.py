@@ -492,3 +492,16 @@ SELECT suite_id, case_id, mode AS gt_source_mode, used AS gt_source_used,
   CAST(CASE used WHEN 'markers' THEN markers WHEN 'yaml' THEN listed ELSE 0 END AS BIGINT) AS n_items
 FROM chosen
 """
+
+# Cases told from the customers that the lists are made of.
+ORACLE_SQL["case_lists_read"] = """
+WITH numbered AS (
+  SELECT c_nationkey AS list, c_custkey AS place, c_nationkey % 3 = 0 AS named, c_custkey % 2 = 0 AS has_path, c_custkey % 5 <> 0 AS has_key, c_custkey % 4 AS form, '/repos/' || c_name AS path, replace(c_name, '#', '_') AS name FROM customer
+), cases AS (
+  SELECT *, CASE WHEN named THEN CASE WHEN has_path THEN name ELSE 'key_' || place END WHEN form = 0 THEN name ELSE 'Case_' || place END AS case_id FROM numbered
+  WHERE CASE WHEN named THEN has_path OR has_key ELSE form <> 1 END
+)
+SELECT list, place, case_id, case_id AS runs_repo_name, case_id AS label, CASE WHEN named AND NOT has_path THEN '' ELSE path END AS repo_path, CASE WHEN named AND NOT has_path THEN 'key #' || place ELSE '' END AS repo_key,
+  CASE WHEN NOT named AND form > 1 THEN 'main' ELSE '' END AS branch, CASE WHEN named THEN 't' || place ELSE '' END AS track, '{}' AS tags_json
+FROM cases
+"""

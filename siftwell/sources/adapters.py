@@ -231,6 +231,19 @@ def gt_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(GT_CASES, part=_table(spark, sf_dir, "part"))
 
 
+def case_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of case lists, a list a nation: every third with a header, the others by place."""
+    customers = _table(spark, sf_dir, "customer").select("c_nationkey", "c_custkey", "c_name")
+    named = F.col("c_nationkey") % 3 == 0
+    key = F.col("c_custkey").cast("string")
+    path, blank = F.concat(F.lit("/repos/"), F.col("c_name")), F.lit("")
+    by_name = F.array(F.when(F.col("c_custkey") % 2 == 0, path).otherwise(blank), F.when(F.col("c_custkey") % 5 != 0, F.concat(F.lit("key #"), key)).otherwise(blank), F.concat(F.lit(" t"), key))
+    by_place = F.when(F.col("c_custkey") % 4 == 0, F.array(path)).when(F.col("c_custkey") % 4 == 1, F.array(F.concat(F.lit("# "), key), path)).otherwise(F.array(F.concat(F.lit("Case "), key), path, blank, F.lit("main")))
+    rows = customers.select(F.col("c_nationkey").alias("list"), F.col("c_custkey").alias("place"), F.when(named, by_name).otherwise(by_place).alias("cells"))
+    headers = customers.where(named).select(F.col("c_nationkey").alias("list"), F.lit(-1).alias("place"), F.array(*map(F.lit, ("Repo_Path", "repo_key", "track"))).alias("cells")).distinct()
+    return rows.unionByName(headers)
+
+
 def named_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(NAMED_RULES, lineitem=_table(spark, sf_dir, "lineitem"))
 
