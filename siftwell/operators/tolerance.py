@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftwell.config import AnalysisConfig
-from siftwell.functions.classification import infer_owasp, owasp_id
 from siftwell.functions.scoring import round6
 from siftwell.operators import calibration, evaluation
 from siftwell.operators.groundtruth import CASE, nearest, overlaps
+from siftwell.operators.triage import with_owasp
 
 
 def overlap_stats(pairs: DataFrame, clusters: DataFrame, tolerances: tuple[int, ...]) -> DataFrame:
@@ -86,13 +86,13 @@ def sweep_cases(clusters: DataFrame, gt: DataFrame, tolerances: tuple[int, ...])
     return overlaps(clusters, gt, tolerances).groupBy(*CASE, "gt_tolerance").agg(F.count_distinct("cluster_id").alias("gt_overlap_1"))
 
 
-def labels(clusters: DataFrame, gt: DataFrame, tolerances: tuple[int, ...]) -> DataFrame:
+def labels(clusters: DataFrame, gt: DataFrame, tolerances: tuple[int, ...], declared: DataFrame | None = None) -> DataFrame:
     """Clusters with owasp_id and hits: (gt_tolerance, gt_id) of each item near, with the smallest of the tolerances that reaches it.  hits are sorted."""
     reached = F.array_min(F.filter(F.array(*map(F.lit, tolerances)), lambda t: t >= F.col("gap")))
     near = nearest(clusters, gt, max(tolerances)).where("gt_id <> ''").withColumn("gt_tolerance", reached)
     each = near.groupBy(*CASE, "cluster_id", "gt_id").agg(F.min("gt_tolerance").alias("gt_tolerance"))
     hits = each.groupBy(*CASE, "cluster_id").agg(F.array_sort(F.collect_list(F.struct("gt_tolerance", "gt_id"))).alias("hits"))
-    rows = clusters.withColumn("owasp_id", owasp_id(infer_owasp(F.col("case_id")))).join(hits, [*CASE, "cluster_id"], "left")
+    rows = with_owasp(clusters, declared).join(hits, [*CASE, "cluster_id"], "left")
     none = F.array().cast("array<struct<gt_tolerance:int,gt_id:string>>")
     return rows.select(
         *CASE, "cluster_id", "owasp_id", "file_path", F.coalesce("start_line", F.lit(0)).alias("start_line"), "tools", "tool_count", "finding_count", "max_severity", "max_severity_rank", F.coalesce("hits", none).alias("hits")

@@ -17,9 +17,17 @@ SCHEMA_VERSION = "triage_features_v1"
 PROVENANCE = ["repo_url", "repo_git_commit", "repo_git_branch", "repo_expected_commit", "repo_expected_branch", "case_track", "case_tags_json"]
 
 
-def triage_queue(clusters: DataFrame, config: AnalysisConfig, model: DataFrame | None = None) -> DataFrame:
+def with_owasp(rows: DataFrame, declared: DataFrame | None = None) -> DataFrame:
+    """rows with the OWASP code of their case: as declared with its ground truth (suite_id, case_id, owasp_id), else as its id says."""
+    if declared is None:
+        return rows.withColumn("owasp_id", infer_owasp(F.col("case_id")))
+    told = rows.join(declared.select(*CASE, F.col("owasp_id").alias("_declared")), CASE, "left")
+    return told.withColumn("owasp_id", infer_owasp(F.col("case_id"), F.col("_declared"))).drop("_declared")
+
+
+def triage_queue(clusters: DataFrame, config: AnalysisConfig, model: DataFrame | None = None, declared: DataFrame | None = None) -> DataFrame:
     """Clusters in the order of review.  With a trust model the score comes first; without one it is null."""
-    rows = clusters.withColumn("owasp_id", infer_owasp(F.col("case_id")))
+    rows = with_owasp(clusters, declared)
     rows = rows.withColumn("triage_score_v1", F.lit(None).cast("double")) if model is None else with_score(rows, model, config.calibration)
     order = ([] if model is None else [F.desc(F.coalesce("triage_score_v1", F.lit(0.0)))]) + severity_order()
     return ranked(rows, order).select(
@@ -28,15 +36,15 @@ def triage_queue(clusters: DataFrame, config: AnalysisConfig, model: DataFrame |
     )
 
 
-def triage_features(clusters: DataFrame, gt: DataFrame, config: AnalysisConfig, provenance: DataFrame | None = None, generated_at: str = "") -> DataFrame:
+def triage_features(clusters: DataFrame, gt: DataFrame, config: AnalysisConfig, provenance: DataFrame | None = None, generated_at: str = "", declared: DataFrame | None = None) -> DataFrame:
     """One row per cluster with place, agreement, severity, diversity, rank, sample and ground-truth labels.
 
-    provenance: (suite_id, case_id, repo_url, ...) of the cases; what it lacks is empty.
+    provenance: (suite_id, case_id, repo_url, ...) of the cases; what it lacks is empty.  declared: see with_owasp().
     """
     found = overlaps(clusters, gt, (config.gt_tolerance,)).groupBy(*CASE, "cluster_id").agg(
         *[F.array_sort(F.collect_set(c)).alias(n) for c, n in (("gt_id", "gt_ids"), ("set_name", "gt_sets"), ("track", "gt_tracks"))]
     )
-    rows = ranked(clusters, severity_order(), name="triage_rank").join(found, [*CASE, "cluster_id"], "left")
+    rows = with_owasp(ranked(clusters, severity_order(), name="triage_rank"), declared).join(found, [*CASE, "cluster_id"], "left")
     known = [c for c in PROVENANCE if provenance is not None and c in provenance.columns]
     if known:
         rows = rows.join(provenance.select(*CASE, *known), CASE, "left")
@@ -46,7 +54,7 @@ def triage_features(clusters: DataFrame, gt: DataFrame, config: AnalysisConfig,
     start, end = F.coalesce("start_line", F.lit(0)), F.coalesce("end_line", F.lit(0))
     others = F.col("finding_count") - sum((F.col(f"{t}_count") for t in config.tools), F.lit(0))
     counts = F.map_filter(F.map_from_arrays(F.array(*map(F.lit, sorted(config.tools))), F.array(*[F.col(f"{t}_count") for t in sorted(config.tools)])), lambda k, v: v > 0)
-    owasp = infer_owasp(F.col("case_id"))
+    owasp = F.col("owasp_id")
     ref = F.coalesce(*[F.when(F.col(c) != "", F.col(c)) for c in ("repo_git_commit", "repo_expected_commit", "repo_git_branch", "repo_expected_branch")], F.lit(""))
     return rows.select(
         *CASE, "cluster_id", F.lit(SCHEMA_VERSION).alias("schema_version"), F.lit(generated_at).alias("generated_at"), F.lit(config.repo_name).alias("repo_name"), "repo_url", ref.alias("repo_ref"),

@@ -12,7 +12,8 @@ from siftwell.sinks.shared import spread, stored
 
 
 class Suite:
-    """findings: normalised findings of all cases; gt: their ground truth (see groundtruth.normalize_items).
+    """findings: normalised findings of all cases; gt: their ground truth (see groundtruth.normalize_items); declared: the OWASP
+    codes that cases declare (see lines.declared_owasp), which count before those in their ids.
 
     Two passes are explicit: the first queue has no trust model; the model is learned from its features, and the
     calibrated queue uses it.
@@ -22,8 +23,8 @@ class Suite:
     stands behind them.
     """
 
-    def __init__(self, findings: DataFrame, gt: DataFrame, config: AnalysisConfig | None = None):
-        self.findings, self.gt, self.config = findings, gt, config or AnalysisConfig()
+    def __init__(self, findings: DataFrame, gt: DataFrame, config: AnalysisConfig | None = None, declared: DataFrame | None = None):
+        self.findings, self.gt, self.config, self.declared = findings, gt, config or AnalysisConfig(), declared
 
     @cached_property
     def with_path(self) -> DataFrame:
@@ -60,11 +61,11 @@ class Suite:
 
     @cached_property
     def queue(self) -> DataFrame:
-        return triage.triage_queue(self.clusters, self.config)
+        return triage.triage_queue(self.clusters, self.config, declared=self.declared)
 
     @cached_property
     def features(self) -> DataFrame:
-        return triage.triage_features(self.clusters, self.gt, self.config)
+        return triage.triage_features(self.clusters, self.gt, self.config, declared=self.declared)
 
     @cached_property
     def stored_features(self) -> DataFrame:
@@ -88,7 +89,7 @@ class Suite:
 
     @cached_property
     def calibrated_queue(self) -> DataFrame:
-        return triage.triage_queue(self.clusters, self.config, self.model)
+        return triage.triage_queue(self.clusters, self.config, self.model, self.declared)
 
     @cached_property
     def rows(self) -> DataFrame:
@@ -130,7 +131,7 @@ class Suite:
     @cached_property
     def swept(self) -> DataFrame:
         """The clusters with what each candidate tolerance reaches: the one scan of clusters that the whole sweep takes."""
-        return stored(tolerance.labels(self.clusters, self.gt, self.config.gt_tolerance_candidates))
+        return stored(tolerance.labels(self.clusters, self.gt, self.config.gt_tolerance_candidates, self.declared))
 
     @cached_property
     def tolerance_tools(self) -> DataFrame:

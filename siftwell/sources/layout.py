@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Run folders are named by ten or sixteen digits.
@@ -34,9 +34,9 @@ def path_columns(path: Column) -> dict[str, Column]:
     }
 
 
-def preferred_file(files: DataFrame, keys: list[str], repo_name: str) -> DataFrame:
-    """Of each run's files the first that exists: normalized.json, <repo>.normalized.json, its form with _ for -, any other."""
-    name = F.regexp_extract("path", r"([^/]+)$", 1)
-    order = F.when(name == "normalized.json", 0).when(name == f"{repo_name}.normalized.json", 1).when(name == f"{repo_name.replace('-', '_')}.normalized.json", 2).when(name.endswith(".normalized.json"), 3)
-    first = Window.partitionBy(*keys).orderBy("_order", "path")
-    return files.withColumn("_order", order).where("_order IS NOT NULL").withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_order", "_n")
+def preferred_file(files: DataFrame, keys: list[str], repo_name: str | Column) -> DataFrame:
+    """Of each run's files the first that exists: normalized.json, <repo>.normalized.json, its form with _ for -, any other; runs without one are left out."""
+    name, repo = F.regexp_extract("path", r"([^/]+)$", 1), F.lit(repo_name)
+    order = F.when(name == "normalized.json", 0).when(name == F.concat(repo, F.lit(".normalized.json")), 1).when(name == F.concat(F.replace(repo, F.lit("-"), F.lit("_")), F.lit(".normalized.json")), 2).when(name.endswith(".normalized.json"), 3)
+    best = files.withColumn("_order", F.struct(order.alias("place"), "path")).where(order.isNotNull()).groupBy(*keys).agg(F.min("_order").alias("_best"))
+    return files.join(best.select(*keys, F.col("_best.path").alias("path")), [*keys, "path"], "left_semi")

@@ -22,7 +22,7 @@ RUN = T.StructType([T.StructField("schema_version", T.StringType()), T.StructFie
 COLUMNS = ["suite_id", "case_id", "tool", "run_id", "finding_id", "rule_id", "title", "severity", "issue_type", "file_path", "line_number", "end_line_number", "cwe_id", "cwe_ids", "owasp_tags", "vendor_codes", "item_seq"]
 
 
-def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def _read(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
     """One row per report, with the columns that its path carries."""
     rows = spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE").option("recursiveFileLookup", True).json(path)
     return rows.select("*", F.col("_metadata.file_path").alias("path")).withColumns(path_columns(F.col("path")))
@@ -33,11 +33,11 @@ def _texts(*lists: Column) -> Column:
     return F.array_distinct(F.array_compact(F.concat(*[F.coalesce(x, F.array().cast("array<string>")) for x in lists])))
 
 
-def _finished(rows: DataFrame, tool: str | None = None) -> DataFrame:
+def _finished(rows: DataFrame, tool: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     named = rows if tool is None else rows.withColumn("tool", F.lit(tool))
     filled = named.withColumns({c: F.lit(None).cast("string") for c in ("issue_type", "cwe_id") if c not in named.columns})
     filled = filled.withColumns({c: F.lit(None).cast("array<string>") for c in ("cwe_ids", "owasp_tags", "vendor_codes") if c not in named.columns})
-    return filled.withColumn("item_seq", _tool_order(F.col("tool")) * F.lit(1 << 40) + F.col("pos")).select(*COLUMNS)
+    return filled.withColumn("item_seq", _tool_order(F.col("tool")) * F.lit(1 << 40) + F.col("pos")).select(*COLUMNS, *keep)
 
 
 def _tool_order(tool: Column) -> Column:
@@ -47,11 +47,17 @@ def _tool_order(tool: Column) -> Column:
     return F.when(place > 0, place - 1).otherwise(F.lit(len(known)).cast("bigint"))
 
 
+def read_report_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Findings of normalised reports, with the path of each."""
+    runs = _read(spark, paths, RUN).withColumn("tool", F.coalesce("tool", F.regexp_extract("path", r"/tool_runs/([^/]+)/", 1)))
+    keep = ["suite_id", "case_id", "tool", "run_id", "path"]
+    rows = runs.select(*keep, F.posexplode_outer("findings").alias("pos", "f")).select(*keep, "pos", "f.*").where("pos IS NOT NULL")
+    return _finished(rows.withColumn("owasp_tags", _texts(*[F.col(f"{c}.categories") for c in BLOCKS], F.array("vuln_class"))), keep=("path",))
+
+
 def read_runs(spark: SparkSession, path: str, latest: bool = True) -> DataFrame:
     """Findings of normalised reports (.../cases/C/tool_runs/T/R/normalized.json), of each tool's latest run."""
-    runs = _read(spark, path, RUN).withColumn("tool", F.coalesce("tool", F.regexp_extract("path", r"/tool_runs/([^/]+)/", 1)))
-    rows = runs.select("suite_id", "case_id", "tool", "run_id", F.posexplode_outer("findings").alias("pos", "f")).select("suite_id", "case_id", "tool", "run_id", "pos", "f.*").where("pos IS NOT NULL")
-    found = _finished(rows.withColumn("owasp_tags", _texts(*[F.col(f"{c}.categories") for c in BLOCKS], F.array("vuln_class"))))
+    found = read_report_files(spark, path).drop("path")
     return only_latest(found, ["suite_id", "case_id", "tool"]) if latest else found
 
 

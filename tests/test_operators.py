@@ -211,3 +211,12 @@ def test_sweep_equals_an_analysis_at_each_tolerance(spark):
 def test_candidates_of_a_text():
     assert tolerance.parse_candidates("3, 1;1 x -2\t0") == (3, 1, 0)
     assert tolerance.parse_candidates(None) == tolerance.parse_candidates(" ,") == (0, 1, 2, 3, 5, 10)
+
+
+def test_declared_categories_count_first(spark):
+    found = items(spark, [("semgrep", "x", 6, 6, "LOW")]).withColumn("case_id", F.explode(F.array(*map(F.lit, ("owasp2021-a01-case", "plain", "other")))))
+    gt = spark.createDataFrame([], "suite_id string, case_id string, gt_id string, file string, start_line int, end_line int, track string, set_name string")
+    declared = spark.createDataFrame([("s", "owasp2021-a01-case", "A09"), ("s", "plain", "A02")], "suite_id string, case_id string, owasp_id string")
+    for one, wanted in ((Suite(found, gt, declared=declared), {"owasp2021-a01-case": "A09", "plain": "A02", "other": ""}), (Suite(found, gt), {"owasp2021-a01-case": "A01", "plain": "", "other": ""})):
+        assert {r["case_id"]: r["owasp_id"] for r in one.features.collect()} == wanted
+        assert {r["case_id"]: r["owasp_id"] or "" for r in one.swept.collect()} == wanted
