@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from siftwell.functions import classification, contract, paths, severity
 from siftwell.operators import agreement, clustering, compare, diagnostics, evaluation, filters, groundtruth, mart, report, resolution, tolerance
 from siftwell.plans.suite import Suite
-from siftwell.sources import adapters, case_lists, catalogs, layout, lines, normalized, provenance, vendor_rules
+from siftwell.sources import adapters, case_lists, catalogs, layout, lines, manifests, normalized, provenance, vendor_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -254,6 +254,12 @@ def case_lists_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return case_lists.cases_of(adapters.case_rows(spark, sf_dir)).select("list", "place", "case_id", "runs_repo_name", "label", "repo_path", "repo_key", "branch", "track", "tags_json")
 
 
+@query
+def suite_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per case of a suite, from the manifests of its cases."""
+    return manifests.case_summary(manifests.case_manifests(adapters.manifests(spark, sf_dir)))
+
+
 @query
 def schema_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return diagnostics.schema_gaps(adapters.flawed(spark, sf_dir))

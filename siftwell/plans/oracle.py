@@ -505,3 +505,9 @@ SELECT list, place, case_id, case_id AS runs_repo_name, case_id AS label, CASE W
   CASE WHEN NOT named AND form > 1 THEN 'main' ELSE '' END AS branch, CASE WHEN named THEN 't' || place ELSE '' END AS track, '{}' AS tags_json
 FROM cases
 """
+
+ORACLE_SQL["suite_summary"] = """
+SELECT 'suite_main' AS suite_id, CASE WHEN k % 4 = 0 THEN 'case-' || k ELSE 'id-' || k END AS "case", 't' || k AS finished, 'b,a' AS requested, CASE WHEN k % 2 = 0 THEN 'a,b' ELSE 'a' END AS ok,
+  CASE WHEN k % 2 = 0 THEN '' ELSE 'b' END AS failed, CASE WHEN k % 5 = 0 THEN 'yes' ELSE 'no' END AS analysis, 'cases/case-' || k AS case_dir, '' AS triage_queue
+FROM (SELECT DISTINCT p_partkey % 200 AS k FROM part)
+"""

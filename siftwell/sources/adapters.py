@@ -137,6 +137,14 @@ SELECT 'suite_main' AS suite_id, 'case-' || CAST(k AS STRING) AS case_id, CASE k
 FROM (SELECT DISTINCT p_partkey % 40 AS k FROM {part}) numbers
 """
 
+# Manifests of cases, some under the earlier name and with runs under their earlier key.
+MANIFESTS = """
+SELECT '/x/suites/suite_main/cases/case-' || CAST(k AS STRING) || CASE WHEN k % 3 = 0 THEN '/run_manifest.json' ELSE '/case.json' END AS path,
+  '{"case": {"id": "' || CASE WHEN k % 4 = 0 THEN '' ELSE 'id-' || CAST(k AS STRING) END || '"}, "timestamps": {"finished": "t' || CAST(k AS STRING) || '"}, "scanners_requested": ["b", "a"], "'
+    || CASE WHEN k % 2 = 0 THEN 'tool_runs' ELSE 'scans' END || '": {"b": {"exit_code": ' || CAST(k % 2 AS STRING) || '}, "a": {"exit_code": 0}, "c": {}}' || CASE WHEN k % 5 = 0 THEN ', "analysis": {"x": 1}' ELSE '' END || '}' AS value
+FROM (SELECT DISTINCT p_partkey % 200 AS k FROM {part}) numbers
+"""
+
 # Severities as tools write them.
 SEVERITIES = ("critical", "crit", "Blocker", "major", "high", "error", "medium", "moderate", "warning", "warn", "minor", "low", "info", "informational", "note", "none", "very high risk", "", "severe", "7.5", "4", ".5", "0", "-3")
 
@@ -227,6 +235,10 @@ def catalogs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(_with_braces(CATALOGS, "part"), part=_table(spark, sf_dir, "part"))
 
 
+def manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(_with_braces(MANIFESTS, "part"), part=_table(spark, sf_dir, "part"))
+
+
 def gt_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(GT_CASES, part=_table(spark, sf_dir, "part"))
 
