@@ -151,6 +151,32 @@ def macro(rows: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
+def macro_from_topk(topk_rows: DataFrame, ks: tuple[int, ...] = (10, 25, 50)) -> DataFrame:
+    """Macro precision and coverage from topk() rows alone, for suites whose other tables are lost; NaN where no case counts.
+
+    A case counts for precision with any row, and for coverage with any ground truth; one with fewer than k rows counts all of them.
+    """
+    keys = ["suite_id", "case_id", "strategy"]
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy("rank"))
+    reached = F.explode(F.filter(F.array(*map(F.lit, ks)), lambda k: k >= F.col("place")))
+    rows = topk_rows.select(*keys, "gt_overlap", "gt_total", "cumulative_gt_covered", place.alias("place"))
+    # a cut-off beyond the last row is reached by every row, as k >= place holds for all of them
+    each = rows.select("*", reached.alias("k")).groupBy(*keys, "k").agg(
+        F.count("*").alias("denom"), F.count_if(F.col("gt_overlap") == 1).alias("tp"), F.max_by(F.coalesce("cumulative_gt_covered", F.lit(0)), "place").alias("covered"), F.min_by(F.coalesce("gt_total", F.lit(0)), "place").alias("total")
+    )
+    p, c = ratio(F.col("tp"), F.col("denom")), ratio(F.col("covered"), F.col("total"))
+    found = each.groupBy("suite_id", "strategy", "k").agg(F.avg(p).alias("precision"), F.avg(c).alias("gt_coverage"))
+    grid = topk_rows.select("suite_id").distinct().select("suite_id", F.explode(F.array(*map(F.lit, STRATEGIES))).alias("strategy")).select("*", F.explode(F.array(*map(F.lit, ks))).alias("k"))
+    nan = F.lit(float("nan"))
+    return grid.join(found, ["suite_id", "strategy", "k"], "left").withColumns({m: F.coalesce(m, nan) for m in ("precision", "gt_coverage")})
+
+
+def strategy_place(strategy: Column) -> Column:
+    """The order of strategies in reports; others come after all of them."""
+    known = F.array_position(F.array(*map(F.lit, ("baseline", "agreement", "calibrated"))), strategy)
+    return F.when(known > 0, known).otherwise(99)
+
+
 def micro(rows: DataFrame) -> DataFrame:
     """Ratios of sums over cases."""
     sums = rows.groupBy("suite_id", "strategy", "k").agg(

@@ -96,3 +96,18 @@ def scoreboard(queue: DataFrame, clusters: DataFrame, tools: tuple[str, ...]) ->
     per_tool = [F.count_if(F.array_contains("tools", t)).alias(f"{t}_clusters") for t in tools]
     top = queue.groupBy(*CASE).agg(F.count("*").alias("triage_items"), F.max(F.when(F.col("rank") == 1, F.col("tool_count"))).alias("top_agreement"))
     return top.join(clusters.groupBy(*CASE).agg(F.count_if(F.col("tool_count") > 1).alias("consensus_items"), *per_tool), CASE)
+
+
+def benchmark_pack(queue: DataFrame, consensus: DataFrame, most: int = 200) -> DataFrame:
+    """One row per case: the sizes and heads of its review and consensus queues, and their first rows in order.
+
+    Ranks bound the lists before anything is collected.
+    """
+
+    def head(rows: DataFrame, size: str, top: str, items: str) -> DataFrame:
+        entry = F.struct("rank", *[c for c in rows.columns if c not in (*CASE, "rank")])
+        listed = F.array_sort(F.collect_list(F.when(F.col("rank") <= most, entry)), lambda a, b: a["rank"] - b["rank"])
+        return rows.groupBy(*CASE).agg(F.count("*").alias(size), F.max(F.when(F.col("rank") == 1, F.col("tool_count"))).alias(top), listed.alias(items))
+
+    both = head(queue, "triage_items", "top_agreement", "triage_queue_top").join(head(consensus, "consensus_items", "top_consensus", "consensus_queue_top"), CASE, "full_outer")
+    return both.na.fill(0, ["triage_items", "top_agreement", "consensus_items", "top_consensus"])

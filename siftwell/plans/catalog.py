@@ -110,6 +110,7 @@ of_suite("eval_topk", lambda s: s.topk)
 of_suite("eval_by_case", lambda s: s.by_case)
 of_suite("eval_macro", lambda s: s.macro)
 of_suite("eval_micro", lambda s: s.micro)
+of_suite("eval_macro_from_topk", lambda s: evaluation.macro_from_topk(s.topk).withColumns({m: F.bround(m, 6) for m in ("precision", "gt_coverage")}))
 of_suite("eval_deltas", lambda s: evaluation.deltas_by_case(s.by_case))
 of_suite("eval_suite_deltas", lambda s: evaluation.deltas_of_suite(s.macro))
 of_suite("eval_topk_focus", lambda s: evaluation.topk_focus(s.macro, s.micro))
@@ -307,6 +308,15 @@ def _drilldown(s: Suite) -> DataFrame:
 
 
 of_suite("hotspot_drilldown", _drilldown)
+
+
+def _pack(s: Suite) -> DataFrame:
+    found = report.benchmark_pack(s.queue, agreement.consensus_queue(s.clusters, s.config.tools))
+    shown = {c: F.array_join(F.transform(c, lambda x: F.concat_ws("@", x["rank"].cast("string"), x["cluster_id"])), ";") for c in ("triage_queue_top", "consensus_queue_top")}
+    return found.withColumns(shown)
+
+
+of_suite("benchmark_pack", _pack)
 of_suite("scoreboard", lambda s: report.scoreboard(s.queue, s.clusters, s.config.tools))
 
 

@@ -511,3 +511,16 @@ SELECT 'suite_main' AS suite_id, CASE WHEN k % 4 = 0 THEN 'case-' || k ELSE 'id-
   CASE WHEN k % 2 = 0 THEN '' ELSE 'b' END AS failed, CASE WHEN k % 5 = 0 THEN 'yes' ELSE 'no' END AS analysis, 'cases/case-' || k AS case_dir, '' AS triage_queue
 FROM (SELECT DISTINCT p_partkey % 200 AS k FROM part)
 """
+ORACLE_SQL["eval_macro_from_topk"] = f"""
+WITH rows AS ({sql(SELECTS["eval_topk"])}), each AS (
+  SELECT suite_id, case_id, strategy, k, count(*) AS denom, count(*) FILTER (gt_overlap = 1) AS tp, coalesce(arg_max(cumulative_gt_covered, rank), 0) AS covered, coalesce(max(gt_total), 0) AS total
+  FROM rows JOIN (VALUES (10), (25), (50)) AS ks(k) ON rank <= k GROUP BY ALL
+)
+SELECT suite_id, strategy, k, round_even(avg(CAST(tp AS DOUBLE) / denom), 6) AS precision, round_even(avg(CASE WHEN total > 0 THEN CAST(covered AS DOUBLE) / total END), 6) AS gt_coverage FROM each GROUP BY ALL
+"""
+ORACLE_SQL["benchmark_pack"] = f"""
+WITH a AS (SELECT * FROM ({sql("SELECT * FROM queue")})), b AS (SELECT * FROM ({sql(SELECTS["consensus_queue"])}))
+SELECT suite_id, case_id, x.n AS triage_items, x.top AS top_agreement, x.items AS triage_queue_top, y.n AS consensus_items, y.top AS top_consensus, y.items AS consensus_queue_top
+FROM (SELECT suite_id, case_id, count(*) AS n, max(tool_count) FILTER (rank = 1) AS top, string_agg(rank || '@' || cluster_id, ';' ORDER BY rank) FILTER (rank <= 200) AS items FROM a GROUP BY ALL) x
+JOIN (SELECT suite_id, case_id, count(*) AS n, max(tool_count) FILTER (rank = 1) AS top, string_agg(rank || '@' || cluster_id, ';' ORDER BY rank) FILTER (rank <= 200) AS items FROM b GROUP BY ALL) y USING (suite_id, case_id)
+"""

@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siftwell.operators import mart
+from siftwell.operators import agreement, evaluation, mart, report
 from siftwell.plans.suite import Suite
 
 #: What write_suite() writes, by name, with the columns that order a table.
-TABLES: dict[str, tuple[Callable[[Suite], DataFrame], tuple[str, ...]]] = {
+TABLES: dict[str, tuple[Callable[[Suite], DataFrame], tuple[str | Callable[[], Column], ...]]] = {
     "clusters": (lambda s: s.clusters, ("suite_id", "case_id", "cluster_id")),
     "triage_queue": (lambda s: s.queue, ("suite_id", "case_id", "rank")),
     "triage_features": (lambda s: s.stored_features, ("suite_id", "case_id", "cluster_id")),
@@ -23,7 +23,8 @@ TABLES: dict[str, tuple[Callable[[Suite], DataFrame], tuple[str, ...]]] = {
     "triage_eval_topk": (lambda s: s.topk, ("suite_id", "case_id", "strategy", "rank")),
     "triage_eval_by_case": (lambda s: s.by_case, ("suite_id", "case_id", "strategy", "k")),
     "triage_tool_utility": (lambda s: s.utility, ("suite_id", "tool")),
-    "triage_tool_marginal": (lambda s: s.marginal, ("suite_id", "tool", "strategy", "k")),
+    "triage_tool_marginal": (lambda s: s.marginal, ("suite_id", "tool", lambda: evaluation.strategy_place(F.col("strategy")), "k")),
+    "benchmark_pack": (lambda s: report.benchmark_pack(s.queue, agreement.consensus_queue(s.clusters, s.config.tools)), ("suite_id", "case_id")),
 }
 
 
@@ -33,7 +34,7 @@ def flat(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.to_json(c) for c in nested})
 
 
-def write_table(df: DataFrame, path: str, formats: tuple[str, ...] = ("parquet",), order: tuple[str, ...] = ()) -> None:
+def write_table(df: DataFrame, path: str, formats: tuple[str, ...] = ("parquet",), order: tuple[str | Column, ...] = ()) -> None:
     """df under path/<format> for each of parquet, csv and json, in the order of some columns over all its files.
 
     Each format replaces what was there when it is complete, by Spark's commit; null is an empty cell of CSV.
@@ -52,7 +53,7 @@ def write_suite(suite: Suite, root: str, names: tuple[str, ...] = tuple(TABLES),
     for name in names:
         make, order = TABLES[name]
         df = make(suite)
-        write_table(df, f"{root}/{name}", formats, order)
+        write_table(df, f"{root}/{name}", formats, tuple(c() if callable(c) else c for c in order))
         entries.append((name, f"{root}/{name}", df.columns, list(formats)))
     manifest = suite.findings.sparkSession.createDataFrame(entries, "name string, path string, columns array<string>, formats array<string>")
     write_table(manifest, f"{root}/manifest", ("json",), ("name",))

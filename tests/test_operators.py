@@ -220,3 +220,12 @@ def test_declared_categories_count_first(spark):
     for one, wanted in ((Suite(found, gt, declared=declared), {"owasp2021-a01-case": "A09", "plain": "A02", "other": ""}), (Suite(found, gt), {"owasp2021-a01-case": "A01", "plain": "", "other": ""})):
         assert {r["case_id"]: r["owasp_id"] for r in one.features.collect()} == wanted
         assert {r["case_id"]: r["owasp_id"] or "" for r in one.swept.collect()} == wanted
+
+
+def test_macro_from_topk(spark):
+    rows = [("s", "a", "baseline", r, int(r <= 2), 4, r // 2) for r in range(1, 13)] + [("s", "b", "baseline", 1, 1, 0, None), ("s", "c", "baseline", 1, 0, 2, 0), ("s", "a", "agreement", 1, 0, 0, None)]
+    found = evaluation.macro_from_topk(spark.createDataFrame(rows, "suite_id string, case_id string, strategy string, rank int, gt_overlap int, gt_total int, cumulative_gt_covered int"))
+    got = {(r["strategy"], r["k"]): (r["precision"], r["gt_coverage"]) for r in found.collect()}
+    assert got["baseline", 10] == ((0.2 + 1 + 0) / 3, (5 / 4 + 0) / 2) and got["baseline", 25] == ((2 / 12 + 1 + 0) / 3, (6 / 4 + 0) / 2)
+    assert got["agreement", 50][0] == 0.0 and got["agreement", 50][1] != got["agreement", 50][1] and got["calibrated", 10][0] != got["calibrated", 10][0] and len(got) == 12
+    assert evaluation.macro_from_topk(found.limit(0).selectExpr("suite_id", "'c' AS case_id", "strategy", "k AS rank", "1 AS gt_overlap", "1 AS gt_total", "1 AS cumulative_gt_covered")).count() == 0
