@@ -3,8 +3,8 @@
 The library's Split pre-tokenizer isolates every match of a pattern that is one code point, so its offsets are those of
 the code points, in order, and no vocabulary is trained.  The length of the offset array is n; the offsets of rank c1 and
 c2 cut the text into prefix, middle and suffix.  Code points are isolated whatever stands beside them, so a text goes
-through the pre-tokenizer in blocks.  Of their offset arrays the lengths are kept, and the two that hold the ranks of the cuts are
-made once more: a text takes little more memory than its own, however long it is.
+through the pre-tokenizer's split in blocks.  The isolated matches of each block are counted, which gives the length of its offset array,
+and the two arrays that hold the ranks of the cuts are made: a text takes little more memory than its own, however long it is.
 
 The draws are digits of sha256(seed ":" id), so a row is cut alike wherever and however often it is run.  A null text
 counts as empty and stays plain, and so does a text that holds a sentinel.  A null id draws as an empty one; repeated
@@ -25,14 +25,21 @@ from siftwell.llm.words import slices
 
 PREFIX, SUFFIX, MIDDLE = "<P>", "<S>", "<M>"
 #: Code points that pass the pre-tokenizer at once.
-BLOCK = 256
+BLOCK = 128
+
+
+@lru_cache(1)
+def _pattern():
+    from tokenizers import Regex
+
+    return Regex(r"(?m:.)")
 
 
 @lru_cache(1)
 def _splitter():
-    from tokenizers import Regex, pre_tokenizers
+    from tokenizers import pre_tokenizers
 
-    return pre_tokenizers.Split(Regex(r"(?m:.)"), behavior="isolated")
+    return pre_tokenizers.Split(_pattern(), behavior="isolated")
 
 
 def offsets(text: str, block: int) -> np.ndarray:
@@ -41,15 +48,11 @@ def offsets(text: str, block: int) -> np.ndarray:
 
 
 def lengths(text: str) -> np.ndarray:
-    """How long the offset array of each block is; for that, the library need not turn its offsets of bytes into those of code points."""
-    from tokenizers import PreTokenizedString
-
-    split, found = _splitter().pre_tokenize, []
-    for k in range(0, len(text), BLOCK):
-        block = PreTokenizedString(text[k : k + BLOCK])
-        split(block)
-        found.append(len(block.get_splits("original", "byte")))
-    return np.array(found, np.int64)
+    """How long the offset array of each block is: the isolated matches of the split that the pre-tokenizer makes, which are counted without their texts and offsets."""
+    from tokenizers import NormalizedString
+
+    pattern = _pattern()
+    return np.array([len(NormalizedString(text[k : k + BLOCK]).split(pattern, "isolated")) for k in range(0, len(text), BLOCK)], np.int64)
 
 
 def cut(text: str, h1: int, h2: int) -> tuple[int, str, str, str]:
