@@ -30,8 +30,9 @@ def normalize_cwe(value: Column) -> Column:
 
 
 def _code(number: Column, year: int) -> Column:
-    digits = F.lpad(number.cast("string"), 2, "0") if year == 2021 else number.cast("string")
-    return F.when(number.between(1, 10), F.concat(F.lit("A"), digits))
+    """A01 to A10, or A1 to A10; number is mentioned once, as it may stand for a pattern's match."""
+    codes = F.array(*[F.lit(f"A{n:02}" if year == 2021 else f"A{n}") for n in range(1, 11)])
+    return F.get(codes, number - 1)
 
 
 def normalize_owasp(value: Column, year: int) -> Column:
@@ -41,7 +42,8 @@ def normalize_owasp(value: Column, year: int) -> Column:
 
 def owasp_id(value: Column) -> Column:
     """A01 to A10 if the whole text is such a code."""
-    return _code(F.regexp_extract(F.trim(F.coalesce(value, F.lit(""))), r"(?i)^A([0-9]{1,2})$", 1).try_cast("int"), 2021)
+    code = _code(F.regexp_extract(F.trim(F.coalesce(value, F.lit(""))), r"(?i)^A([0-9]{1,2})$", 1).try_cast("int"), 2021)
+    return F.when(value.isin(*TITLES[2021]), value).otherwise(code)  # the usual spelling needs no pattern
 
 
 def owasp_title(code: Column, year: int = 2021) -> Column:

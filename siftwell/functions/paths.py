@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -13,12 +14,29 @@ def _stripped(text: Column) -> Column:
     return F.regexp_replace(text, r"^\s+|\s+$", "")
 
 
+def _once(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f(value), with value worked out once however often f mentions it.  Else its expression is repeated for each, until generated code is too long to be compiled."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+def _is_plain(path: Column, name: str) -> Column:
+    """Whether a path holds nothing that normalize_file_path() changes, by searches that cost far less than its expressions; false for null."""
+    odd = path.contains("\\") | path.contains("//") | path.startswith("/") | path.startswith("./") | (F.substring(path, 2, 1) == ":") | F.substring(path, 1, 1).rlike(r"\s") | F.substring(path, -1, 1).rlike(r"\s")
+    if name:
+        odd = odd | F.lower(path).contains(f"/{name.lower()}/")
+    return F.coalesce(~odd, F.lit(False))
+
+
 def normalize_file_path(path: Column, repo_name: str = "") -> Column:
     """The path below the repository; null gives the empty path.
 
     Backslashes become slashes, a drive letter goes, everything through the last /repo_name/ goes (any case), then
     leading slashes, one ./ and doubled slashes.
     """
+    return _once(path, lambda p: F.when(_is_plain(p, repo_name.strip().strip("/")), p).otherwise(_normalized(p, repo_name)))
+
+
+def _normalized(path: Column, repo_name: str) -> Column:
     text = _stripped(F.translate(F.coalesce(path, F.lit("")), "\\", "/"))
     text = F.regexp_replace(text, "^.:", "")
     name = repo_name.strip().strip("/")
@@ -48,11 +66,17 @@ def as_prefix(path: Column) -> Column:
 
 def is_excluded(path: Column, prefixes: Iterable[str]) -> Column:
     """Whether a normalised path is one of the directories, or lies below one."""
-    place = as_prefix(path)
-    found = F.lit(False)
-    for p in exclude_prefixes(prefixes):
-        found = found | (place == p) | place.startswith(f"{p}/")
-    return found
+    names = exclude_prefixes(prefixes)
+
+    def below(place: Column) -> Column:
+        return reduce(Column.__or__, [(place == p) | place.startswith(f"{p}/") for p in names])
+
+    def excluded(x: Column) -> Column:
+        # as_prefix() leaves the names between slashes, so a path without the first of one's names needs no expressions
+        near = reduce(Column.__or__, [x.contains(p.split("/")[0]) for p in names])
+        return F.when(near, _once(as_prefix(x), below)).otherwise(False)
+
+    return _once(F.coalesce(path, F.lit("")), excluded) if names else F.lit(False)
 
 
 def location_key(path: Column, line: Column, end_line: Column) -> Column:

@@ -33,7 +33,10 @@ def _ranked(value: Column, ranks: dict[str, int]) -> Column:
 
 def severity_rank(value: Column) -> Column:
     """3, 2, 1 for HIGH, MEDIUM, LOW in any case; anything else, CRITICAL included, is 0."""
-    return _ranked(value, RANKS)
+    found = F.when(value.isNull(), 0)  # null and the usual spelling need no text made
+    for word, rank in RANKS.items():
+        found = found.when(value == word, rank)
+    return found.otherwise(_ranked(value, RANKS))
 
 
 def report_rank(value: Column) -> Column:

@@ -12,9 +12,10 @@ from siftwell.functions.scoring import log_odds, round6, smoothed_precision, tri
 
 
 def labelled(features: DataFrame, gt_cases: DataFrame) -> DataFrame:
-    """(suite_id, case_id, tools, gt_overlap, owasp_id) of the clusters in cases with ground truth."""
+    """(suite_id, case_id, tools, gt_overlap, owasp_id) of the clusters in cases with ground truth, from features or evaluation's rows."""
     rows = features.join(gt_cases.select("suite_id", "case_id").distinct(), ["suite_id", "case_id"], "left_semi")
-    return rows.select("suite_id", "case_id", parse_tools(F.col("tools_json"), F.col("tools")).alias("tools"), "gt_overlap", owasp_id(F.col("owasp_id")).alias("owasp_id"))
+    tools = parse_tools(F.col("tools_json"), F.col("tools")) if "tools_json" in features.columns else F.col("tools")
+    return rows.select("suite_id", "case_id", tools.alias("tools"), "gt_overlap", owasp_id(F.col("owasp_id")).alias("owasp_id"))
 
 
 def with_weights(counts: DataFrame, params: CalibrationParams) -> DataFrame:

@@ -24,7 +24,7 @@ def query(f: Query) -> Query:
 
 
 def suite(spark: SparkSession, sf_dir: str, name: str = "suite_main") -> Suite:
-    return Suite(adapters.findings(spark, sf_dir, name), adapters.ground_truth(spark, sf_dir, name))
+    return Suite(adapters.findings(spark, sf_dir, name), adapters.ground_truth(spark, sf_dir, name), lean=True)
 
 
 def of_suite(name: str, make: Callable[[Suite], DataFrame]) -> None:
@@ -110,17 +110,17 @@ of_suite("eval_topk", lambda s: s.topk)
 of_suite("eval_by_case", lambda s: s.by_case)
 of_suite("eval_macro", lambda s: s.macro)
 of_suite("eval_micro", lambda s: s.micro)
-of_suite("eval_macro_from_topk", lambda s: evaluation.macro_from_topk(s.topk).withColumns({m: F.bround(m, 6) for m in ("precision", "gt_coverage")}))
+of_suite("eval_macro_from_topk", lambda s: s.macro_from_topk.withColumns({m: F.bround(m, 6) for m in ("precision", "gt_coverage")}))
 of_suite("eval_deltas", lambda s: evaluation.deltas_by_case(s.by_case))
 of_suite("eval_suite_deltas", lambda s: evaluation.deltas_of_suite(s.macro))
 of_suite("eval_topk_focus", lambda s: evaluation.topk_focus(s.macro, s.micro))
 of_suite("tool_utility", lambda s: s.utility)
 of_suite("tool_marginal", lambda s: s.marginal)
-of_suite("tolerance_sweep", lambda s: tolerance.sweep(s.clusters, s.gt, s.config.gt_tolerance_candidates))
-of_suite("tolerance_auto", lambda s: tolerance.select_tolerance(tolerance.sweep(s.clusters, s.gt, s.config.gt_tolerance_candidates)))
-of_suite("tolerance_by_case", lambda s: tolerance.sweep_cases(s.clusters, s.gt, s.config.gt_tolerance_candidates))
-of_suite("gt_ambiguity", lambda s: tolerance.warnings(tolerance.sweep(s.clusters, s.gt, (3,))).select("suite_id", "gt_tolerance", F.array_join("warnings", ";").alias("warnings")))
-of_suite("dataset_counts", lambda s: compare.dataset_counts(s.features))
+of_suite("tolerance_sweep", lambda s: tolerance.sweep(s.near, s.gt, s.config.gt_tolerance_candidates))
+of_suite("tolerance_auto", lambda s: tolerance.select_tolerance(tolerance.sweep(s.near, s.gt, s.config.gt_tolerance_candidates)))
+of_suite("tolerance_by_case", lambda s: tolerance.sweep_cases(s.near, s.gt, s.config.gt_tolerance_candidates))
+of_suite("gt_ambiguity", lambda s: tolerance.warnings(tolerance.sweep(s.near, s.gt, (3,))).select("suite_id", "gt_tolerance", F.array_join("warnings", ";").alias("warnings")))
+of_suite("dataset_counts", lambda s: compare.dataset_counts(s.rows))
 of_suite("clusters_by_tool", lambda s: compare.clusters_by_tool(s.rows))
 of_suite("mart_fact_eval_case_k", lambda s: mart.fact_eval_case_k(s.by_case, BENCHMARK))
 of_suite("mart_fact_eval_suite_k", lambda s: mart.fact_eval_suite_k(s.macro, s.micro, BENCHMARK))
@@ -130,7 +130,7 @@ of_suite("mart_dim_suite_run", lambda s: mart.dim_suite_run(s.findings, BENCHMAR
 
 
 def _long(s: Suite) -> DataFrame:
-    return compare.long_table(compare.dataset_counts(s.features), s.macro, s.micro, s.weights, s.weights_by_owasp, s.utility)
+    return compare.long_table(compare.dataset_counts(s.rows), s.macro, s.micro, s.weights, s.weights_by_owasp, s.utility)
 
 
 @query

@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from siftwell.config import AnalysisConfig
 from siftwell.operators import calibration, clustering, evaluation, filters, groundtruth, report, tolerance, triage
@@ -18,18 +19,22 @@ class Suite:
     Two passes are explicit: the first queue has no trust model; the model is learned from its features, and the
     calibrated queue uses it.
 
-    Tables that several later ones read (the findings with their normalised paths, the clusters, the features, the
-    model and the rankings) are written to the shared folder when they are first asked for, so no plan repeats what
-    stands behind them.
+    Tables that several later ones read (the findings with their normalised paths, the clusters, the model and the rankings)
+    are written to the shared folder when they are first asked for, so no plan repeats what stands behind them.  lean: one
+    table is asked for and findings are cheap to read again, as from columns of files, so that findings and whole clusters
+    are not written; each plan carries the columns that it needs.
+
+    Evaluation, the model and the sweep read near: clusters without their samples, with the items near them.
     """
 
-    def __init__(self, findings: DataFrame, gt: DataFrame, config: AnalysisConfig | None = None, declared: DataFrame | None = None):
+    def __init__(self, findings: DataFrame, gt: DataFrame, config: AnalysisConfig | None = None, declared: DataFrame | None = None, lean: bool = False):
         self.findings, self.gt, self.config, self.declared = findings, gt, config or AnalysisConfig(), declared
+        self._kept = (lambda df: df) if lean else stored
 
     @cached_property
     def with_path(self) -> DataFrame:
-        """The findings with normalised paths, and whether each is in the mode and in scope: paths are read by expressions once."""
-        return stored(filters.flagged(spread(self.findings), self.config))
+        """The findings with normalised paths, and whether each is in the mode and in scope."""
+        return self._kept(filters.flagged(spread(self.findings), self.config))
 
     @cached_property
     def in_mode(self) -> DataFrame:
@@ -45,7 +50,19 @@ class Suite:
 
     @cached_property
     def clusters(self) -> DataFrame:
-        return stored(clustering.summarize_clusters(self.assigned, self.config.tools))
+        return self._kept(clustering.clusters_of(self.items, self.config.tolerance, self.config.tools))
+
+    @cached_property
+    def near(self) -> DataFrame:
+        """Clusters without their samples, with the items within reach of any tolerance and evaluation's labels; ids are made anew when it is read."""
+        columns = [*clustering.FILE, "start_line", "end_line", "cluster_id", "tools", "tool_count", "finding_count", *[f"{t}_count" for t in self.config.tools], "max_severity", "max_severity_rank"]
+        found = groundtruth.with_near(self.clusters.select(*columns), self.gt, max(self.config.gt_tolerance, *self.config.gt_tolerance_candidates))
+        return clustering.with_names(stored(evaluation.with_labels(found, self.config, self.declared).drop("cluster_id", "tool_count")))
+
+    @cached_property
+    def gt_cases(self) -> DataFrame:
+        """The few cases with ground truth, written so that Spark knows how few."""
+        return stored(self.gt.select("suite_id", "case_id").distinct())
 
     @cached_property
     def matches(self) -> DataFrame:
@@ -53,7 +70,7 @@ class Suite:
 
     def case_rows(self, planned: DataFrame, runs: DataFrame) -> DataFrame:
         """The report's rows of the planned cases (suite_id, case_id); runs: (suite_id, case_id, tool) of the reports that exist."""
-        return report.case_rows(planned, runs, self.with_path, self.clusters, self.matches, self.config.tools)
+        return report.case_rows(planned, runs, self.with_path, self.near, self.matches, self.config.tools)
 
     @cached_property
     def gaps(self) -> DataFrame:
@@ -73,7 +90,7 @@ class Suite:
 
     @cached_property
     def labelled(self) -> DataFrame:
-        return calibration.labelled(self.stored_features, self.gt)
+        return calibration.labelled(self.rows, self.gt_cases)
 
     @cached_property
     def weights(self) -> DataFrame:
@@ -93,7 +110,7 @@ class Suite:
 
     @cached_property
     def rows(self) -> DataFrame:
-        return evaluation.read_features(self.stored_features)
+        return evaluation.rows_of(self.near, self.config)
 
     @cached_property
     def cases(self) -> DataFrame:
@@ -105,7 +122,12 @@ class Suite:
 
     @cached_property
     def topk(self) -> DataFrame:
-        return evaluation.topk(self.ranked, self.cases)
+        return evaluation.topk(evaluation.with_triage_ranks(self.ranked, self.rows), self.cases)
+
+    @cached_property
+    def macro_from_topk(self) -> DataFrame:
+        unranked = self.ranked.withColumn("triage_rank", F.lit(None).cast("int"))  # a column that these metrics don't read
+        return evaluation.macro_from_topk(evaluation.topk(unranked, self.cases))
 
     @cached_property
     def by_case(self) -> DataFrame:
@@ -130,18 +152,18 @@ class Suite:
 
     @cached_property
     def swept(self) -> DataFrame:
-        """The clusters with what each candidate tolerance reaches: the one scan of clusters that the whole sweep takes."""
-        return stored(tolerance.labels(self.clusters, self.gt, self.config.gt_tolerance_candidates, self.declared))
+        """The clusters with what each candidate tolerance reaches."""
+        return tolerance.labels(self.near, self.config.gt_tolerance_candidates)
 
     @cached_property
     def tolerance_tools(self) -> DataFrame:
         """The weights of each tool at each candidate tolerance."""
-        return tolerance.tools_at(self.swept, self.gt, self.config)
+        return tolerance.tools_at(self.swept, self.gt_cases, self.config)
 
     @cached_property
     def tolerance_macro(self) -> DataFrame:
         """Macro precision and coverage of each strategy and k at each candidate tolerance."""
-        return tolerance.macro_at(self.swept, self.gt, tolerance.models_at(self.swept, self.gt, self.config), self.config)
+        return tolerance.macro_at(self.swept, self.gt, stored(tolerance.models_at(self.swept, self.gt_cases, self.config)), self.config)
 
     @cached_property
     def tolerance_report(self) -> DataFrame:

@@ -31,8 +31,17 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
 
 
+#: Whether shuffle files go when the plan that wrote them has ended, not when the driver happens to collect its garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame) -> DataFrame:
-    """df, written and reread: later plans start at the table, and lost executors cost no earlier work."""
-    path = f"{folder(df.sparkSession)}/siftwell-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """df, written and reread: later plans start at the table, and lost executors cost no earlier work.  Its shuffle files go."""
+    spark = df.sparkSession
+    path, before = f"{folder(spark)}/siftwell-{uuid.uuid4().hex}", spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
