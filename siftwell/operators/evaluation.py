@@ -95,8 +95,8 @@ PROFILE = [*CASE, "owasp_id", "tools", "tool_count", "finding_count", "max_sever
 
 
 def profiles(rows: DataFrame, *more: str) -> DataFrame:
-    """The different profiles of rows, with further columns, and how many rows have each (_n)."""
-    return rows.groupBy(*PROFILE, *more).agg(F.count("*").alias("_n"))
+    """The different profiles of rows, with further columns, and how many rows have each (_n): written, as later plans read them more than once."""
+    return stored(rows.groupBy(*PROFILE, *more).agg(F.count("*").alias("_n")))
 
 
 def contenders(scored: DataFrame, strategies: tuple[str, ...], keys: list[str], most: int) -> DataFrame:
